@@ -17,7 +17,7 @@ from wardflow.sources.tables import (
     path_exists,
     read_snapshot,
     read_table,
-    stage,
+    staged,
     write_partitions,
     write_snapshot,
 )
@@ -53,22 +53,23 @@ def touched_slice(target: DataFrame, batch: DataFrame, column: str) -> DataFrame
 def upsert_table(spark: SparkSession, table: Table, root: str, batch: DataFrame) -> None:
     """Merge ``batch`` (unique on the table's key) into a stored table.
 
-    The batch is staged as a written table first: it is used twice, and a lost
-    executor must not make the two uses differ. Running the same batch again
-    leaves the same table, which is also the way to finish an upsert that
-    failed between partition commits.
+    The batch is staged as a written table first: it is used several times,
+    and a lost executor must not make the uses differ. Running the same batch
+    again leaves the same table, which is also the way to finish an upsert
+    that failed between partition commits.
     """
-    batch = require_unique(stage(spark, batch), table.keys)
     path = table.path(root)
-    if table.partition_by:
-        merged = batch
-        if path_exists(spark, path):
-            target = touched_slice(read_table(spark, table, root), batch, table.partition_by[0])
-            merged = merge_rows(target, batch, table.keys)
-    else:
-        merged = merge_rows(read_snapshot(spark, table, root), batch, table.keys)
-    merged = merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.struct])
-    if table.partition_by:
-        write_partitions(merged, path, table.partition_by)
-    else:
-        write_snapshot(spark, merged, path)
+    with staged(spark, batch) as rows:
+        require_unique(rows, table.keys)
+        if not table.partition_by:
+            merged = merge_rows(read_snapshot(spark, table, root), rows, table.keys)
+        elif path_exists(spark, path):
+            target = touched_slice(read_table(spark, table, root), rows, table.partition_by[0])
+            merged = merge_rows(target, rows, table.keys)
+        else:
+            merged = rows
+        merged = merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.struct])
+        if table.partition_by:
+            write_partitions(merged, path, table.partition_by)
+        else:
+            write_snapshot(spark, merged, path)

@@ -33,7 +33,7 @@ from wardflow.sources.tables import (
     read_table,
     require_rows,
     snapshot_folder,
-    stage,
+    staged,
     write_snapshot,
 )
 from wardflow.streaming.adt import update_census
@@ -164,15 +164,16 @@ def run_gold(spark: SparkSession, root: str, run_date: str, attributes: DataFram
 def run_dimension(spark: SparkSession, root: str, source: DataFrame, run_date: str) -> None:
     """Apply a source snapshot to the facility dimension and audit it."""
     table = TABLES["dim_facility"]
-    source = stage(spark, source, "facilities")
-    dim = read_snapshot(spark, table, root)
-    # The batch id names the version the changes apply to: a retry of a run
-    # that failed after the audit replaces its own audit rows.
-    version = (snapshot_folder(spark, table.path(root)) or "version=none").rsplit("=", 1)[-1]
-    append_batch(scd2.audit_rows(source, dim, run_date), TABLES["scd2_audit"].path(root), f"{run_date}-{version}")
-    after = scd2.apply_changes(dim, source, run_date)
-    typed = after.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.struct])
-    write_snapshot(spark, typed, table.path(root))
+    with staged(spark, source, "facilities") as given:
+        dim = read_snapshot(spark, table, root)
+        # The batch id names the version the changes apply to: a retry of a
+        # run that failed after the audit replaces its own audit rows.
+        version = (snapshot_folder(spark, table.path(root)) or "version=none").rsplit("=", 1)[-1]
+        audit = scd2.audit_rows(given, dim, run_date)
+        append_batch(audit, TABLES["scd2_audit"].path(root), f"{run_date}-{version}")
+        after = scd2.apply_changes(dim, given, run_date)
+        typed = after.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.struct])
+        write_snapshot(spark, typed, table.path(root))
 
 
 def run_features(spark: SparkSession, root: str) -> str:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from wardflow.plans import fixtures
-from wardflow.plans.queries import AS_OF, DATASET, HALF_WAY, SINCE
+from wardflow.plans.queries import AS_OF, DATASET, HALF_WAY, MOVED_AT, SINCE
 
 DAY = AS_OF[:10]
 RAW_JSON = "concat('{', concat_ws(',', " + ", ".join(
@@ -323,7 +323,7 @@ STATEMENTS: dict[str, str] = {
  run_id, {ts('recorded_at')} recorded_at, {txt('file_date')} file_date from registry""",
     "file_layer_status": f"""select source_path, 'INGESTED' bronze_status,
  case when hit then 'TRANSFORMED' else 'PENDING' end silver_status, 'PENDING' gold_status,
- case when hit then '{AS_OF}.000000' end silver_at, case when hit then 'run-2' else 'run-1' end run_id
+ case when hit then '{MOVED_AT}.000000' end silver_at, case when hit then 'run-2' else 'run-1' end run_id
  from (select source_path, source_path in (select _source_file from silver) hit from registry)""",
     "job_bookmarks": f"select job_name, source_name, record_count, batch_id, run_status, {ts('updated_at')} updated_at from bookmarks",
     "migrate_file_schedule": f"""select facility_id, file_type, schedule_cron, grace_period_minutes, alert_severity, {txt('is_active')} is_active,

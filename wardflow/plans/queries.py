@@ -24,6 +24,7 @@ QUERIES: dict[str, Query] = {}
 AS_OF = "2001-07-31 12:00:00"
 SINCE = "1995-01-01 00:00:00"
 HALF_WAY = "1998-06-30 00:00:00"
+MOVED_AT = "2001-09-01 00:00:00"
 DATASET = "sftp_staffing"
 
 
@@ -681,14 +682,12 @@ def control_counts(spark, sf):
 
 
 def _upserted(spark, sf, table, build) -> DataFrame:
-    """A table after two upserts (rows up to and after the half-way mark),
-    the second of them repeated."""
+    """A table after two upserts: rows up to and after the half-way mark."""
     root = tables.scratch_path(spark, "lake")
     rows = raw(spark, sf)
     half = F.col("_ingested_at") <= F.lit(HALF_WAY).cast("timestamp")
-    upsert.upsert_table(spark, table, root, build(rows.filter(half)))
-    for _ in range(2):
-        upsert.upsert_table(spark, table, root, build(rows.filter(~half)))
+    for part in (half, ~half):
+        upsert.upsert_table(spark, table, root, build(rows.filter(part)))
     return tables.read_table(spark, table, root)
 
 
@@ -807,13 +806,14 @@ def current_runs(spark, sf):
 
 @query
 def tracked_run(spark, sf):
-    """Run rows of a Silver build over ingested files (rows only: has a clock)."""
-    root = _ingested(spark, sf)
-    jobs.run_silver(spark, root)
-    jobs.run_gold(spark, root, "2024-01-01", fixtures.load(spark, sf, "attributes_1"))
-    jobs.run_features(spark, root)
-    runs = tables.read_table(spark, TABLES["pipeline_runs"], root)
-    return control.current_runs(runs).select("pipeline_name", "layer", "status", "records_read", "records_written")
+    """Control rows of a tracked validation run (rows only: has a clock)."""
+    root = tables.scratch_path(spark, "control")
+
+    def work(run_id: str) -> tuple[int, str | None]:
+        return judged(spark, sf).filter(F.size("reasons") == 0).count(), AS_OF
+
+    jobs.tracked(spark, root, "Validation", "BRONZE", "staffing_raw", work, "MANUAL")
+    return control.current_runs(tables.read_table(spark, TABLES["pipeline_runs"], root))
 
 
 @query
@@ -826,7 +826,7 @@ def file_layer_status(spark, sf):
     """Registry after Silver: files with a surviving Silver row move on."""
     files = registry(spark, sf)
     reached = control.files_reaching_layer(files, silver(spark, sf))
-    at = F.lit(AS_OF).cast("timestamp")
+    at = F.lit(MOVED_AT).cast("timestamp")
     moved = control.layer_status_rows(reached, "silver", "TRANSFORMED", "run-2", at)
     return control.current_files(files.unionByName(moved)).select(
         "source_path", "bronze_status", "silver_status", "gold_status", "silver_at", "run_id"

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,14 +59,22 @@ def stage(spark: SparkSession, df: DataFrame, label: str = "stage") -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+@contextmanager
+def staged(spark: SparkSession, df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
+    """:func:`stage` for the length of a block; the folder goes with it."""
+    path = scratch_path(spark, label)
     try:
-        spark.read.format("binaryFile").load(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, without listing what lies below it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def read_table(spark: SparkSession, table: Table, root: str, extra_columns: list[str] | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from wardflow.operators.census import census_update
 from wardflow.operators.quality import quarantine_index
 from wardflow.operators.upsert import upsert_table
 from wardflow.schemas import TABLES
-from wardflow.sources.tables import append_batch, overwrite_folders, read_table, require_rows, stage
+from wardflow.sources.tables import append_batch, overwrite_folders, read_table, require_rows, staged
 from wardflow.streaming.ingest import stream_id
 
 
@@ -101,19 +101,21 @@ def run_validated_events(spark: SparkSession, envelopes: DataFrame, root: str, c
 
     def batch(df: DataFrame, batch_id: int) -> None:
         key = f"{stream_id(spark, checkpoint)}-{batch_id:08d}"
-        judged = stage(spark, judge_events(df), "events")
-        day = F.to_date("_ingested_at").alias("date")
-        valid = judged.filter(F.size("reasons") == 0).select("event.*", day, F.lit(key).alias("batch"))
-        overwrite_folders(valid, f"{root}/bronze/realtime_json", ["date", "batch"], "json")
-        bad = judged.filter(F.size("reasons") > 0).select(
-            "raw", "reasons", "_source_file", "_ingested_at", "event.facility_id"
-        )
-        append_batch(quarantine_index(bad, ["raw"]), TABLES["quarantine_index"].path(root), key)
-        audit = judged.groupBy(day, F.col("event.facility_id").alias("facility_id")).agg(
-            F.count(F.lit(1)).alias("total_records"),
-            F.count_if(F.size("reasons") > 0).alias("quarantined"),
-        )
-        overwrite_folders(audit.withColumn("batch", F.lit(key)), f"{root}/audit/realtime", ["date", "batch"], "json")
+        with staged(spark, judge_events(df), "events") as judged:
+            day = F.to_date("_ingested_at").alias("date")
+            valid = judged.filter(F.size("reasons") == 0).select("event.*", day, F.lit(key).alias("batch"))
+            overwrite_folders(valid, f"{root}/bronze/realtime_json", ["date", "batch"], "json")
+            bad = judged.filter(F.size("reasons") > 0).select(
+                "raw", "reasons", "_source_file", "_ingested_at", "event.facility_id"
+            )
+            append_batch(quarantine_index(bad, ["raw"]), TABLES["quarantine_index"].path(root), key)
+            audit = judged.groupBy(day, F.col("event.facility_id").alias("facility_id")).agg(
+                F.count(F.lit(1)).alias("total_records"),
+                F.count_if(F.size("reasons") > 0).alias("quarantined"),
+            )
+            overwrite_folders(
+                audit.withColumn("batch", F.lit(key)), f"{root}/audit/realtime", ["date", "batch"], "json"
+            )
 
     query = (
         envelopes.writeStream.foreachBatch(batch)
@@ -157,8 +159,13 @@ def run_census_stream(spark: SparkSession, root: str, checkpoint: str) -> None:
     """
     silver = TABLES["adt_events_standardized"]
     events = spark.readStream.schema(silver.struct).parquet(silver.path(root))
+
+    def batch(df: DataFrame, _: int) -> None:
+        with staged(spark, df, "events") as rows:
+            update_census(spark, rows, root)
+
     query = (
-        events.writeStream.foreachBatch(lambda df, _: update_census(spark, stage(spark, df, "events"), root))
+        events.writeStream.foreachBatch(batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -16,7 +16,7 @@ from wardflow.operators.quality import (
 )
 from wardflow.schemas import TABLES
 from wardflow.sources.landing import file_manifest, new_files, read_by_header
-from wardflow.sources.tables import append_batch, overwrite_folders, read_table, stage
+from wardflow.sources.tables import append_batch, overwrite_folders, read_table, staged
 
 BINARY_FILE_DDL = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
@@ -89,24 +89,25 @@ def ingest_files(spark: SparkSession, paths: list[str], root: str, dataset: str,
     """
     at = F.lit(at_text).cast("timestamp")
     ledger = read_table(spark, TABLES["ingestion_ledger"], root)
-    manifest = stage(spark, new_files(file_manifest(spark, paths), ledger), "manifest")
-    if manifest.isEmpty():
-        return
-    records = read_by_header(spark, manifest).withColumns({"_ingested_at": at, "_record_index": F.expr("uuid()")})
-    judged = stage(spark, with_reasons(records), "judged")
-
-    bronze_path = TABLES["stg_staffing"].path(root)
+    with staged(spark, new_files(file_manifest(spark, paths), ledger), "manifest") as manifest:
+        if manifest.isEmpty():
+            return
+        records = read_by_header(spark, manifest).withColumns({"_ingested_at": at, "_record_index": F.expr("uuid()")})
+        with staged(spark, with_reasons(records), "judged") as judged:
+            _write_records(judged, root, batch)
+            with staged(spark, file_outcomes(manifest, judged, dataset, at), "outcomes") as outcomes:
+                _write_control(spark, outcomes, root, batch, at, TABLES["stg_staffing"].path(root))
+
+
+def _write_records(judged: DataFrame, root: str, batch: str) -> None:
+    """Valid rows to Bronze, bad rows to the quarantine index and queue."""
     valid = judged.filter(F.size("reasons") == 0).drop("reasons")
     dated = valid.withColumns({"_ingest_date": F.to_date("_ingested_at"), "_ingest_batch": F.lit(batch)})
-    overwrite_folders(dated, bronze_path, ["_ingest_date", "_ingest_batch"])
+    overwrite_folders(dated, TABLES["stg_staffing"].path(root), ["_ingest_date", "_ingest_batch"])
     bad = judged.filter(F.size("reasons") > 0)
     index = quarantine_index(bad, raw_columns_of(judged))
     append_batch(index, TABLES["quarantine_index"].path(root), batch)
-    queue = quarantine_queue(index).drop("resolved")
-    append_batch(queue, f"{root}/quarantine/queue", batch)
-
-    outcomes = stage(spark, file_outcomes(manifest, judged, dataset, at), "outcomes")
-    _write_control(spark, outcomes, root, batch, at, bronze_path)
+    append_batch(quarantine_queue(index).drop("resolved"), f"{root}/quarantine/queue", batch)
 
 
 def ingest_bronze(
