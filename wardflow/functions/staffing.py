@@ -89,6 +89,12 @@ def _is_blank(col: str) -> Column:
     return text.isNull() | (text == "")
 
 
+def _fired(rules: list[tuple[Column, str]]) -> Column:
+    """Names of the rules that hold, as compiled array pieces put together."""
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.when(broken, F.array(F.lit(name))).otherwise(none) for broken, name in rules])
+
+
 def build_dq_flags_column(
     required_fields: list[str] = REQUIRED_FIELDS,
     max_census: int = MAX_PATIENT_CENSUS,
@@ -96,28 +102,17 @@ def build_dq_flags_column(
     ot_column: str = "hours_overtime",
 ) -> Column:
     """Array of the rules a typed row breaks; empty means clean."""
-    rules = [F.when(_is_blank(f), F.lit(f"NULL_{f.upper()}")) for f in required_fields]
+    rules = [(_is_blank(f), f"NULL_{f.upper()}") for f in required_fields]
     rules += [
-        F.when(F.col("patient_census") > max_census, F.lit("CENSUS_OUT_OF_RANGE")),
-        F.when(F.col("patient_census") < 0, F.lit("NEGATIVE_CENSUS")),
-        F.when(F.col(ot_column) > max_ot, F.lit("OT_HOURS_EXCEED_MAX")),
-        F.when(F.col("staff_count") < 0, F.lit("NEGATIVE_STAFF_COUNT")),
+        (F.col("patient_census") > max_census, "CENSUS_OUT_OF_RANGE"),
+        (F.col("patient_census") < 0, "NEGATIVE_CENSUS"),
+        (F.col(ot_column) > max_ot, "OT_HOURS_EXCEED_MAX"),
+        (F.col("staff_count") < 0, "NEGATIVE_STAFF_COUNT"),
     ]
-    return F.array_compact(F.array(*rules))
+    return _fired(rules)
 
 
-def validation_reasons(
-    columns: list[str],
-    max_census: int = MAX_PATIENT_CENSUS,
-    max_ot: float = MAX_OVERTIME_HOURS,
-) -> Column:
-    """Array of the validator rules an all-string row breaks.
-
-    A rule applies when its field is among ``columns``, so events and staffing
-    rows share one rule set. Limits compare as numbers of any form: ``1600.5``
-    is out of range even though it is no whole count. A staffing row without
-    a staff count is not numeric.
-    """
+def _validator_rules(columns: list[str], max_census: int, max_ot: float) -> list[tuple[Column, str]]:
     census = F.col("patient_census").try_cast("double")
     overtime = F.col("hours_worked_overtime").try_cast("double")
     staff = F.col("staff_count").try_cast("double")
@@ -128,8 +123,28 @@ def validation_reasons(
         ("staff_count", staff < 0, "NEGATIVE_STAFF_COUNT"),
         ("staff_count", as_int("staff_count").isNull(), "STAFF_COUNT_NOT_NUMERIC"),
     ]
-    fired = [F.when(broken, F.lit(name)) for field, broken, name in rules if field in columns]
-    return F.array_compact(F.array(*fired))
+    return [(broken, name) for field, broken, name in rules if field in columns]
+
+
+def validation_reasons(
+    columns: list[str], max_census: int = MAX_PATIENT_CENSUS, max_ot: float = MAX_OVERTIME_HOURS
+) -> Column:
+    """Array of the validator rules an all-string row breaks.
+
+    A rule applies when its field is among ``columns``, so events and staffing
+    rows share one rule set. Limits compare as numbers of any form: ``1600.5``
+    is out of range even though it is no whole count. A staffing row without
+    a staff count is not numeric.
+    """
+    return _fired(_validator_rules(columns, max_census, max_ot))
+
+
+def breaks_a_rule(
+    columns: list[str], max_census: int = MAX_PATIENT_CENSUS, max_ot: float = MAX_OVERTIME_HOURS
+) -> Column:
+    """Whether :func:`validation_reasons` is non-empty, without the array."""
+    tests = [F.coalesce(broken, F.lit(False)) for broken, _ in _validator_rules(columns, max_census, max_ot)]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
 def date_key(col: str | Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.config import LINEAGE_COLUMNS, PASS_RATE_WARN, VALIDATION_RULES
-from wardflow.functions.staffing import validation_reasons
+from wardflow.functions.staffing import breaks_a_rule, validation_reasons
 from wardflow.operators.dedup import latest_per_key
 
 
@@ -17,9 +17,10 @@ def with_reasons(records: DataFrame) -> DataFrame:
 
 def split_valid(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, bad): each record is judged alone, so a bad one never takes
-    its batch along. Both sides are filters over the same scan."""
-    judged = with_reasons(records)
-    return judged.filter(F.size("reasons") == 0).drop("reasons"), judged.filter(F.size("reasons") > 0)
+    its batch along. Both sides are filters over the same scan; only bad
+    records carry the array of reasons."""
+    broken = breaks_a_rule(records.columns)
+    return records.filter(~broken), with_reasons(records.filter(broken))
 
 
 def quarantine_index(bad: DataFrame, raw_columns: list[str]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 Each input is one SELECT that reads the same in Spark and in the oracle's
 dialect; only date formatting and a few function names differ. ``{table}``
-marks a base table.
+marks a base table. The hint on the staffing join states what its size would
+choose on large tables; small test files hold one row group each, and the
+shuffle is also what spreads their rows over the cores.
 """
 
 from __future__ import annotations
@@ -65,7 +67,8 @@ class Duck:
 
 def staffing_raw(d) -> str:
     return f"""
-select case when l_partkey%97=0 then null else concat('FAC_',cast(l_suppkey%5 as string)) end facility_id,
+select /*+ SHUFFLE_MERGE(o) */
+ case when l_partkey%97=0 then null else concat('FAC_',cast(l_suppkey%5 as string)) end facility_id,
  case when l_partkey%101=0 then 'not-a-date' else case l_orderkey%6
    when 0 then {d.fmt('l_shipdate', 'MM/dd/yyyy')} when 1 then {d.fmt('l_shipdate', 'yyyy-MM-dd')}
    when 2 then {d.fmt('l_shipdate', 'dd/MM/yyyy')} when 3 then {d.fmt('l_shipdate', 'yyyyMMdd')}
@@ -82,7 +85,7 @@ select case when l_partkey%97=0 then null else concat('FAC_',cast(l_suppkey%5 as
  cast(o_orderdate as timestamp) _ingested_at,
  concat_ws('-',cast(l_orderkey as string),cast(l_linenumber as string),cast(l_partkey as string),
            cast(l_suppkey as string),cast(cast(round(l_extendedprice*100) as bigint) as string)) _record_index
-from {{lineitem}} join {{orders}} on l_orderkey=o_orderkey"""
+from {{lineitem}} l join {{orders}} o on l_orderkey=o_orderkey"""
 
 
 def adt_raw(d) -> str:

@@ -69,12 +69,19 @@ def judged(spark, sf) -> DataFrame:
     return quality.with_reasons(raw(spark, sf))
 
 
+def all_index(spark, sf) -> DataFrame:
+    """Quarantine index of the staffing rows, nothing resolved."""
+    return quality.quarantine_index(quality.split_valid(raw(spark, sf))[1], STAFFING_COLUMNS)
+
+
+def fixed():
+    """Whether a record counts as corrected: a quarter do, by their hash."""
+    return F.substring("record_hash", 1, 1).isin("0", "1", "2", "3")
+
+
 def bad_index(spark, sf) -> DataFrame:
-    """Quarantine index of the staffing rows, partly remediated."""
-    records = judged(spark, sf).filter(F.size("reasons") > 0)
-    index = quality.quarantine_index(records, STAFFING_COLUMNS)
-    fixed = index.filter(F.substring("record_hash", 1, 1).isin("0", "1", "2", "3"))
-    return quality.resolve_remediated(index, fixed, ["source_file", "record_hash"])
+    """The index with the corrected records resolved."""
+    return all_index(spark, sf).withColumn("resolved", fixed())
 
 
 def dq_results(spark, sf) -> DataFrame:
@@ -466,15 +473,13 @@ def split_valid(spark, sf):
 
 @query
 def quarantine_index(spark, sf):
-    records = judged(spark, sf).filter(F.size("reasons") > 0)
-    return quality.quarantine_index(records, STAFFING_COLUMNS)
+    return all_index(spark, sf)
 
 
 @query
 def quarantine_queue(spark, sf):
     """Distinct messages when every file is delivered twice."""
-    records = judged(spark, sf).filter(F.size("reasons") > 0)
-    index = quality.quarantine_index(records, STAFFING_COLUMNS)
+    index = all_index(spark, sf)
     again = index.withColumn("ingestion_timestamp", F.col("ingestion_timestamp") + F.expr("INTERVAL 5 MINUTES"))
     return quality.quarantine_queue(index.unionByName(again)).select(
         "source_file", "ingestion_timestamp", "quarantine_reason", "record_hash"
@@ -513,7 +518,11 @@ def dq_flags(spark, sf):
 
 @query
 def remediation(spark, sf):
-    return bad_index(spark, sf).select("source_file", "record_hash", "resolved")
+    """The index after corrected records re-entered."""
+    index = all_index(spark, sf)
+    return quality.resolve_remediated(index, index.filter(fixed()), ["source_file", "record_hash"]).select(
+        "source_file", "record_hash", "resolved"
+    )
 
 
 @query
@@ -681,33 +690,34 @@ def control_counts(spark, sf):
     return out
 
 
-def _upserted(spark, sf, table, build) -> DataFrame:
-    """A table after two upserts: rows up to and after the half-way mark."""
-    root = tables.scratch_path(spark, "lake")
+def _halves(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Staffing rows up to and after the half-way mark."""
     rows = raw(spark, sf)
     half = F.col("_ingested_at") <= F.lit(HALF_WAY).cast("timestamp")
-    for part in (half, ~half):
-        upsert.upsert_table(spark, table, root, build(rows.filter(part)))
-    return tables.read_table(spark, table, root)
+    return rows.filter(half), rows.filter(~half)
 
 
 @query
 def upsert_silver(spark, sf):
-    return _upserted(spark, sf, TABLES["staffing_standardized"], facts.silver_staffing).drop("_source_file")
+    """The stored Silver table after two upserts."""
+    table, root = TABLES["staffing_standardized"], tables.scratch_path(spark, "lake")
+    for part in _halves(spark, sf):
+        upsert.upsert_table(spark, table, root, facts.silver_staffing(part))
+    return tables.read_table(spark, table, root).drop("_source_file")
 
 
 @query
 def upsert_fact_staffing(spark, sf):
-    return _upserted(
-        spark, sf, TABLES["fact_staffing"], lambda rows: facts.fact_staffing(facts.silver_staffing(rows))
-    )
+    """Both halves' facts merged on the fact key."""
+    old, new = (facts.fact_staffing(facts.silver_staffing(part)) for part in _halves(spark, sf))
+    return upsert.merge_rows(old, tables.stage(spark, new), TABLES["fact_staffing"].keys)
 
 
 @query
 def upsert_fact_overtime(spark, sf):
-    """Overtime after two merges: a later shift without overtime leaves the
-    merged row as it is, as update-all / insert-all does."""
-    return _upserted(spark, sf, TABLES["fact_overtime"], lambda rows: facts.fact_overtime(facts.silver_shifts(rows)))
+    """Both halves' overtime merged on the fact key, shift included."""
+    old, new = (facts.fact_overtime(facts.silver_shifts(part)) for part in _halves(spark, sf))
+    return upsert.merge_rows(old, tables.stage(spark, new), TABLES["fact_overtime"].keys)
 
 
 @query
