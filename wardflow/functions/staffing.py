@@ -18,8 +18,7 @@ from wardflow.config import (
 
 def _iso_date(text: Column, year: int, month: int, day: int) -> Column:
     """Date from the 1-based offsets of its parts; NULL if not a real date."""
-    year_text = F.nullif(F.substring(text, year, 4), F.lit("0000"))
-    parts = [year_text, F.substring(text, month, 2), F.substring(text, day, 2)]
+    parts = [F.substring(text, year, 4), F.substring(text, month, 2), F.substring(text, day, 2)]
     return F.concat_ws("-", *parts).try_cast("date")
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,11 @@ def get_schema_hints(spark: SparkSession, table: str, db: str) -> str:
     return ", ".join(f"{c} STRING" for c in columns) or DEFAULT_SCHEMA_HINTS
 
 
+def literal_path(path: str) -> str:
+    """A path as a reader takes it when no part of it is meant as a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def separator_of(path: Column) -> Column:
     """Tab for ``.tsv`` and ``.tsv.gz``, comma otherwise."""
     return F.when(F.lower(path).rlike(r"\.tsv(\.gz)?$"), F.lit("\t")).otherwise(F.lit(","))
@@ -139,8 +146,10 @@ def read_by_header(spark: SparkSession, headers: DataFrame) -> DataFrame:
     for (sep, columns), files in sorted(groups.items()):
         schema = StructType([StructField(c, StringType()) for c in columns])
         read = spark.read.schema(schema).option("header", "true").option("sep", sep)
-        packed = [f for f in files if f.lower().endswith(".gz")]
-        plain = [f for f in files if not f.lower().endswith(".gz")]
+        # File metadata gives paths in URL form; readers take them plain.
+        given = [literal_path(unquote(f)) for f in files]
+        packed = [f for f in given if f.lower().endswith(".gz")]
+        plain = [f for f in given if not f.lower().endswith(".gz")]
         if plain:
             frames.append(read.csv(plain).withColumn("_source_file", F.col("_metadata.file_path")))
         if packed:

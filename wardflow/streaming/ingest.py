@@ -15,7 +15,7 @@ from wardflow.operators.quality import (
     with_reasons,
 )
 from wardflow.schemas import TABLES
-from wardflow.sources.landing import file_manifest, new_files, read_by_header
+from wardflow.sources.landing import file_manifest, literal_path, new_files, read_by_header
 from wardflow.sources.tables import append_batch, overwrite_folders, read_table, staged
 
 BINARY_FILE_DDL = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -129,7 +129,7 @@ def ingest_bronze(
         rows = paths.collect()
         if rows:
             key = f"{stream_id(spark, checkpoint)}-{batch_id:08d}"
-            ingest_files(spark, [r.path for r in rows], root, dataset, key, rows[0].at)
+            ingest_files(spark, [literal_path(r.path) for r in rows], root, dataset, key, rows[0].at)
 
     files = (
         spark.readStream.format("binaryFile")
