@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from wardflow.__main__ import NAMES, ask
 from wardflow.operators import control
 from wardflow.plans import jobs
 from wardflow.schemas import TABLES
@@ -193,3 +194,61 @@ def test_kafka_records_map_to_envelopes(spark):
     raw = spark.sql("select 't' topic, 3 partition, 42L offset, timestamp'2026-01-01' timestamp, cast('x' as binary) value")
     row = streams.envelope_of_kafka(raw).first()
     assert (row.partitionKey, row.sequenceNumber, row.data) == ("t-3", "42", "x")
+
+
+def test_etl_in_order_and_the_questions_about_it(spark, lake):
+    lake.drop("FAC_1/a.csv", HEADER + "FAC_1,2026-01-01,RN,5,10,40,4,DAY\nFAC_1,2026-01-01,RN,x,10,40,4,DAY\n")
+    etl = jobs.run_etl(spark, str(lake.landing), lake.root, "2026-01-02")
+    assert etl == {"bronze": "SUCCESS", "silver": "SUCCESS", "gold": "SUCCESS", "features": "SUCCESS"}
+    (bad,) = ask(spark, lake.root, "quarantine_unresolved").collect()
+    options = {"file": bad.source_file, "facility": "FAC_1", "checksum": lake.read("ingestion_ledger").first().file_checksum}
+    answers = {name: ask(spark, lake.root, name, **options).collect() for name in NAMES}
+    checks = {r.check_name: r.value for r in answers["all"]}
+    assert (checks["files_ingested"], checks["quarantine_unresolved"], checks["dq_fail_runs"]) == (1, 1, 1)
+    assert {r.alert for r in answers["alerts"]} == {"DQ_PASS_RATE"}
+    assert [(r.rule, r.records) for r in answers["quarantine_by_rule"]] == [("STAFF_COUNT_NOT_NUMERIC", 1)]
+    for name in ("duplicate_check", "files_with_quarantine", "quarantine_by_file", "quarantine_of_facility", "dq_trend"):
+        assert len(answers[name]) == 1, name
+    assert len(answers["job_status"]) == len(answers["pipeline_runs"]) == 4
+    assert answers["schema_drift"] == answers["pipeline_failures"] == []
+
+    index = lake.read("quarantine_index")
+    for _ in range(2):
+        jobs.mark_resolved(spark, lake.root, index, "fix-1")
+    assert ask(spark, lake.root, "quarantine_unresolved").isEmpty()
+    assert jobs.read_quarantine(spark, lake.root).count() == 1
+
+
+def test_control_tables_are_seeded_once(spark, lake):
+    facilities = spark.createDataFrame([(f"FAC_{i}",) for i in range(5)], "facility_id STRING")
+    for _ in range(2):
+        counts = jobs.init_control(spark, lake.root, facilities, "seed_")
+        assert counts["file_schedule"] == 15
+        assert sum(n for name, n in counts.items() if name != "file_schedule") == 0
+    for schema in ("bronze", "silver", "gold", "ml_ready", "batch_control"):
+        spark.sql(f"DROP SCHEMA seed_{schema} CASCADE")
+
+
+def test_stored_schedule_is_migrated_with_a_backup(spark, lake, tmp_path):
+    old = spark.sql("select 'H' hospital_id, 'DAILY' expected_day, 8 expected_by_hour, 2 grace_period_hrs, true is_active,"
+                    " cast(null as timestamp) last_received_at, 0 consecutive_misses")
+    old.write.parquet(f"{tmp_path}/old")
+    assert jobs.run_schedule_migration(spark, f"{tmp_path}/old", f"{tmp_path}/backup", lake.root) == "MIGRATED"
+    row = tables.read_snapshot(spark, TABLES["file_schedule"], lake.root).first()
+    assert (row.facility_id, row.schedule_cron, row.grace_period_minutes) == ("H", "0 8 * * *", 120)
+    assert spark.read.parquet(f"{tmp_path}/backup").count() == 1
+    folder = tables.snapshot_folder(spark, TABLES["file_schedule"].path(lake.root))
+    assert jobs.run_schedule_migration(spark, folder, f"{tmp_path}/b2", lake.root) == "ALREADY_MIGRATED"
+
+
+def test_realtime_path(spark, tmp_path):
+    source = tmp_path / "stream"
+    source.mkdir()
+    (source / "a.json").write_text(envelope(1, data="!!"))
+    root = str(tmp_path / "lake")
+    assert jobs.run_realtime(spark, streams.file_envelopes(spark, str(source)), root) == "NO_BRONZE_DATA"
+    (source / "b.json").write_text(admit(2, 5))
+    assert jobs.run_realtime(spark, streams.file_envelopes(spark, str(source)), root) == "SUCCESS"
+    assert jobs.run_gold(spark, root, "2026-01-02") == "SUCCESS"
+    assert tables.read_table(spark, TABLES["fact_census_realtime"], root).first().census == 1
+    assert tables.read_snapshot(spark, TABLES["dim_facility"], root).first().facility_id == "FAC_1"

@@ -17,6 +17,8 @@ from wardflow.operators.control import (
     files_reaching_layer,
     last_offset,
     layer_status_rows,
+    migrate_file_schedule,
+    seed_schedule,
     start_pipeline_run,
     write_job_bookmark,
     write_pipeline_log,
@@ -24,11 +26,13 @@ from wardflow.operators.control import (
 from wardflow.operators.dedup import newer_than, watermark
 from wardflow.operators.facts import fact_overtime, fact_staffing, silver_shifts, silver_staffing
 from wardflow.operators.features import overtime_features
+from wardflow.operators.quality import resolve_remediated
 from wardflow.operators.upsert import upsert_table
-from wardflow.schemas import TABLES
+from wardflow.schemas import TABLES, create_all_tables
 from wardflow.sources.tables import (
     NothingToDo,
     append_batch,
+    path_exists,
     read_snapshot,
     read_table,
     require_rows,
@@ -36,8 +40,8 @@ from wardflow.sources.tables import (
     staged,
     write_snapshot,
 )
-from wardflow.streaming.adt import update_census
-from wardflow.streaming.ingest import read_bronze
+from wardflow.streaming.adt import run_bronze_events, run_census_stream, run_silver_events, update_census
+from wardflow.streaming.ingest import ingest_bronze, read_bronze
 
 
 def tracked(
@@ -176,6 +180,90 @@ def run_dimension(spark: SparkSession, root: str, source: DataFrame, run_date: s
         write_snapshot(spark, typed, table.path(root))
 
 
+def init_control(spark: SparkSession, root: str, facilities: DataFrame, prefix: str = "") -> dict[str, int]:
+    """Create all tables and seed the file schedule; returns the row counts
+    of the control tables. Running it again changes nothing."""
+    create_all_tables(spark, root, prefix)
+    schedule = TABLES["file_schedule"]
+    known = read_snapshot(spark, schedule, root)
+    fresh = seed_schedule(facilities).join(known.select(*schedule.keys), schedule.keys, "left_anti")
+    upsert_table(spark, schedule, root, fresh)
+    counts = {}
+    for name, table in TABLES.items():
+        if table.schema_name == "batch_control":
+            rows = read_snapshot(spark, table, root) if name == "file_schedule" else read_table(spark, table, root)
+            counts[name] = rows.count()
+    return counts
+
+
+def run_schedule_migration(spark: SparkSession, path: str, backup_path: str, root: str) -> str:
+    """Move a stored schedule of the old form into ``file_schedule``.
+
+    The old rows are copied to ``backup_path`` first, and the row count is
+    checked afterwards. A schedule already in the new form is left alone.
+    """
+    old = spark.read.parquet(path)
+    new = migrate_file_schedule(old)
+    if new is old:
+        return "ALREADY_MIGRATED"
+    old.write.mode("overwrite").parquet(backup_path)
+    table = TABLES["file_schedule"]
+    write_snapshot(spark, new.select(*table.struct.names), table.path(root))
+    before, after = old.count(), read_snapshot(spark, table, root).count()
+    if before != after:
+        raise ValueError(f"migration wrote {after} of {before} schedule rows")
+    return "MIGRATED"
+
+
+RESOLUTIONS = "source_file STRING, record_hash STRING"
+
+
+def mark_resolved(spark: SparkSession, root: str, records: DataFrame, batch: str) -> None:
+    """Record that quarantined ``records`` (source_file, record_hash) were
+    corrected."""
+    rows = records.select("source_file", "record_hash").distinct()
+    append_batch(rows, f"{root}/batch_control/quarantine_resolutions", batch)
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """The quarantine index with everything marked since taken into account."""
+    index = read_table(spark, TABLES["quarantine_index"], root)
+    path = f"{root}/batch_control/quarantine_resolutions"
+    if not path_exists(spark, path):
+        return index
+    return resolve_remediated(index, spark.read.schema(RESOLUTIONS).parquet(path), ["source_file", "record_hash"])
+
+
+def run_etl(
+    spark: SparkSession, landing: str, root: str, run_date: str, attributes: DataFrame | None = None
+) -> dict[str, str]:
+    """The batch path in order: ingestion, Silver, Gold, features."""
+
+    def ingest(run_id: str) -> tuple[int, None]:
+        ledger = TABLES["ingestion_ledger"]
+        before = read_table(spark, ledger, root).count()
+        ingest_bronze(spark, landing, root, f"{root}/checkpoints/bronze")
+        return read_table(spark, ledger, root).count() - before, None
+
+    return {
+        "bronze": tracked(spark, root, "Bronze_Ingestion", "BRONZE", landing, ingest),
+        "silver": run_silver(spark, root),
+        "gold": run_gold(spark, root, run_date, attributes),
+        "features": run_features(spark, root),
+    }
+
+
+def run_realtime(spark: SparkSession, envelopes: DataFrame, root: str) -> str:
+    """The event path in order: Bronze, Silver, census."""
+    run_bronze_events(envelopes, root, f"{root}/checkpoints/adt_bronze")
+    try:
+        run_silver_events(spark, root, f"{root}/checkpoints/adt_silver")
+    except NothingToDo as nothing:
+        return nothing.code
+    run_census_stream(spark, root, f"{root}/checkpoints/adt_census")
+    return "SUCCESS"
+
+
 def run_features(spark: SparkSession, root: str) -> str:
     """Rebuild the whole feature table from ``fact_staffing``."""
 

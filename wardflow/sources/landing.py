@@ -47,7 +47,22 @@ def header_columns(line: Column, path: Column) -> Column:
     return F.transform(names, lambda name: F.trim(name))
 
 
-def _text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def _is_packed(path: str = "path") -> Column:
+    return F.lower(path).endswith(".gz")
+
+
+def _whole_files(spark: SparkSession, paths: str | list[str], limit: int) -> DataFrame:
+    """Files up to ``limit`` bytes with their content, one row each. The size
+    filter is pushed to the source, so larger files are never loaded."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    return files.filter(F.col("length") <= limit).select(F.col("_metadata.file_path").alias("path"), "length", "content")
+
+
+def _first_line_of_content() -> Column:
+    return F.when(~_is_packed(), F.substring_index(F.col("content").cast("string"), "\n", 1))
+
+
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     lines = spark.read.option("recursiveFileLookup", "true").text(paths)
     return lines.select(
         "value",
@@ -58,18 +73,21 @@ def _text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
-def _first_line() -> Column:
-    """First line of a file among its text rows.
+def _first_lines(lines: DataFrame) -> DataFrame:
+    """(path, line) of each file among text rows: row ids grow within a task,
+    and a file's first block is read by one task."""
+    return lines.filter("block_start = 0").groupBy("path").agg(F.min_by("value", "position").alias("line"))
 
-    Row ids grow within a task, and a file's first block is read by one task.
-    """
-    at_start = F.when(F.col("block_start") == 0, F.col("position"))
-    return F.min_by("value", at_start)
 
-
-def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, columns) of each file; compressed files are read through."""
-    first = _text(spark, paths).filter("block_start = 0").groupBy("path").agg(_first_line().alias("line"))
+def file_headers(
+    spark: SparkSession, paths: str | list[str], whole_file_bytes: int = WHOLE_FILE_BYTES
+) -> DataFrame:
+    """(path, columns) of each file."""
+    whole = _whole_files(spark, paths, whole_file_bytes).filter(~_is_packed())
+    read_as_text = (F.col("length") > whole_file_bytes) | _is_packed()
+    first = whole.select("path", _first_line_of_content().alias("line")).unionByName(
+        _first_lines(_lines(spark, paths).filter(read_as_text))
+    )
     return first.select("path", header_columns(F.col("line"), F.col("path")).alias("columns"))
 
 
@@ -83,39 +101,28 @@ def file_manifest(
     checksum combines the size with order-free sums of line hashes, and two
     files compare by the same method since equal files have equal sizes.
     """
-    whole = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(paths)
-        .filter(F.col("length") <= whole_file_bytes)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            "length",
-            F.md5("content").alias("md5"),
-            F.when(
-                ~F.lower("path").endswith(".gz"),
-                F.substring_index(F.col("content").cast("string"), "\n", 1),
-            ).alias("line"),
-        )
+    whole = _whole_files(spark, paths, whole_file_bytes).select(
+        "path", "length", F.md5("content").alias("md5"), _first_line_of_content().alias("line")
     )
+    text = _lines(spark, paths)
+    line_hash = F.xxhash64("value")
     by_line = (
-        _text(spark, paths)
-        .filter((F.col("length") > whole_file_bytes) | F.lower("path").endswith(".gz"))
+        text.filter(F.col("length") > whole_file_bytes)
         .groupBy("path", "length")
         .agg(
-            _first_line().alias("text_line"),
             F.count(F.lit(1)).alias("n"),
-            F.sum(F.xxhash64("value").cast("decimal(20,0)")).alias("hash_sum"),
-            F.bit_xor(F.xxhash64("value", F.lit(1))).alias("hash_xor"),
+            F.sum(line_hash.bitwiseAND(F.lit((1 << 30) - 1))).alias("low"),
+            F.sum(F.shiftrightunsigned(line_hash, 34)).alias("high"),
+            F.bit_xor(F.xxhash64("value", F.lit(1))).alias("mixed"),
         )
         .select(
             "path",
             F.col("length").alias("text_length"),
-            "text_line",
-            F.md5(F.concat_ws("|", "length", "n", "hash_sum", "hash_xor").cast("binary")).alias("line_hash"),
+            F.md5(F.concat_ws("|", "length", "n", "low", "high", "mixed").cast("binary")).alias("line_hash"),
         )
     )
-    merged = whole.join(by_line, "path", "full_outer")
+    first = _first_lines(text.filter((F.col("length") > whole_file_bytes) | _is_packed()))
+    merged = whole.join(by_line, "path", "full_outer").join(first.withColumnRenamed("line", "text_line"), "path", "left")
     return merged.select(
         "path",
         F.coalesce("length", "text_length").alias("length"),
