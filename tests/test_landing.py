@@ -87,3 +87,20 @@ def test_header_of_a_file_split_over_tasks(spark, tmp_path, drop):
 def test_hints_fall_back_to_the_expected_columns(spark):
     assert landing.get_schema_hints(spark, "no_such_table", "no_such_db") == landing.DEFAULT_SCHEMA_HINTS
     assert landing.DEFAULT_SCHEMA_HINTS.startswith("facility_id STRING, work_date STRING")
+
+
+def test_only_files_that_need_it_are_read_as_text(spark, tmp_path, drop):
+    for i in range(12):
+        drop(f"small_{i}.csv", "facility_id\n" + "F\n" * 100)
+    drop("large.csv", "facility_id\n" + "F\n" * 5000)
+    from pyspark.sql import functions as F
+
+    lines = landing._lines(spark, str(tmp_path), F.col("_metadata.file_size") > 1000)
+    assert lines.select("value").count() == 5001
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "file_size" in plan.split("DataFilters:")[1].split("]")[0]
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 * 1024 * 1024))
+    try:
+        assert lines.rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")

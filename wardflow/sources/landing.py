@@ -62,8 +62,10 @@ def _first_line_of_content() -> Column:
     return F.when(~_is_packed(), F.substring_index(F.col("content").cast("string"), "\n", 1))
 
 
-def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    lines = spark.read.option("recursiveFileLookup", "true").text(paths)
+def _lines(spark: SparkSession, paths: str | list[str], keep: Column) -> DataFrame:
+    """Text rows of the files ``keep`` holds for. The filter names only file
+    metadata and comes before the row ids, so other files are not opened."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths).filter(keep)
     return lines.select(
         "value",
         F.col("_metadata.file_path").alias("path"),
@@ -73,10 +75,14 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
-def _first_lines(lines: DataFrame) -> DataFrame:
-    """(path, line) of each file among text rows: row ids grow within a task,
-    and a file's first block is read by one task."""
-    return lines.filter("block_start = 0").groupBy("path").agg(F.min_by("value", "position").alias("line"))
+def _first_lines(spark: SparkSession, paths: str | list[str], whole_file_bytes: int) -> DataFrame:
+    """(path, line) of each file that is packed or too large to take whole.
+
+    Row ids grow within a task, and a file's first block is read by one task.
+    """
+    read_as_text = (F.col("_metadata.file_size") > whole_file_bytes) | _is_packed("_metadata.file_path")
+    lines = _lines(spark, paths, read_as_text & (F.col("_metadata.file_block_start") == 0))
+    return lines.groupBy("path").agg(F.min_by("value", "position").alias("line"))
 
 
 def file_headers(
@@ -84,9 +90,8 @@ def file_headers(
 ) -> DataFrame:
     """(path, columns) of each file."""
     whole = _whole_files(spark, paths, whole_file_bytes).filter(~_is_packed())
-    read_as_text = (F.col("length") > whole_file_bytes) | _is_packed()
     first = whole.select("path", _first_line_of_content().alias("line")).unionByName(
-        _first_lines(_lines(spark, paths).filter(read_as_text))
+        _first_lines(spark, paths, whole_file_bytes)
     )
     return first.select("path", header_columns(F.col("line"), F.col("path")).alias("columns"))
 
@@ -104,10 +109,9 @@ def file_manifest(
     whole = _whole_files(spark, paths, whole_file_bytes).select(
         "path", "length", F.md5("content").alias("md5"), _first_line_of_content().alias("line")
     )
-    text = _lines(spark, paths)
     line_hash = F.xxhash64("value")
     by_line = (
-        text.filter(F.col("length") > whole_file_bytes)
+        _lines(spark, paths, F.col("_metadata.file_size") > whole_file_bytes)
         .groupBy("path", "length")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -121,8 +125,8 @@ def file_manifest(
             F.md5(F.concat_ws("|", "length", "n", "low", "high", "mixed").cast("binary")).alias("line_hash"),
         )
     )
-    first = _first_lines(text.filter((F.col("length") > whole_file_bytes) | _is_packed()))
-    merged = whole.join(by_line, "path", "full_outer").join(first.withColumnRenamed("line", "text_line"), "path", "left")
+    first = _first_lines(spark, paths, whole_file_bytes).withColumnRenamed("line", "text_line")
+    merged = whole.join(by_line, "path", "full_outer").join(first, "path", "left")
     return merged.select(
         "path",
         F.coalesce("length", "text_length").alias("length"),
