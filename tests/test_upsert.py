@@ -97,3 +97,18 @@ def test_staged_folder_goes_with_its_block(spark):
         folder = rows.inputFiles()[0].rsplit("/", 1)[0]
         assert rows.count() == 5 and tables.path_exists(spark, folder)
     assert not tables.path_exists(spark, folder)
+
+
+def test_old_files_are_left_unopened(spark, tmp_path, staffing_frame):
+    import os
+
+    root = str(tmp_path)
+    upsert.upsert_table(spark, SILVER, root, facts.silver_staffing(
+        staffing_frame(staff("2026-01-01", 1), staff("2026-01-02", 2))))
+    for file in (tmp_path / "silver/staffing_standardized/work_date=2026-01-01").glob("*.parquet"):
+        os.utime(file, (1_600_000_000, 1_600_000_000))
+    rows = tables.read_table(spark, SILVER, root, written_since="2021-01-01 00:00:00")
+    assert [r.staff_count for r in rows.collect()] == [2]
+    scan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "file_modification_time" in scan.split("PartitionFilters")[0].split("DataFilters:")[1]
+    assert tables.read_table(spark, SILVER, root, written_since="1970-01-01 00:00:00").count() == 2

@@ -86,12 +86,34 @@ def _move_files(spark: SparkSession, root: str, rows: DataFrame, layer: str, sta
     append_registry(layer_status_rows(files, layer, status, run_id, F.current_timestamp()), root, f"{run_id}-{layer}")
 
 
+SILVER_JOB = "Silver_Transformation"
+
+
+def silver_watermark(spark: SparkSession, root: str) -> str:
+    """Newest ``_ingested_at`` in Silver.
+
+    The newest rows lie in files written since the last run that wrote any,
+    so those files are asked first and the whole table only without them.
+    """
+    silver = TABLES["staffing_standardized"]
+    runs = read_table(spark, TABLES["pipeline_runs"], root).filter(
+        (F.col("layer") == "SILVER") & (F.col("pipeline_name") == SILVER_JOB)
+    )
+    wrote = runs.filter((F.col("status") == "SUCCESS") & (F.col("records_written") > 0))
+    began = wrote.agg(F.max("started_at").cast("string").alias("t")).first().t
+    if began is not None:
+        mark = _mark(read_table(spark, silver, root, written_since=began))
+        if mark != EPOCH:
+            return mark
+    return _mark(read_table(spark, silver, root))
+
+
 def run_silver(spark: SparkSession, root: str) -> str:
     """Bronze rows after the Silver watermark into both Silver grains."""
 
     def work(run_id: str) -> tuple[int, str]:
         silver = TABLES["staffing_standardized"]
-        mark = _mark(read_table(spark, silver, root))
+        mark = silver_watermark(spark, root)
         bronze = newer_than(read_bronze(spark, root), mark).filter(
             F.col("_ingest_date") >= F.to_date(F.lit(mark).cast("timestamp"))
         )
@@ -102,7 +124,7 @@ def run_silver(spark: SparkSession, root: str) -> str:
         _move_files(spark, root, fresh, "silver", "TRANSFORMED", run_id)
         return fresh.count(), _mark(fresh)
 
-    return tracked(spark, root, "Silver_Transformation", "SILVER", TABLES["stg_staffing"].full_name, work)
+    return tracked(spark, root, SILVER_JOB, "SILVER", TABLES["stg_staffing"].full_name, work)
 
 
 def _since(spark: SparkSession, root: str, job: str, source: str) -> str:
@@ -135,11 +157,10 @@ def run_gold(spark: SparkSession, root: str, run_date: str, attributes: DataFram
     def work(run_id: str) -> tuple[int, str]:
         batch_source, event_source = f"{staffing.full_name}@gold", f"{adt.full_name}@gold"
         since = _since(spark, root, name, batch_source)
-        silver = newer_than(read_table(spark, staffing, root), since)
-        shifts = newer_than(read_table(spark, TABLES["staffing_shifts"], root), since)
-        events = newer_than(
-            read_table(spark, adt, root), _since(spark, root, name, event_source), "_processed_at"
-        )
+        silver = newer_than(read_table(spark, staffing, root, written_since=since), since)
+        shifts = newer_than(read_table(spark, TABLES["staffing_shifts"], root, written_since=since), since)
+        since = _since(spark, root, name, event_source)
+        events = newer_than(read_table(spark, adt, root, written_since=since), since, "_processed_at")
         batch_mark, event_mark = _mark(silver), _mark(events, "_processed_at")
         if batch_mark == EPOCH and event_mark == EPOCH:
             raise NothingToDo("NO_NEW_RECORDS")

@@ -77,12 +77,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def read_table(spark: SparkSession, table: Table, root: str, extra_columns: list[str] | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession,
+    table: Table,
+    root: str,
+    extra_columns: list[str] | None = None,
+    written_since: str | None = None,
+) -> DataFrame:
     """A stored table under its declared schema; empty when never written.
 
     The declared schema spares the footer inference over all files, and gives
     NULL for columns that older files lack. ``extra_columns`` are text columns
-    that arrived later.
+    that arrived later. ``written_since`` leaves out files older than that
+    time (less a day, for clocks that differ) without opening them: enough for
+    a reader that wants the rows loaded after it.
     """
     path = table.path(root)
     schema = table.struct
@@ -91,7 +99,11 @@ def read_table(spark: SparkSession, table: Table, root: str, extra_columns: list
             schema = schema.add(column, "string")
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    rows = spark.read.schema(schema).parquet(path)
+    if written_since is not None:
+        oldest = F.lit(written_since).cast("timestamp") - F.expr("INTERVAL 1 DAY")
+        rows = rows.filter(F.col("_metadata.file_modification_time") >= oldest)
+    return rows.select(*schema.names)
 
 
 def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
