@@ -143,5 +143,5 @@ def schema_drift(registry: DataFrame) -> DataFrame:
 
 def raw_columns_of(records: DataFrame) -> list[str]:
     """The data columns of a Bronze frame, without lineage and verdict."""
-    skip = {*LINEAGE_COLUMNS, "reasons", "_ingest_date", "_ingest_batch"}
+    skip = {*LINEAGE_COLUMNS, "reasons", "_bad", "_ingest_date", "_ingest_batch"}
     return [c for c in records.columns if c not in skip]

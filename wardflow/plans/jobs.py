@@ -27,7 +27,7 @@ from wardflow.operators.dedup import newer_than, watermark
 from wardflow.operators.facts import fact_overtime, fact_staffing, silver_shifts, silver_staffing
 from wardflow.operators.features import overtime_features
 from wardflow.operators.quality import resolve_remediated
-from wardflow.operators.upsert import upsert_table
+from wardflow.operators.upsert import touched_slice, upsert_table
 from wardflow.schemas import TABLES, create_all_tables
 from wardflow.sources.tables import (
     NothingToDo,
@@ -133,16 +133,17 @@ def _since(spark: SparkSession, root: str, job: str, source: str) -> str:
 
 def overtime_batch(changed: DataFrame, target: DataFrame) -> DataFrame:
     """Overtime rows of changed shifts, plus a zero row for each shift that
-    was corrected down to no overtime after it had reached the fact."""
-    table = TABLES["fact_overtime"]
-    rows = fact_overtime(changed)
-    none = fact_overtime(changed.filter("not coalesce(hours_overtime > 0, false)").withColumn("hours_overtime", F.lit(1.0)))
-    keys = target.select(*[F.col(k).alias(f"_t_{k}") for k in table.keys])
-    same = all_of([F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in table.keys])
-    cleared = none.join(keys, same, "left_semi").withColumns(
+    was corrected down to no overtime after it had reached the fact. Only the
+    days of such shifts are looked up in ``target``."""
+    keys = TABLES["fact_overtime"].keys
+    without = changed.filter("not coalesce(hours_overtime > 0, false)").withColumn("hours_overtime", F.lit(1.0))
+    candidates = fact_overtime(without)
+    held = touched_slice(target, candidates, "date_key").select(*[F.col(k).alias(f"_held_{k}") for k in keys])
+    same = all_of([F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
+    cleared = candidates.join(held, same, "left_semi").withColumns(
         {"hours_overtime": F.lit(0.0), "overtime_pct": F.lit(0.0), "overtime_cost_est": F.lit(0.0)}
     )
-    return rows.unionByName(cleared)
+    return fact_overtime(changed).unionByName(cleared)
 
 
 def run_gold(spark: SparkSession, root: str, run_date: str, attributes: DataFrame | None = None) -> str:

@@ -60,11 +60,13 @@ def stage(spark: SparkSession, df: DataFrame, label: str = "stage") -> DataFrame
 
 
 @contextmanager
-def staged(spark: SparkSession, df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
+def staged(
+    spark: SparkSession, df: DataFrame, label: str = "stage", partition_by: tuple[str, ...] = ()
+) -> Iterator[DataFrame]:
     """:func:`stage` for the length of a block; the folder goes with it."""
     path = scratch_path(spark, label)
     try:
-        df.write.parquet(path)
+        df.write.partitionBy(*partition_by).parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)

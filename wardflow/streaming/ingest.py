@@ -93,18 +93,20 @@ def ingest_files(spark: SparkSession, paths: list[str], root: str, dataset: str,
         if manifest.isEmpty():
             return
         records = read_by_header(spark, manifest).withColumns({"_ingested_at": at, "_record_index": F.expr("uuid()")})
-        with staged(spark, with_reasons(records), "judged") as judged:
+        verdict = with_reasons(records).withColumn("_bad", F.size("reasons") > 0)
+        with staged(spark, verdict, "judged", ("_bad",)) as judged:
             _write_records(judged, root, batch)
             with staged(spark, file_outcomes(manifest, judged, dataset, at), "outcomes") as outcomes:
                 _write_control(spark, outcomes, root, batch, at, TABLES["stg_staffing"].path(root))
 
 
 def _write_records(judged: DataFrame, root: str, batch: str) -> None:
-    """Valid rows to Bronze, bad rows to the quarantine index and queue."""
-    valid = judged.filter(F.size("reasons") == 0).drop("reasons")
+    """Valid rows to Bronze, bad rows to the quarantine index and queue; each
+    side reads only its own folder of the staged rows."""
+    valid = judged.filter(~F.col("_bad")).drop("reasons", "_bad")
     dated = valid.withColumns({"_ingest_date": F.to_date("_ingested_at"), "_ingest_batch": F.lit(batch)})
     overwrite_folders(dated, TABLES["stg_staffing"].path(root), ["_ingest_date", "_ingest_batch"])
-    bad = judged.filter(F.size("reasons") > 0)
+    bad = judged.filter("_bad")
     index = quarantine_index(bad, raw_columns_of(judged))
     append_batch(index, TABLES["quarantine_index"].path(root), batch)
     append_batch(quarantine_queue(index).drop("resolved"), f"{root}/quarantine/queue", batch)
@@ -116,7 +118,7 @@ def ingest_bronze(
     root: str,
     checkpoint: str,
     dataset: str = "sftp_staffing",
-    max_files: int = 1000,
+    max_files: int = 10000,
 ) -> None:
     """Ingest every file not seen before, then stop.
 
