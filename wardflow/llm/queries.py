@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate
-from wardflow.llm.common import table
+from wardflow.llm import decontaminate, langid, neardup
+from wardflow.llm.common import fold_of, table
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,4 +21,16 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op9_decontamination": op9_decontamination}
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link(spark, table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = fold_of(F.col("doc_id"), 4) == 2
+    contents = langid.train(documents, ~held_out)
+    judged = langid.identify(documents, contents)
+    return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+QUERIES = {"op3_minhash_near_dedup": op3_minhash_near_dedup, "op9_decontamination": op9_decontamination, "op10_language_id": op10_language_id}
