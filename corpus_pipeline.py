@@ -3,19 +3,46 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate
+from wardflow.llm import decontaminate, langid, neardup, packing, substring
 from wardflow.llm.common import keep, table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the compressed sizes settle."""
+    return langid.keep_identified(docs, langid.train(docs, F.lit(True)))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return neardup.keep_representatives(spark, docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that an earlier one holds."""
+    return substring.remove_repeats(spark, docs).select(docs.columns)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that benchmark passages contaminate."""
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("decontamination", decontamination)]
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each document's words go in the training sequences."""
+    return packing.pack(spark, docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("best_fit_packing", best_fit_packing),
+]
 
-#: Near-duplicate signatures and compressed sizes are beyond SQL.
+#: Signatures, compressed sizes and best fit are beyond SQL.
 ORACLE_SQL = None
 
 

@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, langid, neardup
+from wardflow.llm import decontaminate, langid, neardup, packing, substring
 from wardflow.llm.common import fold_of, table
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = substring.remove_repeats(spark, table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0), lambda total, s: total + s["end"] - s["begin"]).cast("long")
+    return cleaned.select("doc_id", "text", "spans", removed.alias("n_removed"))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return judged.select(
@@ -33,4 +43,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
-QUERIES = {"op3_minhash_near_dedup": op3_minhash_near_dedup, "op9_decontamination": op9_decontamination, "op10_language_id": op10_language_id}
+QUERIES = {"op3_minhash_near_dedup": op3_minhash_near_dedup, "op4_substring_dedup": op4_substring_dedup, "op8_best_fit_packing": op8_best_fit_packing, "op9_decontamination": op9_decontamination, "op10_language_id": op10_language_id}
