@@ -99,3 +99,24 @@ def calibration(scored: DataFrame, score: str, label: str, cells: int = 1000) ->
     columns = [np.array([r[c] for r in sums], float) for c in ("s", "y", "w")]
     xs, ys = isotonic(*columns)
     return xs.tolist(), ys.tolist()
+
+
+def labelled_sample(spark: SparkSession, documents: DataFrame, labels: DataFrame, label: str, chosen: Column, bound: int) -> DataFrame:
+    """(doc_id, text, label, calibrate): about ``bound`` labelled rows at most, by a hash of the id.
+
+    The label is that of ``labels`` (the largest, should a document have
+    several), and ``calibrate`` marks the fifth that is kept for calibration.
+    Only the sampled ids and labels, bounded by ``bound``, are broadcast; texts
+    are not shuffled.
+    """
+    marks = (
+        labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+        .groupBy("doc_id")
+        .agg(F.max(label).cast("double").alias("label"))
+        .where(chosen)
+    )
+    share = min(1.0, bound / max(marks.count(), 1))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
+    drawn = marks.where(draw < int(share * 1_000_000)).withColumn("calibrate", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(5)) == 0)
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return keep(spark, texts.join(F.broadcast(drawn), "doc_id"), "labelled")[0]

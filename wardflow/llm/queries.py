@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, langid, neardup, packing, substring
+from wardflow.llm import decontaminate, html, langid, neardup, packing, quality, substring, toxicity
 from wardflow.llm.common import fold_of, table
 
 
@@ -15,6 +15,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "spans", removed.alias("n_removed"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(spark, table(spark, sf_dir, "pages"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,18 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold_of(F.col("doc_id"), 5) == 0
+    scored = toxicity.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold_of(F.col("doc_id"), 3) == 1
+    scored = quality.score(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(spark, table(spark, sf_dir, "documents"))
 
@@ -43,4 +59,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
-QUERIES = {"op3_minhash_near_dedup": op3_minhash_near_dedup, "op4_substring_dedup": op4_substring_dedup, "op8_best_fit_packing": op8_best_fit_packing, "op9_decontamination": op9_decontamination, "op10_language_id": op10_language_id}
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_quality": op2_quality,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_html_extraction": op5_html_extraction,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_decontamination": op9_decontamination,
+    "op10_language_id": op10_language_id,
+}
