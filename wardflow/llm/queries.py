@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, html, langid, neardup, packing, quality, substring, toxicity
+from wardflow.llm import decontaminate, html, langid, lm, neardup, packing, quality, substring, toxicity
 from wardflow.llm.common import fold_of, table
 
 
@@ -19,6 +19,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(spark, table(spark, sf_dir, "pages"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(spark, table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 5) != 1)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_html_extraction": op5_html_extraction,
+    "op6_lm_scoring": op6_lm_scoring,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
