@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, html, langid, lm, neardup, packing, quality, substring, toxicity
+from wardflow.llm import decontaminate, html, langid, lm, neardup, packing, quality, search, substring, toxicity
 from wardflow.llm.common import fold_of, table
 
 
@@ -23,6 +23,12 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(spark, table(spark, sf_dir, "documents"), fold_of(F.col("doc_id"), 5) != 1)
 
 
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    asked = documents.where(F.col("doc_id") % 50 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return search.top_k(spark, documents, asked, k=10)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"))
 
@@ -70,6 +76,7 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_html_extraction": op5_html_extraction,
     "op6_lm_scoring": op6_lm_scoring,
+    "op7_exact_top_k": op7_exact_top_k,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
