@@ -1,5 +1,4 @@
 import gzip
-import hashlib
 
 import pytest
 
@@ -43,19 +42,51 @@ def test_paths_with_blanks_and_percent_signs(spark, tmp_path, drop):
     assert landing.file_manifest(spark, str(tmp_path)).count() == 2
 
 
-@pytest.mark.parametrize("limit", [landing.WHOLE_FILE_BYTES, 10])
-def test_manifest_of_small_and_large_files(spark, tmp_path, drop, limit):
+def test_manifest_names_contents(spark, tmp_path, drop):
     text = "facility_id,work_date\nF1,2026-01-01\nF2,2026-01-02\n"
     drop("a.csv", text)
     drop("copy.csv", text)
     drop("other.csv", text.replace("F2", "F3"))
+    drop("turned.csv", "facility_id,work_date\nF2,2026-01-02\nF1,2026-01-01\n")
+    drop("moved.csv", "F1,2026-01-01\nfacility_id,work_date\nF2,2026-01-02\n")
     drop("z.csv.gz", text, packed=True)
-    found = names(landing.file_manifest(spark, str(tmp_path), limit))
-    assert {tuple(r.columns) for r in found.values()} == {("facility_id", "work_date")}
+    drop("none.csv", "")  # file scans leave out files without a byte
+    found = names(landing.file_manifest(spark, str(tmp_path)))
+    assert sorted(found) == ["a.csv", "copy.csv", "moved.csv", "other.csv", "turned.csv", "z.csv.gz"]
+    assert {tuple(r.columns) for n, r in found.items() if n != "moved.csv"} == {("facility_id", "work_date")}
     assert found["a.csv"].file_checksum == found["copy.csv"].file_checksum
-    assert len({r.file_checksum for r in found.values()}) == 3
-    if limit > 100:
-        assert found["a.csv"].file_checksum == hashlib.md5(text.encode()).hexdigest()
+    assert len({r.file_checksum for r in found.values()}) == 5
+
+
+def test_one_checksum_however_a_file_is_split(spark, tmp_path, drop):
+    lines = [f"F{i},2026-01-{i % 28 + 1:02d}" for i in range(30000)]
+    drop("big.csv", "\n".join(["facility_id,work_date", *lines]) + "\n")
+    drop("swapped.csv", "\n".join(["facility_id,work_date", lines[-1], *lines[1:-1], lines[0]]) + "\n")
+    found = []
+    for size in ("128m", "50000", "7777"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            found.append({n: r.file_checksum for n, r in names(landing.file_manifest(spark, str(tmp_path))).items()})
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1] == found[2] and len(set(found[0].values())) == 2
+
+
+def test_names_differ_by_case_and_blanks_only(spark, tmp_path, drop):
+    drop("a.csv", "FACILITY_ID, Work_Date \nF1,2026-01-01\n")
+    drop("b.csv", "facility_id,work_date\nF2,2026-01-02\n")
+    drop("twice.csv", "facility_id,FACILITY_ID\nF3,F3\n")
+    drop("unnamed.csv", "facility_id,\nF4,x\n")
+    rows = landing.read_landing(spark, str(tmp_path)).orderBy("facility_id").collect()
+    assert [(r.facility_id, r.work_date) for r in rows] == [("F1", "2026-01-01"), ("F2", "2026-01-02")]
+
+
+def test_rows_longer_than_their_header_show(spark, tmp_path, drop):
+    drop("a.csv", "facility_id,work_date\nF1,2026-01-01\nF2,2026-01-01,x\nF3,2026-01-01,,y\nF4\nF5,2026-01-01,\n\"F,6\",d\n")
+    rows = landing.read_by_header(spark, landing.file_headers(spark, str(tmp_path))).collect()
+    assert {r.facility_id: r._surplus for r in rows} == {
+        "F1": None, "F2": "x", "F3": "F3,2026-01-01,,y", "F4": None, "F5": None, "F,6": None,
+    }
 
 
 def test_known_content_is_skipped(spark, tmp_path, drop):
@@ -75,7 +106,7 @@ def test_header_of_a_file_split_over_tasks(spark, tmp_path, drop):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
         rows = landing.file_headers(spark, str(tmp_path)).collect()
-        manifest = landing.file_manifest(spark, str(tmp_path), 100).first()
+        manifest = landing.file_manifest(spark, str(tmp_path)).first()
         total = landing.read_landing(spark, str(tmp_path)).count()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -87,20 +118,3 @@ def test_header_of_a_file_split_over_tasks(spark, tmp_path, drop):
 def test_hints_fall_back_to_the_expected_columns(spark):
     assert landing.get_schema_hints(spark, "no_such_table", "no_such_db") == landing.DEFAULT_SCHEMA_HINTS
     assert landing.DEFAULT_SCHEMA_HINTS.startswith("facility_id STRING, work_date STRING")
-
-
-def test_only_files_that_need_it_are_read_as_text(spark, tmp_path, drop):
-    for i in range(12):
-        drop(f"small_{i}.csv", "facility_id\n" + "F\n" * 100)
-    drop("large.csv", "facility_id\n" + "F\n" * 5000)
-    from pyspark.sql import functions as F
-
-    lines = landing._lines(spark, str(tmp_path), F.col("_metadata.file_size") > 1000)
-    assert lines.select("value").count() == 5001
-    plan = lines._jdf.queryExecution().executedPlan().toString()
-    assert "file_size" in plan.split("DataFilters:")[1].split("]")[0]
-    spark.conf.set("spark.sql.files.openCostInBytes", str(128 * 1024 * 1024))
-    try:
-        assert lines.rdd.getNumPartitions() == 1
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardflow.operators import facts, upsert
+from wardflow.plans import jobs
 from wardflow.schemas import TABLES
 from wardflow.sources import tables
 
@@ -51,12 +52,16 @@ def test_untouched_partitions_are_not_rewritten(spark, tmp_path, staffing_frame)
     assert list((tmp_path / "silver/staffing_standardized/work_date=2026-01-01").glob("*.parquet")) == kept
 
 
-def test_wide_batches_find_their_partitions_by_join(spark, staffing_frame, monkeypatch):
-    rows = facts.silver_staffing(staffing_frame(*[staff(f"2026-01-{d:02d}", d) for d in range(1, 10)], staff("junk", 0)))
-    batch = rows.filter("work_date <= '2026-01-05' or work_date is null")
-    named = upsert.touched_slice(rows, batch, "work_date").count()
-    monkeypatch.setattr(upsert, "MAX_NAMED_PARTITIONS", 2)
-    assert upsert.touched_slice(rows, batch, "work_date").count() == named == 6
+@pytest.mark.parametrize("days", [3, 5000])
+def test_touched_partitions_are_pruned_at_any_width(spark, tmp_path, days):
+    rows = spark.range(days + 2).select(F.date_add(F.lit("2001-01-01"), F.col("id").cast("int")).alias("work_date"), "id")
+    rows.filter("id < 20").union(spark.sql("select cast(null as date), 99L")).write.partitionBy("work_date").parquet(str(tmp_path / "t"))
+    stored = spark.read.schema("id BIGINT, work_date DATE").parquet(str(tmp_path / "t"))
+    batch = rows.filter(F.col("id") > 1).union(spark.sql("select cast(null as date), 1L"))
+    hit = upsert.touched_slice(stored, batch, "work_date")
+    assert sorted(r.id for r in hit.collect()) == [*range(2, min(days + 2, 20)), 99]
+    plan = hit._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "Join" not in plan
 
 
 def test_duplicate_batch_keys_are_refused(spark, tmp_path, staffing_frame):
@@ -99,16 +104,25 @@ def test_staged_folder_goes_with_its_block(spark):
     assert not tables.path_exists(spark, folder)
 
 
-def test_old_files_are_left_unopened(spark, tmp_path, staffing_frame):
-    import os
+def test_cleared_keys_leave_and_an_emptied_day_goes(spark, tmp_path, staffing_frame):
+    root, table = str(tmp_path), TABLES["fact_overtime"]
 
+    def shift(day, overtime, kind="DAY", at="2026-01-01"):
+        return staffing_frame(("F", day, "RN", "5", "10", "40", overtime, kind), ingested=at)
+
+    first = shift("2026-01-01", "4").union(shift("2026-01-01", "5", "NIGHT")).union(shift("2026-01-02", "6"))
+    jobs.upsert_overtime(spark, root, facts.silver_shifts(first))
+    fixes = shift("2026-01-01", "0", at="2026-02-01").union(shift("2026-01-02", "0", at="2026-02-01")).union(shift("2026-01-05", "0"))
+    for _ in range(2):
+        jobs.upsert_overtime(spark, root, facts.silver_shifts(fixes))
+        left = tables.read_table(spark, table, root).collect()
+        assert [(r.work_date, r.shift_type) for r in left] == [(date(2026, 1, 1), "NIGHT")]
+
+
+def test_older_rows_do_not_replace_newer_ones(spark, tmp_path, staffing_frame):
     root = str(tmp_path)
-    upsert.upsert_table(spark, SILVER, root, facts.silver_staffing(
-        staffing_frame(staff("2026-01-01", 1), staff("2026-01-02", 2))))
-    for file in (tmp_path / "silver/staffing_standardized/work_date=2026-01-01").glob("*.parquet"):
-        os.utime(file, (1_600_000_000, 1_600_000_000))
-    rows = tables.read_table(spark, SILVER, root, written_since="2021-01-01 00:00:00")
-    assert [r.staff_count for r in rows.collect()] == [2]
-    scan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "file_modification_time" in scan.split("PartitionFilters")[0].split("DataFilters:")[1]
-    assert tables.read_table(spark, SILVER, root, written_since="1970-01-01 00:00:00").count() == 2
+    newer = facts.silver_staffing(staffing_frame(staff("2026-01-01", 2), ingested="2026-02-01"))
+    older = facts.silver_staffing(staffing_frame(staff("2026-01-01", 1), staff("2026-01-02", 3), ingested="2026-01-01"))
+    for batch in (newer, older):
+        upsert.upsert_table(spark, SILVER, root, batch, newest_by=facts.NEWEST_FIRST)
+    assert stored(spark, root) == {("F", date(2026, 1, 1)): 2, ("F", date(2026, 1, 2)): 3}

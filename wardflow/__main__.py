@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,9 +63,19 @@ def main() -> None:
     parser.add_argument("--query", required=True, choices=NAMES)
     for option in ("as-of", "days", "dataset", "file", "checksum", "facility"):
         parser.add_argument(f"--{option}")
+    parser.add_argument("--limit", type=int, help="print only so many rows; by default all are printed")
+    parser.add_argument("--out", help="write the answer to this folder as JSON lines instead of printing it")
     given = vars(parser.parse_args())
+    limit, out = given.pop("limit"), given.pop("out")
     spark = build_session("wardflow-ask")
-    ask(spark, given.pop("root"), given.pop("query"), **given).show(100, truncate=False)
+    answer = ask(spark, given.pop("root"), given.pop("query"), **given)
+    if limit is not None:
+        answer = answer.limit(limit)
+    if out:
+        answer.write.json(out)
+        return
+    for row in answer.toLocalIterator():
+        print(json.dumps(row.asDict(recursive=True), default=str))
 
 
 if __name__ == "__main__":

@@ -50,6 +50,9 @@ VALIDATION_RULES = [
     "STAFF_COUNT_NOT_NUMERIC",
 ]
 
+# --- Rules that concern the layout of a file, not a record ---------------------
+LAYOUT_RULES = ["SURPLUS_CELLS", "HEADER_NOT_READABLE"]
+
 # --- Fixed values: facility attributes whose changes open a new version ------
 TRACKED_ATTRIBUTES = ["bed_capacity", "staffing_benchmark"]
 

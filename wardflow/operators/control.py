@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from wardflow.operators.dedup import latest_per_key
 from wardflow.operators.quality import new_schema_versions, pass_rate, quality_status
 from wardflow.schemas import TABLES
-from wardflow.sources.tables import append_batch, read_table
+from wardflow.sources.tables import append_batch, path_exists, read_table
 
 log = logging.getLogger(__name__)
 
@@ -60,9 +60,15 @@ def complete_pipeline_run(
     watermark_to: datetime | None = None,
     error_message: str | None = None,
     root: str = ".",
+    layer: str | None = None,
 ) -> None:
-    """Record the end of a run: FAILED with an error message, else SUCCESS."""
+    """Record the end of a run: FAILED with an error message, else SUCCESS.
+
+    A given ``layer`` names the one partition the start row is looked up in.
+    """
     runs = read_table(spark, TABLES["pipeline_runs"], root)
+    if layer is not None:
+        runs = runs.filter(F.col("layer") == layer)
     start = runs.filter((F.col("run_id") == run_id) & (F.col("status") == "RUNNING")).first()
     now = _now()
     began = start.started_at.astimezone(timezone.utc) if start else now
@@ -75,7 +81,7 @@ def complete_pipeline_run(
         started_at=began, recorded_at=now,
         duration_seconds=max((now - began).total_seconds(), 0.0),
         records_read=records_read, records_written=records_written, records_failed=records_failed,
-        watermark_to=watermark_to, error_message=error_message[:500] if error_message else None,
+        watermark_to=watermark_to, error_message=error_message or None,
     )
 
 
@@ -185,6 +191,27 @@ def append_registry(rows: DataFrame, root: str, batch: str) -> None:
     append_batch(rows, TABLES["file_registry"].path(root), batch, ("file_date",))
 
 
+def batches_reached(spark: SparkSession, root: str, layer: str) -> DataFrame:
+    """Ingestion batches that a layer has taken in completely."""
+    rows = read_table(spark, TABLES["processed_batches"], root)
+    return rows.filter(F.col("layer") == layer).select("ingest_batch").distinct()
+
+
+def ingested_batches(spark: SparkSession, root: str) -> DataFrame:
+    """Batches whose ledger rows, written last of all, are there."""
+    table = TABLES["ingestion_ledger"]
+    if not path_exists(spark, table.path(root)):
+        return spark.createDataFrame([], "ingest_batch STRING")
+    ledger = spark.read.schema("file_checksum STRING, _batch STRING").parquet(table.path(root))
+    return ledger.select(F.col("_batch").alias("ingest_batch")).distinct()
+
+
+def mark_batches(spark: SparkSession, root: str, layer: str, batches: list[str], run_id: str) -> None:
+    """Record that a layer holds all rows of ``batches``; the last step of a run."""
+    rows = spark.createDataFrame([(layer, b, run_id, _now()) for b in batches], TABLES["processed_batches"].struct)
+    append_batch(rows, TABLES["processed_batches"].path(root), f"{run_id}-{layer}")
+
+
 def register_file(
     spark: SparkSession, file_checksum: str, source_path: str, bronze_path: str, hospital_id: str,
     file_date, record_count: int, quarantine_count: int, bronze_run_id: str, root: str = ".",
@@ -298,7 +325,7 @@ def missed_files(schedule: DataFrame, arrivals: DataFrame, as_of: str, since: st
 
 def seed_schedule(facilities: DataFrame) -> DataFrame:
     """One schedule row per facility and file type."""
-    # Cron, grace minutes and severity per file type.
+    # Our choice: cron, grace minutes and severity per file type.
     kinds = F.array(
         *[
             F.struct(

@@ -28,14 +28,17 @@ def silver_staffing(bronze: DataFrame) -> DataFrame:
     return latest_per_key(typed_staffing(bronze), ["staffing_id"], NEWEST_FIRST)
 
 
+def shift_id() -> Column:
+    """Key of a shift: facility, date, role and shift type."""
+    return hash_key("facility_id", "work_date", "role_code", "shift_type")
+
+
 def silver_shifts(bronze: DataFrame) -> DataFrame:
     """Latest row per shift_id (facility, date, role, shift).
 
     The staffing_id grain holds one shift a day; overtime needs each of them.
     """
-    keyed = typed_staffing(bronze).withColumn(
-        "shift_id", hash_key("facility_id", "work_date", "role_code", "shift_type")
-    )
+    keyed = typed_staffing(bronze).withColumn("shift_id", shift_id())
     return latest_per_key(keyed, ["shift_id"], NEWEST_FIRST)
 
 

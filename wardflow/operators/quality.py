@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.config import LINEAGE_COLUMNS, PASS_RATE_WARN, VALIDATION_RULES
+from wardflow.config import LINEAGE_COLUMNS, LAYOUT_RULES, PASS_RATE_WARN, VALIDATION_RULES
 from wardflow.functions.staffing import breaks_a_rule, validation_reasons
 from wardflow.operators.dedup import latest_per_key
 
 
 def with_reasons(records: DataFrame) -> DataFrame:
-    """Records with the array of validator rules they break."""
-    return records.withColumn("reasons", validation_reasons(records.columns))
+    """Records with the array of validator rules they break; a record with more
+    cells than its header breaks a rule of its own."""
+    reasons = validation_reasons(records.columns)
+    if "_surplus" in records.columns:
+        layout = F.when(F.col("_surplus").isNotNull(), F.array(F.lit("SURPLUS_CELLS"))).otherwise(F.expr("cast(array() as array<string>)"))
+        reasons = F.concat(layout, reasons)
+    return records.withColumn("reasons", reasons)
 
 
 def split_valid(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -70,9 +75,8 @@ def dq_summary(judged: DataFrame, by: list[str]) -> DataFrame:
     aggregate: one shuffle of at most one row per task and group, with no
     explode. ``error_summary`` keeps only rules that fired.
     """
-    rule_counts = [
-        F.count_if(F.array_contains("reasons", rule)).alias(f"_n_{rule}") for rule in VALIDATION_RULES
-    ]
+    rules = [*VALIDATION_RULES, *LAYOUT_RULES]
+    rule_counts = [F.count_if(F.array_contains("reasons", rule)).alias(f"_n_{rule}") for rule in rules]
     counted = judged.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(F.size("reasons") == 0).alias("valid_records"),
@@ -80,8 +84,8 @@ def dq_summary(judged: DataFrame, by: list[str]) -> DataFrame:
         *rule_counts,
     )
     summary = F.map_from_arrays(
-        F.array(*[F.lit(r) for r in VALIDATION_RULES]),
-        F.array(*[F.col(f"_n_{r}") for r in VALIDATION_RULES]),
+        F.array(*[F.lit(r) for r in rules]),
+        F.array(*[F.col(f"_n_{r}") for r in rules]),
     )
     return counted.select(
         *by,

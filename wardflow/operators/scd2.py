@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.config import TRACKED_ATTRIBUTES
+from wardflow.operators.dedup import require_unique
 
 DIM_COLUMNS = ["facility_key", "facility_id", *TRACKED_ATTRIBUTES, "is_current", "effective_from", "effective_to"]
 
@@ -23,8 +24,14 @@ def known_facilities(*frames: DataFrame) -> DataFrame:
 
 
 def facility_source(ids: DataFrame, attributes: DataFrame) -> DataFrame:
-    """Every known facility, with attributes where an attribute row exists."""
-    return ids.join(attributes.select("facility_id", *TRACKED_ATTRIBUTES), "facility_id", "full_outer")
+    """Every known facility, with attributes where an attribute row exists.
+
+    Rows without an id name no facility and are left out; equal rows count
+    once, and two that contradict each other are refused.
+    """
+    attributes = attributes.select("facility_id", *TRACKED_ATTRIBUTES).filter("facility_id is not null").distinct()
+    require_unique(attributes, ["facility_id"])
+    return ids.filter("facility_id is not null").join(attributes.select("facility_id", *TRACKED_ATTRIBUTES), "facility_id", "full_outer")
 
 
 def facility_key(facility_id: str | Column = "facility_id", effective_from: str | Column = "effective_from") -> Column:
@@ -85,7 +92,9 @@ def apply_changes(dim: DataFrame, source: DataFrame, run_date: str) -> DataFrame
 
     One outer join of current rows to the source settles all cases; each match
     expands to the one or two versions it yields. A second run on the same
-    source finds no difference and changes nothing.
+    source finds no difference and changes nothing. A version opened on the
+    run date itself is replaced, since it was current for no whole day: every
+    facility has one version a day, and its key is unique.
     """
     today = F.lit(run_date).cast("date")
     none = F.lit(None).cast("date")
@@ -96,8 +105,12 @@ def apply_changes(dim: DataFrame, source: DataFrame, run_date: str) -> DataFrame
         .join(source.alias("s"), F.col("d.facility_id") == F.col("s.facility_id"), "full_outer")
     )
     seen = F.col("d.facility_id").isNotNull()
-    changed = seen & F.coalesce(_changed("d", "s"), F.lit(False))
-    tracked = [F.col(f"d.{a}").alias(a) for a in TRACKED_ATTRIBUTES]
+    differs = seen & F.coalesce(_changed("d", "s"), F.lit(False))
+    replaced = differs & (F.col("d.effective_from") == today)
+    changed = differs & ~replaced
+    tracked = [
+        F.when(replaced, F.coalesce(f"s.{a}", f"d.{a}")).otherwise(F.col(f"d.{a}")).alias(a) for a in TRACKED_ATTRIBUTES
+    ]
     renewed = [F.coalesce(f"s.{a}", f"d.{a}").alias(a) for a in TRACKED_ATTRIBUTES]
     old_version = F.when(
         seen,

@@ -14,6 +14,7 @@ from wardflow.functions.staffing import all_of
 from wardflow.operators.dedup import require_unique
 from wardflow.schemas import Table
 from wardflow.sources.tables import (
+    drop_folder,
     path_exists,
     read_snapshot,
     read_table,
@@ -22,54 +23,79 @@ from wardflow.sources.tables import (
     write_snapshot,
 )
 
-# Up to this many touched partitions are named in the scan filter; a wider
-# batch finds its partitions by a join instead.
-MAX_NAMED_PARTITIONS = 4096
 
-
-def merge_rows(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """``target`` with the rows of ``batch`` replacing or joining its own.
+def merge_rows(target: DataFrame, batch: DataFrame, keys: list[str], cleared: DataFrame | None = None) -> DataFrame:
+    """``target`` with the rows of ``batch`` replacing or joining its own, and
+    without the rows whose keys are in ``cleared``.
 
     Only batch keys meet the target (NULL keys match), so target rows are not
     shuffled when the batch keys are small enough for Spark to broadcast.
     """
-    renamed = batch.select(*[F.col(k).alias(f"_batch_{k}") for k in keys])
+    leaving = batch.select(*keys) if cleared is None else batch.select(*keys).union(cleared.select(*keys))
+    renamed = leaving.select(*[F.col(k).alias(f"_batch_{k}") for k in keys])
     same = all_of([F.col(k).eqNullSafe(F.col(f"_batch_{k}")) for k in keys])
     return target.join(renamed, same, "left_anti").unionByName(batch, allowMissingColumns=True)
 
 
 def touched_slice(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """Rows of ``target`` in partitions the batch touches."""
-    parts = batch.select(column).distinct()
-    named = [r[0] for r in parts.limit(MAX_NAMED_PARTITIONS + 1).collect()]
-    if len(named) <= MAX_NAMED_PARTITIONS:
-        values = [v for v in named if v is not None]
-        hit = F.col(column).isin(values) if values else F.lit(False)
-        return target.filter(hit | F.col(column).isNull()) if None in named else target.filter(hit)
-    wanted = parts.withColumnRenamed(column, "_touched")
-    return target.join(wanted, F.col(column).eqNullSafe(F.col("_touched")), "left_semi")
-
-
-def upsert_table(spark: SparkSession, table: Table, root: str, batch: DataFrame) -> None:
+    """Rows of ``target`` in partitions the batch touches.
+
+    The partitions are named in the scan filter, whatever their number: they
+    are days, so the calendar bounds them, and the scan opens no other folder.
+    """
+    named = [r[0] for r in batch.select(column).distinct().collect()]
+    values = [v for v in named if v is not None]
+    hit = F.col(column).isin(values) if values else F.lit(False)
+    return target.filter(hit | F.col(column).isNull()) if None in named else target.filter(hit)
+
+
+def newer_than_stored(batch: DataFrame, target: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows of ``batch`` that no stored row of their key comes after.
+
+    A batch that arrives out of order must not put older rows in place of newer.
+    """
+    held = target.select(*[F.col(k).alias(f"_held_{k}") for k in keys], F.struct(*order).alias("_held_order"))
+    same = all_of([F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
+    return batch.join(held, same & (F.col("_held_order") > F.struct(*order)), "left_anti")
+
+
+def upsert_table(
+    spark: SparkSession,
+    table: Table,
+    root: str,
+    batch: DataFrame,
+    cleared: DataFrame | None = None,
+    newest_by: list[str] | None = None,
+) -> None:
     """Merge ``batch`` (unique on the table's key) into a stored table.
 
     The batch is staged as a written table first: it is used several times,
     and a lost executor must not make the uses differ. Running the same batch
     again leaves the same table, which is also the way to finish an upsert
-    that failed between partition commits.
+    that failed between partition commits. ``cleared`` holds keys whose rows
+    leave the table. With ``newest_by`` a batch row gives way to a stored row
+    of its key that is newer by these columns.
     """
     path = table.path(root)
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in table.struct]
     with staged(spark, batch) as rows:
         require_unique(rows, table.keys)
         if not table.partition_by:
-            merged = merge_rows(read_snapshot(spark, table, root), rows, table.keys)
-        elif path_exists(spark, path):
-            target = touched_slice(read_table(spark, table, root), rows, table.partition_by[0])
-            merged = merge_rows(target, rows, table.keys)
-        else:
-            merged = rows
-        merged = merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.struct])
-        if table.partition_by:
+            target = read_snapshot(spark, table, root)
+            kept = rows if newest_by is None else newer_than_stored(rows, target, table.keys, newest_by)
+            write_snapshot(spark, merge_rows(target, kept, table.keys, cleared).select(*columns), path)
+            return
+        day = table.partition_by[0]
+        if not path_exists(spark, path):
+            write_partitions(rows.select(*columns), path, table.partition_by)
+            return
+        touched = rows.select(day) if cleared is None else rows.select(day).union(cleared.select(day))
+        target = touched_slice(read_table(spark, table, root), touched, day)
+        kept = rows if newest_by is None else newer_than_stored(rows, target, table.keys, newest_by)
+        with staged(spark, merge_rows(target, kept, table.keys, cleared).select(*columns), "merged") as merged:
             write_partitions(merged, path, table.partition_by)
-        else:
-            write_snapshot(spark, merged, path)
+            if cleared is not None:
+                # A day that lost its last row has nothing to overwrite it with.
+                left = {r[0] for r in merged.select(day).distinct().collect()}
+                for value in {r[0] for r in cleared.select(day).distinct().collect()} - left:
+                    drop_folder(spark, f"{path}/{day}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")

@@ -8,23 +8,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.config import EPOCH
 from wardflow.functions.staffing import all_of
 from wardflow.operators import scd2
 from wardflow.operators.control import (
     append_registry,
+    batches_reached,
     complete_pipeline_run,
     files_reaching_layer,
-    last_offset,
+    ingested_batches,
     layer_status_rows,
+    mark_batches,
     migrate_file_schedule,
     seed_schedule,
     start_pipeline_run,
     write_job_bookmark,
     write_pipeline_log,
 )
-from wardflow.operators.dedup import newer_than, watermark
-from wardflow.operators.facts import fact_overtime, fact_staffing, silver_shifts, silver_staffing
+from wardflow.operators.facts import (
+    NEWEST_FIRST,
+    fact_overtime,
+    fact_staffing,
+    shift_id,
+    silver_shifts,
+    silver_staffing,
+    typed_staffing,
+)
 from wardflow.operators.features import overtime_features
 from wardflow.operators.quality import resolve_remediated
 from wardflow.operators.upsert import touched_slice, upsert_table
@@ -40,7 +48,7 @@ from wardflow.sources.tables import (
     staged,
     write_snapshot,
 )
-from wardflow.streaming.adt import run_bronze_events, run_census_stream, run_silver_events, update_census
+from wardflow.streaming.adt import run_bronze_events, run_census_stream, run_silver_events
 from wardflow.streaming.ingest import ingest_bronze, read_bronze
 
 
@@ -64,22 +72,18 @@ def tracked(
     except NothingToDo as nothing:
         records, mark, outcome = 0, None, nothing.code
     except Exception as error:
-        complete_pipeline_run(spark, run_id, 0, 0, 0, error_message=str(error) or repr(error), root=root)
+        complete_pipeline_run(spark, run_id, 0, 0, 0, error_message=str(error) or repr(error), root=root, layer=layer)
         write_pipeline_log(spark, name, 0, 0, time.monotonic() - began, "FAILED", str(error), root=root)
         raise
     reached = None
     if mark:
         reached = spark.range(1).select(F.lit(mark).cast("timestamp")).first()[0]
-    complete_pipeline_run(spark, run_id, records, records, 0, reached, root=root)
+    complete_pipeline_run(spark, run_id, records, records, 0, reached, root=root, layer=layer)
     write_job_bookmark(spark, name, source, records, run_id, root=root)
     write_pipeline_log(spark, name, records, 0, time.monotonic() - began, root=root)
     return outcome
 
 
-def _mark(df: DataFrame, column: str = "_ingested_at") -> str:
-    return watermark(df, column).select(F.col("watermark").cast("string")).first()[0]
-
-
 def _move_files(spark: SparkSession, root: str, rows: DataFrame, layer: str, status: str, run_id: str) -> None:
     """Record that the files behind ``rows`` reached a layer."""
     files = files_reaching_layer(read_table(spark, TABLES["file_registry"], root), rows)
@@ -89,102 +93,107 @@ def _move_files(spark: SparkSession, root: str, rows: DataFrame, layer: str, sta
 SILVER_JOB = "Silver_Transformation"
 
 
-def silver_watermark(spark: SparkSession, root: str) -> str:
-    """Newest ``_ingested_at`` in Silver.
+def pending_batches(spark: SparkSession, root: str, taken: DataFrame, layer: str) -> list[str]:
+    """Batches of ``taken(ingest_batch)`` that ``layer`` has not finished.
 
-    The newest rows lie in files written since the last run that wrote any,
-    so those files are asked first and the whole table only without them.
+    The position is the set of finished batches, written as a run's last step.
+    A batch that arrives late or with an earlier time stamp is pending like any
+    other, and one whose run broke off between two tables is pending again.
     """
-    silver = TABLES["staffing_standardized"]
-    runs = read_table(spark, TABLES["pipeline_runs"], root).filter(
-        (F.col("layer") == "SILVER") & (F.col("pipeline_name") == SILVER_JOB)
-    )
-    wrote = runs.filter((F.col("status") == "SUCCESS") & (F.col("records_written") > 0))
-    began = wrote.agg(F.max("started_at").cast("string").alias("t")).first().t
-    if began is not None:
-        mark = _mark(read_table(spark, silver, root, written_since=began))
-        if mark != EPOCH:
-            return mark
-    return _mark(read_table(spark, silver, root))
+    fresh = taken.join(batches_reached(spark, root, layer), "ingest_batch", "left_anti")
+    return sorted(r.ingest_batch for r in fresh.collect())
+
+
+def bronze_of(spark: SparkSession, root: str, batches: list[str]) -> DataFrame:
+    """Bronze rows of the given batches; only their folders are read."""
+    return read_bronze(spark, root).filter(F.col("_ingest_batch").isin(batches) if batches else F.lit(False))
 
 
 def run_silver(spark: SparkSession, root: str) -> str:
-    """Bronze rows after the Silver watermark into both Silver grains."""
+    """Bronze rows of the batches Silver has not taken in, into both its grains."""
 
     def work(run_id: str) -> tuple[int, str]:
-        silver = TABLES["staffing_standardized"]
-        mark = silver_watermark(spark, root)
-        bronze = newer_than(read_bronze(spark, root), mark).filter(
-            F.col("_ingest_date") >= F.to_date(F.lit(mark).cast("timestamp"))
-        )
-        fresh = require_rows(bronze, "NO_NEW_RECORDS")
-        upsert_table(spark, TABLES["staffing_shifts"], root, silver_shifts(fresh))
-        # The watermark is read from this table, so it is written last.
-        upsert_table(spark, silver, root, silver_staffing(fresh))
-        _move_files(spark, root, fresh, "silver", "TRANSFORMED", run_id)
-        return fresh.count(), _mark(fresh)
+        pending = pending_batches(spark, root, ingested_batches(spark, root), "silver")
+        with staged(spark, bronze_of(spark, root, pending), "bronze") as fresh:
+            records, mark = fresh.agg(F.count(F.lit(1)), F.max("_ingested_at").cast("string")).first()
+            if records:
+                for name, rows in (("staffing_shifts", silver_shifts(fresh)), ("staffing_standardized", silver_staffing(fresh))):
+                    upsert_table(spark, TABLES[name], root, rows, newest_by=NEWEST_FIRST)
+                _move_files(spark, root, fresh, "silver", "TRANSFORMED", run_id)
+        if pending:
+            mark_batches(spark, root, "silver", pending, run_id)
+        if not records:
+            raise NothingToDo("NO_NEW_RECORDS")
+        return records, mark
 
     return tracked(spark, root, SILVER_JOB, "SILVER", TABLES["stg_staffing"].full_name, work)
 
 
-def _since(spark: SparkSession, root: str, job: str, source: str) -> str:
-    return last_offset(spark, job, source, root) or EPOCH
+def touched_silver(spark: SparkSession, root: str, name: str, keys: DataFrame) -> DataFrame:
+    """Rows of a Silver table under the keys that a batch brought."""
+    table = TABLES[name]
+    rows = touched_slice(read_table(spark, table, root), keys, table.partition_by[0])
+    return rows.join(keys.select(*table.keys).distinct(), table.keys, "left_semi")
 
 
-def overtime_batch(changed: DataFrame, target: DataFrame) -> DataFrame:
-    """Overtime rows of changed shifts, plus a zero row for each shift that
-    was corrected down to no overtime after it had reached the fact. Only the
-    days of such shifts are looked up in ``target``."""
+def overtime_batch(changed: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Overtime rows of changed shifts, and the keys of the stored rows whose
+    shift was corrected to no overtime. Only the days of such shifts are looked
+    up in ``target``."""
     keys = TABLES["fact_overtime"].keys
     without = changed.filter("not coalesce(hours_overtime > 0, false)").withColumn("hours_overtime", F.lit(1.0))
-    candidates = fact_overtime(without)
+    candidates = fact_overtime(without).select(*keys)
     held = touched_slice(target, candidates, "date_key").select(*[F.col(k).alias(f"_held_{k}") for k in keys])
     same = all_of([F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
-    cleared = candidates.join(held, same, "left_semi").withColumns(
-        {"hours_overtime": F.lit(0.0), "overtime_pct": F.lit(0.0), "overtime_cost_est": F.lit(0.0)}
-    )
-    return fact_overtime(changed).unionByName(cleared)
+    return fact_overtime(changed), candidates.join(held, same, "left_semi")
+
+
+def upsert_overtime(spark: SparkSession, root: str, changed: DataFrame) -> None:
+    """Bring the overtime fact up to date with changed shifts, so that it equals
+    one built from all shifts."""
+    table = TABLES["fact_overtime"]
+    rows, cleared = overtime_batch(changed, read_table(spark, table, root))
+    with staged(spark, cleared, "cleared") as gone:
+        upsert_table(spark, table, root, rows, cleared=gone)
 
 
 def run_gold(spark: SparkSession, root: str, run_date: str, attributes: DataFrame | None = None) -> str:
-    """Facts, census and facility dimension from what changed in Silver.
+    """Facts and facility dimension from the batches that Silver has finished.
 
-    A Silver row is one fact row, so rows after the last run's watermark are
-    exactly the fact rows to merge.
+    A Silver row is one fact row, so the Silver rows under a batch's keys are
+    exactly the fact rows to merge. The census has one writer, the event stream;
+    here its facilities only join the dimension.
     """
     name = "Gold_Unified_Analytics"
-    staffing, adt = TABLES["staffing_standardized"], TABLES["adt_events_standardized"]
+    staffing = TABLES["staffing_standardized"]
 
     def work(run_id: str) -> tuple[int, str]:
-        batch_source, event_source = f"{staffing.full_name}@gold", f"{adt.full_name}@gold"
-        since = _since(spark, root, name, batch_source)
-        silver = newer_than(read_table(spark, staffing, root, written_since=since), since)
-        shifts = newer_than(read_table(spark, TABLES["staffing_shifts"], root, written_since=since), since)
-        since = _since(spark, root, name, event_source)
-        events = newer_than(read_table(spark, adt, root, written_since=since), since, "_processed_at")
-        batch_mark, event_mark = _mark(silver), _mark(events, "_processed_at")
-        if batch_mark == EPOCH and event_mark == EPOCH:
-            raise NothingToDo("NO_NEW_RECORDS")
-        upsert_table(spark, TABLES["fact_staffing"], root, fact_staffing(silver))
-        target = read_table(spark, TABLES["fact_overtime"], root)
-        upsert_table(spark, TABLES["fact_overtime"], root, overtime_batch(shifts, target))
-        update_census(spark, events, root)
-
-        ids = scd2.known_facilities(silver, events)
-        if attributes is None:
-            source = ids.withColumns({"bed_capacity": F.lit(None).cast("int"), "staffing_benchmark": F.lit(None).cast("double")})
-        else:
-            source = scd2.facility_source(ids, attributes)
-        run_dimension(spark, root, source, run_date)
-        _move_files(spark, root, silver, "gold", "AGGREGATED", run_id)
-        records = silver.count()
-        # Positions are kept per source: the two clocks do not compare.
-        for source_name, mark in ((batch_source, batch_mark), (event_source, event_mark)):
-            if mark != EPOCH:
-                write_job_bookmark(spark, name, source_name, records, mark, root=root)
-        return records, batch_mark if batch_mark != EPOCH else None
-
-    return tracked(spark, root, name, "GOLD", TABLES["staffing_standardized"].full_name, work)
+        pending = pending_batches(spark, root, batches_reached(spark, root, "silver"), "gold")
+        events = read_table(spark, TABLES["fact_census_realtime"], root)
+        with staged(spark, typed_staffing(bronze_of(spark, root, pending)), "bronze") as fresh:
+            ids = scd2.known_facilities(fresh, events)
+            held = read_snapshot(spark, TABLES["dim_facility"], root)
+            if not pending and scd2.unseen_facilities(ids, held).isEmpty():
+                raise NothingToDo("NO_NEW_RECORDS")
+            keyed = fresh.withColumn("shift_id", shift_id())
+            silver = touched_silver(spark, root, "staffing_standardized", keyed)
+            shifts = touched_silver(spark, root, "staffing_shifts", keyed)
+            with staged(spark, silver, "silver") as rows, staged(spark, shifts, "shifts") as worked:
+                records, mark = rows.agg(F.count(F.lit(1)), F.max("_ingested_at").cast("string")).first()
+                if records:
+                    upsert_table(spark, TABLES["fact_staffing"], root, fact_staffing(rows))
+                    upsert_overtime(spark, root, worked)
+                    _move_files(spark, root, rows, "gold", "AGGREGATED", run_id)
+            if attributes is None:
+                source = ids.withColumns({"bed_capacity": F.lit(None).cast("int"), "staffing_benchmark": F.lit(None).cast("double")})
+            else:
+                source = scd2.facility_source(ids, attributes)
+            run_dimension(spark, root, source, run_date)
+        if pending:
+            mark_batches(spark, root, "gold", pending, run_id)
+        return records, mark
+
+    return tracked(spark, root, name, "GOLD", staffing.full_name, work)
 
 
 def run_dimension(spark: SparkSession, root: str, source: DataFrame, run_date: str) -> None:
@@ -230,10 +239,11 @@ def run_schedule_migration(spark: SparkSession, path: str, backup_path: str, roo
         return "ALREADY_MIGRATED"
     old.write.mode("overwrite").parquet(backup_path)
     table = TABLES["file_schedule"]
-    write_snapshot(spark, new.select(*table.struct.names), table.path(root))
-    before, after = old.count(), read_snapshot(spark, table, root).count()
-    if before != after:
-        raise ValueError(f"migration wrote {after} of {before} schedule rows")
+    # Rows already there, such as seeds of other file types, stay.
+    upsert_table(spark, table, root, new.select(*table.struct.names))
+    missing = new.select(*table.keys).join(read_snapshot(spark, table, root), table.keys, "left_anti")
+    if not missing.isEmpty():
+        raise ValueError(f"migration left out {missing.count()} schedule rows")
     return "MIGRATED"
 
 
@@ -262,10 +272,7 @@ def run_etl(
     """The batch path in order: ingestion, Silver, Gold, features."""
 
     def ingest(run_id: str) -> tuple[int, None]:
-        ledger = TABLES["ingestion_ledger"]
-        before = read_table(spark, ledger, root).count()
-        ingest_bronze(spark, landing, root, f"{root}/checkpoints/bronze")
-        return read_table(spark, ledger, root).count() - before, None
+        return ingest_bronze(spark, landing, root, f"{root}/checkpoints/bronze"), None
 
     return {
         "bronze": tracked(spark, root, "Bronze_Ingestion", "BRONZE", landing, ingest),

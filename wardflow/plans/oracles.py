@@ -9,7 +9,8 @@ from __future__ import annotations
 import re
 
 from wardflow.plans import fixtures
-from wardflow.plans.queries import AS_OF, DATASET, HALF_WAY, MOVED_AT, SINCE
+from wardflow.schemas import SCHEMA_NAMES, TABLES
+from wardflow.plans.queries import AS_OF, BEGUN, DATASET, HALF_WAY, MOVED_AT, SINCE
 
 DAY = AS_OF[:10]
 RAW_JSON = "concat('{', concat_ws(',', " + ", ".join(
@@ -189,14 +190,15 @@ DIM_COLUMNS = f"""facility_id, bed_capacity, staffing_benchmark, {txt('is_curren
  {txt('effective_from')} effective_from, {txt('effective_to')} effective_to"""
 SENT_ROW = """_record_index sent_id, facility_id, work_date, role_code, staff_count, patient_census, hours_worked,
  hours_worked_overtime, shift_type"""
-UPSERT_OT = f"""select {OT_COLUMNS} from (
- select * from (
- select cast(strftime(work_date,'%Y%m%d') as int) date_key, facility_id, role_code, shift_type, work_date, hours_worked, hours_overtime,
-  overtime_pct, hours_overtime*65.0 overtime_cost_est, late,
-  row_number() over (partition by shift_id order by late desc) rn from (
-   select *, _ingested_at>timestamp '{HALF_WAY}' late from typed
-   qualify row_number() over (partition by shift_id, _ingested_at>timestamp '{HALF_WAY}' order by _ingested_at desc, _record_index desc)=1)
-  where work_date is not null and hours_overtime>0) where rn=1)"""
+SENDER = "case when cast(right(_record_index,1) as int)%2=0 then 'FAC_A' else 'FAC_B' end"
+PART = "(length(_record_index)+cast(right(_record_index,1) as int))%4"
+JUNE = """select * replace (date_trunc('month',_ingested_at)+to_days(cast(day(_ingested_at)%3 as int)) as _ingested_at) from typed
+ where _ingested_at>=timestamp '1997-06-01' and _ingested_at<timestamp '1997-07-01'"""
+FEATURE_COLUMNS = f"""date_key, facility_id, role_code, staff_count, patient_census, hours_overtime, nurse_patient_ratio,
+ overtime_pct, understaffed_flag is_understaffed, avg_census_7d, avg_staff_7d, avg_ot_pct_7d, total_ot_hours_7d,
+ patient_census-avg_census_7d census_vs_avg, {txt('dayofweek(work_date) in (0,6)')} is_weekend, overtime_pct_lag1,
+ {txt('next_pct>0')} will_overtime_next_day,
+ {txt("case when next_date=work_date+interval 1 day then next_pct>0 end")} will_overtime_next_calendar_day"""
 STANDARD = f"""event_id, {ts('event_ts')} event_ts, {txt('event_date')} event_date, event_hour, event_type_std, census_delta"""
 SUMMARY = f"""total_records, valid_records, quarantined, pass_rate, quality_status, error_summary"""
 
@@ -205,16 +207,31 @@ STATEMENTS: dict[str, str] = {
     "header_evolution": """select role_code, count(*) records, count(facility_id) with_facility,
  cast(sum(length(shift_type)) as bigint) shift_chars, 'true' any_agency_hours, 'false' all_agency_hours from staffing_raw group by 1""",
     "ingest_bronze": f"select {SENT_ROW} from judged where reasons=''",
-    "ingest_control_rows": f"select {TOTALS} from judged",
-    "audit_records": "select count(*) records, count(*) filter (reasons<>'') quarantined from judged",
+    "ingest_control_rows": f"""select {SENDER} sender, {TOTALS}, """ + ", ".join(
+        f"count(*) filter (contains(reasons,'{r}')) {r.lower()}" for r in RULE_NAMES) + " from judged group by 1",
+    "audit_records": f"""select {SENDER} sender, count(*) records, count(*) filter (reasons<>'') quarantined,
+ cast(0 as bigint) other_path, cast(0 as bigint) other_status from judged group by 1""",
+    "lineage_columns": f"""select {SENDER} sender, count(*) records, count(*) indexes, count(*) timed, cast(1 as bigint) times
+ from judged where reasons='' group by 1""",
+    "odd_headers": f"""select 'BRONZE' outcome, count(*) records, count(facility_id) with_facility, count(distinct _record_index) sent_ids
+ from judged where {PART}<2 and reasons=''
+ union all select string_split(reasons,',')[1], count(*), count(facility_id), 0 from judged where {PART}<2 and reasons<>'' group by 1
+ union all select 'SURPLUS_CELLS', count(*), count(facility_id), 0 from judged where {PART}=2
+ union all select 'HEADER_NOT_READABLE', 2, 0, 0""",
+    "resent_files": f"""select role_code, {ints('sum(3)')} files, {ints('sum(case when n>1 then 2 else 1 end)')} contents
+ from (select role_code, facility_id, count(*) n from staffing_raw group by 1,2) group by 1""",
+    "late_batch_silver": f"""select {SILVER_COLUMNS} from (select * from ({JUNE}) qualify row_number() over
+ (partition by staffing_id order by _ingested_at desc, _record_index desc)=1)""",
+    "late_batch_gold": f"""select {OT_COLUMNS} from (select *, cast(strftime(work_date,'%Y%m%d') as int) date_key, hours_overtime*65.0 overtime_cost_est
+ from (select * from ({JUNE}) qualify row_number() over (partition by shift_id order by _ingested_at desc, _record_index desc)=1)
+ where work_date is not null and hours_overtime>0)""",
     "schema_hints": " union all ".join(
         f"select '{c}' column_name, count({c}) filled from staffing_raw"
         for c in ["facility_id", "work_date", "role_code", "staff_count", "patient_census", "hours_worked",
                   "hours_worked_overtime", "shift_type"]),
     "registered_table": "select role_code, count(*) records from staffing_raw group by 1",
-    "partitioned_create": f"""select staffing_id, {txt('work_date')} work_date, staff_count from silver
- where work_date>=date '1997-01-01' and work_date<date '1998-01-01'""",
-    "feature_snapshot": f"select date_key, facility_id, role_code, {txt('dayofweek(work_date) in (0,6)')} is_weekend from fact",
+    "partitioned_create": f"select {SILVER_COLUMNS} from silver",
+    "feature_snapshot": f"select {FEATURE_COLUMNS} from features",
     "source_guard": """select 'staffing' source, case when exists(from staffing_raw) then 'ROWS' else 'NO_NEW_RECORDS' end outcome
  union all select 'events after 2100', case when exists(from adt_raw where arrived_at>timestamp '2100-01-01') then 'ROWS' else 'NO_BRONZE_DATA' end
  union all select 'facts', case when exists(from fact) then 'ROWS' else 'NO_GOLD_DATA' end""",
@@ -225,8 +242,7 @@ STATEMENTS: dict[str, str] = {
  where seq%50<>0 and seq%51<>0 and seq%53<>0
  union all select lpad(cast(seq as varchar),12,'0') _kinesis_sequence, {STANDARD} from events_silver
  where seq%50<>0 and seq%51<>0 and seq%53<>0 and seq%3=0 and seq%10=0""",
-    "replay_safe_stream": f"""select event_id, facility_id, unit_id, {ts('event_ts')} event_ts, event_type_std from sent_unique
- where event_ts is not null""",
+    "replay_safe_stream": f"""select event_id, facility_id, unit_id, {ts('event_ts')} event_ts, event_type_std from sent_unique""",
     "census_stream": f"""select facility_id, unit_id, {txt('event_date')} event_date, event_hour,
  {ints('last(running order by event_ts, event_id)')} census, count(*) filter (event_type_std='ADMIT') admits,
  count(*) filter (event_type_std='DISCHARGE') discharges, count(*) filter (event_type_std='TRANSFER') transfers
@@ -249,8 +265,8 @@ STATEMENTS: dict[str, str] = {
  {STATUS} quality_status, {RULE_TEXT} error_summary from (select facility_id, {TOTALS}, {RULE_COUNTS} from judged group by 1)""",
     "schema_registry": f"""select dataset_name, schema_version, array_to_string(columns,',') columns, {ts('registered_at')} registered_at
  from versions""",
-    "schema_registry_insert": f"""select distinct dataset_name, schema_version from headers h where seen_at>timestamp '{HALF_WAY}'
- and not exists (select 1 from headers k where k.seen_at<=timestamp '{HALF_WAY}' and k.dataset_name=h.dataset_name
+    "schema_registry_insert": f"""select distinct dataset_name, schema_version from headers h where seen_at>timestamp '{BEGUN}'
+ and not exists (select 1 from headers k where k.seen_at<=timestamp '{BEGUN}' and k.dataset_name=h.dataset_name
  and k.schema_version=h.schema_version)""",
     "dq_flags": "select _record_index, _dq_flags from typed",
     "remediation": f"select source_file, record_hash, {txt('resolved')} resolved from bad_index",
@@ -273,18 +289,14 @@ STATEMENTS: dict[str, str] = {
     "run_row_counts": """select count(*) records_read, count(*) filter (reasons='') records_written,
  count(*) filter (reasons<>'') records_failed from judged""",
     "silver_staffing": f"select {SILVER_COLUMNS} from silver",
-    "silver_shifts": "select shift_id, staffing_id, shift_type, hours_overtime, _record_index from shifts",
+    "silver_shifts": f"select shift_id, {SILVER_COLUMNS} from shifts",
     "fact_staffing": f"select {FACT_COLUMNS} from fact",
     "fact_overtime": f"select {OT_COLUMNS} from overtime",
     "hourly_census": f"select {CENSUS_COLUMNS} from census",
     "replay_census": f"select {CENSUS_COLUMNS} from census",
     "running_census": f"select event_id, facility_id, unit_id, {ints('running')} census from event_sums",
     "hourly_last_census": f"select facility_id, unit_id, {txt('event_date')} event_date, event_hour, census from census",
-    "overtime_features": f"""select date_key, facility_id, role_code, staff_count, patient_census, hours_overtime, nurse_patient_ratio,
- overtime_pct, understaffed_flag is_understaffed, avg_census_7d, avg_staff_7d, avg_ot_pct_7d, total_ot_hours_7d,
- patient_census-avg_census_7d census_vs_avg, {txt('dayofweek(work_date) in (0,6)')} is_weekend, overtime_pct_lag1,
- {txt('next_pct>0')} will_overtime_next_day,
- {txt("case when next_date=work_date+interval 1 day then next_pct>0 end")} will_overtime_next_calendar_day from features""",
+    "overtime_features": f"select {FEATURE_COLUMNS} from features",
     "known_facilities": """select facility_id from silver where facility_id is not null union
  select facility_id from events_silver where facility_id is not null""",
     "gold_check": "select count(*) records, min(date_key) first_day, max(date_key) last_day from fact",
@@ -294,7 +306,7 @@ STATEMENTS: dict[str, str] = {
  union all select 'quarantine_index', count(*) from bad_index""",
     "upsert_silver": f"select {SILVER_COLUMNS} from silver",
     "upsert_fact_staffing": f"select {FACT_COLUMNS} from fact",
-    "upsert_fact_overtime": UPSERT_OT,
+    "upsert_fact_overtime": f"select {OT_COLUMNS} from overtime",
     "upsert_census": f"select {CENSUS_COLUMNS} from census",
     "unseen_facilities": "select facility_id from attributes_2 where facility_id not in (select facility_id from attributes_1)",
     "changed_facilities": """select facility_id, old_bed_capacity, old_staffing_benchmark, new_bed_capacity, new_staffing_benchmark
@@ -306,13 +318,27 @@ STATEMENTS: dict[str, str] = {
  k(file_type, schedule_cron, grace_period_minutes, alert_severity)""",
     "latest_fact_rows": f"""select facility_id, role_code, {txt('work_date')} work_date, nurse_patient_ratio, overtime_pct
  from fact order by date_key desc, facility_id nulls first, role_code limit 20""",
-    "ordered_schedule": f"""select facility_id, file_type, schedule_cron, grace_period_minutes, alert_severity, {txt('is_active')} is_active,
- {ts('last_received_at')} last_received_at, consecutive_misses from schedule order by facility_id, file_type""",
+    "ordered_schedule": """select row_number() over (order by facility_id, file_type)-1 place, facility_id, file_type, schedule_cron
+ from schedule""",
     "facility_source": """select facility_id, bed_capacity, staffing_benchmark from
  (select facility_id from silver where facility_id is not null union select facility_id from events_silver)
  full join attributes_1 using (facility_id)""",
     "dim_first_load": f"select {DIM_COLUMNS} from dim1",
     "dim_after_changes": f"select {DIM_COLUMNS} from dim2",
+    "dim_same_day": f"""select {DIM_COLUMNS} from (select facility_id, bed_capacity, staffing_benchmark, false is_current,
+ date '2024-01-01' effective_from, date '2024-02-01' effective_to from attributes_1
+ union all select facility_id, bed_capacity+1, staffing_benchmark, true, date '2024-02-01', null from attributes_2)""",
+    "facility_keys": """select (select count(*) from attributes_1)+(select count(*) from attributes_2) versions,
+ (select count(*) from attributes_1)+(select count(*) from attributes_2) distinct_keys, cast(0 as bigint) empty_ranges""",
+    "tracked_run": f"""select 'Validation' pipeline_name, 'BRONZE' layer, 'MANUAL' triggered_by, 'SUCCESS' status, n records_read, n records_written,
+ cast(0 as bigint) records_failed, '{AS_OF}.000000' watermark_to, 'true' timed, 'SUCCESS' logged_status, n records_processed,
+ cast(0 as bigint) records_quarantined from (select count(*) n from judged where reasons='')""",
+    "created_tables": " union all ".join(
+        f"""select '{name}' schema_name, cast({sum(t.schema_name == name for t in TABLES.values())} as bigint) tables,
+ {"(select count(*) from silver where work_date>=date '1997-06-01' and work_date<date '1997-06-11')" if name == 'silver' else 'cast(0 as bigint)'} as rows"""
+        for name in SCHEMA_NAMES),
+    "stream_metadata": f"""select concat('shard-', seq%4) _kinesis_partition, lpad(cast(seq as varchar),12,'0') _kinesis_sequence,
+ {ts('arrived_at')} _kinesis_timestamp, 'true' processed from sent""",
     "scd2_audit": """select facility_id, '2024-02-01' changed_on,
  concat('bed_capacity=', old_bed_capacity, ',staffing_benchmark=', old_staffing_benchmark) old_values,
  concat('bed_capacity=', new_bed_capacity, ',staffing_benchmark=', new_staffing_benchmark) new_values from pairs where is_changed""",
@@ -368,7 +394,8 @@ STATEMENTS: dict[str, str] = {
     "retention": " union all ".join(
         f"""select '{layer}' layer, count(*) records, {txt('cast(min(_ingested_at) as date)')} oldest from staffing_raw
  where cast(_ingested_at as date)>=date '{DAY}'-{days}"""
-        for layer, days in [("landing", 90), ("bronze", 365), ("silver", 1095), ("quarantine", 180)]),
+        for layer, days in [("landing", 90), ("bronze", 365), ("silver", 1095), ("gold", 2555), ("audit", 2555), ("quarantine", 180),
+                            ("pipeline_log", 90)]),
     "facility_daily_summary": f"""select facility_id, {txt('work_date')} work_date, {ints('sum(staff_count)')} staff_total,
  {ints('sum(patient_census)')} census_total, sum(hours_overtime) overtime_hours,
  {ints('sum(cast(round(nurse_patient_ratio*1000) as bigint))')}/(nullif(count(nurse_patient_ratio),0)*1000.0) avg_nurse_patient_ratio,

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DateType, MapType, TimestampType
 
-from wardflow.config import RETENTION_DAYS, STAFFING_COLUMNS
+from wardflow.config import RETENTION_DAYS, STAFFING_COLUMNS, VALIDATION_RULES
 from wardflow.functions import adt, staffing
 from wardflow.operators import census, control, dedup, facts, features, marts, ops, quality, scd2, upsert
 from wardflow.plans import fixtures, jobs
-from wardflow.schemas import TABLES
+from wardflow.schemas import SCHEMA_NAMES, TABLES, create_all_tables
 from wardflow.sources import landing, tables
 from wardflow.streaming import adt as adt_streams
 from wardflow.streaming import ingest
@@ -24,6 +25,7 @@ QUERIES: dict[str, Query] = {}
 AS_OF = "2001-07-31 12:00:00"
 SINCE = "1995-01-01 00:00:00"
 HALF_WAY = "1998-06-30 00:00:00"
+BEGUN = "1992-01-05 00:00:00"
 MOVED_AT = "2001-09-01 00:00:00"
 DATASET = "sftp_staffing"
 
@@ -209,7 +211,7 @@ def _ingested(spark, sf) -> str:
     rows = tables.stage(spark, raw(spark, sf).select(*STAFFING_COLUMNS, "_record_index"), "rows").withColumnRenamed(
         "_record_index", "sent_id"
     )
-    first = F.pmod(F.xxhash64("sent_id"), F.lit(2)) == 0
+    first = F.col("sent_id").substr(-1, 1).cast("int") % 2 == 0
     _write_csv(rows.filter(first), f"{root}/landing/FAC_A")
     ingest.ingest_bronze(spark, f"{root}/landing", root, f"{root}/checkpoints/bronze")
     more = rows.filter(~first).select("sent_id", *reversed(STAFFING_COLUMNS)).withColumn("agency_hours", F.lit("8"))
@@ -226,15 +228,21 @@ def ingest_bronze(spark, sf):
     return _as_read(ingest.read_bronze(spark, _ingested(spark, sf)))
 
 
+def _by_sender(df: DataFrame):
+    """Grouped by the folder a file lies in; a copy has whichever folder came first."""
+    return df.groupBy(F.regexp_replace(ingest.facility_of_path("source_file"), "_resent$", "").alias("sender"))
+
+
 @query
 def ingest_control_rows(spark, sf):
-    """Totals the ingestion recorded, from the DQ results it wrote."""
+    """Counts and rules the ingestion recorded for each sender's files."""
     root = _ingested(spark, sf)
     results = tables.read_table(spark, TABLES["data_quality_results"], root)
-    return results.agg(
+    return _by_sender(results).agg(
         F.sum("total_records").alias("total_records"),
         F.sum("valid_records").alias("valid_records"),
         F.sum("quarantined").alias("quarantined"),
+        *[F.sum(F.coalesce(F.col("error_summary")[r], F.lit(0))).alias(r.lower()) for r in VALIDATION_RULES],
     )
 
 
@@ -242,16 +250,126 @@ def ingest_control_rows(spark, sf):
 def audit_records(spark, sf):
     """Records per audit line of ingested files, read back from JSON."""
     root = _ingested(spark, sf)
-    lines = spark.read.schema("file_checksum STRING, total_records BIGINT, quarantined BIGINT").json(
-        f"{root}/audit/ingestion"
+    lines = spark.read.schema(
+        "file_checksum STRING, source_file STRING, total_records BIGINT, quarantined BIGINT, quality_status STRING"
+    ).json(f"{root}/audit/ingestion")
+    registered = tables.read_table(spark, TABLES["file_registry"], root).select("file_checksum", "source_path")
+    known = lines.join(registered, ["file_checksum"])
+    return _by_sender(known).agg(
+        F.sum("total_records").alias("records"),
+        F.sum("quarantined").alias("quarantined"),
+        F.count_if(F.col("source_file") != F.col("source_path")).alias("other_path"),
+        F.count_if((F.col("quarantined") == 0) != (F.col("quality_status") == "PASS")).alias("other_status"),
     )
-    return lines.agg(F.sum("total_records").alias("records"), F.sum("quarantined").alias("quarantined"))
 
 
 @query
 def lineage_columns(spark, sf):
-    """Lineage of ingested rows (values differ by run, so rows only)."""
-    return ingest.read_bronze(spark, _ingested(spark, sf)).select("_source_file", "_ingested_at", "_record_index")
+    """Lineage of ingested rows: without the clock and the random index itself."""
+    rows = ingest.read_bronze(spark, _ingested(spark, sf))
+    return _by_sender(rows.withColumn("source_file", F.col("_source_file"))).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct("_record_index").alias("indexes"),
+        F.count("_ingested_at").alias("timed"),
+        F.count_distinct("_ingested_at").alias("times"),
+    )
+
+
+@query
+def odd_headers(spark, sf):
+    """Bronze from files with upper-case, reordered, repeated and missing names
+    and with rows longer than their header; what was turned away, by rule."""
+    root = tables.scratch_path(spark, "lake")
+    rows = tables.stage(spark, raw(spark, sf).select(*STAFFING_COLUMNS, "_record_index"), "rows").withColumnRenamed(
+        "_record_index", "sent_id"
+    )
+    part = F.pmod(F.length("sent_id") + F.col("sent_id").substr(-1, 1).cast("int"), F.lit(4))
+    drop = f"{root}/landing"
+    _write_csv(rows.filter(part == 0).select(*[F.col(c).alias(c.upper()) for c in rows.columns]), f"{drop}/UPPER")
+    turned = [F.col(c).alias(f" {c.title()} ") for c in reversed(rows.columns)]
+    _write_csv(rows.filter(part == 1).select(*turned), f"{drop}/TURNED")
+    names, cells = ",".join(rows.columns), [F.coalesce(c, F.lit("")) for c in rows.columns]
+    for name, header, more in (("LONGER", names, ["x", "y"]), ("TWICE", f"{names},Role_Code", ["RN"]), ("UNNAMED", f"{names},", ["z"])):
+        # The header line sorts first within its one file.
+        lines = rows.filter(part == (2 if name == "LONGER" else 3)).select(
+            F.lit(1).alias("o"), F.concat_ws(",", *cells, *[F.lit(m) for m in more]).alias("value")
+        )
+        head = spark.range(1).select(F.lit(0).alias("o"), F.lit(header).alias("value"))
+        head.unionByName(lines).coalesce(1).sortWithinPartitions("o").select("value").write.option("compression", "none").text(f"{root}/text/{name}")
+        text = spark.read.text(f"{root}/text/{name}").coalesce(1)
+        text.write.format("csv").option("quote", "").option("escapeQuotes", "false").option("sep", "\u0001").save(f"{drop}/{name}")
+    ingest.ingest_bronze(spark, drop, root, f"{root}/checkpoints/bronze")
+    bronze = ingest.read_bronze(spark, root).groupBy(F.lit("BRONZE").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("records"), F.count("facility_id").alias("with_facility"), F.count_distinct("sent_id").alias("sent_ids")
+    )
+    index = tables.read_table(spark, TABLES["quarantine_index"], root)
+    turned_away = index.groupBy(F.element_at("quarantine_reason", 1).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("records"), F.count("facility_id").alias("with_facility"), F.lit(0).cast("bigint").alias("sent_ids")
+    )
+    return bronze.unionByName(turned_away)
+
+
+@query
+def resent_files(spark, sf):
+    """Files of each role and facility, sent again and sent in another order:
+    how many there are, and how many contents by their checksums."""
+    root = tables.scratch_path(spark, "landing")
+    rows = raw(spark, sf).select("role_code", F.coalesce("facility_id", F.lit("none")).alias("facility"), "_record_index", "work_date")
+    rows = tables.stage(spark, rows, "rows")
+    forward, backward = F.col("_record_index").asc(), F.col("_record_index").desc()
+    for name, order in (("first", forward), ("again", forward), ("turned", backward)):
+        spread = rows.repartition("role_code", "facility").sortWithinPartitions("role_code", "facility", order)
+        spread.write.partitionBy("role_code", "facility").option("header", "true").csv(f"{root}/{name}")
+    found = landing.file_manifest(spark, root)
+    role = F.regexp_extract("path", "role_code=([^/]*)", 1).alias("role_code")
+    fresh = landing.new_files(found, found.limit(0)).groupBy(role).agg(F.count(F.lit(1)).alias("contents"))
+    return found.groupBy(role).agg(F.count(F.lit(1)).alias("files")).join(fresh, "role_code")
+
+
+def _bronze_batch(spark, root: str, rows: DataFrame, batch: str) -> None:
+    """Rows as an ingestion batch leaves them: in Bronze, and in the ledger."""
+    placed = rows.withColumns({"_ingest_date": F.to_date("_ingested_at"), "_ingest_batch": F.lit(batch)})
+    path = TABLES["stg_staffing"].path(root)
+    placed.repartition("_ingest_date").write.mode("append").partitionBy("_ingest_date", "_ingest_batch").parquet(path)
+    ledger = spark.createDataFrame([(batch, "f", path, 0, 0, None)], TABLES["ingestion_ledger"].struct)
+    tables.append_batch(ledger, TABLES["ingestion_ledger"].path(root), batch)
+
+
+def _one_month(spark, sf) -> DataFrame:
+    """Staffing rows of the files of one month."""
+    return raw(spark, sf).filter("_ingested_at >= '1997-06-01' and _ingested_at < '1997-07-01'").withColumn(
+        "_ingested_at", F.date_trunc("month", "_ingested_at") + F.expr("make_dt_interval(cast(dayofmonth(_ingested_at) % 3 as int))")
+    )
+
+
+@query
+def late_batch_silver(spark, sf):
+    """Silver after a batch that was stamped before the one already taken in,
+    and after a run that broke off half-way."""
+    root = tables.scratch_path(spark, "lake")
+    rows = tables.stage(spark, _one_month(spark, sf), "rows")
+    late = F.col("_ingested_at") < F.lit("1997-06-03").cast("timestamp")
+    _bronze_batch(spark, root, rows.filter(~late), "b-2")
+    jobs.run_silver(spark, root)
+    _bronze_batch(spark, root, rows.filter(late), "b-1")
+    # As if a run had written the half of one table and then been lost.
+    half = facts.silver_staffing(rows.filter(late)).filter("crc32(staffing_id) % 2 = 0")
+    upsert.upsert_table(spark, TABLES["staffing_standardized"], root, half, newest_by=facts.NEWEST_FIRST)
+    jobs.run_silver(spark, root)
+    return tables.read_table(spark, TABLES["staffing_standardized"], root).drop("_source_file")
+
+
+@query
+def late_batch_gold(spark, sf):
+    """The overtime fact by two Gold runs, the second over a late batch."""
+    root = tables.scratch_path(spark, "lake")
+    rows = tables.stage(spark, _one_month(spark, sf), "rows")
+    late = F.col("_ingested_at") < F.lit("1997-06-03").cast("timestamp")
+    for batch, part in (("b-2", rows.filter(~late)), ("b-1", rows.filter(late))):
+        _bronze_batch(spark, root, part, batch)
+        jobs.run_silver(spark, root)
+        jobs.run_gold(spark, root, "1997-07-01")
+    return tables.read_table(spark, TABLES["fact_overtime"], root)
 
 
 @query
@@ -288,9 +406,8 @@ def partitioned_create(spark, sf):
     path = tables.scratch_path(spark, "silver")
     tables.write_partitions(silver(spark, sf), path, ["work_date"])
     back = spark.read.schema(TABLES["staffing_standardized"].struct).parquet(path)
-    return back.filter("work_date >= '1997-01-01' and work_date < '1998-01-01'").select(
-        "staffing_id", "work_date", "staff_count"
-    )
+    years = [back.filter("work_date < '1997-01-01'"), back.filter("work_date >= '1997-01-01'"), back.filter("work_date is null")]
+    return years[0].unionByName(years[1]).unionByName(years[2]).drop("_source_file")
 
 
 @query
@@ -298,11 +415,9 @@ def feature_snapshot(spark, sf):
     """Two full rewrites of the feature table; readers see the last."""
     path = TABLES["overtime_features"].path(tables.scratch_path(spark, "lake"))
     rows = features.overtime_features(facts.fact_staffing(silver(spark, sf)))
-    tables.write_snapshot(spark, rows.limit(1).drop("is_weekend"), path, ["date_key"])
+    tables.write_snapshot(spark, rows.filter("staff_count > 10").drop("is_weekend"), path, ["date_key"])
     tables.write_snapshot(spark, rows, path, ["date_key"])
-    return spark.read.parquet(tables.snapshot_folder(spark, path)).select(
-        "date_key", "facility_id", "role_code", "is_weekend"
-    )
+    return spark.read.parquet(tables.snapshot_folder(spark, path))
 
 
 @query
@@ -345,9 +460,13 @@ def envelopes(spark, sf) -> DataFrame:
     )
 
 
-def _event_lake(spark, sf, replay_window: str | None = None) -> str:
-    """Bronze and Silver events built by the two streams, run twice; the
-    second delivery repeats every tenth envelope."""
+def _event_lake(spark, sf, drop_replays: bool = False) -> str:
+    """Bronze and Silver events built by the two streams, run twice.
+
+    The second delivery repeats every tenth envelope, and brings two thirds of
+    all events for the first time: as old as any of the first delivery, and
+    undated ones.
+    """
     root = tables.scratch_path(spark, "lake")
     rows = tables.stage(spark, envelopes(spark, sf), "envelopes")
     first = F.col("seq") % 3 == 0
@@ -355,7 +474,7 @@ def _event_lake(spark, sf, replay_window: str | None = None) -> str:
     def run() -> None:
         stream = adt_streams.file_envelopes(spark, f"{root}/stream")
         adt_streams.run_bronze_events(stream, root, f"{root}/checkpoints/bronze")
-        adt_streams.run_silver_events(spark, root, f"{root}/checkpoints/silver", replay_window)
+        adt_streams.run_silver_events(spark, root, f"{root}/checkpoints/silver", drop_replays)
 
     rows.filter(first).drop("seq").write.mode("append").json(f"{root}/stream")
     run()
@@ -386,8 +505,8 @@ def event_silver_stream(spark, sf):
 
 @query
 def replay_safe_stream(spark, sf):
-    """Dated Silver events when the stream drops replays itself."""
-    root = _event_lake(spark, sf, "40 days")
+    """All Silver events when the stream drops replays itself."""
+    root = _event_lake(spark, sf, True)
     return tables.read_table(spark, TABLES["adt_events_standardized"], root).select(
         "event_id", "facility_id", "unit_id", "event_ts", "event_type_std"
     )
@@ -441,9 +560,9 @@ def payload_decode(spark, sf):
 
 @query
 def stream_metadata(spark, sf):
-    """Envelope columns kept beside each event (rows only: has a clock)."""
+    """Envelope columns kept beside each event; of the clock, that it ran."""
     return adt.bronze_events(envelopes(spark, sf)).select(
-        "_kinesis_partition", "_kinesis_sequence", "_kinesis_timestamp", "_processed_at"
+        "_kinesis_partition", "_kinesis_sequence", "_kinesis_timestamp", F.col("_processed_at").isNotNull().alias("processed")
     )
 
 
@@ -504,9 +623,9 @@ def schema_registry(spark, sf):
 
 @query
 def schema_registry_insert(spark, sf):
-    """Versions added by files after the half-way mark."""
+    """Versions added by files after the registry was begun."""
     headers = fixtures.load(spark, sf, "file_headers")
-    half = F.col("seen_at") <= F.lit(HALF_WAY).cast("timestamp")
+    half = F.col("seen_at") <= F.lit(BEGUN).cast("timestamp")
     known = quality.new_schema_versions(headers.filter(half))
     return quality.new_schema_versions(headers.filter(~half), known).select("dataset_name", "schema_version")
 
@@ -620,7 +739,7 @@ def silver_staffing(spark, sf):
 
 @query
 def silver_shifts(spark, sf):
-    return shifts(spark, sf).select("shift_id", "staffing_id", "shift_type", "hours_overtime", "_record_index")
+    return shifts(spark, sf).drop("_source_file")
 
 
 @query
@@ -708,16 +827,21 @@ def upsert_silver(spark, sf):
 
 @query
 def upsert_fact_staffing(spark, sf):
-    """Both halves' facts merged on the fact key."""
-    old, new = (facts.fact_staffing(facts.silver_staffing(part)) for part in _halves(spark, sf))
-    return upsert.merge_rows(old, tables.stage(spark, new), TABLES["fact_staffing"].keys)
+    """The stored staffing fact after both halves were merged into it."""
+    table, root = TABLES["fact_staffing"], tables.scratch_path(spark, "lake")
+    for part in _halves(spark, sf):
+        upsert.upsert_table(spark, table, root, facts.fact_staffing(facts.silver_staffing(part)))
+    return tables.read_table(spark, table, root)
 
 
 @query
 def upsert_fact_overtime(spark, sf):
-    """Both halves' overtime merged on the fact key, shift included."""
-    old, new = (facts.fact_overtime(facts.silver_shifts(part)) for part in _halves(spark, sf))
-    return upsert.merge_rows(old, tables.stage(spark, new), TABLES["fact_overtime"].keys)
+    """The stored overtime fact after both halves; shifts that the second half
+    corrects to no overtime have left it."""
+    root = tables.scratch_path(spark, "lake")
+    for part in _halves(spark, sf):
+        jobs.upsert_overtime(spark, root, facts.silver_shifts(part))
+    return tables.read_table(spark, TABLES["fact_overtime"], root)
 
 
 @query
@@ -752,9 +876,13 @@ def changed_facilities(spark, sf):
 
 @query
 def seed_schedule(spark, sf):
-    """Schedule seed merged over itself: one row per facility and file type."""
-    seed = control.seed_schedule(scd2.known_facilities(silver(spark, sf)))
-    return upsert.merge_rows(seed, seed, ["facility_id", "file_type"])
+    """The stored schedule after a seed of some facilities and one of all."""
+    table, root = TABLES["file_schedule"], tables.scratch_path(spark, "lake")
+    ids = scd2.known_facilities(silver(spark, sf))
+    for part in (ids.filter("facility_id < 'FAC_3'"), ids):
+        held = tables.read_snapshot(spark, table, root).select(*table.keys)
+        upsert.upsert_table(spark, table, root, control.seed_schedule(part).join(held, table.keys, "left_anti"))
+    return tables.read_snapshot(spark, table, root)
 
 
 @query
@@ -770,7 +898,10 @@ def latest_fact_rows(spark, sf):
 
 @query
 def ordered_schedule(spark, sf):
-    return schedule(spark, sf).orderBy("facility_id", "file_type")
+    ordered = schedule(spark, sf).orderBy("facility_id", "file_type")
+    # The place in the result, as the rows come: the order is what is asked.
+    place = F.monotonically_increasing_id()
+    return ordered.coalesce(1).withColumn("place", place).select("place", "facility_id", "file_type", "schedule_cron")
 
 
 # --- Facility dimension -------------------------------------------------------
@@ -802,8 +933,32 @@ def scd2_audit(spark, sf):
 
 @query
 def facility_keys(spark, sf):
-    """Surrogate keys (rows only: the hash is Spark's own)."""
-    return dim_before(spark, sf).select("facility_id", "facility_key")
+    """Versions after two changes on one day, and their distinct keys."""
+    dim = _changed_twice(spark, sf)
+    return dim.agg(
+        F.count(F.lit(1)).alias("versions"),
+        F.count_distinct("facility_key").alias("distinct_keys"),
+        F.count_if(F.col("effective_to") <= F.col("effective_from")).alias("empty_ranges"),
+    )
+
+
+def _changed_twice(spark, sf) -> DataFrame:
+    """The dimension after three snapshots, two of them on one day; the sources
+    hold repeated rows and rows without an id."""
+    dim = dim_before(spark, sf)
+    given = fixtures.load(spark, sf, "attributes_2")
+    doubled = given.unionByName(given).unionByName(given.withColumn("facility_id", F.lit(None).cast("string")))
+    more = given.withColumn("bed_capacity", F.col("bed_capacity") + 1)
+    for source in (doubled, more.unionByName(more)):
+        ids = scd2.known_facilities(source)
+        dim = tables.stage(spark, scd2.apply_changes(dim, scd2.facility_source(ids, source), "2024-02-01"), "dim")
+    return dim
+
+
+@query
+def dim_same_day(spark, sf):
+    """Versions when a second change comes on the day of the first."""
+    return _changed_twice(spark, sf).drop("facility_key")
 
 
 # --- Run control and operator questions ---------------------------------------
@@ -816,14 +971,40 @@ def current_runs(spark, sf):
 
 @query
 def tracked_run(spark, sf):
-    """Control rows of a tracked validation run (rows only: has a clock)."""
+    """State and log of a tracked validation run, without ids and clock."""
     root = tables.scratch_path(spark, "control")
 
     def work(run_id: str) -> tuple[int, str | None]:
         return judged(spark, sf).filter(F.size("reasons") == 0).count(), AS_OF
 
     jobs.tracked(spark, root, "Validation", "BRONZE", "staffing_raw", work, "MANUAL")
-    return control.current_runs(tables.read_table(spark, TABLES["pipeline_runs"], root))
+    run = control.current_runs(tables.read_table(spark, TABLES["pipeline_runs"], root)).select(
+        "pipeline_name", "layer", "triggered_by", "status", "records_read", "records_written", "records_failed",
+        "watermark_to", (F.col("duration_seconds") >= 0).alias("timed"),
+    )
+    log = tables.read_table(spark, TABLES["pipeline_log"], root).select(
+        F.col("pipeline_name").alias("logged_name"), F.col("status").alias("logged_status"), "records_processed", "records_quarantined"
+    )
+    return run.join(log, F.col("pipeline_name") == F.col("logged_name")).drop("logged_name")
+
+
+@query
+def created_tables(spark, sf):
+    """Tables of each schema once they were created twice, and the rows Silver shows."""
+    prefix, root = f"made_{uuid.uuid4().hex[:8]}_", tables.scratch_path(spark, "lake")
+    few = facts.silver_staffing(raw(spark, sf)).filter("work_date >= '1997-06-01' and work_date < '1997-06-11'")
+    for _ in range(2):
+        names = create_all_tables(spark, root, prefix)
+    upsert.upsert_table(spark, TABLES["staffing_standardized"], root, few)
+    silver_name = f"{prefix}silver.staffing_standardized"
+    spark.sql(f"ALTER TABLE {silver_name} RECOVER PARTITIONS")
+    rows = spark.table(silver_name).count()
+    made = {s: spark.catalog.listTables(f"{prefix}{s}") for s in SCHEMA_NAMES}
+    counts = [(s, len(found), rows if s == "silver" else 0) for s, found in made.items()]
+    assert len(names) == sum(len(found) for found in made.values())
+    for s in SCHEMA_NAMES:
+        spark.sql(f"DROP SCHEMA {prefix}{s} CASCADE")
+    return spark.createDataFrame(counts, "schema_name STRING, tables BIGINT, rows BIGINT")
 
 
 @query
@@ -941,7 +1122,7 @@ def retention(spark, sf):
         ops.within_retention(rows, "day", AS_OF[:10], RETENTION_DAYS[layer])
         .agg(F.count(F.lit(1)).alias("records"), F.min("day").alias("oldest"))
         .withColumn("layer", F.lit(layer))
-        for layer in ("landing", "bronze", "silver", "quarantine")
+        for layer in RETENTION_DAYS
     ]
     out = parts[0]
     for part in parts[1:]:

@@ -157,6 +157,12 @@ TABLES: dict[str, Table] = {
             " quarantine_count BIGINT, recorded_at TIMESTAMP",
             ["file_checksum"],
         ),
+        Table(
+            "batch_control",
+            "processed_batches",
+            "layer STRING, ingest_batch STRING, run_id STRING, recorded_at TIMESTAMP",
+            ["layer", "ingest_batch"],
+        ),
         Table(
             "batch_control",
             "quarantine_index",

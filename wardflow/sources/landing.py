@@ -6,16 +6,17 @@ import re
 from collections import defaultdict
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from wardflow.config import STAFFING_COLUMNS
 from wardflow.operators.dedup import latest_per_key
 
-# Files up to this size are hashed whole; larger ones by their lines, so that
-# no task ever holds a large file in memory.
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
+# The modulus of the line sums; products of two residues fit a BIGINT.
+PRIME = 2**31 - 1
+
+SURPLUS, EXTRA_CELL, WHOLE_LINE = "_surplus", "_extra_cell", "_whole_line"
 
 DEFAULT_SCHEMA_HINTS = ", ".join(f"{c} STRING" for c in STAFFING_COLUMNS)
 
@@ -41,100 +42,96 @@ def separator_of(path: Column) -> Column:
 
 
 def header_columns(line: Column, path: Column) -> Column:
-    """Column names of a header line; quotes, blanks, CR and BOM removed."""
-    clean = F.regexp_replace(line, "[\r﻿\"]", "")
+    """Column names of a header line in lower case; quotes, blanks, CR and BOM removed."""
+    clean = F.lower(F.regexp_replace(line, "[\r\ufeff\"]", ""))
     names = F.when(separator_of(path) == "\t", F.split(clean, "\t")).otherwise(F.split(clean, ","))
     return F.transform(names, lambda name: F.trim(name))
 
 
-def _is_packed(path: str = "path") -> Column:
-    return F.lower(path).endswith(".gz")
+def readable_header(columns: str | Column = "columns") -> Column:
+    """Whether rows can be put under these names: none is empty or comes twice."""
+    names = F.col(columns) if isinstance(columns, str) else columns
+    return (F.size(F.array_distinct(names)) == F.size(names)) & ~F.array_contains(names, "")
 
 
-def _whole_files(spark: SparkSession, paths: str | list[str], limit: int) -> DataFrame:
-    """Files up to ``limit`` bytes with their content, one row each. The size
-    filter is pushed to the source, so larger files are never loaded."""
+def _listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, length) of each file; the content is not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    return files.filter(F.col("length") <= limit).select(F.col("_metadata.file_path").alias("path"), "length", "content")
-
-
-def _first_line_of_content() -> Column:
-    return F.when(~_is_packed(), F.substring_index(F.col("content").cast("string"), "\n", 1))
+    return files.select(F.col("_metadata.file_path").alias("path"), "length")
 
 
-def _lines(spark: SparkSession, paths: str | list[str], keep: Column) -> DataFrame:
-    """Text rows of the files ``keep`` holds for. The filter names only file
-    metadata and comes before the row ids, so other files are not opened."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(paths).filter(keep)
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The lines of the files, split over tasks; ``position`` counts within one."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths)
     return lines.select(
         "value",
         F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_size").alias("length"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("position"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("position"),
     )
 
 
-def _first_lines(spark: SparkSession, paths: str | list[str], whole_file_bytes: int) -> DataFrame:
-    """(path, line) of each file that is packed or too large to take whole.
+def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, length, columns) of each file that is not empty.
 
-    Row ids grow within a task, and a file's first block is read by one task.
+    Positions grow within a task, and a file's first block is read by one task.
     """
-    read_as_text = (F.col("_metadata.file_size") > whole_file_bytes) | _is_packed("_metadata.file_path")
-    lines = _lines(spark, paths, read_as_text & (F.col("_metadata.file_block_start") == 0))
-    return lines.groupBy("path").agg(F.min_by("value", "position").alias("line"))
-
-
-def file_headers(
-    spark: SparkSession, paths: str | list[str], whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """(path, columns) of each file."""
-    whole = _whole_files(spark, paths, whole_file_bytes).filter(~_is_packed())
-    first = whole.select("path", _first_line_of_content().alias("line")).unionByName(
-        _first_lines(spark, paths, whole_file_bytes)
+    first = (
+        _lines(spark, paths)
+        .filter("block_start = 0")
+        .groupBy("path")
+        .agg(F.min_by("value", "position").alias("line"))
+    )
+    return _listing(spark, paths).join(first, "path", "left").select(
+        "path", "length", header_columns(F.coalesce("line", F.lit("")), F.col("path")).alias("columns")
     )
-    return first.select("path", header_columns(F.col("line"), F.col("path")).alias("columns"))
 
 
-def file_manifest(
-    spark: SparkSession, paths: str | list[str], whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """(path, length, file_checksum, columns) of each file.
+def file_digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, line_count, line_sums): what the lines of a file and their order give.
 
-    Files up to ``whole_file_bytes`` are read once, for the MD5 of their bytes
-    and their header. A larger file is read as lines, split over tasks: its
-    checksum combines the size with order-free sums of line hashes, and two
-    files compare by the same method since equal files have equal sizes.
+    Each line has four residues of its hashes. A file's sums of them, and its
+    sums of them times the line's number, are put together from sums by block,
+    so the result is the same however the file is split over tasks, and any
+    change of a line or of the order changes it.
     """
-    whole = _whole_files(spark, paths, whole_file_bytes).select(
-        "path", "length", F.md5("content").alias("md5"), _first_line_of_content().alias("line")
+    halves = [F.xxhash64("value", F.lit(seed)) for seed in (1, 2)]
+    residues = [F.pmod(F.shiftright(h, shift), F.lit(PRIME)) for h in halves for shift in (0, 32)]
+    named = _lines(spark, paths).select("path", "block_start", "position", *[r.alias(f"r{i}") for i, r in enumerate(residues)])
+    plain = [F.sum(f"r{i}").alias(f"s{i}") for i in range(4)]
+    # A residue times a position below 2 ** 33 would not fit.
+    placed = [F.sum(F.pmod(F.col(f"r{i}") * F.pmod("position", F.lit(PRIME)), F.lit(PRIME))).alias(f"p{i}") for i in range(4)]
+    blocks = named.groupBy("path", "block_start").agg(
+        F.count(F.lit(1)).alias("n"), F.min("position").alias("base"), *plain, *placed
     )
-    line_hash = F.xxhash64("value")
-    by_line = (
-        _lines(spark, paths, F.col("_metadata.file_size") > whole_file_bytes)
-        .groupBy("path", "length")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(line_hash.bitwiseAND(F.lit((1 << 30) - 1))).alias("low"),
-            F.sum(F.shiftrightunsigned(line_hash, 34)).alias("high"),
-            F.bit_xor(F.xxhash64("value", F.lit(1))).alias("mixed"),
-        )
-        .select(
-            "path",
-            F.col("length").alias("text_length"),
-            F.md5(F.concat_ws("|", "length", "n", "low", "high", "mixed").cast("binary")).alias("line_hash"),
-        )
+    before = F.coalesce(
+        F.sum("n").over(Window.partitionBy("path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
-    first = _first_lines(spark, paths, whole_file_bytes).withColumnRenamed("line", "text_line")
-    merged = whole.join(by_line, "path", "full_outer").join(first, "path", "left")
-    return merged.select(
-        "path",
-        F.coalesce("length", "text_length").alias("length"),
-        F.coalesce("md5", "line_hash").alias("file_checksum"),
-        header_columns(F.coalesce("line", "text_line"), F.col("path")).alias("columns"),
+    shift = F.pmod(before - F.col("base"), F.lit(PRIME))
+    moved = [
+        F.pmod(F.pmod(f"p{i}", F.lit(PRIME)) + F.pmod(f"s{i}", F.lit(PRIME)) * shift, F.lit(PRIME)).alias(f"p{i}") for i in range(4)
+    ]
+    sums = [F.pmod(F.sum(f"{kind}{i}"), F.lit(PRIME)) for kind in "sp" for i in range(4)]
+    return (
+        blocks.select("path", "n", *[F.pmod(f"s{i}", F.lit(PRIME)).alias(f"s{i}") for i in range(4)], *moved)
+        .groupBy("path")
+        .agg(F.sum("n").alias("line_count"), F.concat_ws("|", *sums).alias("line_sums"))
     )
 
 
+def file_manifest(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, length, file_checksum, columns) of each file.
+
+    The checksum is one digest for files of every size: the MD5 of the length,
+    the number of lines and the sums of :func:`file_digests`. Lines are read in
+    parallel, so no task holds a large file.
+    """
+    digests = file_digests(spark, paths)
+    found = file_headers(spark, paths).join(digests, "path", "left")
+    content = F.concat_ws("|", F.col("length"), F.coalesce("line_count", F.lit(0)), F.coalesce("line_sums", F.lit("")))
+    return found.select("path", "length", F.md5(content.cast("binary")).alias("file_checksum"), "columns")
+
+
 def new_files(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
     """One file per content not in the ledger; copies within the batch fall
     to the first path."""
@@ -155,20 +152,31 @@ def read_by_header(spark: SparkSession, headers: DataFrame) -> DataFrame:
         groups[(row.sep, tuple(row.columns))].append(row.path)
     frames = []
     for (sep, columns), files in sorted(groups.items()):
-        schema = StructType([StructField(c, StringType()) for c in columns])
-        read = spark.read.schema(schema).option("header", "true").option("sep", sep)
+        # One cell more than the header has shows rows that are too long, and
+        # the whole line tells how long.
+        fields = [*columns, EXTRA_CELL, WHOLE_LINE]
+        schema = StructType([StructField(c, StringType()) for c in fields])
+        read = (
+            spark.read.schema(schema).option("header", "true").option("sep", sep).option("columnNameOfCorruptRecord", WHOLE_LINE)
+        )
         # File metadata gives paths in URL form; readers take them plain.
         given = [literal_path(unquote(f)) for f in files]
         packed = [f for f in given if f.lower().endswith(".gz")]
         plain = [f for f in given if not f.lower().endswith(".gz")]
+        longer = F.size(F.split(WHOLE_LINE, sep)) > len(columns) + 1
+        surplus = F.when(F.col(EXTRA_CELL).isNotNull() | longer, F.coalesce(WHOLE_LINE, EXTRA_CELL))
+
+        def rows(found: list[str]) -> DataFrame:
+            frame = read.csv(found).withColumn("_source_file", F.col("_metadata.file_path"))
+            return frame.withColumn(SURPLUS, surplus).drop(EXTRA_CELL, WHOLE_LINE)
+
         if plain:
-            frames.append(read.csv(plain).withColumn("_source_file", F.col("_metadata.file_path")))
+            frames.append(rows(plain))
         if packed:
             # One task must unpack a gzip file; spread its rows afterwards.
-            unpacked = read.csv(packed).withColumn("_source_file", F.col("_metadata.file_path"))
-            frames.append(unpacked.hint("rebalance"))
+            frames.append(rows(packed).hint("rebalance"))
     if not frames:
-        return spark.createDataFrame([], DEFAULT_SCHEMA_HINTS + ", _source_file STRING")
+        return spark.createDataFrame([], f"{DEFAULT_SCHEMA_HINTS}, _source_file STRING, {SURPLUS} STRING")
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame, allowMissingColumns=True)
@@ -179,5 +187,9 @@ def read_by_header(spark: SparkSession, headers: DataFrame) -> DataFrame:
 
 
 def read_landing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Every ``.csv``, ``.tsv`` and gzipped file below ``paths``, all text."""
-    return read_by_header(spark, file_headers(spark, paths))
+    """Every ``.csv``, ``.tsv`` and gzipped file below ``paths``, all text.
+
+    Files whose header names a column twice or not at all are left out;
+    ingestion lists them.
+    """
+    return read_by_header(spark, file_headers(spark, paths).filter(readable_header())).drop(SURPLUS)

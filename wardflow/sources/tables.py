@@ -69,8 +69,7 @@ def staged(
         df.write.partitionBy(*partition_by).parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        drop_folder(spark, path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -84,15 +83,12 @@ def read_table(
     table: Table,
     root: str,
     extra_columns: list[str] | None = None,
-    written_since: str | None = None,
 ) -> DataFrame:
     """A stored table under its declared schema; empty when never written.
 
     The declared schema spares the footer inference over all files, and gives
     NULL for columns that older files lack. ``extra_columns`` are text columns
-    that arrived later. ``written_since`` leaves out files older than that
-    time (less a day, for clocks that differ) without opening them: enough for
-    a reader that wants the rows loaded after it.
+    that arrived later.
     """
     path = table.path(root)
     schema = table.struct
@@ -101,11 +97,7 @@ def read_table(
             schema = schema.add(column, "string")
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).parquet(path)
-    if written_since is not None:
-        oldest = F.lit(written_since).cast("timestamp") - F.expr("INTERVAL 1 DAY")
-        rows = rows.filter(F.col("_metadata.file_modification_time") >= oldest)
-    return rows.select(*schema.names)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
@@ -184,6 +176,7 @@ def register_table(spark: SparkSession, name: str, path: str, partitioned: bool
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
-def write_json_by_date(df: DataFrame, path: str, date: str = "date") -> None:
-    """Append records as JSON lines in one folder per date."""
-    df.hint("rebalance", date).write.mode("append").partitionBy(date).json(path)
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and everything in it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -9,10 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 from wardflow.functions.adt import ENVELOPE_DDL, bronze_events, decode_payload, parse_payload, standardize_events
 from wardflow.functions.staffing import validation_reasons
 from wardflow.operators.census import census_update
+from wardflow.operators.dedup import latest_per_key
 from wardflow.operators.quality import quarantine_index
-from wardflow.operators.upsert import upsert_table
+from wardflow.operators.upsert import touched_slice, upsert_table
 from wardflow.schemas import TABLES
-from wardflow.sources.tables import append_batch, overwrite_folders, read_table, require_rows, staged
+from wardflow.sources.tables import append_batch, overwrite_folders, path_exists, read_table, require_rows, staged
 from wardflow.streaming.ingest import stream_id
 
 
@@ -61,34 +62,42 @@ def run_bronze_events(envelopes: DataFrame, root: str, checkpoint: str) -> None:
     append_available(bronze_events(envelopes), TABLES["adt_events_raw"].path(root), checkpoint)
 
 
-def run_silver_events(spark: SparkSession, root: str, checkpoint: str, replay_window: str | None = None) -> None:
+def run_silver_events(spark: SparkSession, root: str, checkpoint: str, drop_replays: bool = False) -> None:
     """Standardise Bronze events into Silver, reading Bronze as a stream.
 
-    With ``replay_window`` (such as ``"7 days"``) an event that arrives again
-    within that span of event time is dropped on the way; events without a
-    readable time cannot be placed in the window, so they pass untouched
-    through a stream of their own.
+    With ``drop_replays`` an event that Silver already holds is dropped on the
+    way, however long ago it came: each micro-batch is compared with Silver in
+    the days it touches, undated events with the undated ones. An event arrives
+    late or undated for the first time as any other. A table is written in one
+    of the two ways for good, since only the plain one keeps a sink log.
     """
     bronze = TABLES["adt_events_raw"]
     silver = TABLES["adt_events_standardized"]
     require_rows(read_table(spark, bronze, root), "NO_BRONZE_DATA")
-
-    def source() -> DataFrame:
-        return standardize_events(spark.readStream.schema(bronze.struct).parquet(bronze.path(root)))
-
     target = silver.path(root)
-    if replay_window is None:
-        append_available(source(), target, checkpoint, silver.partition_by)
+    logged = path_exists(spark, f"{target}/_spark_metadata")
+    if path_exists(spark, target) and logged == drop_replays:
+        raise ValueError(f"{target} was begun with drop_replays={not drop_replays}")
+    events = standardize_events(spark.readStream.schema(bronze.struct).parquet(bronze.path(root)))
+    if not drop_replays:
+        append_available(events, target, checkpoint, silver.partition_by)
         return
-    timed = (
-        source()
-        .filter(F.col("event_ts").isNotNull())
-        .withWatermark("event_ts", replay_window)
-        .dropDuplicatesWithinWatermark(["event_id"])
+
+    def batch(df: DataFrame, _: int) -> None:
+        once = latest_per_key(df, ["event_id"], [F.col("_kinesis_timestamp").asc(), F.col("_kinesis_sequence").asc()])
+        with staged(spark, once.select(*silver.struct.names), "events") as rows:
+            held = touched_slice(read_table(spark, silver, root), rows, "event_date").select("event_id")
+            # A retry after a commit finds its own events held and adds nothing.
+            with staged(spark, rows.join(held, "event_id", "left_anti"), "fresh") as fresh:
+                fresh.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(target)
+
+    query = (
+        events.writeStream.foreachBatch(batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
-    append_available(timed, target, f"{checkpoint}/timed", silver.partition_by)
-    untimed = source().filter(F.col("event_ts").isNull())
-    append_available(untimed, f"{target}_untimed", f"{checkpoint}/untimed")
+    query.awaitTermination()
 
 
 def run_validated_events(spark: SparkSession, envelopes: DataFrame, root: str, checkpoint: str) -> None:

@@ -15,7 +15,7 @@ from wardflow.operators.quality import (
     with_reasons,
 )
 from wardflow.schemas import TABLES
-from wardflow.sources.landing import file_manifest, literal_path, new_files, read_by_header
+from wardflow.sources.landing import SURPLUS, file_manifest, literal_path, new_files, read_by_header, readable_header
 from wardflow.sources.tables import append_batch, overwrite_folders, read_table, staged
 
 BINARY_FILE_DDL = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -54,7 +54,8 @@ def file_outcomes(manifest: DataFrame, judged: DataFrame, dataset: str, at) -> D
 def _write_control(spark: SparkSession, outcomes: DataFrame, root: str, batch: str, at, bronze_path: str) -> None:
     """Schema versions, DQ results, audit and registry; the ledger last, so a
     batch that fails half-way is not taken for done."""
-    headers = outcomes.select("dataset_name", "columns", F.col("run_timestamp").alias("seen_at"))
+    usable = outcomes.filter(readable_header())
+    headers = usable.select("dataset_name", "columns", F.col("run_timestamp").alias("seen_at"))
     known = read_table(spark, TABLES["schema_registry"], root)
     versions = new_schema_versions(headers, known).select(*TABLES["schema_registry"].struct.names)
     append_batch(versions, TABLES["schema_registry"].path(root), batch)
@@ -81,8 +82,9 @@ def _write_control(spark: SparkSession, outcomes: DataFrame, root: str, batch: s
     append_batch(ledger, TABLES["ingestion_ledger"].path(root), batch)
 
 
-def ingest_files(spark: SparkSession, paths: list[str], root: str, dataset: str, batch: str, at_text: str) -> None:
-    """Validate one batch of files and write every output under its batch id.
+def ingest_files(spark: SparkSession, paths: list[str], root: str, dataset: str, batch: str, at_text: str) -> int:
+    """Validate one batch of files and write every output under its batch id;
+    returns the number of files taken in.
 
     Running it again with the same id replaces the same folders, so a retried
     micro-batch adds nothing twice.
@@ -90,20 +92,31 @@ def ingest_files(spark: SparkSession, paths: list[str], root: str, dataset: str,
     at = F.lit(at_text).cast("timestamp")
     ledger = read_table(spark, TABLES["ingestion_ledger"], root)
     with staged(spark, new_files(file_manifest(spark, paths), ledger), "manifest") as manifest:
-        if manifest.isEmpty():
-            return
-        records = read_by_header(spark, manifest).withColumns({"_ingested_at": at, "_record_index": F.expr("uuid()")})
-        verdict = with_reasons(records).withColumn("_bad", F.size("reasons") > 0)
+        files = manifest.count()
+        if not files:
+            return 0
+        known = readable_header()
+        lineage = {"_ingested_at": at, "_record_index": F.expr("uuid()")}
+        records = with_reasons(read_by_header(spark, manifest.filter(known)).withColumns(lineage))
+        # A file whose header cannot be used counts as one bad record, which
+        # shows the header; the other files of the batch go on.
+        unreadable = manifest.filter(~known).select(
+            F.col("path").alias("_source_file"),
+            F.to_json(F.struct("columns")).alias(SURPLUS),
+            F.array(F.lit("HEADER_NOT_READABLE")).alias("reasons"),
+        )
+        verdict = records.unionByName(unreadable.withColumns(lineage), allowMissingColumns=True).withColumn("_bad", F.size("reasons") > 0)
         with staged(spark, verdict, "judged", ("_bad",)) as judged:
             _write_records(judged, root, batch)
             with staged(spark, file_outcomes(manifest, judged, dataset, at), "outcomes") as outcomes:
                 _write_control(spark, outcomes, root, batch, at, TABLES["stg_staffing"].path(root))
+    return files
 
 
 def _write_records(judged: DataFrame, root: str, batch: str) -> None:
     """Valid rows to Bronze, bad rows to the quarantine index and queue; each
     side reads only its own folder of the staged rows."""
-    valid = judged.filter(~F.col("_bad")).drop("reasons", "_bad")
+    valid = judged.filter(~F.col("_bad")).drop("reasons", "_bad", SURPLUS)
     dated = valid.withColumns({"_ingest_date": F.to_date("_ingested_at"), "_ingest_batch": F.lit(batch)})
     overwrite_folders(dated, TABLES["stg_staffing"].path(root), ["_ingest_date", "_ingest_batch"])
     bad = judged.filter("_bad")
@@ -119,8 +132,8 @@ def ingest_bronze(
     checkpoint: str,
     dataset: str = "sftp_staffing",
     max_files: int = 10000,
-) -> None:
-    """Ingest every file not seen before, then stop.
+) -> int:
+    """Ingest every file not seen before, then stop; returns how many there were.
 
     The stream delivers paths only (the file content is pruned from its scan),
     at most ``max_files`` per micro-batch; the batch time is fixed in the
@@ -131,8 +144,9 @@ def ingest_bronze(
         rows = paths.collect()
         if rows:
             key = f"{stream_id(spark, checkpoint)}-{batch_id:08d}"
-            ingest_files(spark, [literal_path(r.path) for r in rows], root, dataset, key, rows[0].at)
+            taken.append(ingest_files(spark, [literal_path(r.path) for r in rows], root, dataset, key, rows[0].at))
 
+    taken: list[int] = []
     files = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_DDL)
@@ -149,6 +163,7 @@ def ingest_bronze(
         .start()
     )
     query.awaitTermination()
+    return sum(taken)
 
 
 def bronze_columns(spark: SparkSession, root: str) -> list[str]:
