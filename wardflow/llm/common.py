@@ -11,9 +11,15 @@ from pyspark.sql import functions as F
 
 from wardflow.sources.tables import scratch_path
 
-LOWER = {i: i + 32 for i in range(65, 91)}
 #: Word separators of the white-space tokenisation: space, tab to carriage return.
-BLANKS = {i: 32 for i in range(9, 14)}
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, 9, 10, 11, 12, 13]] = True
+_BYTES = np.random.Generator(np.random.PCG64(99)).integers(1, 2**63, 256, dtype=np.uint64)
+_STEP = 0x9E3779B97F4A7C15
+_STEP_BACK = pow(_STEP, -1, 2**64)
+#: Bytes hashed at a time; longer texts are cut at a blank.
+_PIECE = 1 << 18
+_powers: dict[int, np.ndarray] = {}
 
 
 def fold_of(doc_id: Column, folds: int) -> Column:
@@ -41,16 +47,54 @@ def drop(spark: SparkSession, paths: Iterable[str]) -> None:
 
 def words_of(text: str | None) -> list[str]:
     """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; none for null."""
-    if not text:
+    if not isinstance(text, str):
         return []
-    return [w for w in text.translate(LOWER).translate(BLANKS).split(" ") if w]
+    # Of bytes, lower() and split() know ASCII only, which is what is asked for.
+    return [w.decode("utf-8", "surrogatepass") for w in text.encode("utf-8", "surrogatepass").lower().split()]
 
 
-def hash_words(words: list[str]) -> np.ndarray:
-    """A fixed 64-bit hash of each word."""
-    if not words:
+def hash_words(text: str | None) -> np.ndarray:
+    """A fixed 64-bit hash of each word of :func:`words_of`, in order.
+
+    A word's hash is the polynomial of its bytes, taken from running sums over
+    the text, and scrambled together with its length.
+    """
+    if not isinstance(text, str):
         return np.zeros(0, np.uint64)
-    return pd.util.hash_array(np.array(words, dtype=object), categorize=True)
+    data = text.encode("utf-8", "surrogatepass").lower()
+    found = []
+    at = 0
+    while at < len(data):
+        end = len(data)
+        if end - at > _PIECE:
+            cut = max(data.rfind(blank, at, at + _PIECE) for blank in (b" ", b"\n"))
+            end = cut + 1 if cut >= at else len(data)
+        found.append(_hash_piece(np.frombuffer(data, np.uint8, end - at, at)))
+        at = end
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
+def _power(step: int, n: int) -> np.ndarray:
+    """1, step, step ** 2, ... modulo 2 ** 64."""
+    have = _powers.get(step)
+    if have is None or len(have) < n:
+        size = 1 << max(12, (n - 1).bit_length())
+        have = np.full(size, step, np.uint64)
+        have[0] = 1
+        have = np.multiply.accumulate(have)
+        if size <= _PIECE:
+            _powers[step] = have
+    return have[:n]
+
+
+def _hash_piece(data: np.ndarray) -> np.ndarray:
+    edge = np.flatnonzero(np.diff(_BLANK[data], prepend=True, append=True))
+    begin, end = edge[0::2], edge[1::2]
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTES[data] * _power(_STEP, len(data)), out=sums[1:])
+        words = (sums[end] - sums[begin]) * _power(_STEP_BACK, len(data))[begin]
+        return mixed(words + (end - begin).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

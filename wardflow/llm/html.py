@@ -154,7 +154,8 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
 
 def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        keys = [hash_words([text for text, _ in lines_of(page)]).view(np.int64) for page in batch["html"]]
+        # A line's words are run together, so that each line is one word to hash.
+        keys = [hash_words("\n".join(text.replace(" ", "_") for text, _ in lines_of(page))).view(np.int64) for page in batch["html"]]
         yield batch[["page_id", "version", "host", "path"]].assign(lines=keys)
 
 

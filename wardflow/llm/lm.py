@@ -29,12 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import hash_words, keep, mixed, words_of
+from wardflow.llm.common import hash_words, keep, mixed
 
 #: Tokens of a block, and questions answered by one task.
 BLOCK_TOKENS = 4_000_000
 PART_KEYS = 2_000_000
-END = "\n"  # no word holds a line break
+END = np.array([0x5851F42D4C957F2D], np.uint64)
 MAIN, WEIGHTS, HELD_OUT = 0, 1, 2
 BUCKETS = 32
 ROUNDS = 60
@@ -74,10 +74,9 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         }
         return pd.DataFrame({k: [v] for k, v in row.items()})
 
-    end = hash_words([END])
     for batch in batches:
         for doc_id, role, text in zip(batch["doc_id"], batch["role"], batch["text"]):
-            tokens = np.concatenate([hash_words(words_of(text if isinstance(text, str) else None)), end])
+            tokens = np.concatenate([hash_words(text), END])
             held[0].append(None if doc_id is None or doc_id != doc_id else doc_id)
             held[1].append(role)
             held[2].append(tokens)

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import drop, hash_words, keep, mixed, words_of
+from wardflow.llm.common import drop, hash_words, keep, mixed
 
 WORDS = 5
 BANDS, ROWS = 40, 5
@@ -43,18 +43,18 @@ ADDENDS = _draw.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 
 def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
     """The distinct shingle hashes of a text, in order."""
-    h = hash_words(words_of(text))
+    h = hash_words(text)
     if not len(h):
         return h
     size = min(size, len(h))
     with np.errstate(over="ignore"):
         rolled = np.full(len(h) - size + 1, size, np.uint64)
         for i in range(size):
-            rolled = mixed(rolled * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - size + 1 + i])
-    return np.unique(rolled)
+            rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - size + 1 + i]
+        return np.unique(mixed(rolled))
 
 
-def minima(grams: np.ndarray, step: int = 2048) -> np.ndarray:
+def minima(grams: np.ndarray, step: int = 512) -> np.ndarray:
     """Minimum of each universal hash function over a non-empty set, in blocks."""
     low = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):

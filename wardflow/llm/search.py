@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import hash_words, keep, words_of
+from wardflow.llm.common import hash_words, keep
 
 SHARD_TOKENS = 8_000_000
 GROUP_QUERIES = 8192
@@ -77,7 +77,7 @@ def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
-            tokens = hash_words(words_of(text if isinstance(text, str) else None))
+            tokens = hash_words(text)
             terms, counts = np.unique(tokens, return_counts=True)
             top = int(terms[np.argmax(counts)]) if len(terms) else 0
             docs.append((None if doc_id is None or doc_id != doc_id else doc_id, top, tokens, terms, counts))
@@ -178,7 +178,7 @@ def top_k(spark: SparkSession, documents: DataFrame, queries: DataFrame, k: int
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [np.unique(hash_words(words_of(t if isinstance(t, str) else None))).view(np.int64) for t in batch["text"]]
+            sets = [np.unique(hash_words(t)).view(np.int64) for t in batch["text"]]
             yield pd.DataFrame({"query_id": np.repeat(batch["query_id"].to_numpy(), [len(s) for s in sets]), "term": np.concatenate([*sets, np.zeros(0, np.int64)])})
 
     terms = queries.where(F.col("query_id").isNotNull()).select("query_id", "text").mapInPandas(split, f"query_id {asked_kind}, term long").distinct()
