@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import keep
+from wardflow.llm.common import drop, keep
 
 #: Words a repeated run must hold to be removed.
 MIN_WORDS = 20
@@ -81,6 +81,9 @@ def repeats(spark: SparkSession, documents: DataFrame, min_words: int = MIN_WORD
         .where("first <> last")
         .select("digest", "first")
     )
+    # Written, so that the join below has plain tables on both sides and the
+    # occurrences of a very common line can be split over tasks.
+    firsts, firsts_path = keep(spark, firsts, "repeated-units")
     later = found.join(firsts, "digest").where(place > F.col("first")).select("doc_id", "version", "begin", "end", "words")
     in_order = Window.partitionBy("doc_id", "version").orderBy("begin")
     fresh = F.coalesce((F.col("begin") > F.lag("end").over(in_order)).cast("int"), F.lit(1))
@@ -92,7 +95,10 @@ def repeats(spark: SparkSession, documents: DataFrame, min_words: int = MIN_WORD
         .agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.sum("words").alias("words"))
         .where(F.col("words") >= min_words)
     )
-    return runs.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
+    spans = runs.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
+    spans, _ = keep(spark, spans, "repeated-spans")
+    drop(spark, [path, firsts_path])
+    return spans
 
 
 def remove_repeats(spark: SparkSession, documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
