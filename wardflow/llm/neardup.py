@@ -4,11 +4,13 @@
    the same set are one class; only class representatives go on.
 2. ``BANDS * ROWS`` universal hash functions give minima; each band of them is a
    bucket key. Buckets are never expanded into all pairs: each bucket's members
-   are first compared with its smallest member only. Where a bucket then still
-   spans several components, its members outside the most common one are compared
-   with the rest, so no candidate pair between different components is skipped.
-3. A pair passes a length test, a comparison of one-byte signatures and then the
-   exact test on full sets: 100 * intersection >= 75 * union.
+   are first compared with its smallest member only, twice over.
+3. Such a pair passes a length test, a comparison of one-byte signatures and then
+   the exact test on full sets: 100 * intersection >= 75 * union.
+   Where a bucket then still spans several components, its members outside the
+   most common one meet all others through an inverted list of their shingles,
+   in tiles of bounded size, so no candidate between components is skipped; only
+   links that join two components leave the task.
 4. Links become components by alternating large-star and small-star.
 
 At a similarity of exactly 0.75 a pair shares no band with a probability of
@@ -29,11 +31,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import drop, hash_words, keep, mixed
+from wardflow.llm.common import drop, hash_words, keep, mixed, spans
 
 WORDS = 5
 BANDS, ROWS = 40, 5
 SIMILARITY = 75
+#: Bucket members that meet in one tile.
+TILE = 2048
 #: Share of equal signature bytes below which a pair at 0.75 is not to be expected: six deviations.
 LEAST_EQUAL = 0.566
 _draw = np.random.Generator(np.random.PCG64(20240229))
@@ -176,19 +180,16 @@ def link(spark: SparkSession, documents: DataFrame) -> DataFrame:
     drop(spark, [reps_path])
 
     placed = members.select("bucket", "node", F.col("node").alias("component"))
-    links, tested, labels = None, None, None
-    for narrow in (True, True, False):
-        pairs = _star_pairs(placed) if narrow else _cross_pairs(placed)
+    tested, labels = None, None
+    for _ in range(2):
+        pairs = _star_pairs(placed)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs, _ = keep(spark, pairs, "candidates")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found, _ = keep(spark, _verified(pairs, signatures, sets), "verified")
-        links = found if links is None else labels.select(F.col("component").alias("a"), F.col("node").alias("b")).union(found)
-        labels = components(spark, links)
-        placed = (
-            members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-        )
+        tested = pairs
+        labels = _joined(spark, labels, _verified(pairs, signatures, sets))
+        placed = _placed(members, labels)
+    labels = _joined(spark, labels, _tiled_links(placed, sets))
     joined = one.join(classes, "digest", "left").join(labels, "node", "left")
     component = F.coalesce("component", "node", "doc_id")
     return joined.select(
@@ -215,14 +216,71 @@ def _star_pairs(placed: DataFrame) -> DataFrame:
     )
 
 
-def _cross_pairs(placed: DataFrame) -> DataFrame:
-    """Members outside a bucket's largest component with those of other components."""
+def _joined(spark: SparkSession, labels: DataFrame | None, found: DataFrame) -> DataFrame:
+    """Components of the links so far and the newly found ones."""
+    found = found.select("a", "b")
+    if labels is not None:
+        found = found.union(labels.select(F.col("component").alias("a"), F.col("node").alias("b")))
+    return components(spark, found)
+
+
+def _placed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+
+
+def _tiled_links(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) of members outside a bucket's largest component with its others.
+
+    A small bucket shares its task with others; one of more than ``TILE`` members
+    is cut into tiles, in which each slice of its outsiders meets each slice of
+    its members.
+    """
     sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("k"))
-    bulk = sizes.groupBy("bucket").agg(F.max(F.struct("k", "component")).alias("m"), F.count("*").alias("parts")).where("parts > 1")
-    open_members = placed.join(bulk.select("bucket", F.col("m.component").alias("bulk")), "bucket")
-    outside = open_members.where("component <> bulk").select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
-    inside = open_members.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
-    return _ordered(outside.join(inside, "bucket").where("ca <> cb").select("a", "b"))
+    bulk = (
+        sizes.groupBy("bucket")
+        .agg(F.max(F.struct("k", "component")).alias("m"), F.count("*").alias("parts"), F.sum("k").alias("k"))
+        .where("parts > 1")
+        .select("bucket", F.col("m.component").alias("bulk"), F.ceil(F.col("k") / TILE).cast("int").alias("slices"))
+    )
+    opened = placed.join(bulk, "bucket").join(sets, "node")
+    outsider, slice_of = F.col("component") != F.col("bulk"), F.pmod(F.hash("node"), F.col("slices"))
+    columns = ["bucket", "node", "component", "grams"]
+    small = opened.where("slices = 1").select(
+        F.pmod(F.xxhash64("bucket"), F.lit(TILE)).alias("tile"), F.lit(-1).alias("other"), *columns, outsider.alias("asks"), F.lit(True).alias("asked")
+    )
+    others = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
+    large = opened.where("slices > 1")
+    asks = large.where(outsider).select((F.col("bucket") * 31 + slice_of).alias("tile"), others.alias("other"), *columns, F.lit(True).alias("asks"), F.lit(False).alias("asked"))
+    asked = large.withColumn("tile", others).select((F.col("bucket") * 31 + F.col("tile")).alias("tile"), slice_of.alias("other"), *columns, F.lit(False).alias("asks"), F.lit(True).alias("asked"))
+    kind = placed.schema["node"].dataType.simpleString()
+    return small.unionByName(asks).unionByName(asked).groupBy("tile", "other").applyInPandas(_linked, f"a {kind}, b {kind}").distinct()
+
+
+def _linked(tile: pd.DataFrame) -> pd.DataFrame:
+    """For each asking member, its first link to every other component of the bucket."""
+    out = []
+    for _, bucket in tile.groupby("bucket", sort=False):
+        asks, asked = bucket[bucket["asks"]], bucket[bucket["asked"]].sort_values("node")
+        if not len(asks) or not len(asked):
+            continue
+        sizes = asked["grams"].map(len).to_numpy()
+        grams = np.concatenate(asked["grams"].to_numpy())
+        order = np.argsort(grams, kind="stable")
+        owners = np.repeat(np.arange(len(asked)), sizes)[order]
+        known, begins, counts = np.unique(grams[order], return_index=True, return_counts=True)
+        nodes, components_of = asked["node"].to_numpy(), asked["component"].to_numpy()
+        for node, component, mine in zip(asks["node"], asks["component"], asks["grams"]):
+            at = np.searchsorted(known, mine)
+            at[at == len(known)] = 0
+            at = at[known[at] == mine]
+            shared = np.bincount(owners[spans(begins[at], counts[at])], minlength=len(asked))
+            near = (100 * shared >= SIMILARITY * (len(mine) + sizes - shared)) & (components_of != component)
+            seen = set()
+            for other in np.flatnonzero(near):
+                if components_of[other] not in seen:
+                    seen.add(components_of[other])
+                    out.append((node, nodes[other]))
+    return pd.DataFrame(out, columns=["a", "b"])
 
 
 def keep_representatives(spark: SparkSession, documents: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import hash_words, keep
+from wardflow.llm.common import hash_words, keep, spans
 
 SHARD_TOKENS = 8_000_000
 GROUP_QUERIES = 8192
@@ -90,13 +90,6 @@ def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield shard()
 
 
-def spans(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers begin, begin + 1, ... of every span, one span after another."""
-    total = int(sizes.sum())
-    offsets = np.cumsum(sizes) - sizes
-    return np.arange(total) - np.repeat(offsets - begins, sizes)
-
-
 class Index:
     """Postings of a shard with their contributions, in runs of word and block."""
 
