@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from tests.llm.conftest import prose
 from wardflow.llm import neardup
 from wardflow.llm.common import words_of
@@ -46,14 +48,21 @@ def test_equals_brute_force_on_chains_and_copies(spark):
     assert got == brute(docs)
 
 
-def test_hot_bucket_members_are_all_compared(spark):
+@pytest.mark.parametrize("tile", [neardup.TILE, 16])
+def test_hot_bucket_members_are_all_compared(spark, monkeypatch, tile):
     """A base text with many edits of it, which are unlike each other."""
+    monkeypatch.setattr(neardup, "TILE", tile)
     draw = random.Random(9)
     base = prose(77, 100).split()
     docs = [(500, " ".join(base))]
     for i in range(120):
         at = draw.randrange(0, 90)
-        docs.append((i + 1 if i % 2 else 1000 + i, " ".join(base[:at] + [f"x{i}", f"y{i}"] + base[at + 2 :])))
+        edit = base[:at] + [f"x{i}", f"y{i}"] + base[at + 2 :]
+        if i % 3 == 0:  # too far from the base, but near to their own copy
+            edit[at // 2] = f"z{i}"
+            edit[at // 3] = f"v{i}"
+            docs.append((2000 + i, " ".join(edit[:-1] + [f"w{i}"])))
+        docs.append((i + 1 if i % 2 else 1000 + i, " ".join(edit)))
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.link(spark, frame).collect()}
     assert got == brute(docs)
