@@ -220,7 +220,8 @@ def test_kafka_records_map_to_envelopes(spark):
 def test_etl_in_order_and_the_questions_about_it(spark, lake):
     lake.drop("FAC_1/a.csv", HEADER + "FAC_1,2026-01-01,RN,5,10,40,4,DAY\nFAC_1,2026-01-01,RN,x,10,40,4,DAY\n")
     etl = jobs.run_etl(spark, str(lake.landing), lake.root, "2026-01-02")
-    assert etl == {"bronze": "SUCCESS", "silver": "SUCCESS", "gold": "SUCCESS", "features": "SUCCESS"}
+    assert etl == {"bronze": "SUCCESS", "silver": "SUCCESS", "gold": "SUCCESS", "features": "SUCCESS", "marts": "SUCCESS"}
+    assert jobs.read_mart(spark, lake.root, "facility_daily_summary").count() == 1
     (bad,) = ask(spark, lake.root, "quarantine_unresolved").collect()
     options = {"file": bad.source_file, "facility": "FAC_1", "checksum": lake.read("ingestion_ledger").first().file_checksum}
     answers = {name: ask(spark, lake.root, name, **options).collect() for name in NAMES}
@@ -230,7 +231,7 @@ def test_etl_in_order_and_the_questions_about_it(spark, lake):
     assert [(r.rule, r.records) for r in answers["quarantine_by_rule"]] == [("STAFF_COUNT_NOT_NUMERIC", 1)]
     for name in ("duplicate_check", "files_with_quarantine", "quarantine_by_file", "quarantine_of_facility", "dq_trend"):
         assert len(answers[name]) == 1, name
-    assert len(answers["job_status"]) == len(answers["pipeline_runs"]) == 4
+    assert len(answers["job_status"]) == len(answers["pipeline_runs"]) == 5
     assert answers["schema_drift"] == answers["pipeline_failures"] == []
 
     index = lake.read("quarantine_index")

@@ -12,10 +12,10 @@ from wardflow.config import build_session
 from wardflow.operators import ops
 from wardflow.plans.jobs import read_quarantine
 from wardflow.schemas import TABLES
-from wardflow.sources.tables import read_table
+from wardflow.sources.tables import read_snapshot, read_table
 
 NAMES = [
-    "all", "alerts", "dq_trend", "duplicate_check", "files_with_quarantine", "job_status", "pipeline_failures",
+    "all", "alerts", "dq_trend", "duplicate_check", "files_with_quarantine", "job_status", "missed_files", "pipeline_failures",
     "pipeline_runs", "quarantine_by_file", "quarantine_by_rule", "quarantine_of_facility", "quarantine_unresolved",
     "schema_drift",
 ]
@@ -36,7 +36,8 @@ def ask(spark: SparkSession, root: str, query: str, **given) -> DataFrame:
             table("schema_registry"), table("job_bookmark"), table("pipeline_log"), as_of,
         ),
         "alerts": lambda: ops.alerts(
-            table("data_quality_results"), table("job_bookmark"), read_quarantine(spark, root), as_of
+            table("data_quality_results"), table("job_bookmark"), read_quarantine(spark, root), as_of,
+            table("schema_registry"),
         ),
         "dq_trend": lambda: ops.dq_trend(
             table("data_quality_results"), given.get("dataset") or "sftp_staffing", as_of[:10], days
@@ -44,6 +45,7 @@ def ask(spark: SparkSession, root: str, query: str, **given) -> DataFrame:
         "duplicate_check": lambda: ops.duplicate_check(table("ingestion_ledger"), given["checksum"]),
         "files_with_quarantine": lambda: ops.files_with_quarantine(read_quarantine(spark, root)),
         "job_status": lambda: ops.job_status(table("pipeline_log"), as_of[:10]),
+        "missed_files": lambda: read_snapshot(spark, TABLES["file_schedule"], root).filter("consecutive_misses > 0"),
         "pipeline_failures": lambda: ops.pipeline_failures(table("pipeline_log"), as_of, days),
         "pipeline_runs": lambda: ops.pipeline_runs(table("pipeline_runs"), as_of, days),
         "quarantine_by_file": lambda: ops.quarantine_by_file(read_quarantine(spark, root), given["file"]),

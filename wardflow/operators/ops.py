@@ -113,10 +113,13 @@ def health_check(
     return out
 
 
-def alerts(results: DataFrame, bookmarks: DataFrame, index: DataFrame, as_of: str) -> DataFrame:
+def alerts(
+    results: DataFrame, bookmarks: DataFrame, index: DataFrame, as_of: str, registry: DataFrame | None = None
+) -> DataFrame:
     """(alert, subject, severity) rows for the data-side conditions: a pass
     rate below 90, a bookmark not moved on the day by 08:00, an unresolved
-    quarantine record older than 30 minutes."""
+    quarantine record older than 30 minutes, and, with the schema registry, a
+    dataset whose files do not all have the same columns."""
     now = F.lit(as_of).cast("timestamp")
     low = results.filter(F.col("pass_rate") < PASS_RATE_WARN).select(
         F.lit("DQ_PASS_RATE").alias("alert"), F.col("source_file").alias("subject"), F.lit("FAIL").alias("severity")
@@ -142,7 +145,15 @@ def alerts(results: DataFrame, bookmarks: DataFrame, index: DataFrame, as_of: st
             F.lit("WARN").alias("severity"),
         )
     )
-    return low.unionByName(stale).unionByName(waiting)
+    found = low.unionByName(stale).unionByName(waiting)
+    if registry is None:
+        return found
+    drifted = (
+        schema_drift(registry)
+        .filter(F.size("drifted_columns") > 0)
+        .select(F.lit("SCHEMA_DRIFT").alias("alert"), F.col("dataset_name").alias("subject"), F.lit("WARN").alias("severity"))
+    )
+    return found.unionByName(drifted)
 
 
 def within_retention(df: DataFrame, date_column: str, as_of: str, days: int) -> DataFrame:

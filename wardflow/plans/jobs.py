@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow.config import RETENTION_DAYS
 from wardflow.functions.staffing import all_of
-from wardflow.operators import scd2
+from wardflow.operators import marts, scd2
 from wardflow.operators.control import (
     append_registry,
     batches_reached,
@@ -19,6 +21,7 @@ from wardflow.operators.control import (
     layer_status_rows,
     mark_batches,
     migrate_file_schedule,
+    missed_files,
     seed_schedule,
     start_pipeline_run,
     write_job_bookmark,
@@ -40,6 +43,8 @@ from wardflow.schemas import TABLES, create_all_tables
 from wardflow.sources.tables import (
     NothingToDo,
     append_batch,
+    drop_folder,
+    partition_values,
     path_exists,
     read_snapshot,
     read_table,
@@ -247,6 +252,89 @@ def run_schedule_migration(spark: SparkSession, path: str, backup_path: str, roo
     return "MIGRATED"
 
 
+def run_missed_files(spark: SparkSession, root: str, arrivals: DataFrame, as_of: str, since: str) -> str:
+    """Store in the schedule when each source last sent a file and how many
+    expected ones are missing in a row."""
+
+    def work(run_id: str) -> tuple[int, None]:
+        table = TABLES["file_schedule"]
+        late = missed_files(read_snapshot(spark, table, root), arrivals, as_of, since)
+        with staged(spark, late, "missed") as rows:
+            upsert_table(spark, table, root, rows.select(*table.struct.names))
+            return rows.filter("consecutive_misses > 0").count(), None
+
+    return tracked(spark, root, "Missed_Files", "CONTROL", TABLES["file_schedule"].full_name, work)
+
+
+def registered_arrivals(spark: SparkSession, root: str) -> DataFrame:
+    """(facility_id, file_type, received_at) of the staffing files taken in."""
+    files = read_table(spark, TABLES["file_registry"], root)
+    return files.select(F.col("hospital_id").alias("facility_id"), F.lit("STAFFING").alias("file_type"), F.col("bronze_at").alias("received_at"))
+
+
+# The layer whose limit holds for a table and the column its folders are named by.
+DATED_TABLES = [
+    ("bronze", "stg_staffing", "_ingest_date"),
+    ("silver", "staffing_standardized", "work_date"),
+    ("silver", "staffing_shifts", "work_date"),
+    ("silver", "adt_events_standardized", "event_date"),
+    ("gold", "fact_staffing", "date_key"),
+    ("gold", "fact_overtime", "date_key"),
+    ("gold", "fact_census_realtime", "event_date"),
+]
+DATED_FOLDERS = [("audit", "audit/ingestion", "date"), ("audit", "audit/realtime", "date"), ("bronze", "bronze/realtime_json", "date")]
+
+
+def run_retention(spark: SparkSession, root: str, as_of: str) -> list[str]:
+    """Drop the day folders that are past their layer's limit; returns them.
+
+    Whole folders go, no file is opened, and undated rows stay.
+    """
+    folders = [(layer, TABLES[name].path(root), column) for layer, name, column in DATED_TABLES]
+    folders += [(layer, f"{root}/{path}", column) for layer, path, column in DATED_FOLDERS]
+    dropped = []
+    for layer, path, column in folders:
+        oldest = str(date.fromisoformat(as_of) - timedelta(days=RETENTION_DAYS[layer]))
+        for value in partition_values(spark, path, column):
+            day = f"{value[:4]}-{value[4:6]}-{value[6:]}" if column == "date_key" else value
+            if day[:1].isdigit() and day < oldest:
+                drop_folder(spark, f"{path}/{column}={value}")
+                dropped.append(f"{path}/{column}={value}")
+    return dropped
+
+
+def write_marts(spark: SparkSession, root: str, gold: dict[str, DataFrame], dim: DataFrame) -> None:
+    """Store the KPI marts, each as a new version of its snapshot."""
+    built = {
+        "facility_daily_summary": marts.facility_daily_summary(gold["fact_staffing"]),
+        "np_ratio_realtime": marts.np_ratio_realtime(gold["fact_census_realtime"], gold["fact_staffing"]),
+        "ot_summary_monthly": marts.ot_summary_monthly(gold["fact_overtime"]),
+        "scorecard_quarterly": marts.scorecard_quarterly(gold["fact_staffing"], gold["fact_overtime"]),
+        "dq_dashboard": marts.dq_dashboard(gold["data_quality_results"]),
+        "dim_facility_current": marts.current_facilities(dim),
+    }
+    for name, rows in built.items():
+        write_snapshot(spark, rows, f"{root}/marts/{name}")
+
+
+def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The current version of a stored mart."""
+    return spark.read.parquet(snapshot_folder(spark, f"{root}/marts/{name}"))
+
+
+def run_marts(spark: SparkSession, root: str) -> str:
+    """Rebuild the stored marts from the Gold tables."""
+
+    def work(run_id: str) -> tuple[int, None]:
+        names = ["fact_staffing", "fact_overtime", "fact_census_realtime", "data_quality_results"]
+        gold = {name: read_table(spark, TABLES[name], root) for name in names}
+        require_rows(gold["fact_staffing"], "NO_GOLD_DATA")
+        write_marts(spark, root, gold, read_snapshot(spark, TABLES["dim_facility"], root))
+        return 0, None
+
+    return tracked(spark, root, "KPI_Marts", "GOLD", TABLES["fact_staffing"].full_name, work)
+
+
 RESOLUTIONS = "source_file STRING, record_hash STRING"
 
 
@@ -279,6 +367,7 @@ def run_etl(
         "silver": run_silver(spark, root),
         "gold": run_gold(spark, root, run_date, attributes),
         "features": run_features(spark, root),
+        "marts": run_marts(spark, root),
     }
 
 

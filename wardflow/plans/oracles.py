@@ -388,7 +388,13 @@ STATEMENTS: dict[str, str] = {
     "alerts": f"""select 'DQ_PASS_RATE' alert, source_file subject, 'FAIL' severity from dq_results where pass_rate<90
  union all select 'BOOKMARK_STALE', concat(job_name,'/',source_name), 'WARN' from bookmarks where updated_at<timestamp '{DAY}'
  union all select 'QUARANTINE_AGE', source_file, 'WARN' from bad_index where not resolved group by source_file
- having min(ingestion_timestamp)<timestamp '{AS_OF}'-interval 30 minute""",
+ having min(ingestion_timestamp)<timestamp '{AS_OF}'-interval 30 minute
+ union all select 'SCHEMA_DRIFT', dataset_name, 'WARN' from drift where drifted_columns<>''""",
+    "retention_job": f"""select {txt('cast(_ingested_at as date)')} _ingest_date, count(*) records from staffing_raw
+ where _ingested_at>=timestamp '1998-06-01' and cast(_ingested_at as date)>=date '1999-07-11'-365 group by 1""",
+    "stored_missed_files": f"""select facility_id, file_type, schedule_cron,
+ {ts('greatest(coalesce(last_received_at, arrived), coalesce(arrived, last_received_at))')} last_received_at,
+ cast(coalesce(misses,0) as int) consecutive_misses from last_seen left join slots using (facility_id)""",
     "quarantine_of_facility": f"""select source_file, {ts('ingestion_timestamp')} ingestion_timestamp, record_hash from bad_index
  where facility_id='FAC_1' and cast(ingestion_timestamp as date)>date '1998-03-24' and cast(ingestion_timestamp as date)<=date '1998-03-31'""",
     "retention": " union all ".join(
@@ -411,6 +417,9 @@ STATEMENTS: dict[str, str] = {
  qualify row_number() over (partition by c.facility_id order by work_date desc)=1)""",
     "ot_summary_monthly": f"""select facility_id, role_code, {txt("cast(date_trunc('month',work_date) as date)")} as month,
  sum(hours_overtime) overtime_hours, sum(overtime_cost_est) overtime_cost, count(*) overtime_rows
+ from overtime group by facility_id, role_code, date_trunc('month',work_date)""",
+    "stored_marts": f"""select facility_id, role_code, {txt("cast(date_trunc('month',work_date) as date)")} as month,
+ sum(hours_overtime) overtime_hours, sum(overtime_cost_est) overtime_cost, count(*) overtime_rows
  from overtime group by facility_id, role_code, date_trunc('month',work_date)""",
     "scorecard_quarterly": f"""select s.facility_id, {txt('s.q')} as quarter, avg_nurse_patient_ratio, understaffed_share, overtime_pct,
  coalesce(overtime_cost,0.0) overtime_cost from

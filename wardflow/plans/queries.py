@@ -71,9 +71,15 @@ def judged(spark, sf) -> DataFrame:
     return quality.with_reasons(raw(spark, sf))
 
 
-def all_index(spark, sf) -> DataFrame:
+def all_index(spark, sf, rows: DataFrame | None = None) -> DataFrame:
     """Quarantine index of the staffing rows, nothing resolved."""
-    return quality.quarantine_index(quality.split_valid(raw(spark, sf))[1], STAFFING_COLUMNS)
+    bad = quality.split_valid(raw(spark, sf))[1] if rows is None else rows.filter(F.size("reasons") > 0)
+    return quality.quarantine_index(bad, STAFFING_COLUMNS)
+
+
+def judged_once(spark, sf) -> DataFrame:
+    """Judged rows, written once for queries that look at them several ways."""
+    return tables.stage(spark, judged(spark, sf), "judged")
 
 
 def fixed():
@@ -81,13 +87,13 @@ def fixed():
     return F.substring("record_hash", 1, 1).isin("0", "1", "2", "3")
 
 
-def bad_index(spark, sf) -> DataFrame:
+def bad_index(spark, sf, rows: DataFrame | None = None) -> DataFrame:
     """The index with the corrected records resolved."""
-    return all_index(spark, sf).withColumn("resolved", fixed())
+    return all_index(spark, sf, rows).withColumn("resolved", fixed())
 
 
-def dq_results(spark, sf) -> DataFrame:
-    rows = judged(spark, sf).select(
+def dq_results(spark, sf, rows: DataFrame | None = None) -> DataFrame:
+    rows = (judged(spark, sf) if rows is None else rows).select(
         F.lit(DATASET).alias("dataset_name"),
         F.col("_source_file").alias("source_file"),
         F.col("_ingested_at").alias("run_timestamp"),
@@ -111,9 +117,9 @@ def replayed_events(spark, sf) -> DataFrame:
     return events.unionByName(events.filter("seq % 10 = 0"))
 
 
-def manifest(spark, sf) -> DataFrame:
+def manifest(spark, sf, rows: DataFrame | None = None) -> DataFrame:
     """Files of the staffing rows; files of one facility and month are copies."""
-    return raw(spark, sf).groupBy(F.col("_source_file").alias("path")).agg(
+    return (raw(spark, sf) if rows is None else rows).groupBy(F.col("_source_file").alias("path")).agg(
         F.md5(F.first(F.concat(F.substring("_source_file", 1, 18), F.date_format("_ingested_at", "yyyyMM")))).alias(
             "file_checksum"
         ),
@@ -122,8 +128,8 @@ def manifest(spark, sf) -> DataFrame:
     )
 
 
-def ledger(spark, sf) -> DataFrame:
-    return manifest(spark, sf).filter(F.col("received_at") <= F.lit(HALF_WAY).cast("timestamp"))
+def ledger(spark, sf, rows: DataFrame | None = None) -> DataFrame:
+    return manifest(spark, sf, rows).filter(F.col("received_at") <= F.lit(HALF_WAY).cast("timestamp"))
 
 
 def registry(spark, sf) -> DataFrame:
@@ -1095,15 +1101,17 @@ def duplicate_check(spark, sf):
 
 @query
 def health_check(spark, sf):
+    rows = judged_once(spark, sf)
     return ops.health_check(
-        ledger(spark, sf), bad_index(spark, sf), dq_results(spark, sf), versions(spark, sf),
+        ledger(spark, sf, rows), bad_index(spark, sf, rows), dq_results(spark, sf, rows), versions(spark, sf),
         fixtures.load(spark, sf, "job_bookmarks"), fixtures.load(spark, sf, "pipeline_log"), AS_OF,
     )
 
 
 @query
 def alerts(spark, sf):
-    return ops.alerts(dq_results(spark, sf), fixtures.load(spark, sf, "job_bookmarks"), bad_index(spark, sf), AS_OF)
+    rows = judged_once(spark, sf)
+    return ops.alerts(dq_results(spark, sf, rows), fixtures.load(spark, sf, "job_bookmarks"), bad_index(spark, sf, rows), AS_OF, versions(spark, sf))
 
 
 @query
@@ -1130,9 +1138,48 @@ def retention(spark, sf):
     return out
 
 
+@query
+def retention_job(spark, sf):
+    """Days left in Bronze after the retention job dropped whole folders."""
+    root, path = tables.scratch_path(spark, "lake"), TABLES["stg_staffing"].full_name
+    rows = raw(spark, sf).filter("_ingested_at >= '1998-06-01'").withColumn("_ingest_date", F.to_date("_ingested_at"))
+    stored = f"{root}/{path.replace('.', '/')}"
+    rows.repartition("_ingest_date").write.partitionBy("_ingest_date").parquet(stored)
+    jobs.run_retention(spark, root, "1999-07-11")
+    left = spark.read.schema("facility_id STRING, _ingest_date DATE").parquet(stored)
+    return left.groupBy("_ingest_date").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query
+def stored_missed_files(spark, sf):
+    """Misses as the schedule table holds them after the job ran twice."""
+    root, table = tables.scratch_path(spark, "lake"), TABLES["file_schedule"]
+    tables.write_snapshot(spark, schedule(spark, sf).select(*table.struct.names), table.path(root))
+    arrivals = fixtures.load(spark, sf, "arrivals")
+    for _ in range(2):
+        jobs.run_missed_files(spark, root, arrivals, AS_OF, SINCE)
+    return tables.read_snapshot(spark, table, root).filter("is_active").select(
+        "facility_id", "file_type", "schedule_cron", "last_received_at", "consecutive_misses"
+    )
+
+
 # --- KPI marts ----------------------------------------------------------------
 
 
+@query
+def stored_marts(spark, sf):
+    """The monthly overtime mart as stored after Gold."""
+    root = tables.scratch_path(spark, "lake")
+    gold = {
+        "fact_staffing": facts.fact_staffing(silver(spark, sf)),
+        "fact_overtime": facts.fact_overtime(shifts(spark, sf)),
+        "fact_census_realtime": census.hourly_census(census.unique_events(events_silver(spark, sf))),
+        "data_quality_results": dq_results(spark, sf),
+    }
+    jobs.write_marts(spark, root, gold, dim_before(spark, sf))
+    return jobs.read_mart(spark, root, "ot_summary_monthly")
+
+
 @query
 def facility_daily_summary(spark, sf):
     return marts.facility_daily_summary(facts.fact_staffing(silver(spark, sf)))

@@ -176,6 +176,16 @@ def register_table(spark: SparkSession, name: str, path: str, partitioned: bool
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a table's first partition column, from its folder names."""
+    if not path_exists(spark, path):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    names = [f.getPath().getName() for f in found]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder and everything in it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -153,11 +153,13 @@ def update_census(spark: SparkSession, batch: DataFrame, root: str) -> None:
     """Bring the census fact up to date with a batch of Silver events."""
     fact = TABLES["fact_census_realtime"]
     silver = read_table(spark, TABLES["adt_events_standardized"], root)
-    first_day = batch.agg(F.min("event_date")).first()[0]
+    first_day, last_day = batch.agg(F.min("event_date"), F.max("event_date")).first()
     if first_day is None:
         return
     recent = silver.filter(F.col("event_date") >= F.lit(first_day))
-    upsert_table(spark, fact, root, census_update(batch, recent, read_table(spark, fact, root)))
+    # A unit's opening value lies before its first touched hour.
+    held = read_table(spark, fact, root).filter(F.col("event_date") <= F.lit(last_day))
+    upsert_table(spark, fact, root, census_update(batch, recent, held))
 
 
 def run_census_stream(spark: SparkSession, root: str, checkpoint: str) -> None:
