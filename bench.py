@@ -27,7 +27,7 @@ HEADLINE = [
     "silver_shifts",
     "fact_staffing",
     "fact_overtime",
-    "upsert_fact_staffing",
+    "merge_fact_staffing",
     "overtime_features",
     "standard_events",
     "hourly_census",
@@ -43,6 +43,12 @@ HEADLINE = [
     "scorecard_quarterly",
     "health_check",
     "alerts",
+    "ingest_bronze",
+    "event_silver_stream",
+    "replay_safe_stream",
+    "upsert_census",
+    "upsert_fact_staffing",
+    "late_batch_silver",
 ]
 
 

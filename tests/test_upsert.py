@@ -97,6 +97,14 @@ def test_snapshot_replaces_rows_and_schema(spark, tmp_path):
     assert (old.count(), new.count(), new.columns) == (3, 2, ["id", "x"])
 
 
+def test_only_the_last_versions_stay(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(5):
+        tables.write_snapshot(spark, spark.range(n), path, keep=2)
+    assert len(list((tmp_path / "t").glob("version=*"))) == 2
+    assert spark.read.parquet(tables.snapshot_folder(spark, path)).count() == 4
+
+
 def test_staged_folder_goes_with_its_block(spark):
     with tables.staged(spark, spark.range(5)) as rows:
         folder = rows.inputFiles()[0].rsplit("/", 1)[0]

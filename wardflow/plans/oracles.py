@@ -305,6 +305,7 @@ STATEMENTS: dict[str, str] = {
  union all select 'file_schedule', count(*) from schedule
  union all select 'quarantine_index', count(*) from bad_index""",
     "upsert_silver": f"select {SILVER_COLUMNS} from silver",
+    "merge_fact_staffing": f"select {FACT_COLUMNS} from fact",
     "upsert_fact_staffing": f"select {FACT_COLUMNS} from fact",
     "upsert_fact_overtime": f"select {OT_COLUMNS} from overtime",
     "upsert_census": f"select {CENSUS_COLUMNS} from census",

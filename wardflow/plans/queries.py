@@ -831,6 +831,13 @@ def upsert_silver(spark, sf):
     return tables.read_table(spark, table, root).drop("_source_file")
 
 
+@query
+def merge_fact_staffing(spark, sf):
+    """Both halves' facts merged on the fact key, without a stored table."""
+    old, new = (facts.fact_staffing(facts.silver_staffing(part)) for part in _halves(spark, sf))
+    return upsert.merge_rows(old, tables.stage(spark, new), TABLES["fact_staffing"].keys)
+
+
 @query
 def upsert_fact_staffing(spark, sf):
     """The stored staffing fact after both halves were merged into it."""

@@ -115,11 +115,14 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     )
 
 
-def write_snapshot(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+def write_snapshot(
+    spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None, keep: int = 3
+) -> str:
     """Full replacement, new schema allowed, while readers keep the old one.
 
     The rows go to a new version folder; one appended line then names it as
-    the current version. Returns the folder.
+    the current version. Of the versions named so, the last ``keep`` stay, so a
+    reader has that many replacements to finish in. Returns the folder.
     """
     version = uuid.uuid4().hex
     folder = f"{path}/version={version}"
@@ -133,6 +136,9 @@ def write_snapshot(spark: SparkSession, df: DataFrame, path: str, partition_by:
         number += spark.read.schema("number BIGINT, version STRING").json(f"{path}.versions").agg(F.max("number")).first()[0]
     pointer = spark.range(1).select(F.lit(number).cast("bigint").alias("number"), F.lit(version).alias("version"))
     pointer.write.mode("append").json(f"{path}.versions")
+    pointers = spark.read.schema("number BIGINT, version STRING").json(f"{path}.versions")
+    for row in pointers.filter(F.col("number") <= number - keep).collect():
+        drop_folder(spark, f"{path}/version={row.version}")
     return folder
 
 
