@@ -46,6 +46,14 @@ def train(documents: DataFrame, chosen: Column, docs_per_lang: int = 400, piece:
     """A dictionary's content for each language among the ``chosen`` rows."""
     rows = documents.where(chosen & F.col("lang").isNotNull() & (F.trim("text") != "")).select("doc_id", "lang", "text")
     rank = F.xxhash64("doc_id", "text")
+    # A common language is thinned by the hash to about three times what is
+    # picked, before its rows meet for the ranking.
+    many = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    thin = F.lit(False)
+    for lang, n in many.items():
+        share = min(1.0, 3 * docs_per_lang / n)
+        thin = thin | ((F.col("lang") == lang) & (F.shiftrightunsigned(rank, 11) < int(share * 2**53)))
+    rows = rows.where(thin)
     begin = F.pmod(rank, F.greatest(F.length("text") - piece, F.lit(0)) + 1).cast("int") + 1
     pieces = rows.select("lang", rank.alias("rank"), F.substring(F.col("text"), begin, F.lit(piece)).alias("piece"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "piece"))
