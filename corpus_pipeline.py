@@ -21,7 +21,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that an earlier one holds."""
-    return substring.remove_repeats(spark, docs).select(docs.columns)
+    return substring.remove_repeats(spark, docs, spans_as=None)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

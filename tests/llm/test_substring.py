@@ -44,3 +44,5 @@ def test_odd_rows(spark, clashing_docs, no_docs):
     assert texts[13] == [prose(8, 30) + "\n"]
     assert all(len(r.text) == r.n_chars for r in rows if r.doc_id in (8, 13))
     assert substring.remove_repeats(spark, no_docs).count() == 0
+    plain = substring.remove_repeats(spark, clashing_docs, spans_as=None)
+    assert plain.columns == clashing_docs.columns and {r.spans for r in plain.collect()} == {"own"}

@@ -102,7 +102,7 @@ def _hits_by_join(scanned: DataFrame, grams: DataFrame, sizes: list[int]) -> Dat
 
 
 def scan(documents: DataFrame, benchmark: DataFrame, n: int = 13, set_limit: int = SET_LIMIT) -> DataFrame:
-    """(doc_id, n_words, spans, items) of every row.
+    """(doc_id, version, n_words, spans, items) of every row; ``version`` is the text's checksum.
 
     ``spans`` are the merged word ranges [begin, end), from 0, that windows
     cover, in order; ``items`` the sorted ids of the items with occurring
@@ -118,7 +118,7 @@ def scan(documents: DataFrame, benchmark: DataFrame, n: int = 13, set_limit: int
             by_size.setdefault(r["size"], []).append(r["h"])
     else:
         by_size = {r["size"]: [] for r in grams.select("size").distinct().collect()}
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", F.crc32("text").alias("version"))
     scanned = bound(rows, "w", words(F.col("text"))).drop("text")
     scanned = bound(scanned, "wh", F.transform("w", lambda w: F.xxhash64(w)))
     if not by_size:
@@ -127,12 +127,13 @@ def scan(documents: DataFrame, benchmark: DataFrame, n: int = 13, set_limit: int
         scanned = _hits_in_scan(scanned, by_size)
     else:
         scanned = _hits_by_join(scanned, grams, sorted(by_size))
-    found, _ = keep(spark, scanned.select("row", "doc_id", F.size("w").cast("long").alias("n_words"), "found"), "window-hits")
+    found, _ = keep(spark, scanned.select("row", "doc_id", "version", F.size("w").cast("long").alias("n_words"), "found"), "window-hits")
     listed = grams.groupBy("gram").agg(F.collect_set("item_id").alias("ids"))
     hits = found.select("row", F.explode("found").alias("f")).select("row", "f.*")
     spans = merged_spans(hits.join(F.broadcast(listed) if small else listed, "gram"))
-    return found.select("row", "doc_id", "n_words").join(spans, "row", "left").select(
+    return found.select("row", "doc_id", "version", "n_words").join(spans, "row", "left").select(
         "doc_id",
+        "version",
         "n_words",
         F.coalesce("spans", F.expr("cast(array() as array<struct<begin:int,end:int>>)")).alias("spans"),
         F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"),
@@ -166,14 +167,18 @@ def judge(documents: DataFrame, benchmark: DataFrame, n: int = 13, share: int =
 
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
-    """Documents without the contaminated ones; rows of one id go together."""
-    bad = judge(documents, benchmark, n, share).where("contaminated").select(F.col("doc_id").alias("__bad_id")).distinct()
-    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["__bad_id"]), "left_anti")
+    """Documents without the contaminated ones, each row judged by its own text."""
+    bad = judge(documents, benchmark, n, share).where("contaminated")
+    bad = bad.select(F.col("doc_id").alias("__bad_id"), F.col("version").alias("__bad_version")).distinct()
+    same = documents["doc_id"].eqNullSafe(bad["__bad_id"]) & (F.crc32(documents["text"]) == bad["__bad_version"])
+    return documents.join(bad, same, "left_anti")
 
 
 def remove_spans(documents: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
     """(doc_id, text) with the hit words taken out: the other normalised words, joined by a blank."""
-    spans = scan(documents, benchmark, n).where(F.size("spans") > 0).select("doc_id", "spans").dropDuplicates(["doc_id"])
-    joined = bound(documents.select("doc_id", "text").join(spans, "doc_id", "left"), "w", words(F.col("text")))
+    spans = scan(documents, benchmark, n).where(F.size("spans") > 0).drop("n_words", "items").dropDuplicates(["doc_id", "version"])
+    rows = documents.select(F.col("doc_id").alias("id"), "text", F.crc32("text").alias("v"))
+    joined = rows.join(spans, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("v") == F.col("version")), "left")
+    joined = bound(joined.select(F.col("id").alias("doc_id"), "text", "spans"), "w", words(F.col("text")))
     outside = F.filter("w", lambda w, i: ~F.exists("spans", lambda s: (s["begin"] <= i) & (i < s["end"])))
     return joined.select("doc_id", F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.array_join(outside, " ")).alias("text"))

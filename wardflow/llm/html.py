@@ -43,7 +43,7 @@ BLOCKS = frozenset(
 #: Elements without an end tag.
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not text of the page.
-RAW = frozenset("script style textarea title noscript template iframe svg select object canvas math xmp noembed noframes".split())
+RAW = frozenset("script style textarea title noscript template iframe svg select xmp noembed noframes".split())
 #: Elements and class, id or role words of surrounding matter.
 AROUND = frozenset("nav header footer aside form menu dialog button head".split())
 MARKS = frozenset(
@@ -69,8 +69,12 @@ def marked(name: str, attributes: str, in_main: bool) -> bool:
         return True
     if "=" not in attributes or name in ("html", "body"):
         return False
+    # A main element is marked by a whole name only ("comment", not
+    # "has-comments"), and what heads the article belongs to it.
+    marks = MARKS - {"header"} if in_main else MARKS
     for found in NAMED.finditer(attributes):
-        if not MARKS.isdisjoint(WORD.findall((found[1] or found[2] or found[3] or "").lower())):
+        value = (found[1] or found[2] or found[3] or "").lower()
+        if not marks.isdisjoint(value.split() if name in MAIN else WORD.findall(value)):
             return True
     return False
 

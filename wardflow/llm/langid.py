@@ -98,11 +98,12 @@ def identify(documents: DataFrame, contents: dict[str, bytes], margin: float = M
     """
     langs = list(contents)
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("lang_pred string, score double, margin double, rejected boolean")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         models = compressors(contents)
         for batch in batches:
             out = []
-            for text in batch["text"]:
+            for text in batch:
                 data = letters(text)
                 if not data or not langs:
                     out.append(("und", 0.0, 0.0, True))
@@ -114,12 +115,9 @@ def identify(documents: DataFrame, contents: dict[str, bytes], margin: float = M
                 saved = (got - best) / max(best, 1.0)
                 score = 1.0 / float(np.sum(np.exp2(-saved * 64)))
                 out.append((langs[order[0]], score, float(gap), len(got) > 1 and gap < margin))
-            frame = pd.DataFrame(out, columns=["lang_pred", "score", "margin", "rejected"])
-            frame.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield frame
+            yield pd.DataFrame(out, columns=["lang_pred", "score", "margin", "rejected"])
 
-    schema = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double, margin double, rejected boolean"
-    return documents.select("doc_id", "text").mapInPandas(judge, schema)
+    return documents.select("doc_id", judge("text").alias("judged")).select("doc_id", "judged.*")
 
 
 def keep_identified(documents: DataFrame, contents: dict[str, bytes], margin: float = MARGIN) -> DataFrame:

@@ -101,10 +101,13 @@ def repeats(spark: SparkSession, documents: DataFrame, min_words: int = MIN_WORD
     return spans
 
 
-def remove_repeats(spark: SparkSession, documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``documents`` with the repeated spans cut from ``text``, and ``spans`` of what was cut.
+def remove_repeats(
+    spark: SparkSession, documents: DataFrame, min_words: int = MIN_WORDS, spans_as: str | None = "spans"
+) -> DataFrame:
+    """``documents`` with the repeated spans cut from ``text``.
 
-    A column ``n_chars`` is brought up to date; a column ``spans`` is replaced.
+    A column ``n_chars`` is brought up to date. The cut [begin, end) ranges come
+    in a column ``spans_as``, in place of one of that name, unless it is None.
     """
 
     @F.pandas_udf("string")
@@ -121,8 +124,10 @@ def remove_repeats(spark: SparkSession, documents: DataFrame, min_words: int = M
     joined = joined.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut))
     if "n_chars" in documents.columns:
         joined = joined.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(documents.schema["n_chars"].dataType)))
-    none = F.expr("cast(array() as array<struct<begin:int,end:int>>)")
-    return joined.withColumn("spans", F.coalesce("__spans", none)).drop("__id", "__version", "__spans")
+    if spans_as is not None:
+        none = F.expr("cast(array() as array<struct<begin:int,end:int>>)")
+        joined = joined.withColumn(spans_as, F.coalesce("__spans", none))
+    return joined.drop("__id", "__version", "__spans")
 
 
 def _cut(text: str, spans) -> str:
