@@ -81,15 +81,12 @@ def statistics(text: str) -> list[float]:
 
 def with_statistics(documents: DataFrame, carried: list[str]) -> DataFrame:
     """The ``carried`` columns and ``x``, the array of statistics."""
-    kinds = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in carried)
 
-    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            frame = batch[carried].copy()
-            frame["x"] = [np.asarray(statistics(t if isinstance(t, str) else ""), float) for t in batch["text"]]
-            yield frame
+    @F.pandas_udf("array<double>")
+    def compute(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.asarray(statistics(t if isinstance(t, str) else ""), float) for t in texts], dtype=object)
 
-    return documents.select(*carried, "text").mapInPandas(compute, f"{kinds}, x array<double>")
+    return documents.select(*carried, compute("text").alias("x"))
 
 
 class Model:
@@ -160,16 +157,15 @@ def fit(spark: SparkSession, documents: DataFrame, labels: DataFrame, chosen: Co
 
 def scored(rows: DataFrame, model: Model, carried: list[str], calibrated: bool = True) -> DataFrame:
     """The ``carried`` columns and the score of rows that have statistics ``x``."""
-    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried)
 
-    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            frame = batch[carried].copy()
-            x = np.vstack(batch["x"].to_numpy()) if len(batch) else np.zeros((0, len(STATISTICS)))
-            frame["score"] = model.score(x) if calibrated else model.raw(x)
-            yield frame
+    @F.pandas_udf("double")
+    def compute(statistics_of: pd.Series) -> pd.Series:
+        if not len(statistics_of):
+            return pd.Series([], dtype=float)
+        x = np.vstack(statistics_of.to_numpy())
+        return pd.Series(model.score(x) if calibrated else model.raw(x))
 
-    return rows.select(*carried, "x").mapInPandas(compute, f"{kinds}, score double")
+    return rows.select(*carried, compute("x").alias("score"))
 
 
 def score(spark: SparkSession, documents: DataFrame, labels: DataFrame, chosen: Column, bound: int = BOUND) -> DataFrame:

@@ -23,8 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,19 +150,15 @@ def features(text: str, lexicon: dict[str, float], known: dict[str, float]) -> l
 
 
 def with_features(documents: DataFrame, lexicon: dict[str, float], carried: list[str]) -> DataFrame:
-    """The ``carried`` columns and one column for each feature."""
-    kinds = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in carried)
+    """The ``carried`` columns and the vector ``features``."""
 
-    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<double>")
+    def compute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict[str, float] = {}
         for batch in batches:
-            rows = [features(t if isinstance(t, str) else "", lexicon, known) for t in batch["text"]]
-            frame = pd.DataFrame(rows, columns=FEATURES, dtype=float)
-            for place, c in enumerate(carried):
-                frame.insert(place, c, batch[c].to_numpy())
-            yield frame
+            yield pd.Series([np.array(features(t if isinstance(t, str) else "", lexicon, known)) for t in batch], dtype=object)
 
-    return documents.select(*carried, "text").mapInPandas(compute, kinds + "".join(f", {f} double" for f in FEATURES))
+    return documents.select(*carried, array_to_vector(compute("text")).alias("features"))
 
 
 def score(spark: SparkSession, documents: DataFrame, labels: DataFrame, chosen: Column, bound: int = BOUND, trees: int = 20, depth: int = 4) -> DataFrame:
@@ -176,14 +171,12 @@ def score(spark: SparkSession, documents: DataFrame, labels: DataFrame, chosen:
         return rows.select("doc_id", flat.alias("score"), (flat >= 0.5).cast("int").alias("predicted"))
     lexicon = learn_lexicon(spark, sample.where(~F.col("calibrate")))
     train, _ = keep(spark, with_features(sample, lexicon, ["label", "calibrate"]), "toxic-features")
-    gather = VectorAssembler(inputCols=FEATURES, outputCol="features")
     model = GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=1).fit(
-        gather.transform(train.where(~F.col("calibrate")).coalesce(4))
+        train.where(~F.col("calibrate")).coalesce(4)
     )
 
     def raw(df: DataFrame, *columns: str) -> DataFrame:
-        scored = model.transform(gather.transform(df))
-        return scored.select(*columns, vector_to_array("probability")[1].alias("raw"))
+        return model.transform(df).select(*columns, vector_to_array("probability")[1].alias("raw"))
 
     xs, ys = calibration(raw(train, "label", "calibrate").where("calibrate"), "raw", "label")
 
