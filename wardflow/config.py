@@ -56,9 +56,6 @@ LAYOUT_RULES = ["SURPLUS_CELLS", "HEADER_NOT_READABLE"]
 # --- Fixed values: facility attributes whose changes open a new version ------
 TRACKED_ATTRIBUTES = ["bed_capacity", "staffing_benchmark"]
 
-# --- Fixed values: expected file types per facility --------------------------
-FILE_TYPES = ["STAFFING", "SCHEDULE_DELTA", "CALLOUT"]
-
 # --- Fixed values: days each layer keeps its rows ----------------------------
 RETENTION_DAYS = {
     "landing": 90,
