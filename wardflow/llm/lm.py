@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from wardflow.llm.common import hash_words, keep, mixed
 
 #: Tokens of a block, and questions answered by one task.
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 2_000_000
 PART_KEYS = 2_000_000
 END = np.array([0x5851F42D4C957F2D], np.uint64)
 MAIN, WEIGHTS, HELD_OUT = 0, 1, 2
@@ -48,7 +48,7 @@ def squeeze(values: np.ndarray) -> bytes:
 
 
 def unsqueeze(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(data)), np.int32).astype(np.int64)
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(data)), np.int32)
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -96,15 +96,17 @@ class Block:
         self.words = np.asarray(row["words"], np.int64).view(np.uint64)
         self.tokens = unsqueeze(row["tokens"])
         lengths = unsqueeze(row["lengths"])
-        self.ends = np.cumsum(lengths)
+        self.ends = np.cumsum(lengths, dtype=np.int64)
         self.lengths = lengths
-        self.roles = np.repeat(unsqueeze(row["roles"]), lengths)
+        self.roles = np.repeat(unsqueeze(row["roles"]).astype(np.int8), lengths)
         # A document's first token has the end token as its context: there are
         # as many beginnings as ends.
         self.contexts = np.roll(self.tokens, 1)
         self.contexts[self.ends - lengths] = self.tokens[self.ends - 1]
-        pairs = self.contexts * len(self.words) + self.tokens
-        self.pairs, self.pair_of = np.unique(pairs, return_inverse=True)
+        self.pairs, places = np.unique(
+            self.contexts.astype(np.int64) * len(self.words) + self.tokens, return_inverse=True
+        )
+        self.pair_of = places.astype(np.int32)
 
     def keys(self, order: int) -> np.ndarray:
         if order == 1:
