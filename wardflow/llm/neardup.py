@@ -37,7 +37,7 @@ WORDS = 5
 BANDS, ROWS = 40, 5
 SIMILARITY = 75
 #: Bucket members that meet in one tile.
-TILE = 2048
+TILE = 256
 #: Share of equal signature bytes below which a pair at 0.75 is not to be expected: six deviations.
 LEAST_EQUAL = 0.566
 _draw = np.random.Generator(np.random.PCG64(20240229))
@@ -231,27 +231,28 @@ def _placed(members: DataFrame, labels: DataFrame) -> DataFrame:
 def _tiled_links(placed: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) of members outside a bucket's largest component with its others.
 
-    A small bucket shares its task with others; one of more than ``TILE`` members
-    is cut into tiles, in which each slice of its outsiders meets each slice of
-    its members.
+    Small buckets share a group of about ``TILE`` members; one with more is cut
+    into tiles, in which each slice of its outsiders meets each slice of its
+    members. The number of groups follows the members.
     """
     sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("k"))
     bulk = (
         sizes.groupBy("bucket")
         .agg(F.max(F.struct("k", "component")).alias("m"), F.count("*").alias("parts"), F.sum("k").alias("k"))
         .where("parts > 1")
-        .select("bucket", F.col("m.component").alias("bulk"), F.ceil(F.col("k") / TILE).cast("int").alias("slices"))
+        .select("bucket", F.col("m.component").alias("bulk"), "k", F.ceil(F.col("k") / TILE).cast("int").alias("slices"))
     )
-    opened = placed.join(bulk, "bucket").join(sets, "node")
+    members = bulk.agg(F.sum("k")).first()[0] or 0
+    opened = placed.join(bulk.drop("k"), "bucket").join(sets, "node")
     outsider, slice_of = F.col("component") != F.col("bulk"), F.pmod(F.hash("node"), F.col("slices"))
     columns = ["bucket", "node", "component", "grams"]
     small = opened.where("slices = 1").select(
-        F.pmod(F.xxhash64("bucket"), F.lit(TILE)).alias("tile"), F.lit(-1).alias("other"), *columns, outsider.alias("asks"), F.lit(True).alias("asked")
+        F.pmod(F.xxhash64("bucket"), F.lit(members // TILE + 1)).alias("tile"), F.lit(-1).alias("other"), *columns, outsider.alias("asks"), F.lit(True).alias("asked")
     )
     others = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
     large = opened.where("slices > 1")
-    asks = large.where(outsider).select((F.col("bucket") * 31 + slice_of).alias("tile"), others.alias("other"), *columns, F.lit(True).alias("asks"), F.lit(False).alias("asked"))
-    asked = large.withColumn("tile", others).select((F.col("bucket") * 31 + F.col("tile")).alias("tile"), slice_of.alias("other"), *columns, F.lit(False).alias("asks"), F.lit(True).alias("asked"))
+    asks = large.where(outsider).select(F.xxhash64("bucket", slice_of).alias("tile"), others.alias("other"), *columns, F.lit(True).alias("asks"), F.lit(False).alias("asked"))
+    asked = large.withColumn("tile", others).select(F.xxhash64("bucket", "tile").alias("tile"), slice_of.alias("other"), *columns, F.lit(False).alias("asks"), F.lit(True).alias("asked"))
     kind = placed.schema["node"].dataType.simpleString()
     return small.unionByName(asks).unionByName(asked).groupBy("tile", "other").applyInPandas(_linked, f"a {kind}, b {kind}").distinct()
 
