@@ -24,23 +24,29 @@ def brute(docs, queries, k):
                 if w in c
             )
             if s > 0:
-                scores.append((round(s, 7), d))
-        out[query] = sorted(scores, key=lambda x: (-x[0], x[1]))[:k]
-    return {q: x for q, x in out.items() if x}
+                scores.append((s, d))
+        if scores:
+            out[query] = dict((d, s) for s, d in scores), sorted((s for s, _ in scores), reverse=True)[:k]
+    return out
 
 
-@pytest.mark.parametrize("block, tokens", [(64, 8_000_000), (4, 3000)])
-def test_equals_brute_force(spark, monkeypatch, block, tokens):
-    monkeypatch.setattr(search, "BLOCK", block)
-    monkeypatch.setattr(search, "FIRST_BLOCKS", 2)
-    docs = [(i, prose(i, 5 + i % 60, "a b c d e f" if i % 3 else "x y z b")) for i in range(400)] + [(1000 + i, prose(7, 12, "a b c d e f")) for i in range(15)]
+@pytest.mark.parametrize("terms", [2_000_000, 1500])
+def test_equals_brute_force(spark, monkeypatch, terms):
+    monkeypatch.setattr(search, "GROUP_TERMS", terms)
+    docs = [(i, prose(i, 5 + i % 60, "a b c d e f" if i % 3 else "x y z b")) for i in range(900)] + [(1000 + i, prose(7, 12, "a b c d e f")) for i in range(15)]
     queries = [(d, t) for d, t in docs if d % 20 == 0]
-    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
     asked = spark.createDataFrame(queries, "query_id long, text string")
     got = defaultdict(list)
     for r in search.top_k(spark, frame, asked, k=7).orderBy("query_id", "rank").collect():
-        got[r.query_id].append((round(r.score, 7), r.doc_id))
-    assert dict(got) == brute(docs, queries, 7)
+        got[r.query_id].append((r.score, r.doc_id))
+    want = brute(docs, queries, 7)
+    assert got.keys() == want.keys()
+    for query, rows in got.items():
+        scores, best = want[query]
+        assert [s for s, _ in rows] == pytest.approx(best, abs=1e-6)
+        assert all(scores[d] == pytest.approx(s, abs=1e-6) for s, d in rows)
+        assert rows == sorted(rows, key=lambda x: (-x[0], x[1])) and len({d for _, d in rows}) == len(rows)
 
 
 def test_odd_rows(spark, clashing_docs, no_docs):

@@ -2,23 +2,28 @@
 
 Documents are cut into shards of about ``SHARD_TOKENS`` tokens. A shard's index
 lists for each word its documents and frequencies, in blocks of ``BLOCK``
-documents, with the largest contribution of the word in each block. A query first
-adds up these block maxima: no document of a block can score more than their sum.
-The most promising blocks are scored, and then every block whose bound reaches
-the k-th best score so far; the others are left out without changing the result.
-Document frequencies, the number of documents and their mean length are those of
-the whole collection, so the shards' lists merge exactly.
+documents, with the largest contribution of each frequent word in each block.
+The contributions of a query's rarer words are added up from their short lists;
+a block is then scored in full only if its best such sum and the block maxima of
+the frequent words together reach the k-th best score known so far, which grows
+from block to block and from shard to shard. What is left out cannot be among
+the k best. Document frequencies, the number of documents and their mean length
+are those of the whole collection, so the tasks' lists merge exactly.
 
 A query is the set of distinct words of a text; each counts once. The score is
 the sum over shared words of ln(1 + (N - df + 0.5) / (df + 0.5)) times
-tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean length)).
-
-Queries and shards meet in groups of bounded size on both sides. Defined cases: a
-query without words, or whose words no document holds, has no results; documents
-sharing no word with a query are never listed, so a result can be shorter than
-k; equal scores go by doc_id; repeated rows are documents of their own; query
-rows with the same id form one query; null ids are indexed, but ask nothing;
-extra columns are ignored.
+tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean length)), every summand
+rounded to 2 ** -30: such sums are exact, in whichever order they are added, so
+equal documents have equal scores.
+
+Queries go to the shards in groups of at most ``GROUP_TERMS`` words, one group
+after another, by broadcast. Each shard is read once a group.
+
+Defined cases: a query without words, or whose words no document holds, has no
+results; documents sharing no word with a query are never listed, so a result
+can be shorter than k; equal scores go by doc_id; repeated rows are documents of
+their own; query rows with the same id form one query; null ids are indexed, but
+ask nothing; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,11 +39,15 @@ from pyspark.sql import functions as F
 
 from wardflow.llm.common import hash_words, keep, spans
 
-SHARD_TOKENS = 8_000_000
-GROUP_QUERIES = 8192
-BLOCK = 64
-FIRST_BLOCKS = 8
+SHARD_TOKENS = 1_500_000
+GROUP_TERMS = 2_000_000
+BLOCK = 256
+#: Queries scored together.
+CHUNK = 256
+#: Words in more than one of so many documents of a shard are kept as columns.
+FREQUENT = 64
 K1, B = 1.2, 0.75
+UNIT = 2.0**30
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -90,59 +99,93 @@ def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield shard()
 
 
+class Group:
+    """Queries that are scored together: their ids, words and the words' idf."""
+
+    def __init__(self, ids: list, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray):
+        self.ids = ids
+        self.vocabulary, first, self.numbers = np.unique(terms, return_index=True, return_inverse=True)
+        self.idf = weights[first]
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+
+
 class Index:
-    """Postings of a shard with their contributions, in runs of word and block."""
+    """A shard's postings of the words that a group asks for."""
 
-    def __init__(self, row, mean_length: float):
-        self.ids = list(row["ids"])
+    def __init__(self, row, group: Group, mean_length: float):
+        self.ids = np.array(list(row["ids"]), dtype=object)
         lengths = _unpacked(row["lengths"]).astype(float)
-        self.words = np.asarray(row["words"], np.int64).view(np.uint64)
-        sizes = _unpacked(row["sizes"])
-        self.numbers = _unpacked(row["numbers"])
-        tf = _unpacked(row["counts"]).astype(float)
-        self.parts = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.numbers] / mean_length))
-        word = np.repeat(np.arange(len(sizes)), sizes)
-        block = self.numbers // BLOCK
-        self.blocks = -(-len(self.ids) // BLOCK)
-        fresh = np.flatnonzero(np.diff(word * self.blocks + block, prepend=-1))
-        self.run_begin = fresh
-        self.run_size = np.diff(np.append(fresh, len(word)))
-        self.run_block = block[fresh]
-        self.run_top = np.maximum.reduceat(self.parts, fresh) if len(fresh) else np.zeros(0)
-        self.word_runs = np.searchsorted(word[fresh], np.arange(len(sizes) + 1))
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The k best (score, document number) of this shard, or more on ties."""
-        at = np.searchsorted(self.words, terms)
-        at[at == len(self.words)] = 0
-        known = self.words[at] == terms if len(self.words) else np.zeros(len(terms), bool)
-        at, weights = at[known], weights[known]
-        if not len(at):
-            return []
-        run_counts = self.word_runs[at + 1] - self.word_runs[at]
-        runs = spans(self.word_runs[at], run_counts)
-        weight = np.repeat(weights, run_counts)
-        block = self.run_block[runs]
-        # A hair above the sum: it is added up in another order than scores are.
-        bounds = np.bincount(block, weights=weight * self.run_top[runs], minlength=self.blocks) * (1 + 1e-9)
-        scores = np.zeros(self.blocks * BLOCK)
-
-        def add(chosen: np.ndarray) -> None:
-            mine = chosen[block]
-            sizes = self.run_size[runs[mine]]
-            posts = spans(self.run_begin[runs[mine]], sizes)
-            scores[:] += np.bincount(self.numbers[posts], weights=np.repeat(weight[mine], sizes) * self.parts[posts], minlength=len(scores))
-
-        first = np.zeros(self.blocks, bool)
-        first[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
-        add(first)
-        least = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
-        more = ~first & (bounds >= least) & (bounds > 0)
-        if more.any():
-            add(more)
-            least = np.partition(scores, -k)[-k] if len(scores) > k else 0.0
-        found = np.flatnonzero((scores >= least) & (scores > 0))
-        return [(float(scores[i]), int(i)) for i in found]
+        words = np.asarray(row["words"], np.int64).view(np.uint64)
+        sizes = _unpacked(row["sizes"]).astype(np.int64)
+        at = np.searchsorted(words, group.vocabulary)
+        at[at == len(words)] = 0
+        held = words[at] == group.vocabulary if len(words) else np.zeros(len(at), bool)
+        begins = (np.cumsum(sizes) - sizes)[at[held]] if held.any() else np.zeros(0, np.int64)
+        counts = sizes[at[held]] if held.any() else np.zeros(0, np.int64)
+        posts = spans(begins, counts)
+        self.docs = _unpacked(row["numbers"])[posts]
+        self.impact = _unpacked(row["counts"])[posts].astype(float)
+        self.impact *= (K1 + 1) / (self.impact + K1 * (1 - B + B * lengths[self.docs] / mean_length))
+        self.impact *= np.repeat(group.idf[held], counts)
+        np.round(self.impact * UNIT, out=self.impact)
+        n = len(self.ids)
+        self.begin = np.zeros(len(group.vocabulary), np.int64)
+        self.size = np.zeros(len(group.vocabulary), np.int64)
+        self.begin[held] = np.cumsum(counts) - counts
+        self.size[held] = counts
+        frequent = np.flatnonzero(self.size * FREQUENT > n)
+        self.column = np.full(len(group.vocabulary), -1, np.int64)
+        self.column[frequent] = np.arange(len(frequent))
+        self.blocks = -(-n // BLOCK)
+        self.matrix = np.zeros((self.blocks * BLOCK, len(frequent)))
+        mine = spans(self.begin[frequent], self.size[frequent])
+        self.matrix[self.docs[mine], np.repeat(np.arange(len(frequent)), self.size[frequent])] = self.impact[mine]
+        self.tops = self.matrix.reshape(self.blocks, BLOCK, -1).max(axis=1)
+
+    def score(self, group: Group, first: int, last: int, best: Best) -> None:
+        """Offer the documents to the queries ``first`` to ``last`` of the group."""
+        words = group.numbers[group.starts[first] : group.starts[last]]
+        query = np.repeat(np.arange(last - first), np.diff(group.starts[first : last + 1]))
+        column = self.column[words]
+        wanted = np.zeros((self.matrix.shape[1], last - first))
+        wanted[column[column >= 0], query[column >= 0]] = 1.0
+        rare = column < 0
+        counts = self.size[words[rare]]
+        posts = spans(self.begin[words[rare]], counts)
+        n = len(self.matrix)
+        sparse = np.bincount(
+            np.repeat(query[rare], counts) * n + self.docs[posts], weights=self.impact[posts], minlength=(last - first) * n
+        ).reshape(last - first, self.blocks, BLOCK)
+        bounds = (self.tops @ wanted).T + sparse.max(axis=2)
+        for block in np.argsort(-bounds.sum(axis=0), kind="stable"):
+            # A bound of zero means that no document shares a word.
+            alive = np.flatnonzero((bounds[:, block] >= best.least[first:last]) & (bounds[:, block] > 0))
+            if len(alive):
+                dense = self.matrix[block * BLOCK : (block + 1) * BLOCK] @ wanted[:, alive]
+                best.offer(first + alive, dense.T + sparse[alive, block], self.ids[block * BLOCK : (block + 1) * BLOCK])
+
+
+class Best:
+    """The k best documents of each query so far, with ties by document id."""
+
+    def __init__(self, queries: int, k: int):
+        self.k = k
+        self.least = np.zeros(queries)
+        self.found: list[list[tuple]] = [[] for _ in range(queries)]
+
+    def offer(self, queries: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        reached = (scores >= self.least[queries][:, None]) & (scores > 0)
+        reached[:, len(ids) :] = False
+        for i in np.flatnonzero(reached.any(axis=1)):
+            query = queries[i]
+            at = np.flatnonzero(reached[i])
+            if len(at) > self.k:  # ties of the k-th best stay
+                at = at[scores[i, at] >= np.partition(scores[i, at], -self.k)[-self.k]]
+            merged = self.found[query] + [(-scores[i, j], ids[j] is None, ids[j] if ids[j] is not None else 0) for j in at]
+            merged.sort()
+            self.found[query] = merged[: self.k]
+            if len(merged) >= self.k:
+                self.least[query] = -merged[self.k - 1][0]
 
 
 def top_k(spark: SparkSession, documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
@@ -179,27 +222,49 @@ def top_k(spark: SparkSession, documents: DataFrame, queries: DataFrame, k: int
     weighed = terms.join(df, "term").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", idf.alias("weight")))).alias("t"))
     asked, _ = keep(spark, weighed.select("query_id", F.col("t.term").alias("terms"), F.col("t.weight").alias("weights")), "queries")
 
-    groups = max(1, -(-asked.count() // GROUP_QUERIES))
-    numbers = [r["shard"] for r in shards.select("shard").collect()]  # one number a shard of 8 million tokens
-    if not numbers:
-        numbers = [0]
-    left = shards.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).groupBy("shard", "part")
-    right = (
-        asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
-        .withColumn("shard", F.explode(F.array(*[F.lit(n).cast("long") for n in numbers])))
-        .groupBy("shard", "part")
-    )
+    volume = asked.agg(F.sum(F.size("terms"))).first()[0] or 0
+    groups = -(-volume // GROUP_TERMS)
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                sizes = np.array([len(t) for t in batch["terms"]])
+                terms, weights = (np.concatenate(batch[c].to_numpy()) for c in ("terms", "weights"))
+                yield pd.DataFrame(
+                    {"ids": [batch["query_id"].tolist()], "sizes": [_packed(sizes)], "terms": [terms.astype(np.int64).tobytes()], "weights": [weights.astype(float).tobytes()]}
+                )
+
+    def find(asked_of):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            group = asked_of.value
+            best = Best(len(group.ids), k)
+            for batch in batches:
+                for _, shard in batch.iterrows():
+                    index = Index(shard, group, mean_length)
+                    for first in range(0, len(group.ids), CHUNK):
+                        index.score(group, first, min(first + CHUNK, len(group.ids)), best)
+            out = [(query, None if unnamed else doc, -score / UNIT) for query, rows in zip(group.ids, best.found) for score, unnamed, doc in rows]
+            yield pd.DataFrame(out, columns=["query_id", "doc_id", "score"]).astype({"doc_id": object})
+
+        return run
 
-    def find(shard: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(shard) and len(wanted):
-            index = Index(shard.iloc[0], mean_length)
-            for query, terms, weights in zip(wanted["query_id"], wanted["terms"], wanted["weights"]):
-                best = index.search(np.asarray(terms, np.int64).view(np.uint64).copy(), np.asarray(weights, float), k)
-                ranked = sorted(((s, index.ids[i]) for s, i in best), key=lambda x: (-x[0], x[1] is None, x[1] if x[1] is not None else 0))
-                out += [(query, doc, score) for score, doc in ranked[:k]]
-        return pd.DataFrame(out, columns=["query_id", "doc_id", "score"]).astype({"doc_id": object})
-
-    found = left.cogroup(right).applyInPandas(find, f"query_id {asked_kind}, doc_id {kind}, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+    schema = f"query_id {asked_kind}, doc_id {kind}, score double"
+    found = spark.createDataFrame([], schema)
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    for number in range(groups):
+        part = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(groups)) == number)
+        rows = part.mapInPandas(packed, f"ids array<{asked_kind}>, sizes binary, terms binary, weights binary").collect()
+        group = Group(
+            [q for r in rows for q in r["ids"]],
+            np.concatenate([_unpacked(r["sizes"]) for r in rows]),
+            np.concatenate([np.frombuffer(r["terms"], np.int64) for r in rows]).view(np.uint64),
+            np.concatenate([np.frombuffer(r["weights"], float) for r in rows]),
+        )
+        sent = spark.sparkContext.broadcast(group)
+        # Few tasks with several shards each: the bar that a query's documents
+        # must reach is carried from one shard to the next.
+        lists, _ = keep(spark, shards.coalesce(tasks).mapInPandas(find(sent), schema), "found")
+        found = found.union(lists)
+        sent.destroy()
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
