@@ -90,7 +90,7 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class Block:
-    """A block's tokens, their contexts and its distinct word pairs."""
+    """A block's tokens and its distinct pairs of a context and a word."""
 
     def __init__(self, row):
         self.words = np.asarray(row["words"], np.int64).view(np.uint64)
@@ -101,11 +101,11 @@ class Block:
         self.roles = np.repeat(unsqueeze(row["roles"]).astype(np.int8), lengths)
         # A document's first token has the end token as its context: there are
         # as many beginnings as ends.
-        self.contexts = np.roll(self.tokens, 1)
-        self.contexts[self.ends - lengths] = self.tokens[self.ends - 1]
-        self.pairs, places = np.unique(
-            self.contexts.astype(np.int64) * len(self.words) + self.tokens, return_inverse=True
-        )
+        pairs = np.roll(self.tokens, 1).astype(np.int64)
+        pairs[self.ends - lengths] = self.tokens[self.ends - 1]
+        pairs *= len(self.words)
+        pairs += self.tokens
+        self.pairs, places = np.unique(pairs, return_inverse=True)
         self.pair_of = places.astype(np.int32)
 
     def keys(self, order: int) -> np.ndarray:
@@ -129,13 +129,12 @@ class Block:
             if len(at):
                 yield p, at, keys[at]
 
-    def counts(self, order: int, answers: dict, parts: int) -> tuple[np.ndarray, np.ndarray]:
-        """The corpus counts (main, weights) of the block's words or pairs."""
-        size = len(self.words) if order == 1 else len(self.pairs)
-        main, held = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    def counts(self, order: int, answers: dict, parts: int) -> np.ndarray:
+        """The corpus counts of the block's words or pairs."""
+        counts = np.zeros(len(self.words) if order == 1 else len(self.pairs), np.int64)
         for p, at, _ in self.by_part(order, parts):
-            main[at], held[at] = answers[order, p]
-        return main, held
+            counts[at] = unsqueeze(answers[order, p])
+        return counts
 
 
 def _questions(parts: int):
@@ -157,22 +156,22 @@ def _questions(parts: int):
 
 
 def _answer(group: pd.DataFrame) -> pd.DataFrame:
-    """Sums of a part's questions, for each block; the part's totals with block null."""
+    """Sums of a part's questions, for each block: over the main documents, and over
+    all that train; the part's totals have a null block."""
     keys = np.concatenate([np.asarray(k, np.int64) for k in group["keys"]])
     main = np.concatenate([unsqueeze(x) for x in group["main"]])
     held = np.concatenate([unsqueeze(x) for x in group["held"]])
     _, place = np.unique(keys, return_inverse=True)
     main_sums = np.bincount(place, weights=main).astype(np.int64)
-    held_sums = np.bincount(place, weights=held).astype(np.int64)
+    both = main_sums + np.bincount(place, weights=held).astype(np.int64)
     cuts = np.cumsum([0, *(len(k) for k in group["keys"])])
     order, part = int(group["order"].iloc[0]), int(group["part"].iloc[0])
     rows = [
-        (order, part, int(b), squeeze(main_sums[place[i:j]]), squeeze(held_sums[place[i:j]]), None, None, None, None)
+        (order, part, int(b), squeeze(main_sums[place[i:j]]), squeeze(both[place[i:j]]), None, None, None, None)
         for b, i, j in zip(group["block"], cuts, cuts[1:])
     ]
-    both = main_sums + held_sums
     rows.append((order, part, None, None, None, int((both > 0).sum()), int((main_sums > 0).sum()), int(both.sum()), int(main_sums.sum())))
-    frame = pd.DataFrame(rows, columns=["order", "part", "block", "main", "held", "types", "main_types", "total", "main_total"])
+    frame = pd.DataFrame(rows, columns=["order", "part", "block", "main", "all", "types", "main_types", "total", "main_total"])
     for c in ("block", "types", "main_types", "total", "main_total"):
         frame[c] = frame[c].astype("Int64")
     return frame
@@ -230,22 +229,26 @@ def score(spark: SparkSession, documents: DataFrame, training: Column, weight_fo
     parts = max(4, -(-(volume[2] or 0) // PART_KEYS))
     asked = blocks.mapInPandas(_questions(parts), "order int, part int, block long, keys array<bigint>, main binary, held binary")
     answered = asked.groupBy("order", "part").applyInPandas(
-        _answer, "order int, part int, block long, main binary, held binary, types long, main_types long, total long, main_total long"
+        _answer, "order int, part int, block long, main binary, all binary, types long, main_types long, total long, main_total long"
     )
     answered, _ = keep(spark, answered, "answers")
     sums = answered.where("block is null and order = 1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("types", "main_types", "total", "main_total")]).first()
     types, main_types, total, main_total = (int(x) for x in sums)
-    replies = answered.where("block is not null").select("order", "part", "block", "main", "held").groupBy("block")
+
+    def with_replies(counts: str, work, schema: str) -> DataFrame:
+        """``work(left, right)`` for each block and the replies to it."""
+        replies = answered.where("block is not null").select("order", "part", "block", F.col(counts).alias("counts"))
+        return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(work, schema)
 
     def joined(left: pd.DataFrame, right: pd.DataFrame):
         block = Block(left.iloc[0])
-        answers = {(o, p): (unsqueeze(m), unsqueeze(h)) for o, p, m, h in zip(right["order"], right["part"], right["main"], right["held"])}
+        answers = {(o, p): c for o, p, c in zip(right["order"], right["part"], right["counts"])}
         return block, block.counts(1, answers, parts), block.counts(2, answers, parts)
 
     def pooled(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
             return pd.DataFrame(columns=["bucket", "b", "u", "n"])
-        block, (words, _), (pairs, _) = joined(left, right)
+        block, words, pairs = joined(left, right)
         n = np.bincount(block.pair_of[block.roles == WEIGHTS], minlength=len(block.pairs))
         bucket, bigram, unigram = (x[n > 0] for x in parts_of(block, words, pairs, main_total, main_types))
         b, u = (np.where(x > 0, np.round(GRAIN * -np.log2(np.maximum(x, 1e-300))), -1).astype(np.int64) for x in (bigram, unigram))
@@ -253,15 +256,14 @@ def score(spark: SparkSession, documents: DataFrame, training: Column, weight_fo
         return cells.groupby(["bucket", "b", "u"], as_index=False)["n"].sum()
 
     cells = (
-        blocks.groupBy("block").cogroup(replies).applyInPandas(pooled, "bucket long, b long, u long, n long").groupBy("bucket", "b", "u").agg(F.sum("n").alias("n")).toPandas()
+        with_replies("main", pooled, "bucket long, b long, u long, n long").groupBy("bucket", "b", "u").agg(F.sum("n").alias("n")).toPandas()
     ).sort_values(["bucket", "b", "u"])
     for name, column in (("bigram", "b"), ("unigram", "u")):
         cells[name] = np.where(cells[column] < 0, 0.0, np.exp2(-cells[column].to_numpy(float) / GRAIN))
     weights = learn(cells, 1.0 / (main_types + 1))
 
     def scored(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        block, (words, more_words), (pairs, more_pairs) = joined(left, right)
-        words, pairs = words + more_words, pairs + more_pairs
+        block, words, pairs = joined(left, right)
         bucket, bigram, unigram = parts_of(block, words, pairs, total, types)
         w = weights[bucket]
         chance = np.log10(w[:, 0] * bigram + w[:, 1] * unigram + w[:, 2] / (types + 1))
@@ -279,6 +281,6 @@ def score(spark: SparkSession, documents: DataFrame, training: Column, weight_fo
             }
         )
 
-    return blocks.groupBy("block").cogroup(replies).applyInPandas(
-        scored, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return with_replies(
+        "all", scored, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
