@@ -166,7 +166,9 @@ def link(spark: SparkSession, documents: DataFrame) -> DataFrame:
     signed = rows.mapInPandas(_signed, f"doc_id {kind}, n long, digest binary, bands array<bigint>, sig binary")
     base, _ = keep(spark, signed, "minhash")
     one = base.groupBy("doc_id").agg(F.min(F.struct("digest", "n")).alias("m")).select("doc_id", "m.digest", "m.n")
-    classes = one.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("node"))
+    # Written, so that documents meet their class between plain tables and the
+    # copies of one text can be split over tasks.
+    classes, _ = keep(spark, one.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("node")), "class-heads")
     reps = base.join(classes.withColumnRenamed("digest", "__digest"), (F.col("doc_id") == F.col("node")) & (F.col("digest") == F.col("__digest")))
     reps, reps_path = keep(spark, reps.dropDuplicates(["node"]).select("node", "digest", "n", "bands", "sig"), "classes")
 
