@@ -46,3 +46,36 @@ def test_odd_rows(spark, clashing_docs, no_docs):
     assert substring.remove_repeats(spark, no_docs).count() == 0
     plain = substring.remove_repeats(spark, clashing_docs, spans_as=None)
     assert plain.columns == clashing_docs.columns and {r.spans for r in plain.collect()} == {"own"}
+
+
+def test_passages_that_begin_and_end_inside_sentences(spark):
+    rows, passages = [], {}
+    for i, n in enumerate((51, 60, 75, 90)):
+        words = prose(100 + i, 200)[:-1].lower().split()
+        # One long sentence, or sentences of 30 words, of which neither end is whole.
+        text = words[40 : 40 + n]
+        if i % 2:
+            text[29] += "."
+        passages[i + 10] = " ".join(text)
+        rows.append((i, " ".join([*words[:40], *text, *words[40 + n :]])))
+        rows.append((i + 10, f"{prose(200 + i, 45)[:-1]} {passages[i + 10]} {prose(300 + i, 45)}"))
+    got = {r.doc_id: r for r in substring.remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    assert all(got[d].text == texts[d] for d in range(4))
+    assert {d: texts[d][got[d].spans[0].begin : got[d].spans[0].end].strip() for d in passages} == passages
+    assert all(len(got[d].spans) == 1 for d in passages)
+
+
+def test_any_repeat_of_fifty_words_shares_a_window():
+    words = prose(1, 400).split()
+    for begin in range(0, 340, 7):
+        passage = words[begin : begin + 50]
+        whole = {tuple(words[p : p + 20]) for p in substring.windows(words)}
+        other = [*prose(2, 33).split(), *passage, *prose(3, 33).split()]
+        assert whole & {tuple(other[p : p + 20]) for p in substring.windows(other)}
+
+
+def test_a_loop_keeps_its_first_words(spark):
+    rows = [(1, "la " * 300)]
+    got = substring.remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string")).first()
+    assert 20 <= len(got.text.split()) <= 50

@@ -1,21 +1,29 @@
-"""Removal of repeated text by hashing lines and the sentences in them.
+"""Removal of repeated text by hashing lines, the sentences in them and windows.
 
-Units are lines, cut further behind sentence ends; the units of a text, with
-their separators, make up the whole text. A unit is normalised (lower case, runs
-of white space as one blank, ends trimmed) and digested. Digests are grouped over
-all documents; the earliest occurrence by (doc_id, offset) is the one that
-stays. A run of neighbouring units that all have an earlier occurrence is
-removed when it holds at least ``min_words`` words, so that a short sentence
-which recurs by chance stays where it is. What remains keeps its characters, and
-every removed span is reported by its offsets in the original text.
+Units are lines, cut further behind sentence ends. Windows of ``min_words`` words
+are taken besides, at places that the words alone set (the window of smallest
+hash among any ``SPREAD`` neighbouring ones), so that passages which begin and
+end inside sentences meet too: a repeat of ``min_words + SPREAD - 1`` words (50)
+or more holds at least one such window. Units and windows are normalised (lower
+case, runs of white space as one blank) and digested. Digests are grouped over
+all documents; the earliest occurrence by (doc_id, word) is the one that stays.
+Later ones that touch and copy the same place are joined and, from ``min_words``
+words on, compared with that place word by word at both ends, up to ``EDGE`` words. A run of words that all
+have an earlier occurrence is removed when it holds at least ``min_words``
+words, so that a short sentence which recurs by chance stays where it is. What
+remains keeps its characters, and every removed span is reported by its offsets
+in the original text.
 
 Only digests and positions are shuffled while grouping, counted per task first,
-so a line that occurs in every document is one row per task.
+so a line that occurs in every document is one row per task. The words at the
+ends of runs are read once for each place of an earlier document.
 
 Defined cases: a null text stays null and has no spans, an empty one stays
 empty; blank units are never compared; rows that repeat a doc_id are ordered by
 their text, so that exactly one copy stays; a null doc_id comes last in the
-order; extra columns are carried through by :func:`remove_repeats`.
+order; a passage that overlaps its own copy, as in a loop of one word, keeps its
+first occurrence whole; extra columns are carried through by
+:func:`remove_repeats`.
 """
 
 from __future__ import annotations
@@ -24,16 +32,24 @@ import re
 from collections.abc import Iterator
 from hashlib import blake2b
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import drop, keep
+from wardflow.llm.common import drop, hash_words, keep, mixed
 
 #: Words a repeated run must hold to be removed.
 MIN_WORDS = 20
+#: Neighbouring windows of which one is taken.
+SPREAD = 31
+#: Words compared at each end of a run.
+EDGE = SPREAD
+#: Units and windows handed to Spark at a time.
+ROWS = 10_000
 #: What ends a unit: a line break, or white space behind a sentence end.
 BREAK = re.compile(r"\n|(?<=[.!?])[^\S\n]+\n?")
+WORD = re.compile(r"\S+")
 
 
 def units(text: str) -> list[tuple[int, int, list[str]]]:
@@ -55,50 +71,168 @@ def units(text: str) -> list[tuple[int, int, list[str]]]:
     return found
 
 
-def _digested(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def windows(words: list[str], size: int = MIN_WORDS, spread: int = SPREAD) -> list[int]:
+    """Places of the windows of ``size`` words that are taken, in order.
+
+    Of any ``spread`` neighbouring windows one is: the first of smallest hash.
+    Which one depends on their words only.
+    """
+    n = len(words) - size + 1
+    if n < spread:
+        return []
+    hashes = hash_words("\n".join(words))
+    with np.errstate(over="ignore"):
+        sums = np.zeros(n, np.uint64)
+        for i in range(size):
+            sums = sums * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + n]
+    near = np.lib.stride_tricks.sliding_window_view(mixed(sums), spread)
+    # A slice at a time, so that a long text does not fill the memory.
+    chosen = [np.unique(near[at : at + ROWS].argmin(axis=1) + np.arange(at, min(at + ROWS, len(near)))) for at in range(0, len(near), ROWS)]
+    return np.unique(np.concatenate(chosen)).tolist()
+
+
+def _digest(words: list[str]) -> bytes:
+    return blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=12).digest()
+
+
+def _digested(min_words: int):
+    def rows_of(text: str) -> Iterator[tuple[int, int, bytes]]:
+        at, all_words = 0, []
+        for _, _, words in units(text):
+            yield at, at + len(words), _digest(words)
+            at += len(words)
+            all_words += words
+        for place in windows(all_words, min_words):
+            yield place, place + min_words, _digest(all_words[place : place + min_words])
+
+    def digested(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["doc_id", "version", "first", "last", "digest"]
+        for batch in batches:
+            rows = []
+            for doc_id, version, text in zip(batch["doc_id"], batch["version"], batch["text"]):
+                for first, last, digest in rows_of(text):
+                    rows.append((doc_id, version, first, last, digest))
+                    if len(rows) == ROWS:
+                        yield pd.DataFrame(rows, columns=columns)
+                        rows = []
+            yield pd.DataFrame(rows, columns=columns)
+
+    return digested
+
+
+def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The words before and behind places of earlier documents."""
+    columns = ["from_id", "from_version", "at", "before", "behind"]
     for batch in batches:
         rows = []
-        for doc_id, version, text in zip(batch["doc_id"], batch["version"], batch["text"]):
-            for begin, end, words in units(text):
-                digest = blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                rows.append((doc_id, version, begin, end, len(words), digest))
-        yield pd.DataFrame(rows, columns=["doc_id", "version", "begin", "end", "words", "digest"])
+        for doc_id, version, places, text in zip(batch["from_id"], batch["from_version"], batch["places"], batch["text"]):
+            words = text.lower().split()
+            for at in places.tolist():
+                rows.append((doc_id, version, at, " ".join(words[max(at - EDGE, 0) : at]), " ".join(words[at : at + EDGE])))
+                if len(rows) == ROWS:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+        yield pd.DataFrame(rows, columns=columns)
+
+
+def _common(a: list[str], b: list[str]) -> int:
+    """How many words at the beginning are the same."""
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def spans_of(text: str, runs, min_words: int = MIN_WORDS) -> list[dict[str, int]]:
+    """The [begin, end) characters to remove, from runs of repeated words and the words around their earlier copies."""
+    words = text.lower().split()
+    reach = []
+    for run in runs:
+        first, last = run["first"], run["last"]
+        first -= _common(words[max(first - EDGE, 0) : first][::-1], run["before"].split()[::-1])
+        last += _common(words[last : last + EDGE], run["behind"].split())
+        first = max(first, run["own"])
+        if first < last:
+            reach.append((first, last))
+    joined: list[list[int]] = []
+    for first, last in sorted(reach):
+        if joined and first <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], last)
+        else:
+            joined.append([first, last])
+    joined = [run for run in joined if run[1] - run[0] >= min_words]
+    if not joined:
+        return []
+    begins = [0, *[m.start() for m in WORD.finditer(text)][1:], len(text)]
+    return [{"begin": begins[first], "end": begins[last]} for first, last in joined]
+
+
+def _numbered(rows: DataFrame, in_order, first: str, last: str) -> DataFrame:
+    """``rows`` with the number ``run`` of the touching or overlapping ranges they belong to."""
+    reached = F.max(last).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce((F.col(first) > reached).cast("int"), F.lit(1))
+    return rows.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(in_order.rowsBetween(Window.unboundedPreceding, 0))).drop("fresh")
 
 
 def repeats(spark: SparkSession, documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, version, spans): removed [begin, end) ranges of the documents that have any.
+    """(doc_id, version, runs): words [first, last) of documents that an earlier place holds.
 
-    ``version`` is the checksum of the text, which tells rows of one id apart.
+    ``before`` and ``behind`` are the words around that place, and ``own`` is
+    where it ends if it is in the same text. ``version`` is the checksum of the
+    text, which tells rows of one id apart.
     """
     rows = documents.where(F.col("text") != "").select("doc_id", F.crc32("text").alias("version"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = rows.mapInPandas(_digested, f"doc_id {kind}, version long, begin int, end int, words int, digest binary")
+    found = rows.mapInPandas(_digested(min_words), f"doc_id {kind}, version long, first int, last int, digest binary")
     found, path = keep(spark, found, "units")
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version", "begin")
-    firsts = (
-        found.groupBy("digest")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        .where("first <> last")
-        .select("digest", "first")
-    )
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "version", "first")
+    firsts = found.groupBy("digest").agg(F.min(place).alias("place"), F.count("*").alias("n")).where("n > 1").select("digest", "place")
     # Written, so that the join below has plain tables on both sides and the
     # occurrences of a very common line can be split over tasks.
     firsts, firsts_path = keep(spark, firsts, "repeated-units")
-    later = found.join(firsts, "digest").where(place > F.col("first")).select("doc_id", "version", "begin", "end", "words")
-    in_order = Window.partitionBy("doc_id", "version").orderBy("begin")
-    fresh = F.coalesce((F.col("begin") > F.lag("end").over(in_order)).cast("int"), F.lit(1))
+    later = found.join(firsts, "digest").where(place > F.col("place"))
+    source = [F.col("place.doc_id").alias("from_id"), F.col("place.version").alias("from_version")]
+    later = later.select("doc_id", "version", "first", "last", *source, (F.col("first") - F.col("place.first")).alias("shift"))
+    # Units that touch or overlap and copy the same place are one run. All of a
+    # text's rows are brought together once, which serves both windows.
+    copy = ["doc_id", "version", "from_id", "from_version", "shift"]
+    in_order = Window.partitionBy(*copy).orderBy("first", "last")
     runs = (
-        later.distinct()
-        .withColumn("fresh", fresh)
-        .withColumn("run", F.sum("fresh").over(in_order))
-        .groupBy("doc_id", "version", "run")
-        .agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.sum("words").alias("words"))
-        .where(F.col("words") >= min_words)
+        _numbered(later.repartition("doc_id", "version").distinct(), in_order, "first", "last")
+        .groupBy(*copy, "run")
+        .agg(F.min("first").alias("first"), F.max("last").alias("last"))
     )
-    spans = runs.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("spans"))
-    spans, _ = keep(spark, spans, "repeated-spans")
+    # Ends are compared where a run suffices by itself, as every repeat of 50
+    # words has one; shorter ones count only in a chain that suffices.
+    wide = F.col("last") - F.col("first") >= min_words
+    runs = runs.select(*copy, "first", "last", wide.alias("wide"), F.when(wide, EDGE).otherwise(0).alias("edge"))
+    runs = runs.withColumn("low", F.col("first") - F.col("edge")).withColumn("high", F.col("last") + F.col("edge"))
+    runs = _numbered(runs, Window.partitionBy("doc_id", "version").orderBy("low", "high"), "low", "high")
+    chain = Window.partitionBy("doc_id", "version", "run")
+    runs = runs.withColumn("reach", F.max("high").over(chain) - F.min("low").over(chain)).where(F.col("reach") >= min_words)
+    runs, runs_path = keep(spark, runs.select(*copy, "first", "last", "wide"), "repeated-runs")
     drop(spark, [path, firsts_path])
-    return spans
+    starts, stops = F.col("first") - F.col("shift"), F.col("last") - F.col("shift")
+    asked = runs.where("wide").select("from_id", "from_version", F.explode(F.array(starts, stops)).alias("at"))
+    asked = asked.groupBy("from_id", "from_version").agg(F.collect_set("at").alias("places"))
+    texts = asked.join(rows, F.col("from_id").eqNullSafe(F.col("doc_id")) & (F.col("from_version") == F.col("version")))
+    edges = texts.select("from_id", "from_version", "places", "text").mapInPandas(
+        _edges, f"from_id {kind}, from_version long, at int, before string, behind string"
+    )
+    edges, edges_path = keep(spark, edges.dropDuplicates(["from_id", "from_version", "at"]), "run-edges")
+
+    def beside(at, name: str) -> DataFrame:
+        return edges.select(F.col("from_id").alias("e_id"), F.col("from_version").alias("e_version"), F.col("at").alias(at), name)
+
+    narrow = runs.where("not wide").withColumn("before", F.lit("")).withColumn("behind", F.lit(""))
+    runs = runs.where("wide")
+    for name, at in (("before", starts), ("behind", stops)):
+        same = F.col("from_id").eqNullSafe(F.col("e_id")) & (F.col("from_version") == F.col("e_version")) & (at == F.col("e_at"))
+        runs = runs.join(beside("e_at", name), same, "left").drop("e_id", "e_version", "e_at")
+    itself = F.col("doc_id").eqNullSafe(F.col("from_id")) & (F.col("version") == F.col("from_version"))
+    own = F.when(itself, stops).otherwise(0).alias("own")
+    cells = ["first", "last", own, *[F.coalesce(c, F.lit("")).alias(c) for c in ("before", "behind")]]
+    runs = runs.unionByName(narrow).groupBy("doc_id", "version").agg(F.collect_list(F.struct(*cells)).alias("runs"))
+    runs, _ = keep(spark, runs, "repeats")
+    drop(spark, [runs_path, edges_path])
+    return runs
 
 
 def remove_repeats(
@@ -114,12 +248,17 @@ def remove_repeats(
     def without(texts: pd.Series, ranges: pd.Series) -> pd.Series:
         return pd.Series([None if spans is None else _cut(text, spans) for text, spans in zip(texts, ranges)], dtype=object)
 
+    @F.pandas_udf("array<struct<begin:int,end:int>>")
+    def removed(texts: pd.Series, runs: pd.Series) -> pd.Series:
+        return pd.Series([None if of is None else spans_of(text, of, min_words) or None for text, of in zip(texts, runs)], dtype=object)
+
     found = repeats(spark, documents, min_words).select(
-        F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("spans").alias("__spans")
+        F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("runs").alias("__runs")
     )
     joined = documents.join(
         found, documents["doc_id"].eqNullSafe(F.col("__id")) & (F.crc32(documents["text"]) == F.col("__version")), "left"
     )
+    joined = joined.withColumn("__spans", removed(F.when(F.col("__runs").isNotNull(), F.col("text")), F.col("__runs")))
     cut = without(F.when(F.col("__spans").isNotNull(), F.col("text")), F.col("__spans"))
     joined = joined.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut))
     if "n_chars" in documents.columns:
@@ -127,7 +266,7 @@ def remove_repeats(
     if spans_as is not None:
         none = F.expr("cast(array() as array<struct<begin:int,end:int>>)")
         joined = joined.withColumn(spans_as, F.coalesce("__spans", none))
-    return joined.drop("__id", "__version", "__spans")
+    return joined.drop("__id", "__version", "__runs", "__spans")
 
 
 def _cut(text: str, spans) -> str:
