@@ -4,7 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import connect, difference
-from wardflow.plans.queries import QUERIES
+from wardflow.plans.queries import QUERIES, raw
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,3 +50,11 @@ def test_oracles_belong_to_queries():
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_late_batch_takes_rows_of_other_months(spark, tmp_path):
+    folder, con = str(tmp_path), connect(SF)
+    for table, keep in (("orders", "where o_orderdate between date '1998-07-08' and date '1998-07-16'"), ("lineitem", "")):
+        con.execute(f"copy (select * from {table} {keep}) to '{folder}/{table}.parquet' (format parquet)")
+    sent = raw(spark, folder)
+    assert 0 < queries()["late_batch_silver"](spark, folder).count() <= sent.count()

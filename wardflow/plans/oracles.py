@@ -192,8 +192,7 @@ SENT_ROW = """_record_index sent_id, facility_id, work_date, role_code, staff_co
  hours_worked_overtime, shift_type"""
 SENDER = "case when cast(right(_record_index,1) as int)%2=0 then 'FAC_A' else 'FAC_B' end"
 PART = "(length(_record_index)+cast(right(_record_index,1) as int))%4"
-JUNE = """select * replace (date_trunc('month',_ingested_at)+to_days(cast(day(_ingested_at)%3 as int)) as _ingested_at) from typed
- where _ingested_at>=timestamp '1997-06-01' and _ingested_at<timestamp '1997-07-01'"""
+STAMPED = """select * replace (timestamp '1997-06-01'+to_days(cast(day(_ingested_at)%3 as int)) as _ingested_at) from typed"""
 FEATURE_COLUMNS = f"""date_key, facility_id, role_code, staff_count, patient_census, hours_overtime, nurse_patient_ratio,
  overtime_pct, understaffed_flag is_understaffed, avg_census_7d, avg_staff_7d, avg_ot_pct_7d, total_ot_hours_7d,
  patient_census-avg_census_7d census_vs_avg, {txt('dayofweek(work_date) in (0,6)')} is_weekend, overtime_pct_lag1,
@@ -220,10 +219,10 @@ STATEMENTS: dict[str, str] = {
  union all select 'HEADER_NOT_READABLE', 2, 0, 0""",
     "resent_files": f"""select role_code, {ints('sum(3)')} files, {ints('sum(case when n>1 then 2 else 1 end)')} contents
  from (select role_code, facility_id, count(*) n from staffing_raw group by 1,2) group by 1""",
-    "late_batch_silver": f"""select {SILVER_COLUMNS} from (select * from ({JUNE}) qualify row_number() over
+    "late_batch_silver": f"""select {SILVER_COLUMNS} from (select * from ({STAMPED}) qualify row_number() over
  (partition by staffing_id order by _ingested_at desc, _record_index desc)=1)""",
     "late_batch_gold": f"""select {OT_COLUMNS} from (select *, cast(strftime(work_date,'%Y%m%d') as int) date_key, hours_overtime*65.0 overtime_cost_est
- from (select * from ({JUNE}) qualify row_number() over (partition by shift_id order by _ingested_at desc, _record_index desc)=1)
+ from (select * from ({STAMPED}) qualify row_number() over (partition by shift_id order by _ingested_at desc, _record_index desc)=1)
  where work_date is not null and hours_overtime>0)""",
     "schema_hints": " union all ".join(
         f"select '{c}' column_name, count({c}) filled from staffing_raw"
@@ -336,7 +335,7 @@ STATEMENTS: dict[str, str] = {
  cast(0 as bigint) records_quarantined from (select count(*) n from judged where reasons='')""",
     "created_tables": " union all ".join(
         f"""select '{name}' schema_name, cast({sum(t.schema_name == name for t in TABLES.values())} as bigint) tables,
- {"(select count(*) from silver where work_date>=date '1997-06-01' and work_date<date '1997-06-11')" if name == 'silver' else 'cast(0 as bigint)'} as rows"""
+ {"(select count(*) from silver)" if name == 'silver' else 'cast(0 as bigint)'} as rows"""
         for name in SCHEMA_NAMES),
     "stream_metadata": f"""select concat('shard-', seq%4) _kinesis_partition, lpad(cast(seq as varchar),12,'0') _kinesis_sequence,
  {ts('arrived_at')} _kinesis_timestamp, 'true' processed from sent""",
@@ -392,7 +391,7 @@ STATEMENTS: dict[str, str] = {
  having min(ingestion_timestamp)<timestamp '{AS_OF}'-interval 30 minute
  union all select 'SCHEMA_DRIFT', dataset_name, 'WARN' from drift where drifted_columns<>''""",
     "retention_job": f"""select {txt('cast(_ingested_at as date)')} _ingest_date, count(*) records from staffing_raw
- where _ingested_at>=timestamp '1998-06-01' and cast(_ingested_at as date)>=date '1999-07-11'-365 group by 1""",
+ where cast(_ingested_at as date)>=date '1999-07-11'-365 group by 1""",
     "stored_missed_files": f"""select facility_id, file_type, schedule_cron,
  {ts('greatest(coalesce(last_received_at, arrived), coalesce(arrived, last_received_at))')} last_received_at,
  cast(coalesce(misses,0) as int) consecutive_misses from last_seen left join slots using (facility_id)""",

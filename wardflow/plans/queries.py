@@ -341,11 +341,10 @@ def _bronze_batch(spark, root: str, rows: DataFrame, batch: str) -> None:
     tables.append_batch(ledger, TABLES["ingestion_ledger"].path(root), batch)
 
 
-def _one_month(spark, sf) -> DataFrame:
-    """Staffing rows of the files of one month."""
-    return raw(spark, sf).filter("_ingested_at >= '1997-06-01' and _ingested_at < '1997-07-01'").withColumn(
-        "_ingested_at", F.date_trunc("month", "_ingested_at") + F.expr("make_dt_interval(cast(dayofmonth(_ingested_at) % 3 as int))")
-    )
+def _three_stamps(spark, sf) -> DataFrame:
+    """All staffing rows, stamped as if three batches had brought them."""
+    stamp = F.lit("1997-06-01").cast("timestamp") + F.expr("make_dt_interval(cast(dayofmonth(_ingested_at) % 3 as int))")
+    return raw(spark, sf).withColumn("_ingested_at", stamp)
 
 
 @query
@@ -353,7 +352,7 @@ def late_batch_silver(spark, sf):
     """Silver after a batch that was stamped before the one already taken in,
     and after a run that broke off half-way."""
     root = tables.scratch_path(spark, "lake")
-    rows = tables.stage(spark, _one_month(spark, sf), "rows")
+    rows = tables.stage(spark, _three_stamps(spark, sf), "rows")
     late = F.col("_ingested_at") < F.lit("1997-06-03").cast("timestamp")
     _bronze_batch(spark, root, rows.filter(~late), "b-2")
     jobs.run_silver(spark, root)
@@ -369,7 +368,7 @@ def late_batch_silver(spark, sf):
 def late_batch_gold(spark, sf):
     """The overtime fact by two Gold runs, the second over a late batch."""
     root = tables.scratch_path(spark, "lake")
-    rows = tables.stage(spark, _one_month(spark, sf), "rows")
+    rows = tables.stage(spark, _three_stamps(spark, sf), "rows")
     late = F.col("_ingested_at") < F.lit("1997-06-03").cast("timestamp")
     for batch, part in (("b-2", rows.filter(~late)), ("b-1", rows.filter(late))):
         _bronze_batch(spark, root, part, batch)
@@ -1005,10 +1004,10 @@ def tracked_run(spark, sf):
 def created_tables(spark, sf):
     """Tables of each schema once they were created twice, and the rows Silver shows."""
     prefix, root = f"made_{uuid.uuid4().hex[:8]}_", tables.scratch_path(spark, "lake")
-    few = facts.silver_staffing(raw(spark, sf)).filter("work_date >= '1997-06-01' and work_date < '1997-06-11'")
+    rows_in = facts.silver_staffing(raw(spark, sf))
     for _ in range(2):
         names = create_all_tables(spark, root, prefix)
-    upsert.upsert_table(spark, TABLES["staffing_standardized"], root, few)
+    upsert.upsert_table(spark, TABLES["staffing_standardized"], root, rows_in)
     silver_name = f"{prefix}silver.staffing_standardized"
     spark.sql(f"ALTER TABLE {silver_name} RECOVER PARTITIONS")
     rows = spark.table(silver_name).count()
@@ -1149,7 +1148,7 @@ def retention(spark, sf):
 def retention_job(spark, sf):
     """Days left in Bronze after the retention job dropped whole folders."""
     root, path = tables.scratch_path(spark, "lake"), TABLES["stg_staffing"].full_name
-    rows = raw(spark, sf).filter("_ingested_at >= '1998-06-01'").withColumn("_ingest_date", F.to_date("_ingested_at"))
+    rows = raw(spark, sf).withColumn("_ingest_date", F.to_date("_ingested_at"))
     stored = f"{root}/{path.replace('.', '/')}"
     rows.repartition("_ingest_date").write.partitionBy("_ingest_date").parquet(stored)
     jobs.run_retention(spark, root, "1999-07-11")
