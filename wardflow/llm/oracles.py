@@ -30,4 +30,60 @@ select doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesc
 from docs left join hit_words using (r) left join hit_items using (r)
 """
 
-STATEMENTS = {"op9_decontamination": OP9}
+#: The checksum is computed bit by bit; costs (w: from start, system, user,
+#: assistant) run backward over turn numbers, edits forward.
+OP13 = r"""
+with recursive coded as (
+  select conv_id, turn, coalesce(role, ' ') r, coalesce(text, ' ') t,
+    xor(list_reduce([4294967295::ubigint] || list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda x: ord(x)::ubigint),
+      lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::ubigint[], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::ubigint) % 20 code
+  from conversations
+), copied as (
+  select *, unnest(range(if(code = 3, 2, 1))) from coded where code <> 0
+), damaged as (
+  select conv_id, turn, if(code = 4, 'user', r) r, case code when 1 then '' when 2 then translate(t, '.!?', '') else t end t from copied
+), numbered as (
+  select *, dense_rank() over (order by conv_id nulls first) k, row_number() over (partition by conv_id order by turn nulls first, r, md5(t)) i,
+    rtrim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) body
+  from damaged
+), turns as (
+  select *, left(r, 1) o, case when body = '' then 'b' when row_number() over (partition by k, r, t order by i) > 1 then 'd' when right(body, 1) not in ('.', '!', '?') then 't' else '' end f,
+    lead(left(r, 1)) over (partition by k order by i) follows
+  from numbered
+), counts as (
+  select k, any_value(conv_id) conv_id, count(*) n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (f = 'b') blank, count(*) filter (f = 'd') duplicate,
+    count(*) filter (f = 't') truncated, count(*) filter (follows is not null and o || follows not in ('su', 'ua', 'au')) illegal
+  from turns group by k
+), steps as (
+  select k, i, o, r, t, f in ('b', 'd') must, if(f = 't', 1, 0) more from turns
+), costs as (
+  select k, n + 1 i, [0, 4, 2, 0] w from counts
+  union all
+  select k, i, if(must, list_transform(w, lambda x: x + 3), [least(b[1], 2 + b[3], 4 + b[4]), least(b[2], 2 + b[3], 4 + b[4]), least(b[3], 2 + b[4]), least(b[4], 2 + b[3])])
+  from (
+    select s.k, s.i, must, w, [
+      least(3 + w[1], more + least(case o when 's' then w[2] when 'u' then w[3] else 1000000000 end, 2 + w[3])),
+      least(3 + w[2], more + w[3] + if(o = 'u', 0, 2)), least(3 + w[3], more + w[4] + if(o = 'a', 0, 2)), least(3 + w[4], more + w[3] + if(o = 'u', 0, 2))] b
+    from costs c join steps s on s.k = c.k and s.i = c.i - 1)
+), walk as (
+  select k, 1::bigint i, 1 st, '' audit, []::varchar[] lines from counts
+  union all
+  select k, if(e = 'I', i, i + 1), case when e = 'D' then st when e = 'K' and o = 's' then 2 else nx end, audit || e,
+    case e when 'D' then lines when 'K' then list_append(lines, r || ':' || t) else list_append(lines, if(nx = 3, 'user:', 'assistant:') || if(e = 'R', t, '')) end
+  from (
+    select p.*, s.o, s.r, s.t, if(st = 3, 4, 3) nx,
+      case when s.k is null then 'I' when 3 + v.w[st] = h.w[st] then 'D' when not must and 2 + h.w[if(st = 3, 4, 3)] = h.w[st] then 'I'
+        when st = 1 and o = 's' and more + v.w[2] = h.w[1] or o = if(st = 3, 'a', 'u') and more + v.w[if(st = 3, 4, 3)] = h.w[st] then 'K' else 'R' end e
+    from walk p join costs h on h.k = p.k and h.i = p.i left join steps s on s.k = p.k and s.i = p.i left join costs v on v.k = p.k and v.i = p.i + 1
+    where s.k is not null or st in (2, 3))
+), ended as (
+  select w.k, audit, lines from walk w join counts c on w.k = c.k and w.i = c.n + 1 and st in (1, 4)
+), found as (
+  select c.*, h.w[1] paid, audit, sha256(array_to_string(lines, chr(10))) digest from counts c join ended using (k) join costs h on h.k = c.k and h.i = 1
+)
+select q.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate, coalesce(truncated, 0) truncated, coalesce(illegal, 0) illegal,
+  cast(coalesce(paid, 0) as bigint) cost, coalesce(audit, '') audit, coalesce(digest, sha256('')) repaired_sha256
+from (select distinct conv_id from conversations) q left join found f on f.conv_id is not distinct from q.conv_id
+"""
+
+STATEMENTS = {"op9_decontamination": OP9, "op13_conversation_repair": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, html, langid, lm, neardup, notices, packing, quality, search, substring, toxicity
+from wardflow.llm import conversations, decontaminate, html, langid, lm, neardup, notices, packing, quality, search, substring, toxicity
 from wardflow.llm.common import fold_of, table
 
 
@@ -73,6 +73,11 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notices.summary(notices.find_notices(table(spark, sf_dir, "documents")))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return conversations.report(spark, given, conversations.damage(given))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -85,4 +90,5 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
     "op12_license_scan": op12_license_scan,
+    "op13_conversation_repair": op13_conversation_repair,
 }
