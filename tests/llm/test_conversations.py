@@ -144,9 +144,9 @@ def test_lines_are_the_repaired_turns(spark):
     rows = [(1, 0, "user", "Hi."), (1, 1, "user", "Well?"), (1, 2, "assistant", "Yes."), (2, 0, "system", "Be."), (2, 1, "assistant", "Go.")]
     table = spark.createDataFrame([(*r, "own", "own") for r in rows], f"{ROWS}, key string, slice string")
     found, lines = conversations.repair(spark, table)
-    assert {r.conv_id: (r.audit, r.cost) for r in found.collect()} == {1: ("DKK", 3), 2: ("KIK", 2)}
+    assert {r.conv_id: (r.audit, r.cost) for r in found.collect()} == {1: ("KIKK", 2), 2: ("KIK", 2)}
     kept = [(r.role, r.text) for r in sorted(lines.collect(), key=lambda r: (r.key, r.slice, r.number))]
-    assert kept == [("user", "Well?"), ("assistant", "Yes."), ("system", "Be."), ("user", ""), ("assistant", "Go.")]
+    assert kept == [("user", "Hi."), ("assistant", ""), ("user", "Well?"), ("assistant", "Yes."), ("system", "Be."), ("user", ""), ("assistant", "Go.")]
 
 
 def test_empty_table(spark):

@@ -30,6 +30,36 @@ select doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesc
 from docs left join hit_words using (r) left join hit_items using (r)
 """
 
+#: Every phrase is counted and kept as text; the sub-phrase rule is the literal one.
+OP11 = r"""
+with pieces as (
+  select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece
+  from documents
+), spoken as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') w from pieces
+), totals as (
+  select lang, cast(sum(len(w)) as bigint) n from spoken group by lang
+), starts as (
+  select lang, w, unnest(range(1, len(w) + 1)) i from spoken
+), counts as (
+  select lang, size, array_to_string(w[i:i + size - 1], ' ') phrase, count(*) f
+  from starts, (select unnest(range(1, 6)) size) where i + size - 1 <= len(w) group by all having count(*) >= 100
+), cuts as (
+  select c.lang, c.phrase, c.f a, t.n, k, l.f l, r.f r, cast(1000::hugeint * c.f * t.n // (l.f::hugeint * r.f) as bigint) score
+  from (select *, unnest(range(1, size)) k, string_split(phrase, ' ') w from counts where size > 1) c
+  join totals t using (lang)
+  join counts l on l.lang = c.lang and l.phrase = array_to_string(w[1:k], ' ')
+  join counts r on r.lang = c.lang and r.phrase = array_to_string(w[k + 1:], ' ')
+), best as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), kept as (
+  select * from best b where not exists (
+    select 1 from counts x where x.lang = b.lang and x.size > len(string_split(b.phrase, ' ')) and 100 * x.f >= 100 * b.a and contains(' ' || x.phrase || ' ', ' ' || b.phrase || ' '))
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) "rank", phrase, a, l, r, n, score
+from kept qualify "rank" <= 2000
+"""
+
 #: The checksum is computed bit by bit; costs (w: from start, system, user,
 #: assistant) run backward over turn numbers, edits forward.
 OP13 = r"""
@@ -86,4 +116,4 @@ select q.conv_id, coalesce(gaps, 0) gaps, coalesce(blank, 0) blank, coalesce(dup
 from (select distinct conv_id from conversations) q left join found f on f.conv_id is not distinct from q.conv_id
 """
 
-STATEMENTS = {"op9_decontamination": OP9, "op13_conversation_repair": OP13}
+STATEMENTS = {"op9_decontamination": OP9, "op11_phrase_collocations": OP11, "op13_conversation_repair": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import conversations, decontaminate, html, langid, lm, neardup, notices, packing, quality, search, substring, toxicity
+from wardflow.llm import conversations, decontaminate, html, langid, lm, neardup, notices, packing, phrases, quality, search, substring, toxicity
 from wardflow.llm.common import fold_of, table
 
 
@@ -69,6 +69,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spark, table(spark, sf_dir, "documents"))
+
+
 def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notices.summary(notices.find_notices(table(spark, sf_dir, "documents")))
 
@@ -89,6 +93,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_license_scan": op12_license_scan,
     "op13_conversation_repair": op13_conversation_repair,
 }
