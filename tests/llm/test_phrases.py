@@ -73,10 +73,10 @@ def test_each_phrase_begins_in_one_chunk():
     words = [draw.choice("abcdefgh") + draw.choice("xyz") for _ in range(2_000)]
     triggers = phrases._Triggers()
     own = []
-    for chunk, n, size in phrases.chunks_of(" ".join(words).encode(), 5, triggers):
-        part = chunk.decode().split()
-        assert len(part) == size and n <= phrases.LONGEST_RUN and size <= n + 4
-        own.append((part[:n], part[n:]))
+    for chunk in phrases.chunks_of(" ".join(words).encode(), 5, triggers):
+        mine, _, over = chunk.decode().partition("\t")
+        assert 1 <= len(mine.split()) <= phrases.LONGEST_RUN
+        own.append((mine.split(), over.split()))
     assert [w for mine, _ in own for w in mine] == words
     rest = words
     for mine, over in own:
@@ -84,6 +84,17 @@ def test_each_phrase_begins_in_one_chunk():
         assert over == rest[:4]
 
 
+def test_packed_chunks_are_read_back():
+    chunks = [b"a b", b"c\ta b", b"b b b\tc", b"a"]
+    block = phrases.Block(*phrases.packed(chunks, ["en", "de", "en", "en"], [3, 1, 2, 5]))
+    words = [block.known[i] for i in block.word]
+    assert words == b" ".join(chunks).replace(b"\t", b" ").split(b" ")
+    assert block.mine.tolist() == [True, True, True, False, False, True, True, True, False, True]
+    assert block.left.tolist() == [2, 1, 3, 2, 1, 4, 3, 2, 1, 1] and block.freq.tolist() == [3, 3, 1, 1, 1, 2, 2, 2, 2, 5]
+    pairs = {(r.lang, r.phrase): r.n for r in block.counts(2, None, 0).itertuples()}
+    assert pairs == {("en", b"a b"): 3, ("de", b"c a"): 1, ("en", b"b b"): 4, ("en", b"b c"): 2}
+
+
 def test_filter_holds_every_frequent_phrase(spark):
     some = [("en", f"w{i} v{i % 7}".encode()) for i in range(3_000)]
     whole = phrases.bit_filter(spark.createDataFrame(some, "lang string, phrase binary"), 2)

@@ -9,11 +9,13 @@ A phrase belongs to the chunk in whose own words, before the overlap, it begins:
 so phrases are counted inside distinct chunks, weighted by frequency, and those
 in overlaps count once.
 
-Phrases are counted by length. A phrase can be frequent only if its first and
-its last words but one are, so each length is restricted to phrases whose two
-shorter ones pass a bit filter of those found frequent. The filter has a fixed
-number of bits whatever the corpus holds: it never leaves out a frequent phrase,
-and what it lets through is counted exactly, on the words themselves.
+Single words are counted first, then pairs, then all longer phrases. A phrase can
+be frequent only if its parts are, so pairs are restricted to words, and longer
+phrases to pairs, that pass a bit filter of those found frequent. The filter has
+a fixed number of bits whatever the corpus holds: it never leaves out a frequent
+phrase, and what it lets through is counted exactly, on the words themselves.
+The dictionary's words are numbered block by block once for all three passes; a
+task holds the blocks of one Arrow batch, at most those of its scan split.
 
 Defined cases: a null or empty text has no words; a null language is ``und``;
 rows that repeat an id count each; phrases never reach over a piece's end; extra
@@ -39,7 +41,7 @@ from wardflow.llm.common import keep, mixed
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?" or 10 <= c <= 13 else 32 if c == 9 else c for c in range(256))
 #: A word ends a chunk if its checksum is 0 modulo this; longer runs without one are cut.
 TRIGGER, LONGEST_RUN = 32, 128
-#: Words counted together in a task.
+#: Words counted together, about, at six bytes a word.
 BLOCK = 1 << 20
 #: Bits of the filter, 16 MB, and of one of its blocks.
 FILTER_BITS, BLOCK_BITS = 27, 16
@@ -59,43 +61,88 @@ class _Triggers(dict):
         return found
 
 
-def chunks_of(text: bytes | None, longest: int, triggers: _Triggers) -> Iterator[tuple[bytes, int, int]]:
-    """(words joined by blanks, own words, words) of each chunk of a text."""
+def chunks_of(text: bytes | None, longest: int, triggers: _Triggers) -> list[bytes]:
+    """The chunks of a text: words joined by blanks, a tab before the first of the overlap."""
+    out = []
     for piece in (text or b"").translate(_TABLE).split(b"\n"):
         words = piece.split()
-        begin, size = 0, len(words)
-        if not size:
+        if not words:
             continue
-        ends = [i for i, word in enumerate(words, 1) if triggers[word]]
-        if not ends or ends[-1] != size:
-            ends.append(size)
-        for end in ends:
+        size = len(words)
+        if size <= LONGEST_RUN and not any(map(triggers.__getitem__, words[:-1])):
+            out.append(b" ".join(words))
+            continue
+        begin = 0
+        for end in [*[i for i, word in enumerate(words[:-1], 1) if triggers[word]], size]:
             while begin < end:
                 stop = min(end, begin + LONGEST_RUN)
-                part = words[begin : stop + longest - 1]
-                yield b" ".join(part), stop - begin, len(part)
+                own, over = b" ".join(words[begin:stop]), b" ".join(words[stop : stop + longest - 1])
+                out.append(own + b"\t" + over if over else own)
                 begin = stop
+    return out
 
 
 def parse(spark: SparkSession, documents: DataFrame, longest: int = 5, trigger: int = TRIGGER) -> DataFrame:
-    """(lang, chunk, own, words, freq): the dictionary of distinct chunks, written."""
+    """(lang, chunk, freq): the dictionary of distinct chunks, written."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         triggers = _Triggers(trigger)
         for batch in batches:
-            found: Counter = Counter()
+            found: dict[str, Counter] = {}
             for lang, text in zip(batch["lang"], batch["text"]):
-                found.update((lang, *chunk) for chunk in chunks_of(text, longest, triggers))
-            out = pd.DataFrame(list(found), columns=["lang", "chunk", "own", "words"])
-            out["freq"] = list(found.values())
-            yield out
+                found.setdefault(lang, Counter()).update(chunks_of(text, longest, triggers))
+            for lang, counts in found.items():
+                yield pd.DataFrame({"lang": lang, "chunk": list(counts), "freq": list(counts.values())}, dtype=object)
 
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
-    parsed = texts.mapInPandas(run, "lang string, chunk binary, own int, words int, freq long")
-    distinct = parsed.groupBy("lang", "chunk", "own", "words").agg(F.sum("freq").alias("freq"))
+    parsed = texts.mapInPandas(run, "lang string, chunk binary, freq long")
+    distinct = parsed.groupBy("lang", "chunk").agg(F.sum("freq").alias("freq"))
     return keep(spark, distinct, "chunks")[0]
 
 
+#: Chunks numbered: distinct words, each place's word, and each chunk's language, words, own words and frequency.
+PACKED = "vocabulary binary, langs array<string>, word binary, lang binary, words binary, own binary, freq binary"
+_ENDS = np.zeros(256, bool)
+_ENDS[[9, 10, 32]] = True
+
+
+def packed(chunks: list[bytes], langs: list[str], freq: list[int]) -> tuple:
+    """One row of ``PACKED``."""
+    blob = b"\n".join(chunks) + b"\n"
+    data = np.frombuffer(blob, np.uint8)
+    kinds = data[_ENDS[data]]  # what follows each word
+    last = np.flatnonzero(kinds == 10)
+    size = np.diff(last, prepend=-1)
+    own, tab = size.copy(), np.flatnonzero(kinds == 9)
+    cut = np.searchsorted(last, tab)
+    own[cut] = tab - (last - size)[cut]
+    word, known = pd.factorize(np.array(blob.split(), object))
+    lang, named = pd.factorize(np.array(langs, object))
+    columns = [word.astype(np.int32), lang.astype(np.int32), size.astype(np.int32), own.astype(np.int32), np.array(freq, np.int64)]
+    return (b" ".join(known), list(named), *[c.tobytes() for c in columns])
+
+
+def blocks_of(spark: SparkSession, chunks: DataFrame) -> DataFrame:
+    """The dictionary in blocks of about ``BLOCK`` words, numbered once for all passes, written."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [column.split()[0] for column in PACKED.split(", ")]
+        held: list[list] = [[], [], []]
+        size = 0
+        for batch in batches:
+            for row in zip(batch["chunk"], batch["lang"], batch["freq"]):
+                for part, value in zip(held, row):
+                    part.append(value)
+                size += len(row[0])
+                if size >= BLOCK * 6:
+                    yield pd.DataFrame([packed(*held)], columns=names)
+                    held, size = [[], [], []], 0
+        if size:
+            yield pd.DataFrame([packed(*held)], columns=names)
+
+    return keep(spark, chunks.select("lang", "chunk", "freq").mapInPandas(run, PACKED), "blocks")[0]
+
+
 def hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
 
@@ -157,63 +204,92 @@ def passes(whole: np.ndarray, key: np.ndarray) -> np.ndarray:
     return hit
 
 
-def counts_in(block: pd.DataFrame, size: int, whole: np.ndarray | None) -> pd.DataFrame:
-    """(lang, phrase, n) of the phrases of ``size`` words in some chunks, weighted."""
-    words = b" ".join(block["chunk"]).split(b" ")
-    word, known = pd.factorize(np.array(words, object))
-    lang, langs = pd.factorize(block["lang"].to_numpy())
-    n, own = block["words"].to_numpy(np.int64), block["own"].to_numpy(np.int64)
-    lang_at, freq = np.repeat(lang, n), np.repeat(block["freq"].to_numpy(np.int64), n)
-    place = np.arange(len(words)) - np.repeat(np.cumsum(n) - n, n)
-    alive = (place < np.repeat(own, n)) & (place + size <= np.repeat(n, n))
-    if whole is not None and size > 1:
-        hit = np.zeros(len(words), bool)
-        key = keys(hashes([x.encode() for x in langs])[lang_at], hashes(list(known))[word], size - 1)
-        hit[: len(key)] = passes(whole, key)
-        alive[:-1] &= hit[:-1] & hit[1:]
-    at = np.flatnonzero(alive)
-    if not len(at):
-        return pd.DataFrame({"lang": [], "phrase": [], "n": []}, dtype=object)
-    # Numbers that stand for the phrases one to one, made dense before they overflow.
-    code, top = lang_at[at].astype(np.int64), len(langs)
-    for j in range(size):
-        if top * len(known) >= 1 << 62:
-            code, dense = pd.factorize(code)
-            top = len(dense)
-        code, top = code * len(known) + word[at + j], top * len(known)
-    order = np.argsort(code, kind="stable")
-    first = np.flatnonzero(np.diff(code[order], prepend=-1))
-    found = at[order[first]]
-    spelled = [b" ".join([known[i] for i in row]) for row in word[found[:, None] + np.arange(size)].tolist()]
-    return pd.DataFrame({"lang": langs[lang_at[found]], "phrase": spelled, "n": np.add.reduceat(freq[at][order], first)})
-
-
-def frequent_phrases(spark: SparkSession, chunks: DataFrame, size: int, least: int, shorter: DataFrame | None) -> DataFrame:
-    """(lang, phrase, f) of the phrases of ``size`` words that occur ``least`` times or more, written."""
-    shared = None if shorter is None else spark.sparkContext.broadcast(bit_filter(shorter, size - 1))
+class Block:
+    """A row of ``PACKED`` as arrays with one entry a place."""
+
+    def __init__(self, vocabulary: bytes, langs: list[str], word: bytes, lang: bytes, words: bytes, own: bytes, freq: bytes):
+        self.known, self.langs = np.array(vocabulary.split(b" "), object), np.array(list(langs), object)
+        self.spaced = self.known + b" "
+        self.word = np.frombuffer(word, np.int32).astype(np.int64)
+        n = np.frombuffer(words, np.int32)
+        self.lang = np.repeat(np.frombuffer(lang, np.int32).astype(np.int64), n)
+        self.freq = np.repeat(np.frombuffer(freq, np.int64), n)
+        place = np.arange(len(self.word)) - np.repeat(np.cumsum(n) - n, n)
+        self.mine = place < np.repeat(np.frombuffer(own, np.int32), n)
+        self.left = np.repeat(n, n) - place
+
+    def hits(self, whole: np.ndarray, size: int) -> np.ndarray:
+        """Places whose ``size`` words the filter lets through."""
+        key = keys(hashes([x.encode() for x in self.langs])[self.lang], hashes(list(self.known))[self.word], size)
+        out = np.zeros(len(self.word), bool)
+        out[: len(key)] = passes(whole, key)
+        return out
+
+    def counts(self, size: int, hit: np.ndarray | None, width: int) -> pd.DataFrame:
+        """(lang, phrase, n) of the phrases of ``size`` words that begin in chunks' own words.
+
+        All their parts of ``width`` words must be among ``hit``.
+        """
+        alive = self.mine & (self.left >= size)
+        if hit is not None:
+            for j in range(size - width + 1):
+                alive[: len(hit) - j] &= hit[j:]
+        at = np.flatnonzero(alive)
+        if not len(at):
+            return pd.DataFrame({"lang": [], "phrase": [], "n": []}, dtype=object)
+        # Numbers that stand for the phrases one to one, made dense before they overflow.
+        code, top, w = self.lang[at], len(self.langs), len(self.known)
+        for j in range(size):
+            if top * w >= 1 << 62:
+                code, dense = pd.factorize(code)
+                top = len(dense)
+            code, top = code * w + self.word[at + j], top * w
+        order = np.argsort(code, kind="stable")
+        first = np.flatnonzero(np.diff(code[order], prepend=-1))
+        found = at[order[first]]
+        phrase = self.known[self.word[found + size - 1]]
+        for j in range(size - 2, -1, -1):
+            phrase = self.spaced[self.word[found + j]] + phrase
+        return pd.DataFrame({"lang": self.langs[self.lang[found]], "phrase": phrase, "n": np.add.reduceat(self.freq[at][order], first)})
+
+
+def frequent_phrases(spark: SparkSession, blocks: DataFrame, sizes: list[int], least: int, shorter: DataFrame | None, width: int) -> DataFrame:
+    """(lang, phrase, f) of the phrases of ``sizes`` words that occur ``least`` times or more, written.
+
+    ``shorter`` are the frequent ones of ``width`` words, fewer than any of ``sizes``.
+    """
+    shared = None if shorter is None else spark.sparkContext.broadcast(bit_filter(shorter, width))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, n = [], 0
         for batch in batches:
-            if len(batch):
-                ends = np.cumsum(batch["words"].to_numpy(np.int64)) // BLOCK
-                for _, part in batch.groupby(ends, sort=False):
-                    held.append(part)
-                    n += int(part["words"].sum())
-                    if n >= BLOCK:
-                        yield counts_in(pd.concat(held), size, shared and shared.value)
-                        held, n = [], 0
-        if held:
-            yield counts_in(pd.concat(held), size, shared and shared.value)
-
-    counted = chunks.where(F.col("words") >= size).mapInPandas(run, "lang string, phrase binary, n long")
+            for row in batch.itertuples(index=False):
+                block = Block(*row)
+                hit = None if shared is None else block.hits(shared.value, width)
+                for size in sizes:
+                    yield block.counts(size, hit, width)
+
+    counted = blocks.mapInPandas(run, "lang string, phrase binary, n long")
     frequent = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    written = keep(spark, frequent, f"phrases-{size}")[0]
+    written = keep(spark, frequent, f"phrases-{sizes[0]}")[0]
     if shared is not None:
         shared.destroy()
     return written
 
 
+def words_of_langs(blocks: DataFrame) -> DataFrame:
+    """(lang, n): all words of each language."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for langs, lang, own, freq in zip(*(batch[c] for c in ("langs", "lang", "own", "freq"))):
+                n = np.zeros(len(langs), np.int64)
+                np.add.at(n, np.frombuffer(lang, np.int32), np.frombuffer(own, np.int32) * np.frombuffer(freq, np.int64))
+                yield pd.DataFrame({"lang": list(langs), "n": n})
+
+    counted = blocks.select("langs", "lang", "own", "freq").mapInPandas(run, "lang string, n long")
+    return counted.groupBy("lang").agg(F.sum("n").alias("n"))
+
+
 def _exact(value: str) -> Column:
     return F.col(value).cast("decimal(19,0)")
 
@@ -261,16 +337,13 @@ def collocations(
     Phrases of two to ``longest`` words that occur ``least`` times; ``first``
     is how many a language reports, None for all.
     """
-    chunks = parse(spark, documents, longest, trigger)
-    totals = keep(spark, chunks.groupBy("lang").agg(F.sum(F.col("own") * F.col("freq")).alias("n")), "words")[0]
-    levels: list[DataFrame] = []
-    for size in range(1, longest + 1):
-        levels.append(frequent_phrases(spark, chunks, size, least, levels[-1] if levels else None))
-        if levels[-1].isEmpty():
-            break
-    counts = levels[0]
-    for level in levels[1:]:
-        counts = counts.unionByName(level)
+    blocks = blocks_of(spark, parse(spark, documents, longest, trigger))
+    totals = keep(spark, words_of_langs(blocks), "words")[0]
+    singles = frequent_phrases(spark, blocks, [1], least, None, 0)
+    pairs = frequent_phrases(spark, blocks, [2], least, singles, 1)
+    counts = singles.unionByName(pairs)
+    if longest > 2:
+        counts = counts.unionByName(frequent_phrases(spark, blocks, list(range(3, longest + 1)), least, pairs, 2))
     counts = counts.withColumn("phrase", F.col("phrase").cast("string"))
     found = maximal(counts, scored(counts, totals))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase")))
