@@ -32,10 +32,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import keep, mixed
+from wardflow.llm.common import drop, keep, mixed
 
 #: A-Z small, the marks and line ends that part pieces as line feeds, tabs as blanks.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else 10 if c in b".,;:!?" or 10 <= c <= 13 else 32 if c == 9 else c for c in range(256))
@@ -83,7 +84,7 @@ def chunks_of(text: bytes | None, longest: int, triggers: _Triggers) -> list[byt
 
 
 def parse(spark: SparkSession, documents: DataFrame, longest: int = 5, trigger: int = TRIGGER) -> DataFrame:
-    """(lang, chunk, freq): the dictionary of distinct chunks, written."""
+    """(lang, chunk, freq): the dictionary of distinct chunks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         triggers = _Triggers(trigger)
@@ -96,11 +97,10 @@ def parse(spark: SparkSession, documents: DataFrame, longest: int = 5, trigger:
 
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
     parsed = texts.mapInPandas(run, "lang string, chunk binary, freq long")
-    distinct = parsed.groupBy("lang", "chunk").agg(F.sum("freq").alias("freq"))
-    return keep(spark, distinct, "chunks")[0]
+    return parsed.groupBy("lang", "chunk").agg(F.sum("freq").alias("freq"))
 
 
-#: Chunks numbered: distinct words, each place's word, and each chunk's language, words, own words and frequency.
+#: Chunks numbered: distinct words and each place's word, both compressed, and each chunk's language, words, own words and frequency.
 PACKED = "vocabulary binary, langs array<string>, word binary, lang binary, words binary, own binary, freq binary"
 _ENDS = np.zeros(256, bool)
 _ENDS[[9, 10, 32]] = True
@@ -119,11 +119,12 @@ def packed(chunks: list[bytes], langs: list[str], freq: list[int]) -> tuple:
     word, known = pd.factorize(np.array(blob.split(), object))
     lang, named = pd.factorize(np.array(langs, object))
     columns = [word.astype(np.int32), lang.astype(np.int32), size.astype(np.int32), own.astype(np.int32), np.array(freq, np.int64)]
-    return (b" ".join(known), list(named), *[c.tobytes() for c in columns])
+    pressed = [zstandard.compress(x, 1) for x in (b" ".join(known), columns[0].tobytes())]
+    return (pressed[0], list(named), pressed[1], *[c.tobytes() for c in columns[1:]])
 
 
-def blocks_of(spark: SparkSession, chunks: DataFrame) -> DataFrame:
-    """The dictionary in blocks of about ``BLOCK`` words, numbered once for all passes, written."""
+def blocks_of(chunks: DataFrame) -> DataFrame:
+    """The dictionary in blocks of about ``BLOCK`` words, numbered once for all passes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [column.split()[0] for column in PACKED.split(", ")]
@@ -140,7 +141,7 @@ def blocks_of(spark: SparkSession, chunks: DataFrame) -> DataFrame:
         if size:
             yield pd.DataFrame([packed(*held)], columns=names)
 
-    return keep(spark, chunks.select("lang", "chunk", "freq").mapInPandas(run, PACKED), "blocks")[0]
+    return chunks.select("lang", "chunk", "freq").mapInPandas(run, PACKED)
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
@@ -208,9 +209,10 @@ class Block:
     """A row of ``PACKED`` as arrays with one entry a place."""
 
     def __init__(self, vocabulary: bytes, langs: list[str], word: bytes, lang: bytes, words: bytes, own: bytes, freq: bytes):
-        self.known, self.langs = np.array(vocabulary.split(b" "), object), np.array(list(langs), object)
+        self.known = np.array(zstandard.decompress(vocabulary).split(b" "), object)
+        self.langs = np.array(list(langs), object)
         self.spaced = self.known + b" "
-        self.word = np.frombuffer(word, np.int32).astype(np.int64)
+        self.word = np.frombuffer(zstandard.decompress(word), np.int32).astype(np.int64)
         n = np.frombuffer(words, np.int32)
         self.lang = np.repeat(np.frombuffer(lang, np.int32).astype(np.int64), n)
         self.freq = np.repeat(np.frombuffer(freq, np.int64), n)
@@ -337,13 +339,14 @@ def collocations(
     Phrases of two to ``longest`` words that occur ``least`` times; ``first``
     is how many a language reports, None for all.
     """
-    blocks = blocks_of(spark, parse(spark, documents, longest, trigger))
+    blocks, path = keep(spark, blocks_of(parse(spark, documents, longest, trigger)), "blocks")
     totals = keep(spark, words_of_langs(blocks), "words")[0]
     singles = frequent_phrases(spark, blocks, [1], least, None, 0)
     pairs = frequent_phrases(spark, blocks, [2], least, singles, 1)
     counts = singles.unionByName(pairs)
     if longest > 2:
         counts = counts.unionByName(frequent_phrases(spark, blocks, list(range(3, longest + 1)), least, pairs, 2))
+    drop(spark, [path])
     counts = counts.withColumn("phrase", F.col("phrase").cast("string"))
     found = maximal(counts, scored(counts, totals))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase")))
