@@ -59,3 +59,18 @@ def test_nothing_to_learn_from(spark, odd_docs, no_docs):
     got = lm.score(spark, odd_docs, F.lit(False)).collect()
     assert len(got) == odd_docs.count() and all(r.n_known == 0 and math.isfinite(r.score) for r in got)
     assert lm.score(spark, no_docs, F.lit(True)).count() == 0
+
+
+def test_counts_beyond_32_bits():
+    for values in ([], [0, 5], [3_000_000_000, 1, 2**53], [-(2**40), 7]):
+        assert lm.unsqueeze(lm.squeeze(np.array(values, np.int64))).tolist() == values
+    small, wide = (len(lm.squeeze(np.full(1000, n))) for n in (5, 2**40))
+    assert small < wide
+
+
+def test_part_sums_beyond_32_bits():
+    many = np.array([3_000_000_000, 1])
+    group = pd.DataFrame([(0, 0, b, np.array([11, 12]), lm.squeeze(many), lm.squeeze(np.array([1, 0]))) for b in (0, 1)], columns=["order", "part", "block", "keys", "main", "held"])
+    got = lm._answer(group)
+    assert [lm.unsqueeze(x).tolist() for x in got["all"][:2]] == [[6_000_000_002, 2]] * 2
+    assert got["total"].iloc[2] == 6_000_000_004

@@ -43,12 +43,15 @@ GRAIN = 4
 
 
 def squeeze(values: np.ndarray) -> bytes:
-    """Integers as compressed 32-bit values."""
-    return zstandard.ZstdCompressor(level=1).compress(values.astype(np.int32).tobytes())
+    """Integers as compressed values of 32 bits, or of 64 where one needs them; the first byte tells."""
+    wide = len(values) > 0 and int(np.abs(values).max()) >= 1 << 31
+    kind = np.int64 if wide else np.int32
+    return (b"8" if wide else b"4") + zstandard.ZstdCompressor(level=1).compress(values.astype(kind).tobytes())
 
 
 def unsqueeze(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(data)), np.int32)
+    kind = np.int64 if data[:1] == b"8" else np.int32
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(data[1:])), kind)
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
