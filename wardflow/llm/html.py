@@ -15,9 +15,10 @@ Sorting is by ranges, so a host with a third of all pages is spread over many
 tasks; only hashes of lines are sorted and paired.
 
 Defined cases: a null or empty page gives an empty text; a page without
-neighbours on its host loses nothing by differencing; rows that repeat a page_id
-are told apart by a checksum of the page, and equal rows give equal results;
-cut-off pages end where they end; a null URL is a host of its own; extra columns
+neighbours on its host loses nothing by differencing; copies of a page on one
+host count as one page there, so their nearest is a page with other lines, and
+equal rows give equal results; marks of a wrapper yield to the main element in
+it where a page has no other; cut-off pages end where they end; a null URL is a host of its own; extra columns
 are ignored.
 """
 
@@ -51,6 +52,8 @@ MARKS = frozenset(
     "masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo related reply replies share "
     "sharing sidebar signup social sponsor sponsored subscribe toolbar widget contentinfo complementary search alert".split()
 )
+#: Marks that what belongs to an article may bear.
+OF_ARTICLES = frozenset(["header", "alert", "search"])
 MAIN = frozenset(["article", "main"])
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -69,23 +72,34 @@ def marked(name: str, attributes: str, in_main: bool) -> bool:
         return True
     if "=" not in attributes or name in ("html", "body"):
         return False
-    # A main element is marked by a whole name only ("comment", not
-    # "has-comments"), and what heads the article belongs to it.
-    marks = MARKS - {"header"} if in_main else MARKS
+    # A main element and what is inside it are marked by whole names only
+    # ("comment", not "has-comments"; "share", not "share-price").
+    marks = MARKS - OF_ARTICLES if in_main else MARKS
     for found in NAMED.finditer(attributes):
         value = (found[1] or found[2] or found[3] or "").lower()
-        if not marks.isdisjoint(value.split() if name in MAIN else WORD.findall(value)):
+        if not marks.isdisjoint(value.split() if in_main or name in MAIN else WORD.findall(value)):
             return True
     return False
 
 
 def lines_of(page: str | None) -> list[tuple[str, int]]:
-    """(text, place) of the page's block lines, in order."""
+    """(text, place) of the page's block lines, in order.
+
+    Where every main element stands in surrounding matter, the marks of what is
+    around it yield: a wrapper named "with-sidebar" is not a sidebar.
+    """
+    lines, hidden = _lines_of(page or "", False)
+    if hidden and not any(place == INSIDE for _, place in lines):
+        lines, _ = _lines_of(page or "", True)
+    return lines
+
+
+def _lines_of(page: str, yielding: bool) -> tuple[list[tuple[str, int]], bool]:
+    """The lines, and whether a main element stands in surrounding matter by its marks alone."""
     lines: list[tuple[str, int]] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # (element, in main, surrounding)
-    in_main = around = False
-    page = page or ""
+    stack: list[tuple[str, bool, bool, bool]] = []  # (element, in main, surrounding, by name)
+    in_main = around = named = hidden = False
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
@@ -112,7 +126,7 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
         if tag[1]:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:
-                    _, in_main, around = stack[depth]
+                    _, in_main, around, named = stack[depth]
                     del stack[depth:]
                     break
         elif name in RAW:
@@ -120,20 +134,35 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
             at = end.end() if end else len(page)
         elif name not in EMPTY and not tag[3].endswith("/"):
             if name == "p" and stack and stack[-1][0] == "p":
-                _, in_main, around = stack.pop()
-            stack.append((name, in_main, around))
+                _, in_main, around, named = stack.pop()
+            stack.append((name, in_main, around, named))
+            if name in MAIN and around and not named and not in_main and not marked(name, tag[3], in_main):
+                hidden, around = True, not yielding
             around = around or marked(name, tag[3], in_main)
+            named = named or (name in AROUND and not (in_main and name == "header"))
             in_main = in_main or name in MAIN
     flush()
-    return lines
+    return lines, hidden
 
 
 def common_lines(a: list[int], b: list[int]) -> list[int]:
     """Places in ``a`` of a longest common subsequence with ``b``.
 
-    Matches of ``a``'s lines, later places of ``b`` first, are fed to a longest
-    increasing subsequence, so the cost follows the number of matches.
+    Equal beginnings and ends belong to it. Between them, matches of ``a``'s
+    lines, later places of ``b`` first, are fed to a longest increasing
+    subsequence, so the cost follows the number of matches.
     """
+    head = 0
+    while head < min(len(a), len(b)) and a[head] == b[head]:
+        head += 1
+    tail = 0
+    while tail < min(len(a), len(b)) - head and a[-1 - tail] == b[-1 - tail]:
+        tail += 1
+    between = _common(a[head : len(a) - tail], b[head : len(b) - tail])
+    return [*range(head), *[head + i for i in between], *range(len(a) - tail, len(a))]
+
+
+def _common(a: list[int], b: list[int]) -> list[int]:
     places: dict[int, list[int]] = {}
     for j, line in enumerate(b):
         places.setdefault(line, []).append(j)
@@ -160,25 +189,34 @@ def _hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         # A line's words are run together, so that each line is one word to hash.
         keys = [hash_words("\n".join(text.replace(" ", "_") for text, _ in lines_of(page))).view(np.int64) for page in batch["html"]]
-        yield batch[["page_id", "version", "host", "path"]].assign(lines=keys)
+        yield batch[["version", "host", "path"]].assign(lines=keys)
 
 
 def located(pages: DataFrame) -> DataFrame:
-    """(page_id, version, host, path, html): scheme, query and fragment of the URL are left out."""
+    """(page_id, url, version, host, path, html): scheme, query and fragment of the URL are left out of the path.
+
+    ``version`` is the MD5 digest of the page.
+    """
     url = F.coalesce("url", F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1))
     path = F.regexp_replace(F.regexp_replace(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*", ""), r"[?#].*$", "")
     page = F.coalesce("html", F.lit(""))
-    return pages.select("page_id", F.crc32(page).alias("version"), host.alias("host"), path.alias("path"), page.alias("html"))
+    return pages.select("page_id", "url", F.md5(page).alias("version"), host.alias("host"), path.alias("path"), page.alias("html"))
 
 
 def shared_lines(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """(page_id, version, shared): numbers of the lines each page shares with its nearest."""
-    rows = located(pages)
-    kind = rows.schema["page_id"].dataType.simpleString()
-    hashed = rows.mapInPandas(_hashed, f"page_id {kind}, version long, host string, path string, lines array<bigint>")
-    order = ["host", "path", "page_id", "version"]
-    ranged = hashed.distinct().repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    """(host, version, shared): numbers of the lines each page shares with its nearest.
+
+    Pages of a host with the same lines are copies of one page and count once,
+    at the first of their paths, so a page's nearest has other lines.
+    """
+    rows = located(pages).drop("page_id", "url")
+    hashed = rows.mapInPandas(_hashed, "version string, host string, path string, lines array<bigint>")
+    copies = hashed.withColumn("content", F.md5(F.array_join("lines", ",")))
+    copies, _ = keep(spark, copies.groupBy("host", "version", "content").agg(F.min("path").alias("path"), F.any_value("lines").alias("lines")), "page-copies")
+    single = copies.groupBy("host", "content").agg(F.min("path").alias("path"), F.any_value("lines").alias("lines"))
+    order = ["host", "path", "content"]
+    ranged = single.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
     keys, _ = keep(spark, ranged, "page-lines")
     page = F.struct("host", "path", "lines")
     inside = Window.partitionBy("part").orderBy(*order)
@@ -209,11 +247,12 @@ def shared_lines(spark: SparkSession, pages: DataFrame) -> DataFrame:
     def beside(name: str, field: str):
         return F.when(F.col(f"{name}.host") == F.col("host"), F.col(f"{name}.{field}"))
 
-    return paired.select(
-        "page_id",
-        "version",
+    settled = paired.select(
+        "host",
+        "content",
         shared("path", "lines", beside("before", "path"), beside("before", "lines"), beside("after", "path"), beside("after", "lines")).alias("shared"),
     )
+    return copies.select("host", "version", "content").join(settled, ["host", "content"]).select("host", "version", "shared")
 
 
 def _alike(a: str, b: str) -> int:
@@ -238,14 +277,11 @@ def main_text(page: str, shared: list[int]) -> str:
 
 def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row."""
-    shared = shared_lines(spark, pages).select(F.col("page_id").alias("__id"), F.col("version").alias("__version"), F.col("shared").alias("__shared"))
-    page = F.coalesce("html", F.lit(""))
-    rows = pages.select("page_id", "url", page.alias("html"), F.crc32(page).alias("__v"))
-    shared = shared.groupBy("__id", "__version").agg(F.min("__shared").alias("__shared"))
-    joined = rows.join(shared, F.col("page_id").eqNullSafe(F.col("__id")) & (F.col("__v") == F.col("__version")), "left")
+    shared = shared_lines(spark, pages)
+    joined = located(pages).join(shared, ["host", "version"], "left")
 
     @F.pandas_udf("string")
     def text_of(pages_of: pd.Series, numbers: pd.Series) -> pd.Series:
         return pd.Series([main_text(p, [] if s is None else list(s)) for p, s in zip(pages_of, numbers)], dtype=object)
 
-    return joined.select("page_id", "url", text_of("html", "__shared").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return joined.select("page_id", "url", text_of("html", "shared").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
