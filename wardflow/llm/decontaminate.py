@@ -102,7 +102,7 @@ def _hits_by_join(scanned: DataFrame, grams: DataFrame, sizes: list[int]) -> Dat
 
 
 def scan(documents: DataFrame, benchmark: DataFrame, n: int = 13, set_limit: int = SET_LIMIT) -> DataFrame:
-    """(doc_id, version, n_words, spans, items) of every row; ``version`` is the text's checksum.
+    """(doc_id, version, n_words, spans, items) of every row; ``version`` is the text's MD5 digest.
 
     ``spans`` are the merged word ranges [begin, end), from 0, that windows
     cover, in order; ``items`` the sorted ids of the items with occurring
@@ -118,7 +118,7 @@ def scan(documents: DataFrame, benchmark: DataFrame, n: int = 13, set_limit: int
             by_size.setdefault(r["size"], []).append(r["h"])
     else:
         by_size = {r["size"]: [] for r in grams.select("size").distinct().collect()}
-    rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", F.crc32("text").alias("version"))
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", F.md5("text").alias("version"))
     scanned = bound(rows, "w", words(F.col("text"))).drop("text")
     scanned = bound(scanned, "wh", F.transform("w", lambda w: F.xxhash64(w)))
     if not by_size:
@@ -170,14 +170,14 @@ def remove_contaminated(documents: DataFrame, benchmark: DataFrame, n: int = 13,
     """Documents without the contaminated ones, each row judged by its own text."""
     bad = judge(documents, benchmark, n, share).where("contaminated")
     bad = bad.select(F.col("doc_id").alias("__bad_id"), F.col("version").alias("__bad_version")).distinct()
-    same = documents["doc_id"].eqNullSafe(bad["__bad_id"]) & (F.crc32(documents["text"]) == bad["__bad_version"])
+    same = documents["doc_id"].eqNullSafe(bad["__bad_id"]) & (F.md5(documents["text"]) == bad["__bad_version"])
     return documents.join(bad, same, "left_anti")
 
 
 def remove_spans(documents: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
     """(doc_id, text) with the hit words taken out: the other normalised words, joined by a blank."""
     spans = scan(documents, benchmark, n).where(F.size("spans") > 0).drop("n_words", "items").dropDuplicates(["doc_id", "version"])
-    rows = documents.select(F.col("doc_id").alias("id"), "text", F.crc32("text").alias("v"))
+    rows = documents.select(F.col("doc_id").alias("id"), "text", F.md5("text").alias("v"))
     joined = rows.join(spans, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("v") == F.col("version")), "left")
     joined = bound(joined.select(F.col("id").alias("doc_id"), "text", "spans"), "w", words(F.col("text")))
     outside = F.filter("w", lambda w, i: ~F.exists("spans", lambda s: (s["begin"] <= i) & (i < s["end"])))
