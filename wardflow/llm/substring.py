@@ -175,10 +175,10 @@ def repeats(spark: SparkSession, documents: DataFrame, min_words: int = MIN_WORD
     """(doc_id, version, runs): words [first, last) of documents that an earlier place holds.
 
     ``before`` and ``behind`` are the words around that place, and ``own`` is
-    where it ends if it is in the same text. ``version`` is the checksum of the
-    text, which tells rows of one id apart.
+    where it ends if it is in the same text. ``version`` is a 64-bit hash of
+    the text, which tells rows of one id apart.
     """
-    rows = documents.where(F.col("text") != "").select("doc_id", F.crc32("text").alias("version"), "text")
+    rows = documents.where(F.col("text") != "").select("doc_id", F.xxhash64("text").alias("version"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
     found = rows.mapInPandas(_digested(min_words), f"doc_id {kind}, version long, first int, last int, digest binary")
     found, path = keep(spark, found, "units")
@@ -256,7 +256,7 @@ def remove_repeats(
         F.col("doc_id").alias("__id"), F.col("version").alias("__version"), F.col("runs").alias("__runs")
     )
     joined = documents.join(
-        found, documents["doc_id"].eqNullSafe(F.col("__id")) & (F.crc32(documents["text"]) == F.col("__version")), "left"
+        found, documents["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(documents["text"]) == F.col("__version")), "left"
     )
     joined = joined.withColumn("__spans", removed(F.when(F.col("__runs").isNotNull(), F.col("text")), F.col("__runs")))
     cut = without(F.when(F.col("__spans").isNotNull(), F.col("text")), F.col("__spans"))
