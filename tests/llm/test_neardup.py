@@ -77,7 +77,7 @@ def test_odd_rows(spark, clashing_docs, no_docs):
     kept = neardup.keep_representatives(spark, clashing_docs)
     assert kept.columns == clashing_docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i) == [1, 2, 3, 4, 6, 7, 9, 10, 11, 12, 13] and None in ids
+    assert sorted(i for i in ids if i) == [1, 2, 3, 4, 6, 7, 9, 9, 10, 11, 12, 13] and None in ids
 
 
 def test_components_are_the_smallest_reachable(spark):
@@ -86,3 +86,12 @@ def test_components_are_the_smallest_reachable(spark):
     got = {r.node: r.component for r in neardup.components(spark, links).collect()}
     want = {i: 1 for i in range(2, 61)} | {150: 100, 200: 100} | {k: 300 for k in range(301, 340)}
     assert got == want
+
+
+def test_every_row_is_judged_by_its_own_text(spark):
+    """Rows of one id with other texts, and rows without an id, are documents of their own."""
+    t, u, v = (prose(400 + i, 60) for i in range(3))
+    rows = [(5, t), (5, u), (9, v), (None, t), (None, prose(410, 60)), (None, v), (7, u + " one"), (5, t), (3, ""), (3, ""), (4, None)]
+    kept = neardup.keep_representatives(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted(((r.doc_id, r.text) for r in kept), key=repr)
+    assert got == sorted([(5, t), (5, u), (9, v), (None, rows[4][1]), (3, ""), (3, ""), (4, None)], key=repr)

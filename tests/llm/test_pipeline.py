@@ -12,8 +12,8 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     assert QUERIES.keys() | {"pipeline"} <= queries().keys()
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
-    assert {n for n in oracle_sql() if n in QUERIES} == {"op9_decontamination"}
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
+    assert {n for n in oracle_sql() if n in QUERIES} == {"op9_decontamination", "op11_phrase_collocations", "op13_conversation_repair"}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

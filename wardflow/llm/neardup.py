@@ -289,9 +289,13 @@ def _linked(tile: pd.DataFrame) -> pd.DataFrame:
 def keep_representatives(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """One document of each group: the one with the smallest id, all its columns.
 
-    Rows that repeat a kept id are reduced to one; rows with a null id stay.
+    Every row is judged by its own text, under a written row number: rows of one
+    id with different texts and rows with a null id are documents of their own.
+    A null id counts as the largest. Rows without words are groups of one.
     """
-    kept = link(spark, documents).where("kept").select(F.col("doc_id").alias("__kept_id"))
-    named = documents.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-    chosen = named.join(kept, named["doc_id"] == kept["__kept_id"], "left_semi")
-    return chosen.unionByName(documents.where(F.col("doc_id").isNull()))
+    numbered, _ = keep(spark, documents.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    linked = link(spark, numbered.select(F.col("__row").alias("doc_id"), "text"))
+    members = linked.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")).join(numbered.select("__row", "doc_id"), "__row")
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row")).alias("m")
+    chosen = members.groupBy("__group").agg(smallest).select(F.col("m.__row").alias("__row"))
+    return numbered.join(chosen, "__row", "left_semi").drop("__row")
