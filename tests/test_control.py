@@ -1,7 +1,9 @@
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
+from wardflow.functions import cron
 from wardflow.operators import control, ops
 from wardflow.operators.dedup import get_watermark, newer_than
 from wardflow.plans import jobs
@@ -156,3 +158,49 @@ def test_watermark_filter_is_strict_and_reaches_the_scan(spark, tmp_path):
     assert df.count() == 1
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(_ingested_at), GreaterThan(_ingested_at" in plan
+
+
+def allowed(field, low, high, names=()):
+    """The values of a cron field, read in plain Python."""
+    out = set()
+    for item in field.upper().split(","):
+        for number, name in enumerate(names, low if low else 0):
+            item = item.replace(name, str(number))
+        span, _, step = item.partition("/")
+        first, _, last = span.partition("-")
+        first, last = (low, high) if first == "*" else (int(first), int(last or (high if step else first)))
+        out |= set(range(first, last + 1, int(step or 1)))
+    return out
+
+
+def walked(line, after, before):
+    """Slots between two moments, minute by minute."""
+    minute, hour, day, month, weekday = line.split()
+    minutes, hours, days = allowed(minute, 0, 59), allowed(hour, 0, 23), allowed(day, 1, 31)
+    months, weekdays = allowed(month, 1, 12, cron.MONTHS), {d % 7 for d in allowed(weekday, 0, 7, cron.WEEKDAYS)}
+    count, at = 0, after.replace(second=0, microsecond=0)
+    while at < before:
+        by_day = [at.day in days, (at.weekday() + 1) % 7 in weekdays]
+        fits = any(by_day) if day[0] != "*" and weekday[0] != "*" else all(by_day)
+        count += after < at and at.minute in minutes and at.hour in hours and at.month in months and fits
+        at += timedelta(minutes=1)
+    return count
+
+
+def test_full_cron_lines_by_walking_every_minute(spark):
+    lines = ["0,30 5-23 * * 1-5", "0 6 1 */3 *", "*/7 0 * * *", "10/20 8-18/5 13 * FRI", "5 4 */2 jan-apr,dec sun,sat", "0 0 31 * 7", "59 23 28-31 2 *"]
+    spans = [(datetime(2025, 12, 30, 8, 30), datetime(2026, 2, 2, 6, 0)), (datetime(2026, 1, 2, 8, 10), datetime(2026, 1, 2, 18, 11, 30)), (datetime(2026, 1, 2), datetime(2026, 1, 1))]
+    rows = [(line, a, b) for line in lines for a, b in spans]
+    df = spark.createDataFrame(rows, "line STRING, a TIMESTAMP, b TIMESTAMP")
+    got = df.select("line", "a", "b", cron.slots_between(cron.parsed(F.col("line")), F.unix_timestamp("a"), F.unix_timestamp("b")).alias("n")).collect()
+    assert [(r.line, r.n) for r in got] == [(line, walked(line, a, b)) for line, a, b in rows]
+
+
+@pytest.mark.parametrize("line", ["61 8 * * *", "0 24 * * *", "0 8 0 * *", "0 8 * 13 *", "0 8 * * 8", "0 8 * *", "", "x 8 * * *", "0 8-6 * * *", "*/0 8 * * *", "0 8 * * MOON", "1,,2 8 * * *"])
+def test_unreadable_schedules_are_reported(spark, line):
+    ddl = ("facility_id STRING, file_type STRING, schedule_cron STRING, grace_period_minutes INT, alert_severity STRING,"
+           " is_active BOOLEAN, last_received_at TIMESTAMP, consecutive_misses INT")
+    df = spark.createDataFrame([("A", "STAFFING", line, 0, "WARN", True, None, 4)], ddl)
+    none = spark.createDataFrame([], "facility_id STRING, file_type STRING, received_at TIMESTAMP")
+    row = control.missed_files(df, none, "2026-01-05 08:00:01", "2026-01-01").first()
+    assert (row.consecutive_misses, row.severity) == (None, "UNREADABLE")

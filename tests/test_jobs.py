@@ -233,6 +233,8 @@ def test_etl_in_order_and_the_questions_about_it(spark, lake):
         assert len(answers[name]) == 1, name
     assert len(answers["job_status"]) == len(answers["pipeline_runs"]) == 5
     assert answers["schema_drift"] == answers["pipeline_failures"] == []
+    assert ask(spark, lake.root, "duplicate_check", file=f"{lake.landing}/FAC_1/a.csv").count() == 1
+    assert [(r.added, r.missing) for r in answers["schema_changes"]] == [([], [])]
 
     index = lake.read("quarantine_index")
     for _ in range(2):
@@ -274,3 +276,16 @@ def test_realtime_path(spark, tmp_path):
     assert jobs.run_gold(spark, root, "2026-01-02") == "SUCCESS"
     assert tables.read_table(spark, TABLES["fact_census_realtime"], root).first().census == 1
     assert tables.read_snapshot(spark, TABLES["dim_facility"], root).first().facility_id == "FAC_1"
+
+
+def test_retention_drops_months_and_the_days_before_the_limit(spark, tmp_path):
+    root, table = str(tmp_path), TABLES["fact_overtime"]
+    days = [20181201, 20190102, 20190109, 20190111, 20190301]
+    rows = spark.createDataFrame([(d, "F", "RN", "DAY", None, 1.0, 1.0, 1.0, 1.0) for d in days], table.struct)
+    tables.write_table(rows, table, root)
+    kept = list((tmp_path / "gold/fact_overtime/month_key=201903").glob("*.parquet"))
+    for _ in range(2):
+        jobs.run_retention(spark, root, "2026-01-07")  # Gold keeps 2,555 days: from 2019-01-09 on
+        assert sorted(r.date_key for r in tables.read_table(spark, table, root).collect()) == days[2:]
+    assert list((tmp_path / "gold/fact_overtime/month_key=201903").glob("*.parquet")) == kept
+    assert jobs.run_retention(spark, root, "2026-02-20") == [f"{root}/gold/fact_overtime/month_key=201901"]

@@ -2,7 +2,7 @@ import gzip
 
 import pytest
 
-from wardflow.sources import landing
+from wardflow.sources import landing, tables
 
 
 @pytest.fixture
@@ -83,7 +83,7 @@ def test_names_differ_by_case_and_blanks_only(spark, tmp_path, drop):
 
 def test_rows_longer_than_their_header_show(spark, tmp_path, drop):
     drop("a.csv", "facility_id,work_date\nF1,2026-01-01\nF2,2026-01-01,x\nF3,2026-01-01,,y\nF4\nF5,2026-01-01,\n\"F,6\",d\n")
-    rows = landing.read_by_header(spark, landing.file_headers(spark, str(tmp_path))).collect()
+    rows = landing.read_by_header(landing.file_lines(spark, str(tmp_path)), landing.file_headers(spark, str(tmp_path))).collect()
     assert {r.facility_id: r._surplus for r in rows} == {
         "F1": None, "F2": "x", "F3": "F3,2026-01-01,,y", "F4": None, "F5": None, "F,6": None,
     }
@@ -118,3 +118,32 @@ def test_header_of_a_file_split_over_tasks(spark, tmp_path, drop):
 def test_hints_fall_back_to_the_expected_columns(spark):
     assert landing.get_schema_hints(spark, "no_such_table", "no_such_db") == landing.DEFAULT_SCHEMA_HINTS
     assert landing.DEFAULT_SCHEMA_HINTS.startswith("facility_id STRING, work_date STRING")
+
+
+def test_many_layouts_are_one_scan(spark, tmp_path, drop):
+    for i in range(500):
+        drop(f"f{i}.csv", f"extra_{i},work_date,facility_id\nx{i},2026-01-01,F{i}\n")
+    headers = tables.stage(spark, landing.file_headers(spark, str(tmp_path)))
+    rows = landing.read_by_header(landing.file_lines(spark, str(tmp_path)), headers)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Union" not in plan and len(rows.columns) == 8 + 500 + 2
+    found = rows.select("facility_id", "work_date", "extra_17", "extra_499").collect()
+    assert len(found) == 500 and {(r.facility_id, r.extra_17) for r in found if r.extra_17} == {("F17", "x17")}
+
+
+def test_quoted_cells_are_cut_as_csv(spark, tmp_path, drop):
+    text = 'facility_id,work_date,role_code\n"F,1,2,3,4",d,"a""b"\nF2,"","\\"x"\n\n   \n"F3",d,r,"y"\n"F4",d,r,,"z"\n5\'10" tall,d,r\n'
+    path = drop("a.csv", text)
+    given = spark.read.csv(str(path), header=True, enforceSchema=False).collect()
+    rows = landing.read_by_header(landing.file_lines(spark, str(path)), landing.file_headers(spark, str(path))).collect()
+    assert sorted(((r.facility_id, r.work_date, r.role_code) for r in rows), key=repr) == sorted((tuple(r)[:3] for r in given), key=repr)
+    assert {r.facility_id: r._surplus for r in rows if r._surplus} == {"F3": "y", "F4": '"F4",d,r,,"z"'}
+
+
+def test_no_file_and_no_line(spark, tmp_path, drop):
+    drop("a.csv", "")
+    drop("b.csv", "facility_id\n")
+    assert landing.read_landing(spark, str(tmp_path)).count() == 0
+    drop("c.csv.gz", "", packed=True)  # not empty, but without a line
+    found = names(landing.file_manifest(spark, str(tmp_path)))
+    assert found["c.csv.gz"].columns == [""] and found["c.csv.gz"]["first"] is None

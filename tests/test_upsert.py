@@ -47,9 +47,50 @@ def test_untouched_partitions_are_not_rewritten(spark, tmp_path, staffing_frame)
     root = str(tmp_path)
     upsert.upsert_table(spark, SILVER, root, facts.silver_staffing(
         staffing_frame(staff("2026-01-01", 1), staff("2026-01-02", 2))))
-    kept = list((tmp_path / "silver/staffing_standardized/work_date=2026-01-01").glob("*.parquet"))
-    upsert.upsert_table(spark, SILVER, root, facts.silver_staffing(staffing_frame(staff("2026-01-02", 3))))
-    assert list((tmp_path / "silver/staffing_standardized/work_date=2026-01-01").glob("*.parquet")) == kept
+    kept = list((tmp_path / "silver/staffing_standardized/month_key=202601").glob("*.parquet"))
+    upsert.upsert_table(spark, SILVER, root, facts.silver_staffing(staffing_frame(staff("2026-02-02", 3))))
+    assert list((tmp_path / "silver/staffing_standardized/month_key=202601").glob("*.parquet")) == kept
+    assert len(list((tmp_path / "silver/staffing_standardized").glob("month_key=*"))) == 2
+
+
+def month_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_of_a_month_folder_are_skipped(spark, tmp_path, staffing_frame):
+    """A day predicate names the months in the partition filter and the days in the pushed one."""
+    root = str(tmp_path)
+    days = [f"2026-{m:02}-{d:02}" for m in (1, 2, 3) for d in (1, 9, 28)]
+    rows = facts.silver_staffing(staffing_frame(*[staff(d, 1) for d in days], staff("junk", 9)))
+    upsert.upsert_table(spark, SILVER, root, rows)
+    hit = tables.read_days(spark, SILVER, root, "2026-01-09", "2026-02-08")
+    assert sorted(str(r.work_date) for r in hit.collect()) == ["2026-01-09", "2026-01-28", "2026-02-01"]
+    plan = month_plan(hit)
+    assert "month_key" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(work_date" in plan and hit.columns == SILVER.struct.names
+    fact = TABLES["fact_staffing"]
+    upsert.upsert_table(spark, fact, root, facts.fact_staffing(rows))
+    batch = facts.fact_staffing(facts.silver_staffing(staffing_frame(staff("2026-02-09", 5))))
+    day = upsert.touched_days(spark, fact, root, batch)
+    assert [r.date_key for r in day.collect()] == [20260209] and day.columns == fact.struct.names
+    plan = month_plan(day)
+    assert "month_key" in plan.split("PartitionFilters: [")[1].split("]")[0] and "PushedFilters: [In(date_key, [20260209])]" in plan or "EqualTo(date_key,20260209)" in plan
+    assert sorted(r.month_key for r in upsert.touched_folders(spark, fact, root, batch).collect()) == [202602] * 3
+
+
+def test_files_hold_days_in_order(spark, tmp_path):
+    """So that the statistics of a file's parts tell its days apart."""
+    table, root = TABLES["fact_overtime"], str(tmp_path)
+    rows = spark.range(5_000).select(
+        (F.lit(20260100) + F.col("id") % 28 + 1).cast("int").alias("date_key"), F.concat(F.lit("F"), F.col("id")).alias("facility_id"),
+        F.lit("RN").alias("role_code"), F.lit("DAY").alias("shift_type"), F.lit(None).cast("date").alias("work_date"),
+        *[F.lit(1.0).alias(c) for c in ("hours_worked", "hours_overtime", "overtime_pct", "overtime_cost_est")],
+    )
+    tables.write_table(rows.repartition(7), table, root)
+    assert [p.name for p in (tmp_path / "gold/fact_overtime").glob("month_key=*")] == ["month_key=202601"]
+    for file in (tmp_path / "gold/fact_overtime").rglob("*.parquet"):
+        days = [r.date_key for r in spark.read.parquet(str(file)).select("date_key").collect()]
+        assert days == sorted(days)
 
 
 @pytest.mark.parametrize("days", [3, 5000])

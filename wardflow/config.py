@@ -85,6 +85,8 @@ def build_session(app: str = "wardflow", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # A run's record counts come from the reports of its micro-batches.
+        "spark.sql.streaming.numRecentProgressUpdates": "100000",
         # The JVM does not compile methods above 8000 bytes; wide projections
         # past that run faster as split expressions than as one huge method.
         "spark.sql.codegen.hugeMethodLimit": "8000",

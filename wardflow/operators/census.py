@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wardflow.functions.staffing import all_of
 from wardflow.operators.dedup import latest_per_key
 from wardflow.sources.tables import stage
 
@@ -94,42 +95,50 @@ def running_census(spark: SparkSession, events: DataFrame) -> DataFrame:
     )
 
 
-def census_update(batch: DataFrame, silver: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows of the census fact that a batch of new events changes.
+def _of_unit(prefix: str) -> Column:
+    return all_of([F.col(c).eqNullSafe(F.col(f"{prefix}_{c}")) for c in UNIT])
 
-    A late event moves every later hour of its unit. For each touched unit the
-    hours from the batch's earliest one onward are rebuilt from Silver, and the
-    running sum starts from the census the target holds just before.
+
+def touched_units(batch: DataFrame) -> DataFrame:
+    """(t_facility_id, t_unit_id, from_day): the units of a batch and their earliest day in it."""
+    dated = batch.filter(F.col("event_ts").isNotNull())
+    return dated.groupBy(*[F.col(c).alias(f"t_{c}") for c in UNIT]).agg(F.min("event_date").alias("from_day"))
+
+
+def touched_hours(batch: DataFrame, silver: DataFrame) -> DataFrame:
+    """Nets of all hours in the (unit, day) pairs a batch has events of.
+
+    ``silver`` holds these days, the batch and all replays included, so a day's
+    nets are the same however often the batch is run.
     """
-    hour_start = "make_timestamp(year(event_date), month(event_date), day(event_date), event_hour, 0, 0)"
-    touched = (
-        batch.filter(F.col("event_ts").isNotNull())
-        .groupBy(F.col("facility_id").alias("t_facility"), F.col("unit_id").alias("t_unit"))
-        .agg(F.min(F.expr(hour_start)).alias("from_hour"))
-    )
-    same_unit = F.col("facility_id").eqNullSafe(F.col("t_facility")) & F.col("unit_id").eqNullSafe(F.col("t_unit"))
+    days = batch.filter(F.col("event_ts").isNotNull()).select(*[F.col(c).alias(f"t_{c}") for c in UNIT], F.col("event_date").alias("t_day")).distinct()
+    same_day = _of_unit("t") & (F.col("event_date") == F.col("t_day"))
+    return hourly_net(unique_events(silver.join(days, same_day, "left_semi")))
 
-    rebuilt = (
-        unique_events(
-            silver.filter(F.col("event_ts").isNotNull())
-            .join(touched, same_unit & (F.col("event_ts") >= F.col("from_hour")))
-            .drop("t_facility", "t_unit", "from_hour")
-        )
-        .transform(hourly_net)
-    )
-    seeds = (
-        target.join(touched, same_unit & (F.expr(hour_start) < F.col("from_hour")))
-        .groupBy("t_facility", "t_unit")
-        .agg(F.max_by("census", F.struct("event_date", "event_hour")).alias("seed"))
-    )
-    return (
-        rebuilt.withColumn("census", F.sum("net").over(_running()))
-        .join(seeds, same_unit, "left")
-        .select(
-            *HOUR,
-            (F.col("census") + F.coalesce("seed", F.lit(0))).alias("census"),
-            "admits",
-            "discharges",
-            "transfers",
-        )
-    )
+
+def later_hours(fact: DataFrame, units: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Stored hours of touched units after their earliest day, but for those in ``fresh``.
+
+    An hour's net is its admits less its discharges, whatever census is stored.
+    """
+    moved = fact.join(units, _of_unit("t") & (F.col("event_date") > F.col("from_day"))).select(*fact.columns)
+    known = fresh.select(*[F.col(c).alias(f"f_{c}") for c in UNIT], F.col("event_date").alias("f_day")).distinct()
+    rest = moved.join(known, _of_unit("f") & (F.col("event_date") == F.col("f_day")), "left_anti")
+    return rest.select(*HOUR, (F.col("admits") - F.col("discharges")).alias("net"), "admits", "discharges", "transfers", F.col("census").alias("held"))
+
+
+def opening_balances(balances: DataFrame, units: DataFrame) -> DataFrame:
+    """(t_facility_id, t_unit_id, opening): each unit's balance before its earliest touched day, where there is one."""
+    earlier = balances.join(units, _of_unit("t") & (F.col("event_date") < F.col("from_day")))
+    return earlier.groupBy("t_facility_id", "t_unit_id").agg(F.max_by("balance", "event_date").alias("opening"))
+
+
+def census_from(hours: DataFrame, openings: DataFrame) -> DataFrame:
+    """Census after each of ``hours``, which start where ``openings`` end."""
+    census = F.sum("net").over(_running()) + F.coalesce("opening", F.lit(0))
+    return hours.join(openings, _of_unit("t"), "left").withColumn("census", census).drop("t_facility_id", "t_unit_id", "opening", "net")
+
+
+def closing_balances(census: DataFrame) -> DataFrame:
+    """Each unit's balance at the end of each day with an event."""
+    return census.groupBy(*UNIT, "event_date").agg(F.max_by("census", "event_hour").alias("balance"))

@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow.functions import cron
 from wardflow.operators.dedup import latest_per_key
 from wardflow.operators.quality import new_schema_versions, pass_rate, quality_status
 from wardflow.schemas import TABLES
@@ -20,8 +21,7 @@ log = logging.getLogger(__name__)
 CRON_DAYS = {
     "SUNDAY": 0, "MONDAY": 1, "TUESDAY": 2, "WEDNESDAY": 3, "THURSDAY": 4, "FRIDAY": 5, "SATURDAY": 6,
 }
-EPOCH_WEEKDAY = 4  # 1970-01-01 was a Thursday
-DAY_SECONDS = 86400
+UNREADABLE = "UNREADABLE"
 
 
 def _now() -> datetime:
@@ -297,29 +297,22 @@ def missed_files(schedule: DataFrame, arrivals: DataFrame, as_of: str, since: st
     """Active schedules with their count of expected slots missed in a row.
 
     A slot counts when it lies after the last arrival and its grace period
-    ended before ``as_of``. Slots of a cron line are evenly spaced, so the
-    count is a division; nothing is expanded per slot. Sources that never
-    arrived count from ``since``. Cron lines are ``minute hour * * day``, the
-    form the migration writes.
+    ended before ``as_of``. Sources that never arrived count from ``since``. A
+    schedule whose cron expression cannot be read has no count and the severity
+    ``UNREADABLE``.
     """
     newest = arrivals.groupBy("facility_id", "file_type").agg(F.max("received_at").alias("_arrived"))
-    part = F.split("schedule_cron", " ")
-    weekday = part[4]
-    period = F.when(weekday == "*", F.lit(DAY_SECONDS)).otherwise(F.lit(7 * DAY_SECONDS))
-    first_day = F.when(weekday == "*", F.lit(0)).otherwise(
-        F.pmod(weekday.try_cast("int") - F.lit(EPOCH_WEEKDAY), F.lit(7))
-    )
-    anchor = first_day * DAY_SECONDS + part[1].cast("int") * 3600 + part[0].cast("int") * 60
     last = F.unix_timestamp(F.coalesce("last_received_at", F.lit(since).cast("timestamp")))
-    limit = F.unix_timestamp(F.lit(as_of).cast("timestamp")) - F.col("grace_period_minutes") * 60
-    between = F.ceil((limit - anchor) / period) - F.floor((last - anchor) / period) - 1
+    limit = F.ceil(F.unix_micros(F.lit(as_of).cast("timestamp")) / 1_000_000) - F.col("grace_period_minutes") * 60
+    misses = F.col("consecutive_misses")
     return (
         schedule.filter("is_active")
         .join(newest, ["facility_id", "file_type"], "left")
         .withColumn("last_received_at", F.greatest("last_received_at", "_arrived"))
-        .withColumn("consecutive_misses", F.greatest(between, F.lit(0)).cast("int"))
-        .withColumn("severity", F.when(F.col("consecutive_misses") > 0, F.col("alert_severity")))
-        .drop("_arrived")
+        .withColumn("_cron", cron.parsed(F.col("schedule_cron")))
+        .withColumn("consecutive_misses", cron.slots_between(F.col("_cron"), last, limit).cast("int"))
+        .withColumn("severity", F.when(misses.isNull(), UNREADABLE).when(misses > 0, F.col("alert_severity")))
+        .drop("_arrived", "_cron")
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardflow.config import PASS_RATE_WARN
 from wardflow.operators.control import current_bookmarks, current_runs
 from wardflow.operators.dedup import latest_per_key
-from wardflow.operators.quality import pass_rate, schema_drift
+from wardflow.operators.quality import pass_rate, schema_changes, schema_drift
 
 
 def quarantine_unresolved(index: DataFrame) -> DataFrame:
@@ -114,12 +114,18 @@ def health_check(
 
 
 def alerts(
-    results: DataFrame, bookmarks: DataFrame, index: DataFrame, as_of: str, registry: DataFrame | None = None
+    results: DataFrame,
+    bookmarks: DataFrame,
+    index: DataFrame,
+    as_of: str,
+    registry: DataFrame | None = None,
+    since: str | None = None,
 ) -> DataFrame:
     """(alert, subject, severity) rows for the data-side conditions: a pass
     rate below 90, a bookmark not moved on the day by 08:00, an unresolved
     quarantine record older than 30 minutes, and, with the schema registry, a
-    dataset whose files do not all have the same columns."""
+    version that adds or lacks columns. A version alerts once: those first seen
+    at ``since``, when alerts were last looked for, or before are left out."""
     now = F.lit(as_of).cast("timestamp")
     low = results.filter(F.col("pass_rate") < PASS_RATE_WARN).select(
         F.lit("DQ_PASS_RATE").alias("alert"), F.col("source_file").alias("subject"), F.lit("FAIL").alias("severity")
@@ -148,10 +154,11 @@ def alerts(
     found = low.unionByName(stale).unionByName(waiting)
     if registry is None:
         return found
-    drifted = (
-        schema_drift(registry)
-        .filter(F.size("drifted_columns") > 0)
-        .select(F.lit("SCHEMA_DRIFT").alias("alert"), F.col("dataset_name").alias("subject"), F.lit("WARN").alias("severity"))
+    changes = schema_changes(registry).filter((F.size("added") > 0) | (F.size("missing") > 0))
+    if since is not None:
+        changes = changes.filter(F.col("seen_at") > F.lit(since).cast("timestamp"))
+    drifted = changes.select(
+        F.lit("SCHEMA_DRIFT").alias("alert"), F.concat_ws("/", "dataset_name", "version").alias("subject"), F.lit("WARN").alias("severity")
     )
     return found.unionByName(drifted)
 

@@ -145,6 +145,34 @@ def schema_drift(registry: DataFrame) -> DataFrame:
     )
 
 
+def schema_changes(registry: DataFrame) -> DataFrame:
+    """(dataset_name, version, added, missing, seen_at): what each version of a
+    dataset adds to, or lacks of, the columns of all versions before it.
+
+    Versions are in order of arrival; the first one is what the others are held
+    against. The first version that has a column is found once for each column,
+    so the work grows with the versions, not with their square.
+    """
+    place = F.struct(F.col("registered_at").alias("at"), F.col("schema_version").alias("v"))
+    numbered = registry.select("dataset_name", "schema_version", "registered_at", "columns", place.alias("place"))
+    columns = (
+        numbered.select("dataset_name", "place", F.explode("columns").alias("name"))
+        .groupBy("dataset_name", "name")
+        .agg(F.min("place").alias("first"))
+        .groupBy("dataset_name")
+        .agg(F.array_sort(F.collect_list(F.struct("name", "first"))).alias("known"), F.min("first").alias("base"))
+    )
+    added = F.transform(F.filter("known", lambda k: k["first"] == F.col("place")), lambda k: k["name"])
+    held = F.transform(F.filter("known", lambda k: k["first"] < F.col("place")), lambda k: k["name"])
+    return numbered.join(columns, "dataset_name").select(
+        "dataset_name",
+        F.col("schema_version").alias("version"),
+        F.when(F.col("place") == F.col("base"), F.array().cast("array<string>")).otherwise(added).alias("added"),
+        F.array_except(held, "columns").alias("missing"),
+        F.col("registered_at").alias("seen_at"),
+    )
+
+
 def raw_columns_of(records: DataFrame) -> list[str]:
     """The data columns of a Bronze frame, without lineage and verdict."""
     skip = {*LINEAGE_COLUMNS, "reasons", "_bad", "_ingest_date", "_ingest_batch"}

@@ -1,8 +1,8 @@
 """Upserts without a transactional table format.
 
-A key of every partitioned table contains its partition column, so a row never
-moves between partitions: an upsert rewrites only the partitions its batch
-touches.
+A key of every partitioned table contains its partition column, or the day whose
+month its folders are named by, so a row never moves between folders: an upsert
+rewrites only the folders its batch touches.
 """
 
 from __future__ import annotations
@@ -12,16 +12,8 @@ from pyspark.sql import functions as F
 
 from wardflow.functions.staffing import all_of
 from wardflow.operators.dedup import require_unique
-from wardflow.schemas import Table
-from wardflow.sources.tables import (
-    drop_folder,
-    path_exists,
-    read_snapshot,
-    read_table,
-    staged,
-    write_partitions,
-    write_snapshot,
-)
+from wardflow.schemas import MONTH, Table
+from wardflow.sources.tables import drop_folder, path_exists, read_snapshot, read_stored, staged, write_snapshot, write_table
 
 
 def merge_rows(target: DataFrame, batch: DataFrame, keys: list[str], cleared: DataFrame | None = None) -> DataFrame:
@@ -41,7 +33,8 @@ def touched_slice(target: DataFrame, batch: DataFrame, column: str) -> DataFrame
     """Rows of ``target`` in partitions the batch touches.
 
     The partitions are named in the scan filter, whatever their number: they
-    are days, so the calendar bounds them, and the scan opens no other folder.
+    are days or months, so the calendar bounds them, and the scan opens no
+    other folder.
     """
     named = [r[0] for r in batch.select(column).distinct().collect()]
     values = [v for v in named if v is not None]
@@ -49,6 +42,22 @@ def touched_slice(target: DataFrame, batch: DataFrame, column: str) -> DataFrame
     return target.filter(hit | F.col(column).isNull()) if None in named else target.filter(hit)
 
 
+def with_folder(rows: DataFrame, table: Table) -> DataFrame:
+    """``rows``, which hold the table's day, with the column its folders are named by."""
+    return rows.withColumn(MONTH, table.month()) if table.day else rows
+
+
+def touched_folders(spark: SparkSession, table: Table, root: str, batch: DataFrame) -> DataFrame:
+    """Rows of the folders that a batch touches, whole."""
+    return touched_slice(read_stored(spark, table, root), with_folder(batch, table), table.folders[0])
+
+
+def touched_days(spark: SparkSession, table: Table, root: str, batch: DataFrame) -> DataFrame:
+    """Rows of the days that a batch touches; in their folders, other days are skipped."""
+    rows = touched_folders(spark, table, root, batch)
+    return (touched_slice(rows, batch, table.day) if table.day else rows).select(*table.struct.names)
+
+
 def newer_than_stored(batch: DataFrame, target: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Rows of ``batch`` that no stored row of their key comes after.
 
@@ -80,22 +89,22 @@ def upsert_table(
     columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in table.struct]
     with staged(spark, batch) as rows:
         require_unique(rows, table.keys)
-        if not table.partition_by:
+        if not table.folders:
             target = read_snapshot(spark, table, root)
             kept = rows if newest_by is None else newer_than_stored(rows, target, table.keys, newest_by)
             write_snapshot(spark, merge_rows(target, kept, table.keys, cleared).select(*columns), path)
             return
-        day = table.partition_by[0]
         if not path_exists(spark, path):
-            write_partitions(rows.select(*columns), path, table.partition_by)
+            write_table(rows.select(*columns), table, root)
             return
+        day, folder = table.day or table.folders[0], table.folders[0]
         touched = rows.select(day) if cleared is None else rows.select(day).union(cleared.select(day))
-        target = touched_slice(read_table(spark, table, root), touched, day)
+        target = touched_folders(spark, table, root, touched)
         kept = rows if newest_by is None else newer_than_stored(rows, target, table.keys, newest_by)
         with staged(spark, merge_rows(target, kept, table.keys, cleared).select(*columns), "merged") as merged:
-            write_partitions(merged, path, table.partition_by)
+            write_table(merged, table, root)
             if cleared is not None:
-                # A day that lost its last row has nothing to overwrite it with.
-                left = {r[0] for r in merged.select(day).distinct().collect()}
-                for value in {r[0] for r in cleared.select(day).distinct().collect()} - left:
-                    drop_folder(spark, f"{path}/{day}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+                # A folder that lost its last row has nothing to overwrite it with.
+                gone, left = ({r[0] for r in with_folder(x, table).select(folder).distinct().collect()} for x in (cleared, merged))
+                for value in gone - left:
+                    drop_folder(spark, f"{path}/{folder}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.config import RETENTION_DAYS
@@ -38,8 +38,8 @@ from wardflow.operators.facts import (
 )
 from wardflow.operators.features import overtime_features
 from wardflow.operators.quality import resolve_remediated
-from wardflow.operators.upsert import touched_slice, upsert_table
-from wardflow.schemas import TABLES, create_all_tables
+from wardflow.operators.upsert import touched_days, upsert_table
+from wardflow.schemas import MONTH, TABLES, Table, create_all_tables
 from wardflow.sources.tables import (
     NothingToDo,
     append_batch,
@@ -47,11 +47,13 @@ from wardflow.sources.tables import (
     partition_values,
     path_exists,
     read_snapshot,
+    read_stored,
     read_table,
     require_rows,
     snapshot_folder,
     staged,
     write_snapshot,
+    write_table,
 )
 from wardflow.streaming.adt import run_bronze_events, run_census_stream, run_silver_events
 from wardflow.streaming.ingest import ingest_bronze, read_bronze
@@ -95,6 +97,12 @@ def _move_files(spark: SparkSession, root: str, rows: DataFrame, layer: str, sta
     append_registry(layer_status_rows(files, layer, status, run_id, F.current_timestamp()), root, f"{run_id}-{layer}")
 
 
+def counted(rows: DataFrame) -> tuple[Observation, DataFrame]:
+    """``rows``, whose write also counts them and finds the newest ingestion time."""
+    seen = Observation()
+    return seen, rows.observe(seen, F.count(F.lit(1)).alias("records"), F.max("_ingested_at").cast("string").alias("mark"))
+
+
 SILVER_JOB = "Silver_Transformation"
 
 
@@ -119,8 +127,9 @@ def run_silver(spark: SparkSession, root: str) -> str:
 
     def work(run_id: str) -> tuple[int, str]:
         pending = pending_batches(spark, root, ingested_batches(spark, root), "silver")
-        with staged(spark, bronze_of(spark, root, pending), "bronze") as fresh:
-            records, mark = fresh.agg(F.count(F.lit(1)), F.max("_ingested_at").cast("string")).first()
+        seen, rows = counted(bronze_of(spark, root, pending))
+        with staged(spark, rows, "bronze") as fresh:
+            records, mark = seen.get["records"], seen.get["mark"]
             if records:
                 for name, rows in (("staffing_shifts", silver_shifts(fresh)), ("staffing_standardized", silver_staffing(fresh))):
                     upsert_table(spark, TABLES[name], root, rows, newest_by=NEWEST_FIRST)
@@ -137,18 +146,19 @@ def run_silver(spark: SparkSession, root: str) -> str:
 def touched_silver(spark: SparkSession, root: str, name: str, keys: DataFrame) -> DataFrame:
     """Rows of a Silver table under the keys that a batch brought."""
     table = TABLES[name]
-    rows = touched_slice(read_table(spark, table, root), keys, table.partition_by[0])
+    rows = touched_days(spark, table, root, keys)
     return rows.join(keys.select(*table.keys).distinct(), table.keys, "left_semi")
 
 
-def overtime_batch(changed: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
+def overtime_batch(spark: SparkSession, root: str, changed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Overtime rows of changed shifts, and the keys of the stored rows whose
     shift was corrected to no overtime. Only the days of such shifts are looked
-    up in ``target``."""
-    keys = TABLES["fact_overtime"].keys
+    up in the fact."""
+    table = TABLES["fact_overtime"]
+    keys = table.keys
     without = changed.filter("not coalesce(hours_overtime > 0, false)").withColumn("hours_overtime", F.lit(1.0))
     candidates = fact_overtime(without).select(*keys)
-    held = touched_slice(target, candidates, "date_key").select(*[F.col(k).alias(f"_held_{k}") for k in keys])
+    held = touched_days(spark, table, root, candidates).select(*[F.col(k).alias(f"_held_{k}") for k in keys])
     same = all_of([F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys])
     return fact_overtime(changed), candidates.join(held, same, "left_semi")
 
@@ -157,7 +167,7 @@ def upsert_overtime(spark: SparkSession, root: str, changed: DataFrame) -> None:
     """Bring the overtime fact up to date with changed shifts, so that it equals
     one built from all shifts."""
     table = TABLES["fact_overtime"]
-    rows, cleared = overtime_batch(changed, read_table(spark, table, root))
+    rows, cleared = overtime_batch(spark, root, changed)
     with staged(spark, cleared, "cleared") as gone:
         upsert_table(spark, table, root, rows, cleared=gone)
 
@@ -183,8 +193,9 @@ def run_gold(spark: SparkSession, root: str, run_date: str, attributes: DataFram
             keyed = fresh.withColumn("shift_id", shift_id())
             silver = touched_silver(spark, root, "staffing_standardized", keyed)
             shifts = touched_silver(spark, root, "staffing_shifts", keyed)
-            with staged(spark, silver, "silver") as rows, staged(spark, shifts, "shifts") as worked:
-                records, mark = rows.agg(F.count(F.lit(1)), F.max("_ingested_at").cast("string")).first()
+            seen, counted_silver = counted(silver)
+            with staged(spark, counted_silver, "silver") as rows, staged(spark, shifts, "shifts") as worked:
+                records, mark = seen.get["records"], seen.get["mark"]
                 if records:
                     upsert_table(spark, TABLES["fact_staffing"], root, fact_staffing(rows))
                     upsert_overtime(spark, root, worked)
@@ -254,14 +265,14 @@ def run_schedule_migration(spark: SparkSession, path: str, backup_path: str, roo
 
 def run_missed_files(spark: SparkSession, root: str, arrivals: DataFrame, as_of: str, since: str) -> str:
     """Store in the schedule when each source last sent a file and how many
-    expected ones are missing in a row."""
+    expected ones are missing in a row; none where its cron cannot be read."""
 
     def work(run_id: str) -> tuple[int, None]:
         table = TABLES["file_schedule"]
         late = missed_files(read_snapshot(spark, table, root), arrivals, as_of, since)
         with staged(spark, late, "missed") as rows:
             upsert_table(spark, table, root, rows.select(*table.struct.names))
-            return rows.filter("consecutive_misses > 0").count(), None
+            return rows.filter("severity is not null").count(), None
 
     return tracked(spark, root, "Missed_Files", "CONTROL", TABLES["file_schedule"].full_name, work)
 
@@ -272,34 +283,65 @@ def registered_arrivals(spark: SparkSession, root: str) -> DataFrame:
     return files.select(F.col("hospital_id").alias("facility_id"), F.lit("STAFFING").alias("file_type"), F.col("bronze_at").alias("received_at"))
 
 
-# The layer whose limit holds for a table and the column its folders are named by.
+# The layer whose limit holds for a table.
 DATED_TABLES = [
-    ("bronze", "stg_staffing", "_ingest_date"),
-    ("silver", "staffing_standardized", "work_date"),
-    ("silver", "staffing_shifts", "work_date"),
-    ("silver", "adt_events_standardized", "event_date"),
-    ("gold", "fact_staffing", "date_key"),
-    ("gold", "fact_overtime", "date_key"),
-    ("gold", "fact_census_realtime", "event_date"),
+    ("bronze", "stg_staffing"),
+    ("silver", "staffing_standardized"),
+    ("silver", "staffing_shifts"),
+    ("silver", "adt_events_standardized"),
+    ("gold", "fact_staffing"),
+    ("gold", "fact_overtime"),
+    ("gold", "fact_census_realtime"),  # its balances stay: later openings come from them
 ]
 DATED_FOLDERS = [("audit", "audit/ingestion", "date"), ("audit", "audit/realtime", "date"), ("bronze", "bronze/realtime_json", "date")]
 
 
+def _drop_days(spark: SparkSession, path: str, column: str, oldest: str) -> list[str]:
+    """Drop the day folders before ``oldest``; no file is opened."""
+    old = [d for d in partition_values(spark, path, column) if d[:1].isdigit() and d < oldest]
+    for value in old:
+        drop_folder(spark, f"{path}/{column}={value}")
+    return [f"{path}/{column}={value}" for value in old]
+
+
+def _drop_months(spark: SparkSession, table: Table, root: str, oldest: str) -> list[str]:
+    """Drop the months before ``oldest`` unopened, and from its own month the days before it.
+
+    That one month is rewritten, if it holds such days; every other file stays.
+    """
+    path, limit = table.path(root), int(oldest[:4] + oldest[5:7])
+    months = [v for v in partition_values(spark, path, MONTH) if v.isdigit() and int(v) <= limit]
+    changed = [f"{path}/{MONTH}={v}" for v in months if int(v) < limit]
+    if str(limit) in months:
+        month = read_stored(spark, table, root).filter(F.col(MONTH) == limit).select(*table.struct.names)
+        kind = table.struct[table.day].dataType.simpleString()
+        first = F.lit(oldest).cast("date") if kind == "date" else F.lit(int(oldest.replace("-", "")))
+        if not month.filter(F.col(table.day) < first).isEmpty():
+            with staged(spark, month.filter(F.col(table.day) >= first), "month") as left:
+                if left.isEmpty():
+                    changed.append(f"{path}/{MONTH}={limit}")
+                else:
+                    write_table(left, table, root)
+    for folder in changed:
+        drop_folder(spark, folder)
+    return changed
+
+
 def run_retention(spark: SparkSession, root: str, as_of: str) -> list[str]:
-    """Drop the day folders that are past their layer's limit; returns them.
+    """Drop the folders that are past their layer's limit; returns them.
 
-    Whole folders go, no file is opened, and undated rows stay.
+    Rows without a date stay.
     """
-    folders = [(layer, TABLES[name].path(root), column) for layer, name, column in DATED_TABLES]
-    folders += [(layer, f"{root}/{path}", column) for layer, path, column in DATED_FOLDERS]
+    oldest = {layer: str(date.fromisoformat(as_of) - timedelta(days=days)) for layer, days in RETENTION_DAYS.items()}
     dropped = []
-    for layer, path, column in folders:
-        oldest = str(date.fromisoformat(as_of) - timedelta(days=RETENTION_DAYS[layer]))
-        for value in partition_values(spark, path, column):
-            day = f"{value[:4]}-{value[4:6]}-{value[6:]}" if column == "date_key" else value
-            if day[:1].isdigit() and day < oldest:
-                drop_folder(spark, f"{path}/{column}={value}")
-                dropped.append(f"{path}/{column}={value}")
+    for layer, name in DATED_TABLES:
+        table = TABLES[name]
+        if table.day:
+            dropped += _drop_months(spark, table, root, oldest[layer])
+        else:
+            dropped += _drop_days(spark, table.path(root), table.folders[0], oldest[layer])
+    for layer, path, column in DATED_FOLDERS:
+        dropped += _drop_days(spark, f"{root}/{path}", column, oldest[layer])
     return dropped
 
 
@@ -372,13 +414,18 @@ def run_etl(
 
 
 def run_realtime(spark: SparkSession, envelopes: DataFrame, root: str) -> str:
-    """The event path in order: Bronze, Silver, census."""
-    run_bronze_events(envelopes, root, f"{root}/checkpoints/adt_bronze")
-    try:
-        run_silver_events(spark, root, f"{root}/checkpoints/adt_silver")
-    except NothingToDo as nothing:
-        return nothing.code
-    run_census_stream(spark, root, f"{root}/checkpoints/adt_census")
+    """The event path in order: Bronze, Silver, census. Each is recorded as the
+    batch jobs are; the first that finds nothing to do ends the path."""
+    raw, silver = TABLES["adt_events_raw"], TABLES["adt_events_standardized"]
+    steps = [
+        ("ADT_Bronze_Streaming", "BRONZE", "adt_stream", lambda: run_bronze_events(envelopes, root, f"{root}/checkpoints/adt_bronze")),
+        ("ADT_Silver_Streaming", "SILVER", raw.full_name, lambda: run_silver_events(spark, root, f"{root}/checkpoints/adt_silver")),
+        ("ADT_Census_Streaming", "GOLD", silver.full_name, lambda: run_census_stream(spark, root, f"{root}/checkpoints/adt_census")),
+    ]
+    for name, layer, source, step in steps:
+        outcome = tracked(spark, root, name, layer, source, lambda _: (step(), None))
+        if outcome != "SUCCESS":
+            return outcome
     return "SUCCESS"
 
 
@@ -388,7 +435,7 @@ def run_features(spark: SparkSession, root: str) -> str:
     def work(run_id: str) -> tuple[int, None]:
         fact = require_rows(read_table(spark, TABLES["fact_staffing"], root), "NO_GOLD_DATA")
         table = TABLES["overtime_features"]
-        write_snapshot(spark, overtime_features(fact), table.path(root), table.partition_by)
+        write_snapshot(spark, overtime_features(fact), table.path(root), table)
         return read_snapshot(spark, table, root).count(), None
 
     return tracked(spark, root, "ML_Feature_Pipeline", "ML", TABLES["fact_staffing"].full_name, work)

@@ -10,7 +10,7 @@ import re
 
 from wardflow.plans import fixtures
 from wardflow.schemas import SCHEMA_NAMES, TABLES
-from wardflow.plans.queries import AS_OF, BEGUN, DATASET, HALF_WAY, MOVED_AT, SINCE
+from wardflow.plans.queries import AS_OF, BEGUN, CRON_LINES, DATASET, HALF_WAY, LAST_ALERT, MOVED_AT, SINCE
 
 DAY = AS_OF[:10]
 RAW_JSON = "concat('{', concat_ws(',', " + ", ".join(
@@ -147,6 +147,12 @@ VIEWS |= {
  coalesce((select string_agg(c, ',' order by c) from (select c from (select unnest(columns) c from versions v
  where v.dataset_name=d.dataset_name) group by c having count(*)<(select count(*) from versions v where v.dataset_name=d.dataset_name))),'') drifted_columns
  from (select dataset_name from versions group by 1 having count(*)>1) d""",
+    "before": """select v.dataset_name, v.schema_version, list(distinct c) held from versions v, (select dataset_name, registered_at, schema_version, unnest(columns) c from versions) b
+ where b.dataset_name=v.dataset_name and (b.registered_at, b.schema_version) < (v.registered_at, v.schema_version) group by all""",
+    "changes": """select v.dataset_name, v.schema_version, registered_at,
+ case when held is null then '' else array_to_string(list_sort(list_filter(columns, lambda c: not list_contains(held, c))), ',') end added,
+ coalesce(array_to_string(list_sort(list_filter(held, lambda c: not list_contains(columns, c))), ','), '') missing
+ from versions v left join before using (dataset_name, schema_version)""",
     "dim1": """select facility_id, bed_capacity, staffing_benchmark, true is_current, date '2024-01-01' effective_from,
  cast(null as date) effective_to from attributes_1""",
     "pairs": """select coalesce(a.facility_id,b.facility_id) facility_id, a.bed_capacity old_bed_capacity,
@@ -170,6 +176,11 @@ VIEWS |= {
  expected_day, expected_by_hour from old_schedule""",
     "last_seen": f"""select s.*, (select max(received_at) from arrivals a where a.facility_id=s.facility_id and a.file_type=s.file_type) arrived
  from schedule s where is_active""",
+    "walked": f"""select kind, slot from (select unnest(generate_series(timestamp '{SINCE}', timestamp '{AS_OF}', interval 5 minute)) slot) g,
+ (values ('SCHEDULE_DELTA'), ('CALLOUT'), ('ROSTER')) c(kind) where case kind
+ when 'SCHEDULE_DELTA' then minute(slot) in (0, 30) and hour(slot) >= 5 and dayofweek(slot) between 1 and 5
+ when 'CALLOUT' then minute(slot) = 0 and hour(slot) = 6 and day(slot) = 1 and month(slot) in (1, 4, 7, 10)
+ else minute(slot) in (10, 35) and hour(slot) = 8 and month(slot) <= 6 and (day(slot) = 13 or day(slot) >= 29 or dayofweek(slot) = 5) end""",
     "slots": f"""select facility_id, count(*) misses from
  (select l.*, greatest(coalesce(last_received_at, arrived), coalesce(arrived, last_received_at)) seen from last_seen l) x,
  (select cast(unnest(generate_series(timestamp '1994-12-25', timestamp '2001-08-07', interval 1 day)) as timestamp) day0) g
@@ -270,6 +281,7 @@ STATEMENTS: dict[str, str] = {
     "dq_flags": "select _record_index, _dq_flags from typed",
     "remediation": f"select source_file, record_hash, {txt('resolved')} resolved from bad_index",
     "schema_drift": "select * from drift",
+    "schema_changes": f"select dataset_name, schema_version as version, added, missing, {ts('registered_at')} seen_at from changes",
     "parsed_events": """select event_type, facility_id, unit_id, sha256(patient_id) patient_id, event_timestamp, bed_id, attending_role,
  concat('shard-', seq%4) _kinesis_partition, lpad(cast(seq as varchar),12,'0') _kinesis_sequence from sent""",
     "incremental_filter": f"""select _record_index, {ts('_ingested_at')} _ingested_at from staffing_raw
@@ -337,6 +349,11 @@ STATEMENTS: dict[str, str] = {
         f"""select '{name}' schema_name, cast({sum(t.schema_name == name for t in TABLES.values())} as bigint) tables,
  {"(select count(*) from silver)" if name == 'silver' else 'cast(0 as bigint)'} as rows"""
         for name in SCHEMA_NAMES),
+    "realtime_runs": """select pipeline_name, layer, status, n records_read, cast(1 as bigint) logged, marked, failed from (
+ select 'ADT_Bronze_Streaming' pipeline_name, 'BRONZE' layer, 'SUCCESS' status, count(*) n, count(*) marked, 'false' failed from adt_raw
+ union all select 'ADT_Bronze_Streaming', 'BRONZE', 'FAILED', 0, count(*), 'true' from adt_raw
+ union all select 'ADT_Silver_Streaming', 'SILVER', 'SUCCESS', count(*), count(*), 'false' from sent
+ union all select 'ADT_Census_Streaming', 'GOLD', 'SUCCESS', count(*), count(*), 'false' from sent)""",
     "stream_metadata": f"""select concat('shard-', seq%4) _kinesis_partition, lpad(cast(seq as varchar),12,'0') _kinesis_sequence,
  {ts('arrived_at')} _kinesis_timestamp, 'true' processed from sent""",
     "scd2_audit": """select facility_id, '2024-02-01' changed_on,
@@ -357,7 +374,12 @@ STATEMENTS: dict[str, str] = {
     "missed_files": f"""select facility_id, file_type, schedule_cron,
  {ts('greatest(coalesce(last_received_at, arrived), coalesce(arrived, last_received_at))')} last_received_at,
  cast(coalesce(misses,0) as int) consecutive_misses, case when misses>0 then alert_severity end severity
- from last_seen left join slots using (facility_id)""",
+ from last_seen left join slots using (facility_id)
+ union all select facility_id, k, line, {ts('last_received_at')}, case when k<>'BROKEN' then cast((select count(*) from walked w where w.kind=k
+  and w.slot > coalesce(last_received_at, timestamp '{SINCE}') and w.slot < timestamp '{AS_OF}' - to_minutes(grace_period_minutes)) as int) end misses,
+  case when k='BROKEN' then 'UNREADABLE' when (select max(slot) from walked w where w.kind=k and w.slot < timestamp '{AS_OF}' - to_minutes(grace_period_minutes))
+  > coalesce(last_received_at, timestamp '{SINCE}') then alert_severity end
+ from last_seen, (values {", ".join(str(line) for line in CRON_LINES)}) c(k, line)""",
     "quarantine_unresolved": "select source_file, record_hash from bad_index where not resolved",
     "quarantine_by_rule": """select rule, count(*) records from (select unnest(string_split(quarantine_reason,',')) as rule from bad_index)
  group by 1""",
@@ -389,7 +411,8 @@ STATEMENTS: dict[str, str] = {
  union all select 'BOOKMARK_STALE', concat(job_name,'/',source_name), 'WARN' from bookmarks where updated_at<timestamp '{DAY}'
  union all select 'QUARANTINE_AGE', source_file, 'WARN' from bad_index where not resolved group by source_file
  having min(ingestion_timestamp)<timestamp '{AS_OF}'-interval 30 minute
- union all select 'SCHEMA_DRIFT', dataset_name, 'WARN' from drift where drifted_columns<>''""",
+ union all select 'SCHEMA_DRIFT', concat(dataset_name, '/', schema_version), 'WARN' from changes
+ where (added<>'' or missing<>'') and registered_at > timestamp '{LAST_ALERT}'""",
     "retention_job": f"""select {txt('cast(_ingested_at as date)')} _ingest_date, count(*) records from staffing_raw
  where cast(_ingested_at as date)>=date '1999-07-11'-365 group by 1""",
     "stored_missed_files": f"""select facility_id, file_type, schedule_cron,

@@ -26,8 +26,12 @@ AS_OF = "2001-07-31 12:00:00"
 SINCE = "1995-01-01 00:00:00"
 HALF_WAY = "1998-06-30 00:00:00"
 BEGUN = "1992-01-05 00:00:00"
+LAST_ALERT = "1992-03-01 00:00:00"
 MOVED_AT = "2001-09-01 00:00:00"
 DATASET = "sftp_staffing"
+CRON_LINES = [
+    ("SCHEDULE_DELTA", "0,30 5-23 * * 1-5"), ("CALLOUT", "0 6 1 */3 *"), ("ROSTER", "10/25 8 13,29-31 jan-jun FRI"), ("BROKEN", "61 8 * * *"),
+]
 
 
 def shown(df: DataFrame) -> DataFrame:
@@ -408,21 +412,21 @@ def registered_table(spark, sf):
 @query
 def partitioned_create(spark, sf):
     """Silver written by date and read back through partition pruning."""
-    path = tables.scratch_path(spark, "silver")
-    tables.write_partitions(silver(spark, sf), path, ["work_date"])
-    back = spark.read.schema(TABLES["staffing_standardized"].struct).parquet(path)
-    years = [back.filter("work_date < '1997-01-01'"), back.filter("work_date >= '1997-01-01'"), back.filter("work_date is null")]
-    return years[0].unionByName(years[1]).unionByName(years[2]).drop("_source_file")
+    root, table = tables.scratch_path(spark, "silver"), TABLES["staffing_standardized"]
+    tables.write_table(silver(spark, sf), table, root)
+    undated = tables.read_stored(spark, table, root).filter("month_key is null").select(*table.struct.names)
+    early, late = (tables.read_days(spark, table, root, *d) for d in (("0001-01-01", "1996-12-17"), ("1996-12-18", "9999-12-31")))
+    return early.unionByName(late).unionByName(undated).drop("_source_file")
 
 
 @query
 def feature_snapshot(spark, sf):
     """Two full rewrites of the feature table; readers see the last."""
-    path = TABLES["overtime_features"].path(tables.scratch_path(spark, "lake"))
+    root, table = tables.scratch_path(spark, "lake"), TABLES["overtime_features"]
     rows = features.overtime_features(facts.fact_staffing(silver(spark, sf)))
-    tables.write_snapshot(spark, rows.filter("staff_count > 10").drop("is_weekend"), path, ["date_key"])
-    tables.write_snapshot(spark, rows, path, ["date_key"])
-    return spark.read.parquet(tables.snapshot_folder(spark, path))
+    tables.write_snapshot(spark, rows.filter("staff_count > 10").drop("is_weekend"), table.path(root), table)
+    tables.write_snapshot(spark, rows, table.path(root), table)
+    return tables.read_snapshot(spark, table, root)
 
 
 @query
@@ -533,6 +537,28 @@ def _validated_lake(spark, sf) -> str:
     return root
 
 
+@query
+def realtime_runs(spark, sf):
+    """Runs, bookmarks and log lines of two realtime runs: one that finds all
+    events, and one whose envelopes lack their payload."""
+    root = tables.scratch_path(spark, "lake")
+    envelopes(spark, sf).drop("seq").write.json(f"{root}/stream")
+    stream = adt_streams.file_envelopes(spark, f"{root}/stream")
+    jobs.run_realtime(spark, stream, root)
+    try:
+        jobs.run_realtime(spark, stream.drop("data"), root)
+    except Exception as error:
+        assert "data" in str(error)
+    runs = control.current_runs(tables.read_table(spark, TABLES["pipeline_runs"], root))
+    marks = tables.read_table(spark, TABLES["job_bookmark"], root).groupBy("job_name").agg(F.sum("record_count").alias("marked"))
+    log = tables.read_table(spark, TABLES["pipeline_log"], root).groupBy("pipeline_name", "status").agg(F.count(F.lit(1)).alias("logged"))
+    return (
+        runs.join(log, ["pipeline_name", "status"])
+        .join(marks, F.col("job_name") == F.col("pipeline_name"), "left")
+        .select("pipeline_name", "layer", "status", "records_read", "logged", "marked", F.col("error_message").isNotNull().alias("failed"))
+    )
+
+
 @query
 def realtime_json(spark, sf):
     """Valid events per date, read back from the JSON folders."""
@@ -654,6 +680,12 @@ def schema_drift(spark, sf):
     return quality.schema_drift(versions(spark, sf))
 
 
+@query
+def schema_changes(spark, sf):
+    """What each version adds or lacks against those before it."""
+    return quality.schema_changes(versions(spark, sf))
+
+
 @query
 def parsed_events(spark, sf):
     return adt.bronze_events(envelopes(spark, sf)).drop("_processed_at", "_kinesis_timestamp")
@@ -1046,9 +1078,17 @@ def migrate_file_schedule(spark, sf):
     return schedule(spark, sf)
 
 
+def cron_schedule(spark, sf) -> DataFrame:
+    """Schedules of other files of the facilities: lists, ranges and steps, and one that cannot be read."""
+    lines = F.array(*[F.struct(F.lit(kind).alias("file_type"), F.lit(cron).alias("schedule_cron")) for kind, cron in CRON_LINES])
+    base = schedule(spark, sf).drop("file_type", "schedule_cron")
+    return base.select("*", F.inline(lines)).select(*TABLES["file_schedule"].struct.names)
+
+
 @query
 def missed_files(spark, sf):
-    return control.missed_files(schedule(spark, sf), fixtures.load(spark, sf, "arrivals"), AS_OF, SINCE).select(
+    every = schedule(spark, sf).unionByName(cron_schedule(spark, sf))
+    return control.missed_files(every, fixtures.load(spark, sf, "arrivals"), AS_OF, SINCE).select(
         "facility_id", "file_type", "schedule_cron", "last_received_at", "consecutive_misses", "severity"
     )
 
@@ -1117,7 +1157,7 @@ def health_check(spark, sf):
 @query
 def alerts(spark, sf):
     rows = judged_once(spark, sf)
-    return ops.alerts(dq_results(spark, sf, rows), fixtures.load(spark, sf, "job_bookmarks"), bad_index(spark, sf, rows), AS_OF, versions(spark, sf))
+    return ops.alerts(dq_results(spark, sf, rows), fixtures.load(spark, sf, "job_bookmarks"), bad_index(spark, sf, rows), AS_OF, versions(spark, sf), LAST_ALERT)
 
 
 @query

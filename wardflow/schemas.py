@@ -4,26 +4,53 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructType
 
 from wardflow.config import STAFFING_COLUMNS
 
 
+#: Folder column of tables that are stored by month: year * 100 + month.
+MONTH = "month_key"
+
+
 @dataclass(frozen=True)
 class Table:
-    """A stored table: ``ddl`` lists its columns, partition columns included."""
+    """A stored table: ``ddl`` lists its columns, partition columns included.
+
+    With ``day`` the folders are the months of that column, which every key
+    contains, and files hold whole days in order: a commit moves tens of
+    folders however many days it touches, and the days are skipped inside by
+    the files' own statistics. The folder column is not one of the table's.
+    """
 
     schema_name: str
     name: str
     ddl: str
     keys: list[str]
     partition_by: list[str] = field(default_factory=list)
+    day: str | None = None
 
     @property
     def struct(self) -> StructType:
         return StructType.fromDDL(self.ddl)
 
+    @property
+    def folders(self) -> list[str]:
+        return [MONTH] if self.day else self.partition_by
+
+    @property
+    def stored_ddl(self) -> str:
+        return f"{self.ddl}, {MONTH} INT" if self.day else self.ddl
+
+    def month(self) -> Column:
+        """The folder of a row: of a date, or of a day written yyyymmdd."""
+        day = F.col(self.day)
+        if isinstance(self.struct[self.day].dataType, DateType):
+            return (F.year(day) * 100 + F.month(day)).cast("int")
+        return F.expr(f"cast({self.day} div 100 as int)")
+
     @property
     def full_name(self) -> str:
         return f"{self.schema_name}.{self.name}"
@@ -60,8 +87,8 @@ TABLES: dict[str, Table] = {
             " _processed_at TIMESTAMP",
             ["_kinesis_partition", "_kinesis_sequence"],
         ),
-        Table("silver", "staffing_standardized", _SILVER_MEASURES, ["staffing_id"], ["work_date"]),
-        Table("silver", "staffing_shifts", _SILVER_MEASURES + ", shift_id STRING", ["shift_id"], ["work_date"]),
+        Table("silver", "staffing_standardized", _SILVER_MEASURES, ["staffing_id"], day="work_date"),
+        Table("silver", "staffing_shifts", _SILVER_MEASURES + ", shift_id STRING", ["shift_id"], day="work_date"),
         Table(
             "silver",
             "adt_events_standardized",
@@ -80,7 +107,7 @@ TABLES: dict[str, Table] = {
             " patient_census INT, hours_worked DOUBLE, hours_overtime DOUBLE, nurse_patient_ratio DOUBLE,"
             " overtime_pct DOUBLE, is_understaffed BOOLEAN, dq_flag_count INT",
             ["date_key", "facility_id", "role_code"],
-            ["date_key"],
+            day="date_key",
         ),
         Table(
             "gold",
@@ -88,7 +115,7 @@ TABLES: dict[str, Table] = {
             "date_key INT, facility_id STRING, role_code STRING, shift_type STRING, work_date DATE,"
             " hours_worked DOUBLE, hours_overtime DOUBLE, overtime_pct DOUBLE, overtime_cost_est DOUBLE",
             ["date_key", "facility_id", "role_code", "shift_type"],
-            ["date_key"],
+            day="date_key",
         ),
         Table(
             "gold",
@@ -98,6 +125,13 @@ TABLES: dict[str, Table] = {
             ["facility_id", "unit_id", "event_date", "event_hour"],
             ["event_date"],
         ),
+        Table(
+            "gold",
+            "census_balance",
+            "facility_id STRING, unit_id STRING, event_date DATE, balance BIGINT",
+            ["facility_id", "unit_id", "event_date"],
+            day="event_date",
+        ),
         Table(
             "gold",
             "dim_facility",
@@ -114,7 +148,7 @@ TABLES: dict[str, Table] = {
             " census_vs_avg DOUBLE, is_weekend BOOLEAN, overtime_pct_lag1 DOUBLE,"
             " will_overtime_next_day BOOLEAN, will_overtime_next_calendar_day BOOLEAN",
             ["date_key", "facility_id", "role_code"],
-            ["date_key"],
+            day="date_key",
         ),
         Table(
             "batch_control",
@@ -216,9 +250,9 @@ def create_all_tables(spark: SparkSession, root: str, prefix: str = "") -> list[
     names = []
     for table in TABLES.values():
         name = f"{prefix}{table.full_name}"
-        partitioned = f"PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
+        partitioned = f"PARTITIONED BY ({', '.join(table.folders)})" if table.folders else ""
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({table.ddl}) USING parquet"
+            f"CREATE TABLE IF NOT EXISTS {name} ({table.stored_ddl}) USING parquet"
             f" {partitioned} LOCATION '{table.path(root)}'"
         )
         names.append(name)

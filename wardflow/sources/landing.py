@@ -3,20 +3,18 @@
 from __future__ import annotations
 
 import re
-from collections import defaultdict
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from wardflow.config import STAFFING_COLUMNS
 from wardflow.operators.dedup import latest_per_key
+from wardflow.sources.tables import stage
 
 # The modulus of the line sums; products of two residues fit a BIGINT.
 PRIME = 2**31 - 1
 
-SURPLUS, EXTRA_CELL, WHOLE_LINE = "_surplus", "_extra_cell", "_whole_line"
+SURPLUS = "_surplus"
 
 DEFAULT_SCHEMA_HINTS = ", ".join(f"{c} STRING" for c in STAFFING_COLUMNS)
 
@@ -60,7 +58,7 @@ def _listing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("path"), "length")
 
 
-def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def file_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """The lines of the files, split over tasks; ``position`` counts within one."""
     lines = spark.read.option("recursiveFileLookup", "true").text(paths)
     return lines.select(
@@ -71,65 +69,69 @@ def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
-def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, length, columns) of each file that is not empty.
-
-    Positions grow within a task, and a file's first block is read by one task.
-    """
-    first = (
-        _lines(spark, paths)
-        .filter("block_start = 0")
-        .groupBy("path")
-        .agg(F.min_by("value", "position").alias("line"))
-    )
-    return _listing(spark, paths).join(first, "path", "left").select(
-        "path", "length", header_columns(F.coalesce("line", F.lit("")), F.col("path")).alias("columns")
-    )
-
-
-def file_digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, line_count, line_sums): what the lines of a file and their order give.
+def file_contents(lines: DataFrame) -> DataFrame:
+    """(path, line, first, line_count, line_sums): a file's first line with its
+    position, and what its lines and their order give.
 
     Each line has four residues of its hashes. A file's sums of them, and its
     sums of them times the line's number, are put together from sums by block,
     so the result is the same however the file is split over tasks, and any
-    change of a line or of the order changes it.
+    change of a line or of the order changes it. Positions grow within a task,
+    and a file's first block is read by one task.
     """
     halves = [F.xxhash64("value", F.lit(seed)) for seed in (1, 2)]
     residues = [F.pmod(F.shiftright(h, shift), F.lit(PRIME)) for h in halves for shift in (0, 32)]
-    named = _lines(spark, paths).select("path", "block_start", "position", *[r.alias(f"r{i}") for i, r in enumerate(residues)])
+    named = lines.select("path", "block_start", "position", "value", *[r.alias(f"r{i}") for i, r in enumerate(residues)])
     plain = [F.sum(f"r{i}").alias(f"s{i}") for i in range(4)]
     # A residue times a position below 2 ** 33 would not fit.
     placed = [F.sum(F.pmod(F.col(f"r{i}") * F.pmod("position", F.lit(PRIME)), F.lit(PRIME))).alias(f"p{i}") for i in range(4)]
     blocks = named.groupBy("path", "block_start").agg(
-        F.count(F.lit(1)).alias("n"), F.min("position").alias("base"), *plain, *placed
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("position", "value")).alias("top"), *plain, *placed
     )
     before = F.coalesce(
         F.sum("n").over(Window.partitionBy("path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
-    shift = F.pmod(before - F.col("base"), F.lit(PRIME))
+    shift = F.pmod(before - F.col("top.position"), F.lit(PRIME))
     moved = [
         F.pmod(F.pmod(f"p{i}", F.lit(PRIME)) + F.pmod(f"s{i}", F.lit(PRIME)) * shift, F.lit(PRIME)).alias(f"p{i}") for i in range(4)
     ]
     sums = [F.pmod(F.sum(f"{kind}{i}"), F.lit(PRIME)) for kind in "sp" for i in range(4)]
+    opening = F.when(F.col("block_start") == 0, F.col("top")).alias("top")
     return (
-        blocks.select("path", "n", *[F.pmod(f"s{i}", F.lit(PRIME)).alias(f"s{i}") for i in range(4)], *moved)
+        blocks.select("path", "n", opening, *[F.pmod(f"s{i}", F.lit(PRIME)).alias(f"s{i}") for i in range(4)], *moved)
         .groupBy("path")
-        .agg(F.sum("n").alias("line_count"), F.concat_ws("|", *sums).alias("line_sums"))
+        .agg(F.max("top").alias("top"), F.sum("n").alias("line_count"), F.concat_ws("|", *sums).alias("line_sums"))
+        .select("path", F.col("top.value").alias("line"), F.col("top.position").alias("first"), "line_count", "line_sums")
     )
 
 
-def file_manifest(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, length, file_checksum, columns) of each file.
+def _first_lines(lines: DataFrame) -> DataFrame:
+    """(path, line, first) of each file."""
+    top = lines.filter("block_start = 0").groupBy("path").agg(F.min(F.struct("position", "value")).alias("top"))
+    return top.select("path", F.col("top.value").alias("line"), F.col("top.position").alias("first"))
+
+
+def _columns() -> Column:
+    return header_columns(F.coalesce("line", F.lit("")), F.col("path")).alias("columns")
+
+
+def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, length, columns, first) of each file that is not empty."""
+    return _listing(spark, paths).join(_first_lines(file_lines(spark, paths)), "path", "left").select("path", "length", _columns(), "first")
+
+
+def file_manifest(spark: SparkSession, paths: str | list[str], lines: DataFrame | None = None) -> DataFrame:
+    """(path, length, file_checksum, columns, first) of each file.
 
     The checksum is one digest for files of every size: the MD5 of the length,
-    the number of lines and the sums of :func:`file_digests`. Lines are read in
-    parallel, so no task holds a large file.
+    the number of lines and the sums of :func:`file_contents`. Lines are read in
+    parallel, so no task holds a large file; ``lines`` are those of
+    :func:`file_lines`, where they were kept.
     """
-    digests = file_digests(spark, paths)
-    found = file_headers(spark, paths).join(digests, "path", "left")
+    contents = file_contents(file_lines(spark, paths) if lines is None else lines)
+    found = _listing(spark, paths).join(contents, "path", "left")
     content = F.concat_ws("|", F.col("length"), F.coalesce("line_count", F.lit(0)), F.coalesce("line_sums", F.lit("")))
-    return found.select("path", "length", F.md5(content.cast("binary")).alias("file_checksum"), "columns")
+    return found.select("path", "length", F.md5(content.cast("binary")).alias("file_checksum"), _columns(), "first")
 
 
 def new_files(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -139,51 +141,43 @@ def new_files(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
     return first.join(ledger.select("file_checksum"), "file_checksum", "left_anti")
 
 
-def read_by_header(spark: SparkSession, headers: DataFrame) -> DataFrame:
-    """All files of ``headers(path, columns)`` as one all-text frame.
+def line_cells(value: Column, separator: str, most: int) -> Column:
+    """The cells of a line, empty ones null.
+
+    Only a line with a quote needs a CSV parser; its first ``most`` cells count.
+    """
+    plain = F.transform(F.split(value, separator), lambda cell: F.nullif(cell, F.lit("")))
+    names = [f"c{i}" for i in range(most)]
+    parsed = F.from_csv(value, ", ".join(f"{n} STRING" for n in names), {"sep": separator})
+    return F.when(~F.contains(value, F.lit('"')), plain).otherwise(F.array(*[parsed[n] for n in names]))
+
+
+def read_by_header(lines: DataFrame, headers: DataFrame) -> DataFrame:
+    """The rows of all files of ``headers(path, columns, first)`` as one all-text frame.
 
-    A CSV scan binds columns by position, so files are read in groups of equal
-    separator and header, and the groups united by name: reordered headers
-    stay right and a column some files lack is NULL there. The driver sees
-    the file paths, as for any scan, and one entry per distinct header.
+    Headers are data: every line meets its file's header, and a column's cell is
+    looked up by the place that the header gives it. So there is one scan of
+    ``lines`` however many layouts there are; reordered headers stay right and a
+    column that a file lacks is NULL there. The driver sees the distinct column
+    names. A cell beyond the header, or the line if there are several, is the
+    row's surplus.
     """
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    for row in headers.select("path", separator_of(F.col("path")).alias("sep"), "columns").collect():
-        groups[(row.sep, tuple(row.columns))].append(row.path)
-    frames = []
-    for (sep, columns), files in sorted(groups.items()):
-        # One cell more than the header has shows rows that are too long, and
-        # the whole line tells how long.
-        fields = [*columns, EXTRA_CELL, WHOLE_LINE]
-        schema = StructType([StructField(c, StringType()) for c in fields])
-        read = (
-            spark.read.schema(schema).option("header", "true").option("sep", sep).option("columnNameOfCorruptRecord", WHOLE_LINE)
-        )
-        # File metadata gives paths in URL form; readers take them plain.
-        given = [literal_path(unquote(f)) for f in files]
-        packed = [f for f in given if f.lower().endswith(".gz")]
-        plain = [f for f in given if not f.lower().endswith(".gz")]
-        longer = F.size(F.split(WHOLE_LINE, sep)) > len(columns) + 1
-        surplus = F.when(F.col(EXTRA_CELL).isNotNull() | longer, F.coalesce(WHOLE_LINE, EXTRA_CELL))
-
-        def rows(found: list[str]) -> DataFrame:
-            frame = read.csv(found).withColumn("_source_file", F.col("_metadata.file_path"))
-            return frame.withColumn(SURPLUS, surplus).drop(EXTRA_CELL, WHOLE_LINE)
-
-        if plain:
-            frames.append(rows(plain))
-        if packed:
-            # One task must unpack a gzip file; spread its rows afterwards.
-            frames.append(rows(packed).hint("rebalance"))
-    if not frames:
-        return spark.createDataFrame([], f"{DEFAULT_SCHEMA_HINTS}, _source_file STRING, {SURPLUS} STRING")
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
-    for column in STAFFING_COLUMNS:
-        if column not in out.columns:
-            out = out.withColumn(column, F.lit(None).cast("string"))
-    return out
+    known = headers.agg(F.coalesce(F.array_sort(F.array_distinct(F.flatten(F.collect_set("columns")))), F.array()).alias("names"), F.max(F.size("columns")).alias("widest")).first()
+    names = [*STAFFING_COLUMNS, *[n for n in known.names if n not in STAFFING_COLUMNS]]
+    places = F.transform(F.array(*[F.lit(n) for n in names]), lambda n: (F.array_position("columns", n) - 1).cast("int"))
+    layout = headers.select(F.col("path").alias("_source_file"), "first", F.size("columns").alias("width"), places.alias("places"), separator_of(F.col("path")).alias("sep"))
+    rows = lines.withColumnRenamed("path", "_source_file").join(layout, "_source_file")
+    # Neither the header nor a blank line is a record.
+    records = rows.filter(~((F.col("block_start") == 0) & (F.col("position") == F.col("first"))) & F.col("value").rlike("[^\\x00-\\x20]"))
+    most = (known.widest or 0) + 2
+    cells = F.when(F.col("sep") == "\t", line_cells(F.col("value"), "\t", most)).otherwise(line_cells(F.col("value"), ",", most))
+    cut = records.withColumn("cells", cells)
+    beyond = F.slice("cells", F.col("width") + 1, F.greatest(F.size("cells") - F.col("width"), F.lit(0)))
+    quoted = F.contains("value", F.lit('"'))
+    several = F.when(quoted, F.exists(F.slice(beyond, 2, F.lit(most)), lambda c: c.isNotNull())).otherwise(F.size(beyond) > 1)
+    surplus = F.when(several, F.col("value")).otherwise(F.get(beyond, F.lit(0)))
+    found = [F.when(F.get("places", F.lit(i)) >= 0, F.get("cells", F.get("places", F.lit(i)))).alias(n) for i, n in enumerate(names)]
+    return cut.select(*found, "_source_file", surplus.alias(SURPLUS))
 
 
 def read_landing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -192,4 +186,5 @@ def read_landing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     Files whose header names a column twice or not at all are left out;
     ingestion lists them.
     """
-    return read_by_header(spark, file_headers(spark, paths).filter(readable_header())).drop(SURPLUS)
+    headers = stage(spark, file_headers(spark, paths).filter(readable_header()), "headers")
+    return read_by_header(file_lines(spark, paths), headers).drop(SURPLUS)

@@ -9,8 +9,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, StructType
 
-from wardflow.schemas import Table
+from wardflow.schemas import MONTH, Table
 
 
 class NothingToDo(Exception):
@@ -90,45 +91,65 @@ def read_table(
     NULL for columns that older files lack. ``extra_columns`` are text columns
     that arrived later.
     """
-    path = table.path(root)
     schema = table.struct
     for column in extra_columns or []:
         if column not in schema.names:
             schema = schema.add(column, "string")
+    return read_stored(spark, table, root, schema).select(*schema.names)
+
+
+def read_stored(spark: SparkSession, table: Table, root: str, schema: StructType | None = None) -> DataFrame:
+    """A stored table with its folder column."""
+    path = table.path(root)
+    stored = StructType(list((schema or table.struct).fields))
+    if table.day:
+        stored = stored.add(MONTH, IntegerType())
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+        return spark.createDataFrame([], stored)
+    return spark.read.schema(stored).parquet(path)
 
 
-def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace exactly the partitions present in ``df``.
+def read_days(spark: SparkSession, table: Table, root: str, first: str, last: str) -> DataFrame:
+    """Rows of a table stored by month from the day ``first`` to ``last`` (yyyy-mm-dd).
 
-    The rebalance hint gathers a partition's rows into files of the advisory
-    size: small partitions get one file, and a hot one is split over tasks.
+    Only the folders of these months are listed and read, and in their files
+    only the parts that hold these days.
     """
-    (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    rows = read_stored(spark, table, root)
+    kind = table.struct[table.day].dataType
+    low, high = (d if isinstance(kind, DateType) else int(d.replace("-", "")) for d in (first, last))
+    months = F.col(MONTH).between(*(int(d[:4] + d[5:7]) for d in (first, last)))
+    return rows.filter(months & F.col(table.day).between(F.lit(low).cast(kind), F.lit(high).cast(kind))).select(*table.struct.names)
+
+
+def in_folders(df: DataFrame, table: Table) -> DataFrame:
+    """``df`` as ``table`` stores it: folder column added, a folder's rows gathered in order.
+
+    The rebalance hint gathers rows into files of the advisory size: small
+    folders get one file, and a large one is split over tasks, by whole days
+    where folders are months.
+    """
+    if not table.day:
+        return df.hint("rebalance", *table.folders)
+    return df.withColumn(MONTH, table.month()).hint("rebalance", MONTH, table.day).sortWithinPartitions(MONTH, table.day)
+
+
+def write_table(df: DataFrame, table: Table, root: str) -> None:
+    """Replace exactly the folders that ``df`` has rows in."""
+    overwrite_folders(in_folders(df, table), table.path(root), table.folders)
 
 
-def write_snapshot(
-    spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None, keep: int = 3
-) -> str:
+def write_snapshot(spark: SparkSession, df: DataFrame, path: str, table: Table | None = None, keep: int = 3) -> str:
     """Full replacement, new schema allowed, while readers keep the old one.
 
-    The rows go to a new version folder; one appended line then names it as
+    The rows go to a new version folder, laid out as ``table`` is; one appended line then names it as
     the current version. Of the versions named so, the last ``keep`` stay, so a
     reader has that many replacements to finish in. Returns the folder.
     """
     version = uuid.uuid4().hex
     folder = f"{path}/version={version}"
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-        df.write.partitionBy(*partition_by).parquet(folder)
+    if table is not None and table.folders:
+        in_folders(df, table).write.partitionBy(*table.folders).parquet(folder)
     else:
         df.hint("rebalance").write.parquet(folder)
     number = 1
@@ -156,7 +177,7 @@ def read_snapshot(spark: SparkSession, table: Table, root: str) -> DataFrame:
     folder = snapshot_folder(spark, table.path(root))
     if folder is None:
         return spark.createDataFrame([], table.struct)
-    return spark.read.schema(table.struct).parquet(folder)
+    return spark.read.schema(table.struct).parquet(folder).select(*table.struct.names)
 
 
 def overwrite_folders(df: DataFrame, path: str, partition_by: list[str], file_format: str = "parquet") -> None:

@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wardflow.functions.adt import ENVELOPE_DDL, bronze_events, decode_payload, parse_payload, standardize_events
-from wardflow.functions.staffing import validation_reasons
-from wardflow.operators.census import census_update
+from wardflow.functions.staffing import all_of, validation_reasons
+from wardflow.operators.census import census_from, closing_balances, later_hours, opening_balances, touched_hours, touched_units
 from wardflow.operators.dedup import latest_per_key
 from wardflow.operators.quality import quarantine_index
 from wardflow.operators.upsert import touched_slice, upsert_table
 from wardflow.schemas import TABLES
-from wardflow.sources.tables import append_batch, overwrite_folders, path_exists, read_table, require_rows, staged
+from wardflow.sources.tables import (
+    append_batch,
+    overwrite_folders,
+    partition_values,
+    path_exists,
+    read_days,
+    read_table,
+    require_rows,
+    staged,
+)
 from wardflow.streaming.ingest import stream_id
 
 
@@ -57,13 +68,19 @@ def append_available(df: DataFrame, path: str, checkpoint: str, partition_by: li
     return query
 
 
-def run_bronze_events(envelopes: DataFrame, root: str, checkpoint: str) -> None:
-    """Decode envelopes into Bronze events."""
-    append_available(bronze_events(envelopes), TABLES["adt_events_raw"].path(root), checkpoint)
+def input_rows(query: StreamingQuery) -> int:
+    """Rows a finished query took in, as its micro-batches reported them."""
+    return sum(p["numInputRows"] for p in query.recentProgress)
+
 
+def run_bronze_events(envelopes: DataFrame, root: str, checkpoint: str) -> int:
+    """Decode envelopes into Bronze events; returns the number of envelopes."""
+    return input_rows(append_available(bronze_events(envelopes), TABLES["adt_events_raw"].path(root), checkpoint))
 
-def run_silver_events(spark: SparkSession, root: str, checkpoint: str, drop_replays: bool = False) -> None:
-    """Standardise Bronze events into Silver, reading Bronze as a stream.
+
+def run_silver_events(spark: SparkSession, root: str, checkpoint: str, drop_replays: bool = False) -> int:
+    """Standardise Bronze events into Silver, reading Bronze as a stream; returns
+    the number of Bronze events taken in.
 
     With ``drop_replays`` an event that Silver already holds is dropped on the
     way, however long ago it came: each micro-batch is compared with Silver in
@@ -80,8 +97,7 @@ def run_silver_events(spark: SparkSession, root: str, checkpoint: str, drop_repl
         raise ValueError(f"{target} was begun with drop_replays={not drop_replays}")
     events = standardize_events(spark.readStream.schema(bronze.struct).parquet(bronze.path(root)))
     if not drop_replays:
-        append_available(events, target, checkpoint, silver.partition_by)
-        return
+        return input_rows(append_available(events, target, checkpoint, silver.partition_by))
 
     def batch(df: DataFrame, _: int) -> None:
         once = latest_per_key(df, ["event_id"], [F.col("_kinesis_timestamp").asc(), F.col("_kinesis_sequence").asc()])
@@ -98,6 +114,7 @@ def run_silver_events(spark: SparkSession, root: str, checkpoint: str, drop_repl
         .start()
     )
     query.awaitTermination()
+    return input_rows(query)
 
 
 def run_validated_events(spark: SparkSession, envelopes: DataFrame, root: str, checkpoint: str) -> None:
@@ -149,21 +166,62 @@ def judge_events(envelopes: DataFrame) -> DataFrame:
     return judged.withColumn("reasons", F.coalesce(unreadable, validation_reasons(["facility_id"]))).drop("facility_id")
 
 
-def update_census(spark: SparkSession, batch: DataFrame, root: str) -> None:
-    """Bring the census fact up to date with a batch of Silver events."""
+def stored_days(spark: SparkSession, path: str) -> list[date]:
+    """The days a table stored by ``event_date`` has folders of."""
+    return [date.fromisoformat(d) for d in partition_values(spark, path, "event_date") if d[:1].isdigit()]
+
+
+def openings_of(spark: SparkSession, root: str, units: DataFrame) -> DataFrame:
+    """Balances before the units' earliest touched days.
+
+    First the month of the earliest day and the one before are read; only for
+    units without an event there, such as new ones, the months before.
+    """
+    table = TABLES["census_balance"]
+    bounds = units.agg(F.min("from_day"), F.max("from_day")).first()
+    start = (bounds[0].replace(day=1) - timedelta(days=1)).replace(day=1)
+    near = opening_balances(read_days(spark, table, root, str(start), str(bounds[1])), units)
+    key = ["t_facility_id", "t_unit_id"]
+    without = units.join(near.select(*[F.col(c).alias(f"n_{c}") for c in key]), all_of([F.col(c).eqNullSafe(F.col(f"n_{c}")) for c in key]), "left_anti")
+    far = opening_balances(read_days(spark, table, root, "0001-01-01", str(start - timedelta(days=1))), without)
+    return near.unionByName(far)
+
+
+def held_after(spark: SparkSession, root: str, day: date) -> DataFrame:
+    """Census rows of the stored days after ``day``; their folders alone are read."""
     fact = TABLES["fact_census_realtime"]
-    silver = read_table(spark, TABLES["adt_events_standardized"], root)
-    first_day, last_day = batch.agg(F.min("event_date"), F.max("event_date")).first()
-    if first_day is None:
+    later = [d for d in stored_days(spark, fact.path(root)) if d > day]
+    return read_table(spark, fact, root).filter(F.col("event_date").isin(later) if later else F.lit(False))
+
+
+def update_census(spark: SparkSession, batch: DataFrame, root: str) -> None:
+    """Bring the census fact and its closing balances up to date with a batch of Silver events.
+
+    Silver is read in the days the batch has events of, the fact only in later
+    days that are stored. A late event moves every later hour of its unit, so
+    those are formed anew from their own admits and discharges, and rows whose
+    census stays are not rewritten. Nothing is added to a stored census: running
+    a batch again, whole or after it broke off between two folders, gives the
+    same rows. The balances are written last and only from the earliest touched
+    day on, so the opening ones are those before the batch.
+    """
+    fact, silver = TABLES["fact_census_realtime"], TABLES["adt_events_standardized"]
+    days = [r[0] for r in batch.select("event_date").filter("event_date is not null").distinct().collect()]
+    if not days:
         return
-    recent = silver.filter(F.col("event_date") >= F.lit(first_day))
-    # A unit's opening value lies before its first touched hour.
-    held = read_table(spark, fact, root).filter(F.col("event_date") <= F.lit(last_day))
-    upsert_table(spark, fact, root, census_update(batch, recent, held))
+    touched = read_table(spark, silver, root).filter(F.col("event_date").isin(days))
+    held = held_after(spark, root, min(days))
+    with staged(spark, touched_units(batch), "units") as units, staged(spark, touched_hours(batch, touched), "hours") as fresh:
+        hours = fresh.withColumn("held", F.lit(None).cast("bigint")).unionByName(later_hours(held, units, fresh))
+        with staged(spark, census_from(hours, openings_of(spark, root, units)), "census") as rows:
+            moved = rows.filter(~F.col("census").eqNullSafe(F.col("held"))).drop("held")
+            upsert_table(spark, fact, root, moved)
+            upsert_table(spark, TABLES["census_balance"], root, closing_balances(rows))
 
 
-def run_census_stream(spark: SparkSession, root: str, checkpoint: str) -> None:
-    """Hourly census kept current from the Silver event stream.
+def run_census_stream(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """Hourly census kept current from the Silver event stream; returns the
+    number of events taken in.
 
     Each micro-batch upserts the hours it changes, so the newest hours are
     never held back the way an append-mode window would.
@@ -182,3 +240,4 @@ def run_census_stream(spark: SparkSession, root: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+    return input_rows(query)

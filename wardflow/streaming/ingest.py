@@ -15,7 +15,7 @@ from wardflow.operators.quality import (
     with_reasons,
 )
 from wardflow.schemas import TABLES
-from wardflow.sources.landing import SURPLUS, file_manifest, literal_path, new_files, read_by_header, readable_header
+from wardflow.sources.landing import SURPLUS, file_lines, file_manifest, literal_path, new_files, read_by_header, readable_header
 from wardflow.sources.tables import append_batch, overwrite_folders, read_table, staged
 
 BINARY_FILE_DDL = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -91,13 +91,16 @@ def ingest_files(spark: SparkSession, paths: list[str], root: str, dataset: str,
     """
     at = F.lit(at_text).cast("timestamp")
     ledger = read_table(spark, TABLES["ingestion_ledger"], root)
-    with staged(spark, new_files(file_manifest(spark, paths), ledger), "manifest") as manifest:
+    # The only pass over the landing files: headers, digests and rows come from it.
+    with staged(spark, file_lines(spark, paths), "lines") as lines, staged(
+        spark, new_files(file_manifest(spark, paths, lines), ledger), "manifest"
+    ) as manifest:
         files = manifest.count()
         if not files:
             return 0
         known = readable_header()
         lineage = {"_ingested_at": at, "_record_index": F.expr("uuid()")}
-        records = with_reasons(read_by_header(spark, manifest.filter(known)).withColumns(lineage))
+        records = with_reasons(read_by_header(lines, manifest.filter(known)).withColumns(lineage))
         # A file whose header cannot be used counts as one bad record, which
         # shows the header; the other files of the batch go on.
         unreadable = manifest.filter(~known).select(
