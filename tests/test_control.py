@@ -204,3 +204,38 @@ def test_unreadable_schedules_are_reported(spark, line):
     none = spark.createDataFrame([], "facility_id STRING, file_type STRING, received_at TIMESTAMP")
     row = control.missed_files(df, none, "2026-01-05 08:00:01", "2026-01-01").first()
     assert (row.consecutive_misses, row.severity) == (None, "UNREADABLE")
+
+
+def test_folded_logs_keep_their_rows(spark, tmp_path, monkeypatch):
+    """Readers see the same rows before, after and between folds, also of one that breaks off."""
+    root, table = str(tmp_path), TABLES["pipeline_runs"]
+    many = spark.range(1_000).select(
+        F.concat(F.lit("old-"), F.col("id")).alias("run_id"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in table.struct if f.name not in ("run_id", "layer")],
+        F.element_at(F.array(F.lit("BRONZE"), F.lit("GOLD")), (F.col("id") % 2 + 1).cast("int")).alias("layer"),
+    )
+    many.repartition(1_000, "run_id").write.partitionBy("layer").parquet(table.path(root))
+    runs = lambda: sorted((r.run_id, r.status or "", r.layer) for r in tables.read_table(spark, table, root).collect())
+    before = runs()
+    reader = tables.read_table(spark, table, root)
+    assert len(before) == 1_000 and jobs.compact_logs(spark, root)["pipeline_runs"] > 400
+    assert runs() == before and reader.count() == 1_000
+    assert len(tables.read_table(spark, table, root).inputFiles()) <= 8
+    ok = control.start_pipeline_run(spark, "Silver", "SILVER", root=root)
+    control.complete_pipeline_run(spark, ok, 1, 1, 0, root=root, layer="SILVER")
+    assert len(runs()) == 1_002 and {r.status for r in control.current_runs(tables.read_table(spark, table, root)).filter(F.col("run_id") == ok).collect()} == {"SUCCESS"}
+    # Broken off before its line: nothing has changed. Then before the old files go.
+    seen = runs()
+    with monkeypatch.context() as broken:
+        broken.setattr(tables.uuid, "uuid4", lambda: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.compact_logs(spark, root)
+    assert runs() == seen
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "drop_folder", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.compact_logs(spark, root)
+    assert runs() == seen
+    control.start_pipeline_run(spark, "Gold", "GOLD", root=root)
+    jobs.compact_logs(spark, root)
+    assert len(runs()) == 1_003 and jobs.compact_logs(spark, root)["pipeline_runs"] == 0
+    assert len(tables.data_files(spark, table.path(root))) < 10

@@ -1,9 +1,13 @@
 import random
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 
-from wardflow.operators import features, marts
+from wardflow.operators import features, marts, upsert
+from wardflow.plans import jobs
+from wardflow.schemas import TABLES
+from wardflow.sources import tables
 
 DDL = ("date_key INT, facility_id STRING, role_code STRING, work_date DATE, staff_count INT, patient_census INT,"
        " hours_worked DOUBLE, hours_overtime DOUBLE, nurse_patient_ratio DOUBLE, overtime_pct DOUBLE,"
@@ -65,3 +69,46 @@ def test_realtime_ratio_uses_the_latest_staffing_day(spark, fact):
     assert (got["A"].census_now, got["A"].staff_now, got["A"].staff_date) == (16, latest.staff_count, latest.work_date)
     assert got["A"].np_ratio == round(latest.staff_count / 16, 3)
     assert (got["Z"].census_now, got["Z"].staff_now, got["Z"].np_ratio) == (0, None, None)
+
+
+def stored_fact(spark, root, rows):
+    upsert.upsert_table(spark, TABLES["fact_staffing"], root, spark.createDataFrame(rows, DDL))
+
+
+def fact_row(facility, day, rng):
+    return (int(day.strftime("%Y%m%d")), facility, "RN", day, rng.randrange(1, 9), rng.randrange(10, 90), 40.0,
+            float(rng.randrange(0, 20)), 0.2, rng.choice([None, 0.0, 0.3]), rng.choice([True, False, None]), 0)
+
+
+def feature_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_refresh_equals_a_full_rebuild(spark, tmp_path):
+    """Corrections, late days before all others, new days, and neighbours months away."""
+    root, rng, table = str(tmp_path), random.Random(5), TABLES["overtime_features"]
+    begin = date(2024, 1, 1)
+    offsets = {"A": range(0, 700, 3), "B": [0, 1, 5, 250, 251, 640], None: range(300, 340), "C": [10, 699]}
+    stored_fact(spark, root, [fact_row(f, begin + timedelta(days=d), rng) for f, days in offsets.items() for d in days])
+    fact = lambda: tables.read_table(spark, TABLES["fact_staffing"], root)
+    tables.write_snapshot(spark, features.overtime_features(fact()), table.path(root), table)
+    batches = [[("A", 300), ("B", 251), (None, 339)], [("B", 249)], [("B", 645), ("C", 698), ("D", 350)], [("A", -40), ("C", 11)], [("A", 698), ("B", 1)]]
+    for batch in batches:
+        rows = [fact_row(f, begin + timedelta(days=d), rng) for f, d in batch]
+        stored_fact(spark, root, rows)
+        changed = spark.createDataFrame(rows, DDL).select("date_key", "facility_id", "role_code")
+        written = jobs.refresh_features(spark, root, changed)
+        assert feature_rows(tables.read_snapshot(spark, table, root)) == feature_rows(features.overtime_features(fact()))
+        assert len(batch) <= written <= 12 * len(batch)
+
+
+def test_refresh_leaves_other_months_alone(spark, tmp_path):
+    root, rng, table = str(tmp_path), random.Random(6), TABLES["overtime_features"]
+    stored_fact(spark, root, [fact_row("A", date(2024, 1, 1) + timedelta(days=d), rng) for d in range(400)])
+    folder = tables.write_snapshot(spark, features.overtime_features(tables.read_table(spark, TABLES["fact_staffing"], root)), table.path(root), table)
+    files = lambda: {p.parent.name: p.name for p in Path(folder).rglob("*.parquet")}
+    before = files()
+    rows = [fact_row("A", date(2024, 6, 10), rng)]
+    stored_fact(spark, root, rows)
+    assert jobs.refresh_features(spark, root, spark.createDataFrame(rows, DDL).select("date_key", "facility_id", "role_code")) == 8
+    assert {m for m, name in files().items() if before[m] != name} == {"month_key=202406"}

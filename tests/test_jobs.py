@@ -1,8 +1,11 @@
 """Files to features, and events to census, over stored tables."""
 
 import json
+import os
+import time
 from base64 import b64encode
-from datetime import date
+from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -144,6 +147,12 @@ def test_files_to_features(spark, lake):
     assert lake.read("fact_overtime").filter("work_date = '2026-01-02'").isEmpty()
     assert tables.read_snapshot(spark, TABLES["dim_facility"], lake.root).count() == 1
 
+    assert jobs.run_features(spark, lake.root) == "SUCCESS"
+    from wardflow.operators.features import overtime_features
+
+    now = tables.read_snapshot(spark, TABLES["overtime_features"], lake.root)
+    assert now.exceptAll(overtime_features(lake.read("fact_staffing"))).isEmpty() and now.count() == 8
+
     files = control.current_files(lake.read("file_registry")).collect()
     assert {(r.silver_status, r.gold_status) for r in files} == {("TRANSFORMED", "AGGREGATED")}
     runs = control.current_runs(lake.read("pipeline_runs")).collect()
@@ -289,3 +298,51 @@ def test_retention_drops_months_and_the_days_before_the_limit(spark, tmp_path):
         assert sorted(r.date_key for r in tables.read_table(spark, table, root).collect()) == days[2:]
     assert list((tmp_path / "gold/fact_overtime/month_key=201903").glob("*.parquet")) == kept
     assert jobs.run_retention(spark, root, "2026-02-20") == [f"{root}/gold/fact_overtime/month_key=201901"]
+
+
+def test_marts_of_untouched_months_are_not_rewritten(spark, lake):
+    rows = "".join(f"FAC_1,2026-{m:02d}-05,RN,5,10,40,4,DAY\n" for m in (1, 2, 4))
+    lake.drop("FAC_1/a.csv", HEADER + rows)
+    jobs.run_etl(spark, str(lake.landing), lake.root, "2026-05-01")
+    marts = Path(lake.root) / "marts"
+    files = lambda: {(p.parent.parent.name, p.parent.name): p.name for p in marts.glob("*/period=*/*.parquet")}
+    before = files()
+    # Overtime of February is withdrawn: its month leaves the overtime mart.
+    lake.drop("FAC_1/fix.csv", HEADER + "FAC_1,02/05/2026,RN,7,10,40,0,DAY\n")
+    jobs.run_etl(spark, str(lake.landing), lake.root, "2026-05-02")
+    after = files()
+    moved = {k for k in before if before[k] != after.get(k)}
+    assert moved == {("facility_daily_summary", "period=202602"), ("ot_summary_monthly", "period=202602"), ("scorecard_quarterly", "period=202601")}
+    assert ("ot_summary_monthly", "period=202602") not in after
+    got = {str(r.month): r.overtime_hours for r in jobs.read_mart(spark, lake.root, "ot_summary_monthly").collect()}
+    assert got == {"2026-01-01": 4.0, "2026-04-01": 4.0}
+
+
+def test_retention_of_landing_quarantine_and_log(spark, lake):
+    """Files by when they were written, batches and log files by their newest row."""
+    lake.drop("FAC_1/a.csv", HEADER + "FAC_1,2026-01-01,RN,x,10,40,4,DAY\n")
+    lake.ingest()
+    lake.drop("FAC_1/b.csv", HEADER + "FAC_1,2026-01-02,RN,y,10,40,4,DAY\n")
+    old = date.today() - timedelta(days=100)
+    os.utime(lake.landing / "FAC_1/a.csv", (time.mktime(old.timetuple()),) * 2)
+    control.write_pipeline_log(spark, "p", 1, root=lake.root)
+    today = str(date.today())
+    assert [d.rsplit("/", 1)[-1] for d in jobs.run_retention(spark, lake.root, today, str(lake.landing))] == ["pipeline_log", "a.csv"]
+    assert jobs.run_retention(spark, lake.root, today, str(lake.landing)) == []
+    assert lake.read("quarantine_index").count() == 1 and lake.read("pipeline_log").count() == 1
+    jobs.run_retention(spark, lake.root, str(date.today() + timedelta(days=95)))
+    assert lake.read("quarantine_index").count() == 1 and lake.read("pipeline_log").count() == 0
+    jobs.run_retention(spark, lake.root, str(date.today() + timedelta(days=185)))
+    assert lake.read("quarantine_index").count() == 0
+
+
+def test_corrections_resolve_what_they_put_right(spark, lake):
+    lake.drop("FAC_1/a.csv", HEADER + "FAC_1,2026-01-01,RN,x,10,40,4,DAY\nFAC_1,2026-01-01,RN,x,10,40,4,NIGHT\n,2026-01-01,RN,5,10,40,4,DAY\nFAC_1,junk,RN,x,10,40,4,DAY\n")
+    lake.ingest()
+    state = lambda: sorted((r.quarantine_reason[0], json.loads(r.raw_record).get("shift_type"), r.resolved) for r in jobs.read_quarantine(spark, lake.root).collect())
+    assert not any(r[2] for r in state())
+    # The date is spelled otherwise, the shift in other letters; the night shift is still wrong.
+    lake.drop("FAC_1/fix.csv", HEADER + "FAC_1,01/01/2026,RN,5,10,40,4, day \nFAC_1,01/01/2026,RN,-5,10,40,4,NIGHT\n")
+    lake.ingest()
+    assert [r for r in state() if r[2]] == [("STAFF_COUNT_NOT_NUMERIC", "DAY", True)]
+    assert len(state()) == 5

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardflow.functions.staffing import date_of_key, is_weekend
+from wardflow.functions.staffing import all_of, date_of_key, is_weekend
 
 SERIES = ["facility_id", "role_code"]
 
@@ -54,3 +56,41 @@ def overtime_features(fact: DataFrame) -> DataFrame:
         )
         .select(*FEATURE_COLUMNS)
     )
+
+
+def _of_series(prefix: str) -> Column:
+    return all_of([F.col(c).eqNullSafe(F.col(f"{prefix}_{c}")) for c in SERIES])
+
+
+def affected_ranges(fact: DataFrame, changed: DataFrame, start: date, from_begin: bool, to_end: bool) -> DataFrame:
+    """(r_facility_id, r_role_code, first, last, complete): the days of each
+    changed series whose features a change of some of its days can move.
+
+    ``changed`` holds (date_key, facility_id, role_code). A change moves the
+    next seven days, the next stored day through its lag and the stored day
+    before through its label. ``fact`` may be a part of all days, beginning at
+    ``start``; ``from_begin`` and ``to_end`` tell whether anything is stored
+    before and after it. A range is complete if what its features look at lies
+    within that part too.
+    """
+    moved = changed.groupBy(*[F.col(c).alias(f"r_{c}") for c in SERIES]).agg(
+        F.min(date_of_key("date_key")).alias("lo"), F.max(date_of_key("date_key")).alias("hi")
+    )
+    stored = fact.join(moved, _of_series("r")).groupBy("r_facility_id", "r_role_code", "lo", "hi").agg(
+        F.array_sort(F.collect_set(date_of_key("date_key"))).alias("days")
+    )
+    earlier = F.array_max(F.filter("days", lambda d: d < F.col("lo")))
+    later = F.array_min(F.filter("days", lambda d: d > F.col("hi")))
+    ranges = stored.withColumn("first", F.coalesce(earlier, "lo")).withColumn("last", F.greatest(F.date_add("hi", 6), later))
+    seen_before = F.exists("days", lambda d: d < F.col("first")) & (F.date_sub("first", 6) >= F.lit(start))
+    seen_after = F.exists("days", lambda d: d > F.col("last"))
+    complete = (seen_before | F.lit(from_begin)) & (seen_after | F.lit(to_end))
+    return ranges.select("r_facility_id", "r_role_code", "first", "last", complete.alias("complete"))
+
+
+def features_in(fact: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Features of the days in ``ranges``, from the rows of their series in ``fact``."""
+    series = fact.join(ranges.select("r_facility_id", "r_role_code"), _of_series("r"), "left_semi")
+    day = date_of_key("date_key")
+    inside = _of_series("r") & day.between(F.col("first"), F.col("last"))
+    return overtime_features(series).join(ranges, inside, "left_semi")

@@ -25,14 +25,24 @@ def np_ratio_realtime(census: DataFrame, fact: DataFrame) -> DataFrame:
 
     Current census is the sum over units of each unit's last hourly value.
     """
-    moment = F.struct("event_date", "event_hour")
     units = census.groupBy("facility_id", "unit_id").agg(
-        F.max_by("census", moment).alias("census"), F.max("event_date").alias("as_of_date")
+        F.max_by("census", F.struct("event_date", "event_hour")).alias("census"), F.max("event_date").alias("as_of_date")
     )
+    return _np_ratio(units, fact.groupBy("facility_id", "work_date").agg(F.sum("staff_count").alias("staff")))
+
+
+def np_ratio_of_balances(balances: DataFrame, daily: DataFrame) -> DataFrame:
+    """The same from the units' closing balances and :func:`facility_daily_summary`."""
+    units = balances.groupBy("facility_id", "unit_id").agg(
+        F.max_by("balance", "event_date").alias("census"), F.max("event_date").alias("as_of_date")
+    )
+    return _np_ratio(units, daily.select("facility_id", "work_date", F.col("staff_total").alias("staff")))
+
+
+def _np_ratio(units: DataFrame, daily: DataFrame) -> DataFrame:
     now = units.groupBy("facility_id").agg(
         F.sum("census").alias("census_now"), F.max("as_of_date").alias("as_of_date")
     )
-    daily = fact.groupBy("facility_id", "work_date").agg(F.sum("staff_count").alias("staff"))
     return (
         now.join(daily, "facility_id", "left")
         .groupBy("facility_id", "census_now", "as_of_date")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardflow.config import PASS_RATE_WARN
 from wardflow.operators.control import current_bookmarks, current_runs
 from wardflow.operators.dedup import latest_per_key
 from wardflow.operators.quality import pass_rate, schema_changes, schema_drift
+from wardflow.sources.tables import stage
 
 
 def quarantine_unresolved(index: DataFrame) -> DataFrame:
@@ -163,6 +164,20 @@ def alerts(
     return found.unionByName(drifted)
 
 
+def with_places(spark: SparkSession, df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` in the order of ``columns``, with each row's ``place`` from 0.
+
+    Sorting is by ranges, and a row's place is its place in its range after the
+    rows of all ranges before: only the ranges' sizes meet in one task.
+    """
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")
+    ranged = stage(spark, df.orderBy(*columns).select("*", F.spark_partition_id().alias("_range"), at), "ordered")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_start"))
+    return ranged.join(starts, "_range").withColumn("place", F.col("_start") + F.col("_at")).drop("_range", "_at", "_start")
+
+
 def within_retention(df: DataFrame, date_column: str, as_of: str, days: int) -> DataFrame:
     """Rows a layer still keeps; on a partition column whole folders drop out."""
     return df.filter(F.col(date_column) >= F.date_sub(F.lit(as_of).cast("date"), days))

@@ -9,11 +9,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wardflow.functions.staffing import all_of
 from wardflow.operators.dedup import require_unique
 from wardflow.schemas import MONTH, Table
-from wardflow.sources.tables import drop_folder, path_exists, read_snapshot, read_stored, staged, write_snapshot, write_table
+from wardflow.sources.tables import (
+    drop_folder,
+    in_folders,
+    overwrite_folders,
+    path_exists,
+    read_snapshot,
+    read_stored,
+    snapshot_folder,
+    staged,
+    write_snapshot,
+    write_table,
+)
 
 
 def merge_rows(target: DataFrame, batch: DataFrame, keys: list[str], cleared: DataFrame | None = None) -> DataFrame:
@@ -108,3 +120,17 @@ def upsert_table(
                 gone, left = ({r[0] for r in with_folder(x, table).select(folder).distinct().collect()} for x in (cleared, merged))
                 for value in gone - left:
                     drop_folder(spark, f"{path}/{folder}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+
+
+def merge_into_version(spark: SparkSession, table: Table, root: str, batch: DataFrame) -> None:
+    """Merge ``batch`` into the current version of a table that :func:`write_snapshot` wrote.
+
+    Only the folders the batch touches are read and replaced.
+    """
+    folder = snapshot_folder(spark, table.path(root))
+    stored = spark.read.schema(StructType.fromDDL(table.stored_ddl)).parquet(folder)
+    with staged(spark, batch.select(*table.struct.names), "batch") as rows:
+        require_unique(rows, table.keys)
+        target = touched_slice(stored, with_folder(rows, table), table.folders[0]).select(*table.struct.names)
+        with staged(spark, merge_rows(target, rows, table.keys), "merged") as merged:
+            overwrite_folders(in_folders(merged, table), folder, table.folders)

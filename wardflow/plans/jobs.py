@@ -6,11 +6,11 @@ import time
 from collections.abc import Callable
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.config import RETENTION_DAYS
-from wardflow.functions.staffing import all_of
+from wardflow.functions.staffing import all_of, date_key
 from wardflow.operators import marts, scd2
 from wardflow.operators.control import (
     append_registry,
@@ -36,16 +36,19 @@ from wardflow.operators.facts import (
     silver_staffing,
     typed_staffing,
 )
-from wardflow.operators.features import overtime_features
-from wardflow.operators.quality import resolve_remediated
-from wardflow.operators.upsert import touched_days, upsert_table
+from wardflow.operators.features import affected_ranges, features_in, overtime_features
+from wardflow.operators.remediation import mark_resolved, read_quarantine  # noqa: F401
+from wardflow.operators.upsert import merge_into_version, touched_days, upsert_table
 from wardflow.schemas import MONTH, TABLES, Table, create_all_tables
 from wardflow.sources.tables import (
     NothingToDo,
     append_batch,
+    compact_log,
     drop_folder,
+    overwrite_folders,
     partition_values,
     path_exists,
+    read_days,
     read_snapshot,
     read_stored,
     read_table,
@@ -235,12 +238,32 @@ def init_control(spark: SparkSession, root: str, facilities: DataFrame, prefix:
     known = read_snapshot(spark, schedule, root)
     fresh = seed_schedule(facilities).join(known.select(*schedule.keys), schedule.keys, "left_anti")
     upsert_table(spark, schedule, root, fresh)
-    counts = {}
+    return {r.name: r.records for r in control_counts(spark, root).collect()}
+
+
+def control_counts(spark: SparkSession, root: str) -> DataFrame:
+    """(name, records) of every control table."""
+    counts = []
     for name, table in TABLES.items():
         if table.schema_name == "batch_control":
             rows = read_snapshot(spark, table, root) if name == "file_schedule" else read_table(spark, table, root)
-            counts[name] = rows.count()
-    return counts
+            counts.append(rows.agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("name"), "records"))
+    out = counts[0]
+    for one in counts[1:]:
+        out = out.unionByName(one)
+    return out
+
+
+# Tables that grow by a file a row, and the order their rows are folded in.
+LOGS = {"pipeline_runs": ["run_id", "recorded_at"], "job_bookmark": ["job_name", "source_name", "updated_at"], "pipeline_log": ["event_timestamp"]}
+
+
+def compact_logs(spark: SparkSession, root: str) -> dict[str, int]:
+    """Fold the control tables that jobs append to; returns the files folded of each.
+
+    One run at a time; readers and writers of the tables go on meanwhile.
+    """
+    return {name: compact_log(spark, TABLES[name], root, order) for name, order in LOGS.items()}
 
 
 def run_schedule_migration(spark: SparkSession, path: str, backup_path: str, root: str) -> str:
@@ -327,10 +350,32 @@ def _drop_months(spark: SparkSession, table: Table, root: str, oldest: str) -> l
     return changed
 
 
-def run_retention(spark: SparkSession, root: str, as_of: str) -> list[str]:
-    """Drop the folders that are past their layer's limit; returns them.
+def _drop_batches(spark: SparkSession, path: str, column: str, oldest: str) -> list[str]:
+    """Drop the batch folders whose newest row is before ``oldest``."""
+    if not path_exists(spark, path):
+        return []
+    ages = spark.read.schema(f"{column} TIMESTAMP, _batch STRING").parquet(path).groupBy("_batch").agg(F.max(column).alias("newest"))
+    old = [f"{path}/_batch={r._batch}" for r in ages.filter(F.col("newest") < F.lit(oldest).cast("timestamp")).collect()]
+    for folder in old:
+        drop_folder(spark, folder)
+    return old
+
 
-    Rows without a date stay.
+def _drop_landing(spark: SparkSession, landing: str, oldest: str) -> list[str]:
+    """Drop the landing files last modified before ``oldest``; none is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("modifiedBefore", f"{oldest}T00:00:00")
+    old = [r.path for r in files.load(landing).select("path").collect()] if path_exists(spark, landing) else []
+    for path in old:
+        drop_folder(spark, path)
+    return old
+
+
+def run_retention(spark: SparkSession, root: str, as_of: str, landing: str | None = None) -> list[str]:
+    """Drop what is past its layer's limit; returns the dropped folders and files.
+
+    Rows without a date stay. A quarantine batch goes with its newest record, log
+    rows as the log is folded, and a landing file by when it was last modified,
+    taken in or not.
     """
     oldest = {layer: str(date.fromisoformat(as_of) - timedelta(days=days)) for layer, days in RETENTION_DAYS.items()}
     dropped = []
@@ -342,58 +387,103 @@ def run_retention(spark: SparkSession, root: str, as_of: str) -> list[str]:
             dropped += _drop_days(spark, table.path(root), table.folders[0], oldest[layer])
     for layer, path, column in DATED_FOLDERS:
         dropped += _drop_days(spark, f"{root}/{path}", column, oldest[layer])
+    dropped += _drop_batches(spark, TABLES["quarantine_index"].path(root), "ingestion_timestamp", oldest["quarantine"])
+    log = TABLES["pipeline_log"]
+    if compact_log(spark, log, root, LOGS["pipeline_log"], F.col("event_timestamp") >= F.lit(oldest["pipeline_log"]).cast("timestamp")):
+        dropped.append(log.path(root))
+    if landing is not None:
+        dropped += _drop_landing(spark, landing, oldest["landing"])
     return dropped
 
 
-def write_marts(spark: SparkSession, root: str, gold: dict[str, DataFrame], dim: DataFrame) -> None:
-    """Store the KPI marts, each as a new version of its snapshot."""
+# Stored by the month or quarter of this day: a run replaces those that new batches touch.
+PERIOD_MARTS = {"facility_daily_summary": "work_date", "ot_summary_monthly": "month", "scorecard_quarterly": "quarter"}
+PERIOD = "period"
+
+
+def _period(day: str, quarterly: bool) -> Column:
+    """The month (yyyymm), or the first one of the quarter, of a day."""
+    start = F.trunc(day, "quarter" if quarterly else "month")
+    return (F.year(start) * 100 + F.month(start)).cast("int")
+
+
+def write_period_marts(spark: SparkSession, root: str, months: list[int] | None) -> None:
+    """Rebuild the marts of the given months (yyyymm), or of all.
+
+    The facts are read in the folders of these months, and for the scorecard in
+    those of their quarters.
+    """
+    facts = {name: read_stored(spark, TABLES[name], root) for name in ("fact_staffing", "fact_overtime")}
+    first_months = None if months is None else {m // 100 * 100 + (m % 100 - 1) // 3 * 3 + 1 for m in months}
+    quarters = None if first_months is None else sorted(q + i for q in first_months for i in range(3))
+
+    def of(name: str, wanted: list[int] | None) -> DataFrame:
+        rows = facts[name] if wanted is None else facts[name].filter(F.col(MONTH).isin(wanted))
+        return rows.select(*TABLES[name].struct.names)
+
     built = {
-        "facility_daily_summary": marts.facility_daily_summary(gold["fact_staffing"]),
-        "np_ratio_realtime": marts.np_ratio_realtime(gold["fact_census_realtime"], gold["fact_staffing"]),
-        "ot_summary_monthly": marts.ot_summary_monthly(gold["fact_overtime"]),
-        "scorecard_quarterly": marts.scorecard_quarterly(gold["fact_staffing"], gold["fact_overtime"]),
-        "dq_dashboard": marts.dq_dashboard(gold["data_quality_results"]),
-        "dim_facility_current": marts.current_facilities(dim),
+        "facility_daily_summary": marts.facility_daily_summary(of("fact_staffing", months)),
+        "ot_summary_monthly": marts.ot_summary_monthly(of("fact_overtime", months)),
+        "scorecard_quarterly": marts.scorecard_quarterly(of("fact_staffing", quarters), of("fact_overtime", quarters)),
+    }
+    for name, rows in built.items():
+        path, quarterly = f"{root}/marts/{name}", name == "scorecard_quarterly"
+        with staged(spark, rows.withColumn(PERIOD, _period(PERIOD_MARTS[name], quarterly)), "mart") as fresh:
+            overwrite_folders(fresh.hint("rebalance", PERIOD), path, [PERIOD])
+            if months is not None:
+                # A period that lost its last row has nothing to overwrite it with.
+                wanted, kept = first_months if quarterly else set(months), {r[0] for r in fresh.select(PERIOD).distinct().collect()}
+                for value in wanted - kept:
+                    drop_folder(spark, f"{path}/{PERIOD}={value}")
+
+
+def write_small_marts(spark: SparkSession, root: str) -> None:
+    """The marts built from small tables, each as a new version of its snapshot."""
+    balances = read_table(spark, TABLES["census_balance"], root)
+    built = {
+        "np_ratio_realtime": marts.np_ratio_of_balances(balances, read_mart(spark, root, "facility_daily_summary")),
+        "dq_dashboard": marts.dq_dashboard(read_table(spark, TABLES["data_quality_results"], root)),
+        "dim_facility_current": marts.current_facilities(read_snapshot(spark, TABLES["dim_facility"], root)),
     }
     for name, rows in built.items():
         write_snapshot(spark, rows, f"{root}/marts/{name}")
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The current version of a stored mart."""
+    """A stored mart, in its current version."""
+    if name in PERIOD_MARTS:
+        return spark.read.parquet(f"{root}/marts/{name}").drop(PERIOD)
     return spark.read.parquet(snapshot_folder(spark, f"{root}/marts/{name}"))
 
 
-def run_marts(spark: SparkSession, root: str) -> str:
-    """Rebuild the stored marts from the Gold tables."""
-
-    def work(run_id: str) -> tuple[int, None]:
-        names = ["fact_staffing", "fact_overtime", "fact_census_realtime", "data_quality_results"]
-        gold = {name: read_table(spark, TABLES[name], root) for name in names}
-        require_rows(gold["fact_staffing"], "NO_GOLD_DATA")
-        write_marts(spark, root, gold, read_snapshot(spark, TABLES["dim_facility"], root))
-        return 0, None
-
-    return tracked(spark, root, "KPI_Marts", "GOLD", TABLES["fact_staffing"].full_name, work)
-
+def changed_keys(spark: SparkSession, root: str, batches: list[str]) -> DataFrame:
+    """(work_date, facility_id, role_code) of the dated rows that ingestion batches brought."""
+    rows = typed_staffing(bronze_of(spark, root, batches)).filter("work_date is not null")
+    return rows.select("work_date", "facility_id", "role_code").distinct()
 
-RESOLUTIONS = "source_file STRING, record_hash STRING"
 
+def run_marts(spark: SparkSession, root: str, full: bool = False) -> str:
+    """Bring the stored marts up to date with the Gold tables.
 
-def mark_resolved(spark: SparkSession, root: str, records: DataFrame, batch: str) -> None:
-    """Record that quarantined ``records`` (source_file, record_hash) were
-    corrected."""
-    rows = records.select("source_file", "record_hash").distinct()
-    append_batch(rows, f"{root}/batch_control/quarantine_resolutions", batch)
+    Of the marts by month or quarter, the periods of batches that Gold has taken
+    in since the last run are rebuilt, or all with ``full`` and the first time.
+    """
 
+    def work(run_id: str) -> tuple[int, None]:
+        require_rows(read_table(spark, TABLES["fact_staffing"], root), "NO_GOLD_DATA")
+        pending = pending_batches(spark, root, batches_reached(spark, root, "gold"), "marts")
+        if full or not path_exists(spark, f"{root}/marts/scorecard_quarterly"):
+            write_period_marts(spark, root, None)
+        elif pending:
+            month = (F.year("work_date") * 100 + F.month("work_date")).cast("int")
+            touched = changed_keys(spark, root, pending).select(month.alias("m")).distinct()
+            write_period_marts(spark, root, sorted(r.m for r in touched.collect()))
+        write_small_marts(spark, root)
+        if pending:
+            mark_batches(spark, root, "marts", pending, run_id)
+        return 0, None
 
-def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
-    """The quarantine index with everything marked since taken into account."""
-    index = read_table(spark, TABLES["quarantine_index"], root)
-    path = f"{root}/batch_control/quarantine_resolutions"
-    if not path_exists(spark, path):
-        return index
-    return resolve_remediated(index, spark.read.schema(RESOLUTIONS).parquet(path), ["source_file", "record_hash"])
+    return tracked(spark, root, "KPI_Marts", "GOLD", TABLES["fact_staffing"].full_name, work)
 
 
 def run_etl(
@@ -429,13 +519,52 @@ def run_realtime(spark: SparkSession, envelopes: DataFrame, root: str) -> str:
     return "SUCCESS"
 
 
-def run_features(spark: SparkSession, root: str) -> str:
-    """Rebuild the whole feature table from ``fact_staffing``."""
+def refresh_features(spark: SparkSession, root: str, changed: DataFrame) -> int:
+    """Recompute the stored features that changed days can move; returns their number.
+
+    The fact is read from some weeks before the earliest changed day to some
+    weeks after the last one. Series whose neighbouring days lie beyond that are
+    read whole.
+    """
+    table, fact = TABLES["overtime_features"], TABLES["fact_staffing"]
+    lo, hi = (date(d // 10000, d // 100 % 100, d % 100) for d in changed.agg(F.min("date_key"), F.max("date_key")).first())
+    start = ((lo - timedelta(days=7)).replace(day=1) - timedelta(days=1)).replace(day=1)
+    end = ((hi + timedelta(days=40)).replace(day=1) + timedelta(days=32)).replace(day=1) - timedelta(days=1)
+    months = [int(m) for m in partition_values(spark, fact.path(root), MONTH) if m.isdigit()]
+    from_begin, to_end = start.year * 100 + start.month <= min(months), end.year * 100 + end.month >= max(months)
+    near, whole = read_days(spark, fact, root, str(start), str(end)), read_table(spark, fact, root)
+    with staged(spark, affected_ranges(near, changed, start, from_begin, to_end), "ranges") as ranges:
+        far = changed.join(
+            ranges.filter("not complete"), all_of([F.col(c).eqNullSafe(F.col(f"r_{c}")) for c in ("facility_id", "role_code")]), "left_semi"
+        )
+        rows = features_in(near, ranges.filter("complete"))
+        if not ranges.filter("not complete").isEmpty():
+            rows = rows.unionByName(features_in(whole, affected_ranges(whole, far, start, True, True)))
+        seen = Observation()
+        with staged(spark, rows.observe(seen, F.count(F.lit(1)).alias("records")), "features") as fresh:
+            merge_into_version(spark, table, root, fresh)
+            return seen.get["records"]
+
+
+def run_features(spark: SparkSession, root: str, full: bool = False) -> str:
+    """Features of what Gold has taken in since the last run: the first time, or
+    with ``full``, the whole table is rebuilt as a new version."""
 
     def work(run_id: str) -> tuple[int, None]:
         fact = require_rows(read_table(spark, TABLES["fact_staffing"], root), "NO_GOLD_DATA")
         table = TABLES["overtime_features"]
-        write_snapshot(spark, overtime_features(fact), table.path(root), table)
-        return read_snapshot(spark, table, root).count(), None
+        pending = pending_batches(spark, root, batches_reached(spark, root, "gold"), "features")
+        if full or snapshot_folder(spark, table.path(root)) is None:
+            seen = Observation()
+            rows = overtime_features(fact).observe(seen, F.count(F.lit(1)).alias("records"))
+            write_snapshot(spark, rows, table.path(root), table)
+            records = seen.get["records"]
+        else:
+            keys = changed_keys(spark, root, pending).select(date_key("work_date").alias("date_key"), "facility_id", "role_code")
+            with staged(spark, keys, "changed") as changed:
+                records = 0 if changed.isEmpty() else refresh_features(spark, root, changed)
+        if pending:
+            mark_batches(spark, root, "features", pending, run_id)
+        return records, None
 
     return tracked(spark, root, "ML_Feature_Pipeline", "ML", TABLES["fact_staffing"].full_name, work)

@@ -10,7 +10,7 @@ import re
 
 from wardflow.plans import fixtures
 from wardflow.schemas import SCHEMA_NAMES, TABLES
-from wardflow.plans.queries import AS_OF, BEGUN, CRON_LINES, DATASET, HALF_WAY, LAST_ALERT, MOVED_AT, SINCE
+from wardflow.plans.queries import AS_OF, BEGUN, CRON_LINES, DATASET, HALF_WAY, LAST_ALERT, MART_COLUMNS, MOVED_AT, RETAINED_AT, SINCE
 
 DAY = AS_OF[:10]
 RAW_JSON = "concat('{', concat_ws(',', " + ", ".join(
@@ -81,6 +81,7 @@ TYPE_STD = ("case when upper(trim(event_type)) in ('A','ADMIT','ADMISSION') then
 VIEWS: dict[str, str] = {name: fixtures.duck_text(name) for name in fixtures.ALL}
 VIEWS |= {
     "judged": f"select *, {REASONS} reasons from staffing_raw",
+    "shifts_judged": f"select *, {WORK_DATE} as day, upper(trim(shift_type)) as shift from judged",
     "typed0": f"""select facility_id, {WORK_DATE} work_date, role_code, try_cast(staff_count as int) staff_count,
  try_cast(patient_census as int) patient_census, try_cast(hours_worked as double) hours_worked,
  try_cast(hours_worked_overtime as double) hours_overtime, upper(trim(shift_type)) shift_type,
@@ -227,7 +228,7 @@ STATEMENTS: dict[str, str] = {
  from judged where {PART}<2 and reasons=''
  union all select string_split(reasons,',')[1], count(*), count(facility_id), 0 from judged where {PART}<2 and reasons<>'' group by 1
  union all select 'SURPLUS_CELLS', count(*), count(facility_id), 0 from judged where {PART}=2
- union all select 'HEADER_NOT_READABLE', 2, 0, 0""",
+ union all select 'HEADER_NOT_READABLE', 2*count(distinct right(_record_index,1)), 0, 0 from judged where {PART}=3""",
     "resent_files": f"""select role_code, {ints('sum(3)')} files, {ints('sum(case when n>1 then 2 else 1 end)')} contents
  from (select role_code, facility_id, count(*) n from staffing_raw group by 1,2) group by 1""",
     "late_batch_silver": f"""select {SILVER_COLUMNS} from (select * from ({STAMPED}) qualify row_number() over
@@ -242,6 +243,7 @@ STATEMENTS: dict[str, str] = {
     "registered_table": "select role_code, count(*) records from staffing_raw group by 1",
     "partitioned_create": f"select {SILVER_COLUMNS} from silver",
     "feature_snapshot": f"select {FEATURE_COLUMNS} from features",
+    "refreshed_features": f"select {FEATURE_COLUMNS} from features",
     "source_guard": """select 'staffing' source, case when exists(from staffing_raw) then 'ROWS' else 'NO_NEW_RECORDS' end outcome
  union all select 'events after 2100', case when exists(from adt_raw where arrived_at>timestamp '2100-01-01') then 'ROWS' else 'NO_BRONZE_DATA' end
  union all select 'facts', case when exists(from fact) then 'ROWS' else 'NO_GOLD_DATA' end""",
@@ -279,7 +281,11 @@ STATEMENTS: dict[str, str] = {
  and not exists (select 1 from headers k where k.seen_at<=timestamp '{BEGUN}' and k.dataset_name=h.dataset_name
  and k.schema_version=h.schema_version)""",
     "dq_flags": "select _record_index, _dq_flags from typed",
-    "remediation": f"select source_file, record_hash, {txt('resolved')} resolved from bad_index",
+    "remediation": f"""select facility_id, rule, {txt('resolved')} resolved, count(*) records from (
+ select facility_id, string_split(reasons, ',')[1] as rule, facility_id is not null and day is not null and (facility_id, day, role_code, shift) in (
+   select (facility_id, day, role_code, shift) from shifts_judged where reasons<>'' and facility_id is not null and day is not null
+   and substr(sha256({RAW_JSON}),1,1) in ('0','1','2','3')) resolved
+ from shifts_judged where reasons<>'') group by all""",
     "schema_drift": "select * from drift",
     "schema_changes": f"select dataset_name, schema_version as version, added, missing, {ts('registered_at')} seen_at from changes",
     "parsed_events": """select event_type, facility_id, unit_id, sha256(patient_id) patient_id, event_timestamp, bed_id, attending_role,
@@ -314,7 +320,8 @@ STATEMENTS: dict[str, str] = {
     "control_counts": """select 'file_registry' as name, count(*) records from registry
  union all select 'pipeline_runs', count(*) from run_events
  union all select 'file_schedule', count(*) from schedule
- union all select 'quarantine_index', count(*) from bad_index""",
+ union all select 'quarantine_index', count(*) from bad_index
+ union all select unnest([%s]), 0""" % ", ".join(f"'{n}'" for n, t in TABLES.items() if t.schema_name == "batch_control" and n not in ("file_registry", "pipeline_runs", "file_schedule", "quarantine_index")),
     "upsert_silver": f"select {SILVER_COLUMNS} from silver",
     "merge_fact_staffing": f"select {FACT_COLUMNS} from fact",
     "upsert_fact_staffing": f"select {FACT_COLUMNS} from fact",
@@ -413,8 +420,17 @@ STATEMENTS: dict[str, str] = {
  having min(ingestion_timestamp)<timestamp '{AS_OF}'-interval 30 minute
  union all select 'SCHEMA_DRIFT', concat(dataset_name, '/', schema_version), 'WARN' from changes
  where (added<>'' or missing<>'') and registered_at > timestamp '{LAST_ALERT}'""",
-    "retention_job": f"""select {txt('cast(_ingested_at as date)')} _ingest_date, count(*) records from staffing_raw
- where cast(_ingested_at as date)>=date '1999-07-11'-365 group by 1""",
+    "retention_job": " union all ".join(
+        f"select '{layer}' layer, count(*) records, {txt(f'cast(min({day}) as date)')} oldest from {table} where {kept}"
+        for layer, table, day, kept in [
+            ("landing", "staffing_raw", "null", "true"),
+            ("bronze", "staffing_raw", "_ingested_at", f"cast(_ingested_at as date) >= date '{RETAINED_AT}' - 365"),
+            ("silver", "silver", "silver.work_date", f"silver.work_date is null or silver.work_date >= date '{RETAINED_AT}' - 1095"),
+            ("gold", "overtime", "overtime.work_date", f"overtime.work_date >= date '{RETAINED_AT}' - 2555"),
+            ("audit", "staffing_raw", "_ingested_at", f"day(_ingested_at) = 1 and cast(_ingested_at as date) >= date '{RETAINED_AT}' - 2555"),
+            ("quarantine", "all_index", "ingestion_timestamp", f"date_trunc('quarter', ingestion_timestamp) in (select date_trunc('quarter', ingestion_timestamp) from all_index where ingestion_timestamp >= date '{RETAINED_AT}' - 180)"),
+            ("pipeline_log", "pipeline_log", "event_timestamp", f"event_timestamp >= date '{RETAINED_AT}' - 90"),
+        ]),
     "stored_missed_files": f"""select facility_id, file_type, schedule_cron,
  {ts('greatest(coalesce(last_received_at, arrived), coalesce(arrived, last_received_at))')} last_received_at,
  cast(coalesce(misses,0) as int) consecutive_misses from last_seen left join slots using (facility_id)""",
@@ -440,9 +456,6 @@ STATEMENTS: dict[str, str] = {
  qualify row_number() over (partition by c.facility_id order by work_date desc)=1)""",
     "ot_summary_monthly": f"""select facility_id, role_code, {txt("cast(date_trunc('month',work_date) as date)")} as month,
  sum(hours_overtime) overtime_hours, sum(overtime_cost_est) overtime_cost, count(*) overtime_rows
- from overtime group by facility_id, role_code, date_trunc('month',work_date)""",
-    "stored_marts": f"""select facility_id, role_code, {txt("cast(date_trunc('month',work_date) as date)")} as month,
- sum(hours_overtime) overtime_hours, sum(overtime_cost_est) overtime_cost, count(*) overtime_rows
  from overtime group by facility_id, role_code, date_trunc('month',work_date)""",
     "scorecard_quarterly": f"""select s.facility_id, {txt('s.q')} as quarter, avg_nurse_patient_ratio, understaffed_share, overtime_pct,
  coalesce(overtime_cost,0.0) overtime_cost from
@@ -461,6 +474,15 @@ STATEMENTS: dict[str, str] = {
 }
 
 
+MART_TYPES = ["varchar", "varchar", "varchar", "double", "double", "double", "double"]
+STATEMENTS["stored_marts"] = " union all ".join(
+    f"select '{mart}' mart, "
+    + ", ".join(f"cast({c or 'null'} as {t}) as {n}" for c, t, n in zip(columns, MART_TYPES, ["facility_id", "part", "day", "v1", "v2", "v3", "v4"]))
+    + f" from ({STATEMENTS[mart]})"
+    for mart, columns in MART_COLUMNS.items()
+)
+
+
 def oracle(statement: str) -> str:
     """A statement with the sub-queries it needs, in order of definition."""
     needed: set[str] = set()

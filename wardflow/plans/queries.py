@@ -27,6 +27,7 @@ SINCE = "1995-01-01 00:00:00"
 HALF_WAY = "1998-06-30 00:00:00"
 BEGUN = "1992-01-05 00:00:00"
 LAST_ALERT = "1992-03-01 00:00:00"
+RETAINED_AT = "2000-06-30"
 MOVED_AT = "2001-09-01 00:00:00"
 DATASET = "sftp_staffing"
 CRON_LINES = [
@@ -75,15 +76,23 @@ def judged(spark, sf) -> DataFrame:
     return quality.with_reasons(raw(spark, sf))
 
 
-def all_index(spark, sf, rows: DataFrame | None = None) -> DataFrame:
+def all_index(spark, sf) -> DataFrame:
     """Quarantine index of the staffing rows, nothing resolved."""
-    bad = quality.split_valid(raw(spark, sf))[1] if rows is None else rows.filter(F.size("reasons") > 0)
-    return quality.quarantine_index(bad, STAFFING_COLUMNS)
+    return quality.quarantine_index(quality.split_valid(raw(spark, sf))[1], STAFFING_COLUMNS)
 
 
 def judged_once(spark, sf) -> DataFrame:
-    """Judged rows, written once for queries that look at them several ways."""
-    return tables.stage(spark, judged(spark, sf), "judged")
+    """Verdicts on the rows, written once for queries that look at them several
+    ways: of the cells only the hash of bad records is kept."""
+    record = F.when(F.size("reasons") > 0, F.sha2(F.to_json(F.struct(*STAFFING_COLUMNS)), 256))
+    verdicts = judged(spark, sf).select("_source_file", "_ingested_at", "reasons", record.alias("record_hash"))
+    return tables.stage(spark, verdicts, "judged")
+
+
+def judged_index(rows: DataFrame) -> DataFrame:
+    """The bad records of :func:`judged_once`, as the index has them, without their cells."""
+    bad = rows.filter("record_hash is not null")
+    return bad.select(F.col("_source_file").alias("source_file"), F.col("_ingested_at").alias("ingestion_timestamp"), "record_hash", fixed().alias("resolved"))
 
 
 def fixed():
@@ -91,9 +100,9 @@ def fixed():
     return F.substring("record_hash", 1, 1).isin("0", "1", "2", "3")
 
 
-def bad_index(spark, sf, rows: DataFrame | None = None) -> DataFrame:
+def bad_index(spark, sf) -> DataFrame:
     """The index with the corrected records resolved."""
-    return all_index(spark, sf, rows).withColumn("resolved", fixed())
+    return all_index(spark, sf).withColumn("resolved", fixed())
 
 
 def dq_results(spark, sf, rows: DataFrame | None = None) -> DataFrame:
@@ -300,14 +309,14 @@ def odd_headers(spark, sf):
     _write_csv(rows.filter(part == 1).select(*turned), f"{drop}/TURNED")
     names, cells = ",".join(rows.columns), [F.coalesce(c, F.lit("")) for c in rows.columns]
     for name, header, more in (("LONGER", names, ["x", "y"]), ("TWICE", f"{names},Role_Code", ["RN"]), ("UNNAMED", f"{names},", ["z"])):
-        # The header line sorts first within its one file.
+        # A file for each last digit; the header line sorts first in it.
+        part_of = F.col("sent_id").substr(-1, 1).alias("file")
         lines = rows.filter(part == (2 if name == "LONGER" else 3)).select(
-            F.lit(1).alias("o"), F.concat_ws(",", *cells, *[F.lit(m) for m in more]).alias("value")
+            part_of, F.lit(1).alias("o"), F.concat_ws(",", *cells, *[F.lit(m) for m in more]).alias("value")
         )
-        head = spark.range(1).select(F.lit(0).alias("o"), F.lit(header).alias("value"))
-        head.unionByName(lines).coalesce(1).sortWithinPartitions("o").select("value").write.option("compression", "none").text(f"{root}/text/{name}")
-        text = spark.read.text(f"{root}/text/{name}").coalesce(1)
-        text.write.format("csv").option("quote", "").option("escapeQuotes", "false").option("sep", "\u0001").save(f"{drop}/{name}")
+        head = lines.select("file").distinct().select("file", F.lit(0).alias("o"), F.lit(header).alias("value"))
+        text = head.unionByName(lines).repartition("file").sortWithinPartitions("file", "o").select("file", "value")
+        text.write.partitionBy("file").format("csv").option("quote", "").option("escapeQuotes", "false").option("sep", "\u0001").save(f"{drop}/{name}")
     ingest.ingest_bronze(spark, drop, root, f"{root}/checkpoints/bronze")
     bronze = ingest.read_bronze(spark, root).groupBy(F.lit("BRONZE").alias("outcome")).agg(
         F.count(F.lit(1)).alias("records"), F.count("facility_id").alias("with_facility"), F.count_distinct("sent_id").alias("sent_ids")
@@ -668,11 +677,19 @@ def dq_flags(spark, sf):
 
 @query
 def remediation(spark, sf):
-    """The index after corrected records re-entered."""
-    index = all_index(spark, sf)
-    return quality.resolve_remediated(index, index.filter(fixed()), ["source_file", "record_hash"]).select(
-        "source_file", "record_hash", "resolved"
-    )
+    """Quarantined records by facility, rule and state after a file of corrections
+    came in: a quarter of the records whose facility is known, put right."""
+    root = tables.scratch_path(spark, "lake")
+    rows = tables.stage(spark, raw(spark, sf).select(*STAFFING_COLUMNS), "rows")
+    _write_csv(rows, f"{root}/landing/FAC_A")
+    ingest.ingest_bronze(spark, f"{root}/landing", root, f"{root}/checkpoints/bronze")
+    bad = all_index(spark, sf).filter(fixed() & F.col("facility_id").isNotNull())
+    cells = F.from_json("raw_record", ", ".join(f"{c} STRING" for c in STAFFING_COLUMNS))
+    right = {"staff_count": F.lit("5"), "patient_census": F.lit("50"), "hours_worked_overtime": F.lit("4")}
+    _write_csv(bad.select(cells.alias("c")).select("c.*").withColumns(right), f"{root}/landing/FAC_B")
+    ingest.ingest_bronze(spark, f"{root}/landing", root, f"{root}/checkpoints/bronze")
+    index = jobs.read_quarantine(spark, root)
+    return index.groupBy("facility_id", F.element_at("quarantine_reason", 1).alias("rule"), "resolved").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query
@@ -832,18 +849,16 @@ def gold_check(spark, sf):
 
 @query
 def control_counts(spark, sf):
-    """Row counts of the control tables."""
-    frames = {
-        "file_registry": registry(spark, sf),
-        "pipeline_runs": fixtures.load(spark, sf, "run_events"),
-        "file_schedule": schedule(spark, sf),
-        "quarantine_index": bad_index(spark, sf),
-    }
-    parts = [df.agg(F.count(F.lit(1)).alias("records")).withColumn("name", F.lit(n)) for n, df in frames.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Row counts of the stored control tables."""
+    root = tables.scratch_path(spark, "lake")
+    control.append_registry(registry(spark, sf).withColumn("file_date", F.trunc("file_date", "year")), root, "all")
+    for name, rows in (("pipeline_runs", fixtures.load(spark, sf, "run_events")), ("quarantine_index", bad_index(spark, sf))):
+        table = TABLES[name]
+        typed = [(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in table.struct]
+        tables.append_batch(rows.select(*typed), table.path(root), "all")
+    schedules = TABLES["file_schedule"]
+    tables.write_snapshot(spark, schedule(spark, sf).select(*schedules.struct.names), schedules.path(root))
+    return jobs.control_counts(spark, root)
 
 
 def _halves(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -942,10 +957,10 @@ def latest_fact_rows(spark, sf):
 
 @query
 def ordered_schedule(spark, sf):
-    ordered = schedule(spark, sf).orderBy("facility_id", "file_type")
-    # The place in the result, as the rows come: the order is what is asked.
-    place = F.monotonically_increasing_id()
-    return ordered.coalesce(1).withColumn("place", place).select("place", "facility_id", "file_type", "schedule_cron")
+    """The schedule in order, with each row's place: the order is what is asked."""
+    return ops.with_places(spark, schedule(spark, sf), ["facility_id", "file_type"]).select(
+        "place", "facility_id", "file_type", "schedule_cron"
+    )
 
 
 # --- Facility dimension -------------------------------------------------------
@@ -1149,7 +1164,7 @@ def duplicate_check(spark, sf):
 def health_check(spark, sf):
     rows = judged_once(spark, sf)
     return ops.health_check(
-        ledger(spark, sf, rows), bad_index(spark, sf, rows), dq_results(spark, sf, rows), versions(spark, sf),
+        ledger(spark, sf, rows), judged_index(rows), dq_results(spark, sf, rows), versions(spark, sf),
         fixtures.load(spark, sf, "job_bookmarks"), fixtures.load(spark, sf, "pipeline_log"), AS_OF,
     )
 
@@ -1157,7 +1172,7 @@ def health_check(spark, sf):
 @query
 def alerts(spark, sf):
     rows = judged_once(spark, sf)
-    return ops.alerts(dq_results(spark, sf, rows), fixtures.load(spark, sf, "job_bookmarks"), bad_index(spark, sf, rows), AS_OF, versions(spark, sf), LAST_ALERT)
+    return ops.alerts(dq_results(spark, sf, rows), fixtures.load(spark, sf, "job_bookmarks"), judged_index(rows), AS_OF, versions(spark, sf), LAST_ALERT)
 
 
 @query
@@ -1186,14 +1201,39 @@ def retention(spark, sf):
 
 @query
 def retention_job(spark, sf):
-    """Days left in Bronze after the retention job dropped whole folders."""
-    root, path = tables.scratch_path(spark, "lake"), TABLES["stg_staffing"].full_name
-    rows = raw(spark, sf).withColumn("_ingest_date", F.to_date("_ingested_at"))
-    stored = f"{root}/{path.replace('.', '/')}"
-    rows.repartition("_ingest_date").write.partitionBy("_ingest_date").parquet(stored)
-    jobs.run_retention(spark, root, "1999-07-11")
-    left = spark.read.schema("facility_id STRING, _ingest_date DATE").parquet(stored)
-    return left.groupBy("_ingest_date").agg(F.count(F.lit(1)).alias("records"))
+    """Rows and oldest day that the retention job, run twice, leaves of each layer."""
+    root = tables.scratch_path(spark, "lake")
+    path = {name: table.path(root) for name, table in TABLES.items()}
+    rows = tables.stage(spark, raw(spark, sf), "rows")
+    rows.withColumn("_ingest_date", F.to_date("_ingested_at")).repartition("_ingest_date").write.partitionBy("_ingest_date").parquet(path["stg_staffing"])
+    tables.write_table(silver(spark, sf), TABLES["staffing_standardized"], root)
+    tables.write_table(facts.fact_overtime(shifts(spark, sf)), TABLES["fact_overtime"], root)
+    quarter = F.concat(F.year("ingestion_timestamp"), F.lit("-"), F.quarter("ingestion_timestamp"))
+    all_index(spark, sf).withColumn("_batch", quarter).write.partitionBy("_batch").parquet(path["quarantine_index"])
+    fixtures.load(spark, sf, "pipeline_log").write.parquet(path["pipeline_log"])
+    first_days = rows.withColumn("date", F.to_date("_ingested_at")).filter("day(date) = 1").select("date", "facility_id")
+    first_days.write.partitionBy("date").json(f"{root}/audit/ingestion")
+    _write_csv(rows.select(*STAFFING_COLUMNS), f"{root}/landing/FAC_A")  # too new to go
+    for _ in range(2):
+        jobs.run_retention(spark, root, RETAINED_AT, f"{root}/landing")
+    left = {
+        ("landing", None): spark.read.option("header", "true").csv(f"{root}/landing/FAC_A"),
+        ("bronze", "_ingest_date"): spark.read.schema("facility_id STRING, _ingest_date DATE").parquet(path["stg_staffing"]),
+        ("silver", "work_date"): tables.read_table(spark, TABLES["staffing_standardized"], root),
+        ("gold", "work_date"): tables.read_table(spark, TABLES["fact_overtime"], root),
+        ("audit", "date"): spark.read.schema("facility_id STRING, date DATE").json(f"{root}/audit/ingestion"),
+        ("quarantine", "ingestion_timestamp"): tables.read_table(spark, TABLES["quarantine_index"], root),
+        ("pipeline_log", "event_timestamp"): tables.read_table(spark, TABLES["pipeline_log"], root),
+    }
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("records"), F.min(F.lit(None).cast("date") if day is None else F.col(day).cast("date")).alias("oldest"))
+        .withColumn("layer", F.lit(layer))
+        for (layer, day), df in left.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 @query
@@ -1212,18 +1252,60 @@ def stored_missed_files(spark, sf):
 # --- KPI marts ----------------------------------------------------------------
 
 
+# What a mart's rows are compared by: facility, further key, day, and four figures.
+MART_COLUMNS = {
+    "facility_daily_summary": ("facility_id", None, "work_date", "staff_total", "census_total", "overtime_hours", "avg_nurse_patient_ratio"),
+    "np_ratio_realtime": ("facility_id", None, "as_of_date", "census_now", "staff_now", "np_ratio", None),
+    "ot_summary_monthly": ("facility_id", "role_code", "month", "overtime_hours", "overtime_cost", "overtime_rows", None),
+    "scorecard_quarterly": ("facility_id", None, "quarter", "avg_nurse_patient_ratio", "understaffed_share", "overtime_pct", "overtime_cost"),
+    "dq_dashboard": (None, "dataset_name", "run_date", "total_records", "valid_records", "pass_rate", None),
+    "dim_facility_current": ("facility_id", None, "effective_from", "bed_capacity", "staffing_benchmark", None, None),
+}
+MART_KINDS = ["string", "string", "date", "double", "double", "double", "double"]
+
+
 @query
 def stored_marts(spark, sf):
-    """The monthly overtime mart as stored after Gold."""
+    """All six marts as stored after two Gold runs; the second run rebuilds the
+    months and quarters that its half of the rows touches."""
     root = tables.scratch_path(spark, "lake")
-    gold = {
-        "fact_staffing": facts.fact_staffing(silver(spark, sf)),
-        "fact_overtime": facts.fact_overtime(shifts(spark, sf)),
-        "fact_census_realtime": census.hourly_census(census.unique_events(events_silver(spark, sf))),
-        "data_quality_results": dq_results(spark, sf),
-    }
-    jobs.write_marts(spark, root, gold, dim_before(spark, sf))
-    return jobs.read_mart(spark, root, "ot_summary_monthly")
+    balances = census.closing_balances(census.hourly_census(census.unique_events(events_silver(spark, sf))))
+    tables.write_table(balances, TABLES["census_balance"], root)
+    results = TABLES["data_quality_results"]
+    tables.append_batch(dq_results(spark, sf).select(*results.struct.names), results.path(root), "all")
+    dim = scd2.apply_changes(dim_before(spark, sf), fixtures.load(spark, sf, "attributes_2"), "2024-02-01")
+    tables.write_snapshot(spark, dim, TABLES["dim_facility"].path(root))
+    stamp = F.lit(HALF_WAY).cast("timestamp")
+    for batch, part in zip(("b-1", "b-2"), _halves(spark, sf)):
+        _bronze_batch(spark, root, part.withColumn("_ingested_at", stamp), batch)
+        upsert.upsert_table(spark, TABLES["fact_staffing"], root, facts.fact_staffing(facts.silver_staffing(part)))
+        jobs.upsert_overtime(spark, root, facts.silver_shifts(part))
+        control.mark_batches(spark, root, "gold", [batch], batch)
+        jobs.run_marts(spark, root)
+    names = ["facility_id", "part", "day", "v1", "v2", "v3", "v4"]
+    parts = [
+        jobs.read_mart(spark, root, mart).select(
+            F.lit(mart).alias("mart"), *[(F.lit(None) if c is None else F.col(c)).cast(kind).alias(n) for c, kind, n in zip(columns, MART_KINDS, names)]
+        )
+        for mart, columns in MART_COLUMNS.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@query
+def refreshed_features(spark, sf):
+    """Features after a run over one half of the rows and a refresh by the other."""
+    root, table = tables.scratch_path(spark, "lake"), TABLES["overtime_features"]
+    stamp = F.lit(HALF_WAY).cast("timestamp")
+    for batch, part in zip(("b-1", "b-2"), _halves(spark, sf)):
+        _bronze_batch(spark, root, part.withColumn("_ingested_at", stamp), batch)
+        upsert.upsert_table(spark, TABLES["fact_staffing"], root, facts.fact_staffing(facts.silver_staffing(part)))
+        control.mark_batches(spark, root, "gold", [batch], batch)
+        jobs.run_features(spark, root)
+    return tables.read_snapshot(spark, table, root)
 
 
 @query

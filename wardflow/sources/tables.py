@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StructType
 
@@ -106,9 +106,81 @@ def read_stored(spark: SparkSession, table: Table, root: str, schema: StructType
         stored = stored.add(MONTH, IntegerType())
     if not path_exists(spark, path):
         return spark.createDataFrame([], stored)
+    if path_exists(spark, f"{path}/{FOLDS}"):
+        return _read_folded(spark, path, stored)
     return spark.read.schema(stored).parquet(path)
 
 
+# Folders of a compacted log; names that begin so are no data to other readers.
+FOLDS, GENERATIONS = "_folds", "_generations"
+FOLD_DDL = "number BIGINT, generation STRING, folded ARRAY<STRING>"
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files below a folder, hidden folders left out."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found, files = target.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(target, True), []
+    while found.hasNext():
+        file = found.next().getPath().toString()
+        if not any(part.startswith(("_", ".")) for part in file[file.index(path) + len(path) :].split("/")):
+            files.append(file)
+    return sorted(files)
+
+
+def _last_fold(spark: SparkSession, path: str):
+    folds = spark.read.schema(FOLD_DDL).json(f"{path}/{FOLDS}") if path_exists(spark, f"{path}/{FOLDS}") else None
+    return folds.orderBy(F.desc("number")).first() if folds is not None else None
+
+
+def _read_folded(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The last generation and the files that came after it."""
+    fold = _last_fold(spark, path)
+    rows = spark.read.schema(schema).parquet(f"{path}/{GENERATIONS}/{fold.generation}")
+    later = sorted(set(data_files(spark, path)) - set(fold.folded))
+    if not later:
+        return rows
+    return rows.unionByName(spark.read.schema(schema).option("basePath", path).parquet(*later).select(*schema.names))
+
+
+def compact_log(spark: SparkSession, table: Table, root: str, order: list[str], kept: Column | None = None) -> int:
+    """Fold the files of an append-only table into one sorted generation; returns how many there were.
+
+    With ``kept`` only rows it holds for are taken over.
+
+    The rows go to a folder that nobody reads yet. One written line then names
+    it and the files it stands for, and from that moment readers take it in
+    their place. The files themselves go with the next fold, so a reader that
+    began before has until then to finish. A fold that breaks off before its
+    line changes nothing; after it, what it left behind goes with the next one.
+    """
+    path = table.path(root)
+    if not path_exists(spark, path):
+        return 0
+    before, files, generation = _last_fold(spark, path), data_files(spark, path), uuid.uuid4().hex
+    fresh = sorted(set(files) - set(before.folded)) if before else files
+    rows = read_stored(spark, table, root)
+    if not fresh and (kept is None or rows.filter(~kept).isEmpty()):
+        return 0
+    if kept is not None:
+        rows = rows.filter(kept)
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows.write.partitionBy(*table.folders).parquet(f"{path}/{GENERATIONS}/{generation}")
+    line = spark.createDataFrame([((before.number if before else 0) + 1, generation, files)], FOLD_DDL)
+    line.coalesce(1).write.mode("append").json(f"{path}/{FOLDS}")
+    if before:
+        for file in before.folded:
+            drop_folder(spark, file)
+    for name in _other_generations(spark, path, {generation, before.generation if before else ""}):
+        drop_folder(spark, f"{path}/{GENERATIONS}/{name}")
+    return len(fresh)
+
+
+def _other_generations(spark: SparkSession, path: str, kept: set[str]) -> list[str]:
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{GENERATIONS}")
+    names = [f.getPath().getName() for f in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)]
+    return [n for n in names if n not in kept]
+
+
 def read_days(spark: SparkSession, table: Table, root: str, first: str, last: str) -> DataFrame:
     """Rows of a table stored by month from the day ``first`` to ``last`` (yyyy-mm-dd).
 

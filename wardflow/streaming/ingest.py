@@ -14,6 +14,7 @@ from wardflow.operators.quality import (
     raw_columns_of,
     with_reasons,
 )
+from wardflow.operators.remediation import resolve_by_batch
 from wardflow.schemas import TABLES
 from wardflow.sources.landing import SURPLUS, file_lines, file_manifest, literal_path, new_files, read_by_header, readable_header
 from wardflow.sources.tables import append_batch, overwrite_folders, read_table, staged
@@ -110,6 +111,7 @@ def ingest_files(spark: SparkSession, paths: list[str], root: str, dataset: str,
         )
         verdict = records.unionByName(unreadable.withColumns(lineage), allowMissingColumns=True).withColumn("_bad", F.size("reasons") > 0)
         with staged(spark, verdict, "judged", ("_bad",)) as judged:
+            resolve_by_batch(spark, root, judged.filter(~F.col("_bad")), at, batch)
             _write_records(judged, root, batch)
             with staged(spark, file_outcomes(manifest, judged, dataset, at), "outcomes") as outcomes:
                 _write_control(spark, outcomes, root, batch, at, TABLES["stg_staffing"].path(root))
