@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import hash_words, keep
+from wardflow.llm.common import drop, hash_words, keep
 
 #: Elements whose start and end break a line.
 BLOCKS = frozenset(
@@ -217,11 +217,11 @@ def shared_lines(spark: SparkSession, pages: DataFrame) -> DataFrame:
     single = copies.groupBy("host", "content").agg(F.min("path").alias("path"), F.any_value("lines").alias("lines"))
     order = ["host", "path", "content"]
     ranged = single.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
-    keys, _ = keep(spark, ranged, "page-lines")
+    keys, keys_path = keep(spark, ranged, "page-lines")
     page = F.struct("host", "path", "lines")
     inside = Window.partitionBy("part").orderBy(*order)
     near = keys.withColumn("before", F.lag(page).over(inside)).withColumn("after", F.lead(page).over(inside))
-    near, _ = keep(spark, near, "page-neighbours")
+    near, near_path = keep(spark, near, "page-neighbours")
     # The first and last page of each range find the neighbour they lack among
     # themselves: two rows a range, whatever the number of pages.
     edge = near.where("before is null or after is null")
@@ -252,6 +252,8 @@ def shared_lines(spark: SparkSession, pages: DataFrame) -> DataFrame:
         "content",
         shared("path", "lines", beside("before", "path"), beside("before", "lines"), beside("after", "path"), beside("after", "lines")).alias("shared"),
     )
+    settled, _ = keep(spark, settled, "page-shared")
+    drop(spark, [keys_path, near_path])
     return copies.select("host", "version", "content").join(settled, ["host", "content"]).select("host", "version", "shared")
 
 
