@@ -1,4 +1,4 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -59,3 +59,17 @@ def test_sequences_hold_the_words(spark):
     packed = packing.pack(spark, docs, capacity=4)
     texts = sorted(r.text for r in packing.sequences(packed, docs).collect())
     assert sorted(" ".join(texts).split()) == list("abcdefgh") and texts[0] == "a b c d"
+
+
+def test_equal_rows_without_an_id_are_dealt_out(spark):
+    """No shard holds more than its share, and rows without words go past them."""
+    from pyspark.sql import functions as F
+
+    docs = spark.range(6_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same words here").alias("text"), F.lit("s").alias("source"))
+    empty = spark.range(50_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit("s").alias("source"))
+    packed = packing.pack(spark, docs.unionByName(empty), capacity=64, shard_docs=500)
+    rows = packed.collect()
+    assert len(rows) == 56_000 and sum(r.sequence_id is None for r in rows) == 50_000
+    shards = Counter(r.sequence_id >> 32 for r in rows if r.sequence_id is not None)
+    assert len(shards) == 12 and max(shards.values()) < 700
+    assert len({r.sequence_id for r in rows if r.sequence_id is not None}) == 6_000  # copies never share one

@@ -8,9 +8,9 @@ A document looks up the sequence with the least sufficient room and goes on to
 its successors until one holds neither its source nor its cluster; if none does,
 it opens a new one.
 
-Documents are dealt to shards of about ``shard_docs`` by a hash of id and
-content, so that one source or cluster with a third of all rows is spread over
-all shards; only lengths, sources and digests are shuffled.
+Documents are dealt to shards of about ``shard_docs`` by a hash of a written row
+number, so that one source, cluster or id with a third of all rows is spread over
+all shards; only lengths, sources and digests are written and shuffled.
 
 Defined cases: a text that is null or without words takes no room, its row has
 length 0 and no sequence; a null source conflicts with nothing; repeated rows are
@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow.llm.common import keep
+
 CAPACITY = 2048
 SHARD_DOCS = 4096
 WORD = r"[^\x20\x09-\x0D]+"
@@ -84,8 +86,12 @@ def pack(
         (content_cluster(F.col("text")) if cluster is None else F.xxhash64(cluster)).alias("cluster"),
         words.alias("n"),
     )
-    shards = max(1, -(-documents.count() // shard_docs))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)))
+    # Rows are dealt by written numbers, so that equal rows and those without an
+    # id are spread like any others; rows without words need no sequence.
+    numbered, _ = keep(spark, rows.withColumn("row", F.monotonically_increasing_id()), "lengths")
+    empty, worded = numbered.where("n = 0"), numbered.where("n > 0")
+    shards = max(1, -(-worded.count() // shard_docs))
+    dealt = worded.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards))).drop("row")
 
     def packed(group: pd.DataFrame) -> pd.DataFrame:
         shard = int(group["shard"].iloc[0]) << 32
@@ -103,8 +109,6 @@ def pack(
                 sequence += 1
             if left:
                 rest.append((left, i, whole))
-            elif not whole:
-                out.append((ids.iloc[i], 0, 0, 0, None, None))
         rest.sort(key=lambda item: -item[0])
         counts: dict = {}
         for _, i, _ in rest:
@@ -126,7 +130,8 @@ def pack(
         return frame
 
     schema = f"doc_id {kind}, piece long, begin long, length long, sequence_id long, position long"
-    return dealt.groupBy("shard").applyInPandas(packed, schema)
+    nothing = empty.select("doc_id", *[F.lit(0).cast("long").alias(c) for c in ("piece", "begin", "length")], *[F.lit(None).cast("long").alias(c) for c in ("sequence_id", "position")])
+    return dealt.groupBy("shard").applyInPandas(packed, schema).unionByName(nothing)
 
 
 def sequences(packed: DataFrame, documents: DataFrame) -> DataFrame:
