@@ -57,3 +57,17 @@ def test_odd_rows(spark, clashing_docs, no_docs):
     assert [r.doc_id for r in sorted((r for r in got if r.query_id == 7), key=lambda r: r.rank)] == [7, 8, 8]
     assert search.top_k(spark, no_docs, queries).count() == 0
     assert search.top_k(spark, clashing_docs, queries.where("false")).count() == 0
+
+
+def test_empty_texts_do_not_fill_a_shard(spark, monkeypatch):
+    """A shard is closed by its documents too, in whatever order they come."""
+    import pandas as pd
+
+    class At:
+        partitionId = staticmethod(lambda: 3)
+
+    monkeypatch.setattr(search, "TaskContext", type("T", (), {"get": staticmethod(lambda: At)}))
+    batch = pd.DataFrame({"doc_id": range(45_000), "text": ["", "a b"] * 22_500})
+    shards = [row for frame in search._shards(iter([batch])) for row in frame.itertuples()]
+    assert [len(s.ids) for s in shards] == [20_000, 20_000, 5_000]
+    assert [s.shard for s in shards] == [3 << 32, (3 << 32) + 1, (3 << 32) + 2]

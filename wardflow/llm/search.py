@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 
 from wardflow.llm.common import hash_words, keep, spans
 
-SHARD_TOKENS = 1_500_000
+#: A shard is closed at so many words, or documents: empty ones count too.
+SHARD_TOKENS, SHARD_DOCS = 1_500_000, 20_000
 GROUP_TERMS = 2_000_000
 BLOCK = 256
 #: Queries scored together.
@@ -91,7 +92,7 @@ def _shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             top = int(terms[np.argmax(counts)]) if len(terms) else 0
             docs.append((None if doc_id is None or doc_id != doc_id else doc_id, top, tokens, terms, counts))
             size += len(tokens)
-            if size >= SHARD_TOKENS:
+            if size >= SHARD_TOKENS or len(docs) >= SHARD_DOCS:
                 yield shard()
                 made += 1
                 docs, size = [], 0
