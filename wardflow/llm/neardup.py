@@ -289,10 +289,14 @@ def _linked(tile: pd.DataFrame) -> pd.DataFrame:
 def keep_representatives(spark: SparkSession, documents: DataFrame) -> DataFrame:
     """One document of each group: the one with the smallest id, all its columns.
 
-    Every row is judged by its own text, under a written row number: rows of one
-    id with different texts and rows with a null id are documents of their own.
-    A null id counts as the largest. Rows without words are groups of one.
+    Every row is judged by its own text. Where ids are unique they name the rows;
+    else written row numbers do, and rows of one id with different texts and rows
+    with a null id are documents of their own. A null id counts as the largest.
+    Rows without words are groups of one.
     """
+    if documents.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id is null or n > 1").isEmpty():
+        kept = link(spark, documents).where("kept").select(F.col("doc_id").alias("__kept_id"))
+        return documents.join(kept, documents["doc_id"] == kept["__kept_id"], "left_semi")
     numbered, _ = keep(spark, documents.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     linked = link(spark, numbered.select(F.col("__row").alias("doc_id"), "text"))
     members = linked.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")).join(numbered.select("__row", "doc_id"), "__row")
