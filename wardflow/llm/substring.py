@@ -19,9 +19,10 @@ so a line that occurs in every document is one row per task. The words at the
 ends of runs are read once for each place of an earlier document.
 
 Defined cases: a null text stays null and has no spans, an empty one stays
-empty; blank units are never compared; rows that repeat a doc_id are ordered by
-their text, so that exactly one copy stays; a null doc_id comes last in the
-order; a passage that overlaps its own copy, as in a loop of one word, keeps its
+empty; blank units are never compared; rows of one doc_id with different texts
+are ordered by a hash of the text; rows equal in doc_id and text count as one
+document and are cut alike, so all of them stay or go; a null doc_id comes last in
+the order; a passage that overlaps its own copy, as in a loop of one word, keeps its
 first occurrence whole; extra columns are carried through by
 :func:`remove_repeats`.
 """
