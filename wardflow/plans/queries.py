@@ -349,7 +349,8 @@ def _bronze_batch(spark, root: str, rows: DataFrame, batch: str) -> None:
     """Rows as an ingestion batch leaves them: in Bronze, and in the ledger."""
     placed = rows.withColumns({"_ingest_date": F.to_date("_ingested_at"), "_ingest_batch": F.lit(batch)})
     path = TABLES["stg_staffing"].path(root)
-    placed.repartition("_ingest_date").write.mode("append").partitionBy("_ingest_date", "_ingest_batch").parquet(path)
+    # A batch is one day, of any size: the hint splits it over tasks where a hash of the day could not.
+    placed.hint("rebalance", "_ingest_date").write.mode("append").partitionBy("_ingest_date", "_ingest_batch").parquet(path)
     ledger = spark.createDataFrame([(batch, "f", path, 0, 0, None)], TABLES["ingestion_ledger"].struct)
     tables.append_batch(ledger, TABLES["ingestion_ledger"].path(root), batch)
 
