@@ -239,3 +239,16 @@ def test_folded_logs_keep_their_rows(spark, tmp_path, monkeypatch):
     jobs.compact_logs(spark, root)
     assert len(runs()) == 1_003 and jobs.compact_logs(spark, root)["pipeline_runs"] == 0
     assert len(tables.data_files(spark, table.path(root))) < 10
+
+
+def test_days_are_walked_once_for_a_line(spark):
+    lines = ["0,30 5-23 * * 1-5", "10/20 8-18/5 13 * FRI", "59 23 28-31 2 *"]
+    seen = [datetime(2025, 12, 30, 8, 30), datetime(2026, 2, 2, 6, 0), datetime(2026, 3, 9, 23, 58), datetime(2026, 3, 10, 8, 10), datetime(2026, 3, 12)]
+    ddl = ("facility_id STRING, file_type STRING, schedule_cron STRING, grace_period_minutes INT, alert_severity STRING,"
+           " is_active BOOLEAN, last_received_at TIMESTAMP, consecutive_misses INT")
+    rows = [(f"F{i}", "STAFFING", line, 0, "WARN", True, at, 0) for line in lines for i, at in enumerate(seen)]
+    none = spark.createDataFrame([], "facility_id STRING, file_type STRING, received_at TIMESTAMP")
+    out = control.missed_files(spark.createDataFrame(rows, ddl), none, "2026-03-10 18:11:00", "2026-01-01")
+    assert "sequence(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r.schedule_cron, r.last_received_at): r.consecutive_misses for r in out.collect()}
+    assert got == {(r[2], r[6]): walked(r[2], r[6], datetime(2026, 3, 10, 18, 11)) for r in rows}

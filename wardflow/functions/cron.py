@@ -8,7 +8,7 @@ either of them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The names of months from 1 and of weekdays from 0.
@@ -65,22 +65,60 @@ def on_day(cron: Column, day: Column) -> Column:
     return F.array_contains(cron["months"], F.month(day)) & by_day
 
 
-def slots_between(cron: Column, after: Column, before: Column) -> Column:
+def day_of(moment: Column) -> Column:
+    """The day of a moment, which is whole seconds since the epoch."""
+    return F.date_from_unix_date(F.floor(moment / DAY_SECONDS).cast("int"))
+
+
+def calendars(spans: DataFrame) -> DataFrame:
+    """(line, cron, base, upto) of each ``line`` of ``spans(line, first, last)``; cron is null for one that cannot be read.
+
+    ``base`` is the earliest day of the line's spans, and ``upto`` holds, for
+    each day from there to the last one, how many days up to it have slots. So
+    days are walked once for a line, however many sources share it.
+    """
+    lines = spans.groupBy("line").agg(F.min("first").alias("base"), F.max("last").alias("end"))
+    # No filter by what was read: it would be moved before the grouping, and every row be read.
+    read = lines.withColumn("cron", parsed(F.col("line")))
+    days = read.select("line", "base", "cron", F.explode(F.sequence("base", F.greatest("base", "end"))).alias("day"))
+    hits = days.select("line", "base", "cron", "day", on_day(F.col("cron"), F.col("day")).cast("int").alias("hit"))
+    so_far = hits.withColumn("n", F.sum("hit").over(Window.partitionBy("line").orderBy("day")).cast("int"))
+    upto = F.transform(F.sort_array(F.collect_list(F.struct("day", "n"))), lambda d: d["n"])
+    return so_far.groupBy("line", "base", "cron").agg(upto.alias("upto"))
+
+
+def days_between(base: Column, upto: Column, after: Column, before: Column) -> Column:
+    """Days with slots that lie between the days of two moments, by :func:`calendars`."""
+    place = lambda day: F.get(upto, F.date_diff(day, base))
+    return place(F.date_sub(day_of(before), 1)) - place(day_of(after))
+
+
+def slots_between(cron: Column, after: Column, before: Column, days: Column | None = None) -> Column:
     """Slots of a parsed expression after one moment and before another.
 
-    Moments are whole seconds since the epoch. Days are walked, and those that
-    match count all of a day's slots; only on the first and the last one is the
+    Moments are whole seconds since the epoch. Each of the ``days`` with slots
+    between the first and the last one counts all of a day's slots; they are
+    walked where no number is given. Only on the first and the last one is the
     time of day looked at.
     """
-    times = F.flatten(F.transform(cron["hours"], lambda h: F.transform(cron["minutes"], lambda m: h * 3600 + m * 60)))
-    first, last = (F.date_from_unix_date(F.floor(x / DAY_SECONDS).cast("int")) for x in (after, before))
-    from_second, to_second = (F.pmod(x, F.lit(DAY_SECONDS)) for x in (after, before))
-    between = F.filter(F.sequence(first, last), lambda d: (d > first) & (d < last) & on_day(cron, d))
-    counts = F.when(
-        first == last, F.when(on_day(cron, first), F.size(F.filter(times, lambda t: (t > from_second) & (t < to_second)))).otherwise(0)
-    ).otherwise(
-        F.size(between) * F.size(times)
-        + F.when(on_day(cron, first), F.size(F.filter(times, lambda t: t > from_second))).otherwise(0)
-        + F.when(on_day(cron, last), F.size(F.filter(times, lambda t: t < to_second))).otherwise(0)
+    hours, minutes = cron["hours"], cron["minutes"]
+    a_day = F.size(hours) * F.size(minutes)
+    first, last = day_of(after), day_of(before)
+
+    def rest(moment: Column, later: bool) -> Column:
+        """Slots of the moment's day after it, or before it."""
+        second = F.pmod(moment, F.lit(DAY_SECONDS))
+        hour, left = F.floor(second / 3600), F.pmod(second, F.lit(3600))
+        whole = F.size(F.filter(hours, lambda h: (h > hour) if later else (h < hour))) * F.size(minutes)
+        part = F.size(F.filter(minutes, lambda m: (m * 60 > left) if later else (m * 60 < left)))
+        return whole + F.when(F.array_contains(hours, hour.cast("int")), part).otherwise(0)
+
+    if days is None:
+        days = F.size(F.filter(F.sequence(first, last), lambda d: (d > first) & (d < last) & on_day(cron, d)))
+    # Within one day, the slots up to the first moment and from the second on are apart.
+    counts = F.when(first == last, F.when(on_day(cron, first), rest(after, True) + rest(before, False) - a_day).otherwise(0)).otherwise(
+        days * a_day
+        + F.when(on_day(cron, first), rest(after, True)).otherwise(0)
+        + F.when(on_day(cron, last), rest(before, False)).otherwise(0)
     )
     return F.when(cron.isNotNull(), F.when(after < before, counts).otherwise(0))

@@ -13,7 +13,7 @@ from wardflow.functions import cron
 from wardflow.operators.dedup import latest_per_key
 from wardflow.operators.quality import new_schema_versions, pass_rate, quality_status
 from wardflow.schemas import TABLES
-from wardflow.sources.tables import append_batch, path_exists, read_table
+from wardflow.sources.tables import append_batch, path_exists, read_table, stage
 
 log = logging.getLogger(__name__)
 
@@ -305,14 +305,18 @@ def missed_files(schedule: DataFrame, arrivals: DataFrame, as_of: str, since: st
     last = F.unix_timestamp(F.coalesce("last_received_at", F.lit(since).cast("timestamp")))
     limit = F.ceil(F.unix_micros(F.lit(as_of).cast("timestamp")) / 1_000_000) - F.col("grace_period_minutes") * 60
     misses = F.col("consecutive_misses")
+    active = schedule.filter("is_active").join(newest, ["facility_id", "file_type"], "left")
+    dated = active.withColumn("last_received_at", F.greatest("last_received_at", "_arrived"))
+    spans = dated.select(F.col("schedule_cron").alias("line"), cron.day_of(last).alias("first"), cron.day_of(limit).alias("last"))
+    # Written, as sources share few lines: Spark then sends the lines to the sources.
+    lines = stage(schedule.sparkSession, cron.calendars(spans), "calendars")
+    named = lines.select(*[F.col(c).alias(f"_{c}") for c in lines.columns])
+    days = cron.days_between(F.col("_base"), F.col("_upto"), last, limit)
     return (
-        schedule.filter("is_active")
-        .join(newest, ["facility_id", "file_type"], "left")
-        .withColumn("last_received_at", F.greatest("last_received_at", "_arrived"))
-        .withColumn("_cron", cron.parsed(F.col("schedule_cron")))
-        .withColumn("consecutive_misses", cron.slots_between(F.col("_cron"), last, limit).cast("int"))
+        dated.join(named, F.col("schedule_cron") == F.col("_line"), "left")
+        .withColumn("consecutive_misses", cron.slots_between(F.col("_cron"), last, limit, days).cast("int"))
         .withColumn("severity", F.when(misses.isNull(), UNREADABLE).when(misses > 0, F.col("alert_severity")))
-        .drop("_arrived", "_cron")
+        .drop("_arrived", *named.columns)
     )
 
 
