@@ -70,28 +70,29 @@ def file_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def file_contents(lines: DataFrame) -> DataFrame:
-    """(path, line, first, line_count, line_sums): a file's first line with its
-    position, and what its lines and their order give.
+    """(path, first, line_count, line_sums): the position of a file's first line,
+    and what its lines and their order give.
 
     Each line has four residues of its hashes. A file's sums of them, and its
     sums of them times the line's number, are put together from sums by block,
     so the result is the same however the file is split over tasks, and any
     change of a line or of the order changes it. Positions grow within a task,
-    and a file's first block is read by one task.
+    and a file's first block is read by one task. All that is aggregated are
+    numbers, so lines are hashed by file and never sorted.
     """
     halves = [F.xxhash64("value", F.lit(seed)) for seed in (1, 2)]
     residues = [F.pmod(F.shiftright(h, shift), F.lit(PRIME)) for h in halves for shift in (0, 32)]
-    named = lines.select("path", "block_start", "position", "value", *[r.alias(f"r{i}") for i, r in enumerate(residues)])
+    named = lines.select("path", "block_start", "position", *[r.alias(f"r{i}") for i, r in enumerate(residues)])
     plain = [F.sum(f"r{i}").alias(f"s{i}") for i in range(4)]
     # A residue times a position below 2 ** 33 would not fit.
     placed = [F.sum(F.pmod(F.col(f"r{i}") * F.pmod("position", F.lit(PRIME)), F.lit(PRIME))).alias(f"p{i}") for i in range(4)]
     blocks = named.groupBy("path", "block_start").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("position", "value")).alias("top"), *plain, *placed
+        F.count(F.lit(1)).alias("n"), F.min("position").alias("top"), *plain, *placed
     )
     before = F.coalesce(
         F.sum("n").over(Window.partitionBy("path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
-    shift = F.pmod(before - F.col("top.position"), F.lit(PRIME))
+    shift = F.pmod(before - F.col("top"), F.lit(PRIME))
     moved = [
         F.pmod(F.pmod(f"p{i}", F.lit(PRIME)) + F.pmod(f"s{i}", F.lit(PRIME)) * shift, F.lit(PRIME)).alias(f"p{i}") for i in range(4)
     ]
@@ -100,24 +101,35 @@ def file_contents(lines: DataFrame) -> DataFrame:
     return (
         blocks.select("path", "n", opening, *[F.pmod(f"s{i}", F.lit(PRIME)).alias(f"s{i}") for i in range(4)], *moved)
         .groupBy("path")
-        .agg(F.max("top").alias("top"), F.sum("n").alias("line_count"), F.concat_ws("|", *sums).alias("line_sums"))
-        .select("path", F.col("top.value").alias("line"), F.col("top.position").alias("first"), "line_count", "line_sums")
+        .agg(F.max("top").alias("first"), F.sum("n").alias("line_count"), F.concat_ws("|", *sums).alias("line_sums"))
     )
 
 
-def _first_lines(lines: DataFrame) -> DataFrame:
-    """(path, line, first) of each file."""
-    top = lines.filter("block_start = 0").groupBy("path").agg(F.min(F.struct("position", "value")).alias("top"))
-    return top.select("path", F.col("top.value").alias("line"), F.col("top.position").alias("first"))
+def first_positions(lines: DataFrame) -> DataFrame:
+    """(path, first) of each file."""
+    return lines.filter("block_start = 0").groupBy("path").agg(F.min("position").alias("first"))
+
+
+def with_first_lines(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """``files(path, first)``, those without lines left out, with the line that stands there.
+
+    The files are written first: Spark then knows how few they are and sends
+    them to the lines, which stay where they lie.
+    """
+    known = stage(lines.sparkSession, files, "files")
+    opening = lines.filter("block_start = 0").select(F.col("path").alias("_path"), "position", F.col("value").alias("line"))
+    return known.join(opening, (F.col("path") == F.col("_path")) & (F.col("first") == F.col("position"))).drop("_path", "position")
 
 
 def _columns() -> Column:
     return header_columns(F.coalesce("line", F.lit("")), F.col("path")).alias("columns")
 
 
-def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def file_headers(spark: SparkSession, paths: str | list[str], lines: DataFrame | None = None) -> DataFrame:
     """(path, length, columns, first) of each file that is not empty."""
-    return _listing(spark, paths).join(_first_lines(file_lines(spark, paths)), "path", "left").select("path", "length", _columns(), "first")
+    lines = file_lines(spark, paths) if lines is None else lines
+    first = with_first_lines(lines, first_positions(lines))
+    return _listing(spark, paths).join(first, "path", "left").select("path", "length", _columns(), "first")
 
 
 def file_manifest(spark: SparkSession, paths: str | list[str], lines: DataFrame | None = None) -> DataFrame:
@@ -128,7 +140,8 @@ def file_manifest(spark: SparkSession, paths: str | list[str], lines: DataFrame
     parallel, so no task holds a large file; ``lines`` are those of
     :func:`file_lines`, where they were kept.
     """
-    contents = file_contents(file_lines(spark, paths) if lines is None else lines)
+    lines = file_lines(spark, paths) if lines is None else lines
+    contents = with_first_lines(lines, file_contents(lines))
     found = _listing(spark, paths).join(contents, "path", "left")
     content = F.concat_ws("|", F.col("length"), F.coalesce("line_count", F.lit(0)), F.coalesce("line_sums", F.lit("")))
     return found.select("path", "length", F.md5(content.cast("binary")).alias("file_checksum"), _columns(), "first")
@@ -186,5 +199,7 @@ def read_landing(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     Files whose header names a column twice or not at all are left out;
     ingestion lists them.
     """
-    headers = stage(spark, file_headers(spark, paths).filter(readable_header()), "headers")
-    return read_by_header(file_lines(spark, paths), headers).drop(SURPLUS)
+    # Kept, as several steps look at them: a packed file is unpacked once, by one task.
+    lines = stage(spark, file_lines(spark, paths), "lines")
+    headers = stage(spark, file_headers(spark, paths, lines).filter(readable_header()), "headers")
+    return read_by_header(lines, headers).drop(SURPLUS)
