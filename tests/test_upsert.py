@@ -175,3 +175,12 @@ def test_older_rows_do_not_replace_newer_ones(spark, tmp_path, staffing_frame):
     for batch in (newer, older):
         upsert.upsert_table(spark, SILVER, root, batch, newest_by=facts.NEWEST_FIRST)
     assert stored(spark, root) == {("F", date(2026, 1, 1)): 2, ("F", date(2026, 1, 2)): 3}
+
+
+def test_shifts_are_formed_once_for_the_overtime_upsert(spark, tmp_path, staffing_frame, monkeypatch):
+    seen = []
+    formed = jobs.fact_overtime
+    monkeypatch.setattr(jobs, "fact_overtime", lambda rows: seen.append(rows._jdf.queryExecution().optimizedPlan().toString()) or formed(rows))
+    rows = staffing_frame(("F", "2026-01-01", "RN", "5", "10", "40", "4", "DAY"))
+    jobs.upsert_overtime(spark, str(tmp_path), facts.silver_shifts(rows))
+    assert len(seen) == 2 and not any("Window" in plan for plan in seen)

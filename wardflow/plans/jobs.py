@@ -170,9 +170,11 @@ def upsert_overtime(spark: SparkSession, root: str, changed: DataFrame) -> None:
     """Bring the overtime fact up to date with changed shifts, so that it equals
     one built from all shifts."""
     table = TABLES["fact_overtime"]
-    rows, cleared = overtime_batch(spark, root, changed)
-    with staged(spark, cleared, "cleared") as gone:
-        upsert_table(spark, table, root, rows, cleared=gone)
+    # Looked at five times, so written first.
+    with staged(spark, changed, "shifts") as shifts:
+        rows, cleared = overtime_batch(spark, root, shifts)
+        with staged(spark, cleared, "cleared") as gone:
+            upsert_table(spark, table, root, rows, cleared=gone)
 
 
 def run_gold(spark: SparkSession, root: str, run_date: str, attributes: DataFrame | None = None) -> str:
@@ -197,11 +199,11 @@ def run_gold(spark: SparkSession, root: str, run_date: str, attributes: DataFram
             silver = touched_silver(spark, root, "staffing_standardized", keyed)
             shifts = touched_silver(spark, root, "staffing_shifts", keyed)
             seen, counted_silver = counted(silver)
-            with staged(spark, counted_silver, "silver") as rows, staged(spark, shifts, "shifts") as worked:
+            with staged(spark, counted_silver, "silver") as rows:
                 records, mark = seen.get["records"], seen.get["mark"]
                 if records:
                     upsert_table(spark, TABLES["fact_staffing"], root, fact_staffing(rows))
-                    upsert_overtime(spark, root, worked)
+                    upsert_overtime(spark, root, shifts)
                     _move_files(spark, root, rows, "gold", "AGGREGATED", run_id)
             if attributes is None:
                 source = ids.withColumns({"bed_capacity": F.lit(None).cast("int"), "staffing_benchmark": F.lit(None).cast("double")})
