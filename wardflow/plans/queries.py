@@ -1206,14 +1206,15 @@ def retention_job(spark, sf):
     root = tables.scratch_path(spark, "lake")
     path = {name: table.path(root) for name, table in TABLES.items()}
     rows = tables.stage(spark, raw(spark, sf), "rows")
-    rows.withColumn("_ingest_date", F.to_date("_ingested_at")).repartition("_ingest_date").write.partitionBy("_ingest_date").parquet(path["stg_staffing"])
-    tables.write_table(silver(spark, sf), TABLES["staffing_standardized"], root)
-    tables.write_table(facts.fact_overtime(shifts(spark, sf)), TABLES["fact_overtime"], root)
+    rows.withColumn("_ingest_date", F.to_date("_ingested_at")).hint("rebalance", "_ingest_date").write.partitionBy("_ingest_date").parquet(path["stg_staffing"])
+    tables.write_table(facts.silver_staffing(rows), TABLES["staffing_standardized"], root)
+    tables.write_table(facts.fact_overtime(facts.silver_shifts(rows)), TABLES["fact_overtime"], root)
     quarter = F.concat(F.year("ingestion_timestamp"), F.lit("-"), F.quarter("ingestion_timestamp"))
-    all_index(spark, sf).withColumn("_batch", quarter).write.partitionBy("_batch").parquet(path["quarantine_index"])
+    index = quality.quarantine_index(quality.split_valid(rows)[1], STAFFING_COLUMNS)
+    index.withColumn("_batch", quarter).hint("rebalance", "_batch").write.partitionBy("_batch").parquet(path["quarantine_index"])
     fixtures.load(spark, sf, "pipeline_log").write.parquet(path["pipeline_log"])
     first_days = rows.withColumn("date", F.to_date("_ingested_at")).filter("day(date) = 1").select("date", "facility_id")
-    first_days.write.partitionBy("date").json(f"{root}/audit/ingestion")
+    first_days.hint("rebalance", "date").write.partitionBy("date").json(f"{root}/audit/ingestion")
     _write_csv(rows.select(*STAFFING_COLUMNS), f"{root}/landing/FAC_A")  # too new to go
     for _ in range(2):
         jobs.run_retention(spark, root, RETAINED_AT, f"{root}/landing")
