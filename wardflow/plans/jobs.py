@@ -170,7 +170,7 @@ def upsert_overtime(spark: SparkSession, root: str, changed: DataFrame) -> None:
     """Bring the overtime fact up to date with changed shifts, so that it equals
     one built from all shifts."""
     table = TABLES["fact_overtime"]
-    # Looked at five times, so written first.
+    # Looked at four times, so written first.
     with staged(spark, changed, "shifts") as shifts:
         rows, cleared = overtime_batch(spark, root, shifts)
         with staged(spark, cleared, "cleared") as gone:
