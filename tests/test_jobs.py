@@ -4,6 +4,7 @@ import json
 import os
 import time
 from base64 import b64encode
+from contextlib import contextmanager
 from datetime import date, timedelta
 from pathlib import Path
 
@@ -102,6 +103,34 @@ def test_retried_batch_and_lost_checkpoint_add_nothing(spark, lake):
     assert lake.read("ingestion_ledger").count() == 1
 
 
+def test_valid_rows_are_written_once_and_nothing_wide_is_sorted(spark, lake, monkeypatch):
+    kept, moved = {}, []
+    real_staged, real_queue = ingest.staged, ingest.queue_of_batch
+
+    @contextmanager
+    def watched(session, df, label):
+        with real_staged(session, df, label) as rows:
+            kept[label] = rows.count()
+            yield rows
+
+    def watched_queue(index, repeated):
+        moved.append(repeated.count())
+        return real_queue(index, repeated)
+
+    monkeypatch.setattr(ingest, "staged", watched)
+    monkeypatch.setattr(ingest, "queue_of_batch", watched_queue)
+    good, bad = "FAC_1,2026-01-01,RN,5,10,40,4,DAY\n", "FAC_1,2026-01-01,RN,-5,10,40,4,DAY\n"
+    lake.drop("FAC_1/a.csv", HEADER + good * 3 + bad * 2 + bad.replace("-5", "-6"))
+    lake.ingest()
+    assert ingest.read_bronze(spark, lake.root).count() == 3
+    assert kept["lines"] == 7 and kept["bad"] == 3 and moved == [1]
+    assert max(n for label, n in kept.items() if label not in ("lines", "bad")) == 1
+    assert lake.read("quarantine_index").count() == 3
+    assert spark.read.parquet(f"{lake.root}/quarantine/queue").count() == 2
+    results = lake.read("data_quality_results").first()
+    assert (results.total_records, results.valid_records, results.quarantined) == (6, 3, 3)
+
+
 def test_batch_that_failed_before_the_ledger_is_redone(spark, lake, monkeypatch):
     lake.drop("FAC_1/a.csv", HEADER + "FAC_1,2026-01-01,RN,5,10,40,4,DAY\nFAC_1,2026-01-01,RN,-5,10,40,4,DAY\n")
     real = ingest._write_control

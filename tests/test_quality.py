@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from wardflow.config import STAFFING_COLUMNS
 from wardflow.operators import ops, quality
 
 GOOD = ("F", "2026-01-21", "RN", "5", "10", "40", "4", "DAY")
@@ -26,6 +27,24 @@ def test_queue_takes_a_retried_record_once(staffing_frame):
     assert quality.quarantine_queue(index.unionByName(other)).count() == 2
 
 
+def test_queue_of_a_batch_moves_only_repeated_messages(staffing_frame):
+    rows = [("FAC_1", "2026-01-01", "RN", str(-i), "10", "40", "4", "DAY") for i in (1, 2, 2, 3, 3, 3)]
+    _, bad = quality.split_valid(staffing_frame(*rows))
+    index = quality.quarantine_index(bad, STAFFING_COLUMNS)
+    repeated = quality.repeated_messages(index)
+    assert repeated.count() == 2
+    queue = quality.queue_of_batch(index, repeated)
+    whole = quality.quarantine_queue(index)
+    assert queue.columns == whole.columns
+    assert sorted(queue.collect()) == sorted(whole.collect()) and queue.count() == 3
+
+
+def test_surplus_cells_make_a_row_bad(staffing_frame):
+    rows = staffing_frame(("FAC_1", "2026-01-01", "RN", "5", "10", "40", "4", "DAY")).withColumn("_surplus", F.lit("x"))
+    valid, bad = quality.split_valid(rows)
+    assert valid.count() == 0 and [r.reasons for r in bad.collect()] == [["SURPLUS_CELLS"]]
+
+
 def test_status_thresholds(spark):
     df = spark.createDataFrame([(10, 10, 0), (10, 9, 1), (100, 89, 11)], "total_records INT, valid_records INT, quarantined INT")
     rows = df.select(quality.pass_rate().alias("p"), quality.quality_status().alias("s")).collect()

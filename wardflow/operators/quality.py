@@ -25,6 +25,8 @@ def split_valid(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     its batch along. Both sides are filters over the same scan; only bad
     records carry the array of reasons."""
     broken = breaks_a_rule(records.columns)
+    if "_surplus" in records.columns:
+        broken = broken | F.col("_surplus").isNotNull()
     return records.filter(~broken), with_reasons(records.filter(broken))
 
 
@@ -40,20 +42,42 @@ def quarantine_index(bad: DataFrame, raw_columns: list[str]) -> DataFrame:
     ).withColumn("record_hash", F.sha2("raw_record", 256))
 
 
+def _message() -> Column:
+    return F.concat_ws("|", "source_file", F.array_join("quarantine_reason", ","), "raw_record")
+
+
 def quarantine_queue(index: DataFrame) -> DataFrame:
     """First arrival of each distinct message (file, record, reasons).
 
     The message carries its source file, so equal rows of two files stay apart
     while a retried file enqueues nothing new.
     """
-    message = F.concat_ws("|", "source_file", F.array_join("quarantine_reason", ","), "raw_record")
     return latest_per_key(
-        index.withColumn("message_hash", F.sha2(message, 256)),
+        index.withColumn("message_hash", F.sha2(_message(), 256)),
         ["message_hash"],
         [F.col("ingestion_timestamp").asc()],
     )
 
 
+def _message_key() -> Column:
+    return F.xxhash64("source_file", F.array_join("quarantine_reason", ","), "raw_record")
+
+
+def repeated_messages(index: DataFrame) -> DataFrame:
+    """64-bit hashes of messages that come more than once: all that is moved is such a hash."""
+    return index.groupBy(_message_key().alias("message_key")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("message_key")
+
+
+def queue_of_batch(index: DataFrame, repeated: DataFrame) -> DataFrame:
+    """:func:`quarantine_queue` where most messages come once: those go on as
+    they lie, and only rows of the ``repeated`` hashes are brought together and
+    compared by the whole message."""
+    keyed = index.withColumn("message_key", _message_key())
+    once = keyed.join(repeated, "message_key", "left_anti").drop("message_key")
+    often = keyed.join(repeated, "message_key", "left_semi").drop("message_key")
+    return once.withColumn("message_hash", F.sha2(_message(), 256)).unionByName(quarantine_queue(often))
+
+
 def pass_rate(valid: str = "valid_records", total: str = "total_records") -> Column:
     """Valid share in percent; NULL without records."""
     return F.try_divide(F.col(valid) * 100.0, F.col(total))

@@ -155,14 +155,13 @@ def new_files(manifest: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def line_cells(value: Column, separator: str, most: int) -> Column:
-    """The cells of a line, empty ones null.
+    """The cells of a line as they stand in it; of a line with a quote, as a CSV parser reads them.
 
-    Only a line with a quote needs a CSV parser; its first ``most`` cells count.
+    Only a line with a quote needs one; its first ``most`` cells count.
     """
-    plain = F.transform(F.split(value, separator), lambda cell: F.nullif(cell, F.lit("")))
     names = [f"c{i}" for i in range(most)]
     parsed = F.from_csv(value, ", ".join(f"{n} STRING" for n in names), {"sep": separator})
-    return F.when(~F.contains(value, F.lit('"')), plain).otherwise(F.array(*[parsed[n] for n in names]))
+    return F.when(~F.contains(value, F.lit('"')), F.split(value, separator)).otherwise(F.array(*[parsed[n] for n in names]))
 
 
 def read_by_header(lines: DataFrame, headers: DataFrame) -> DataFrame:
@@ -188,8 +187,13 @@ def read_by_header(lines: DataFrame, headers: DataFrame) -> DataFrame:
     beyond = F.slice("cells", F.col("width") + 1, F.greatest(F.size("cells") - F.col("width"), F.lit(0)))
     quoted = F.contains("value", F.lit('"'))
     several = F.when(quoted, F.exists(F.slice(beyond, 2, F.lit(most)), lambda c: c.isNotNull())).otherwise(F.size(beyond) > 1)
-    surplus = F.when(several, F.col("value")).otherwise(F.get(beyond, F.lit(0)))
-    found = [F.when(F.get("places", F.lit(i)) >= 0, F.get("cells", F.get("places", F.lit(i)))).alias(n) for i, n in enumerate(names)]
+
+    def filled(cell: Column) -> Column:
+        # Empty is null, looked at where a cell is taken: a lambda over all of them is not compiled.
+        return F.when(quoted | (cell != ""), cell)
+
+    surplus = F.when(several, F.col("value")).otherwise(filled(F.get(beyond, F.lit(0))))
+    found = [F.when(F.get("places", F.lit(i)) >= 0, filled(F.get("cells", F.get("places", F.lit(i))))).alias(n) for i, n in enumerate(names)]
     return cut.select(*found, "_source_file", surplus.alias(SURPLUS))
 
 
