@@ -36,3 +36,11 @@ def test_long_texts_are_hashed_in_pieces():
 
 def test_spans_follow_one_another():
     assert common.spans(np.array([5, 1, 9]), np.array([2, 0, 3])).tolist() == [5, 6, 9, 10, 11]
+
+
+def test_words_are_hashed_alike_by_their_places():
+    for text in ("", "ein wort", "éa bß c " * 40_000, "x" * 300_000 + " y z"):
+        words = text.split()
+        data = " ".join(words).encode()
+        edge = np.concatenate([[-1], np.flatnonzero(np.frombuffer(data, np.uint8) == 32), [len(data)]]) if words else np.zeros(1, int)
+        assert (common.hash_spans(data, edge[:-1] + 1, edge[1:]) == common.hash_words(text)).all()

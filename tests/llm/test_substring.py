@@ -1,3 +1,7 @@
+from hashlib import blake2b
+from itertools import accumulate
+
+import pandas as pd
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -79,3 +83,17 @@ def test_a_loop_keeps_its_first_words(spark):
     rows = [(1, "la " * 300)]
     got = substring.remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string")).first()
     assert 20 <= len(got.text.split()) <= 50
+
+
+@given(st.lists(st.sampled_from(["a", "Bb", "ΣοΣ", "İx", "c.", "d?", "\n", "  ", " ", "e!\n"]), max_size=120))
+def test_digests_are_those_of_units_and_windows(parts):
+    text = " ".join(parts)
+    batch = pd.DataFrame({"doc_id": [7], "version": [9], "text": [text]})
+    got = pd.concat(list(substring._digested(20)(iter([batch]))))
+    words = [w for _, _, of in substring.units(text) for w in of]
+    ends = list(accumulate(len(of) for _, _, of in substring.units(text)))
+    places = list(zip([0, *ends], ends)) + [(p, p + 20) for p in substring.windows(words)]
+    digest = [blake2b(" ".join(words[a:b]).encode(), digest_size=12).digest() for a, b in places]
+    assert list(zip(got["first"], got["last"])) == places and list(got["digest"]) == digest
+    assert set(got["doc_id"]) <= {7} and set(got["version"]) <= {9}
+    assert got["first"].dtype == got["last"].dtype == "int32"  # as Spark takes them, not one by one

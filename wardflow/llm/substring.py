@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardflow.llm.common import drop, hash_words, keep, mixed
+from wardflow.llm.common import STEP, STEP_BACK, drop, hash_spans, hash_words, keep, mixed, power
 
 #: Words a repeated run must hold to be removed.
 MIN_WORDS = 20
@@ -78,45 +78,64 @@ def windows(words: list[str], size: int = MIN_WORDS, spread: int = SPREAD) -> li
     Of any ``spread`` neighbouring windows one is: the first of smallest hash.
     Which one depends on their words only.
     """
-    n = len(words) - size + 1
+    return _places(hash_words("\n".join(words)), size, spread).tolist()
+
+
+def _places(hashes: np.ndarray, size: int, spread: int) -> np.ndarray:
+    n = len(hashes) - size + 1
     if n < spread:
-        return []
-    hashes = hash_words("\n".join(words))
+        return np.zeros(0, np.int64)
+    # A window's hash is the polynomial of its words' hashes, taken from running sums.
     with np.errstate(over="ignore"):
-        sums = np.zeros(n, np.uint64)
-        for i in range(size):
-            sums = sums * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + n]
+        sums = np.zeros(len(hashes) + 1, np.uint64)
+        np.cumsum(hashes * power(STEP_BACK, len(hashes)), out=sums[1:])
+        sums = (sums[size:] - sums[:-size]) * power(STEP, n + size - 1)[size - 1 :]
     near = np.lib.stride_tricks.sliding_window_view(mixed(sums), spread)
     # A slice at a time, so that a long text does not fill the memory.
-    chosen = [np.unique(near[at : at + ROWS].argmin(axis=1) + np.arange(at, min(at + ROWS, len(near)))) for at in range(0, len(near), ROWS)]
-    return np.unique(np.concatenate(chosen)).tolist()
-
-
-def _digest(words: list[str]) -> bytes:
-    return blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=12).digest()
+    chosen = [near[at : at + ROWS].argmin(axis=1) + np.arange(at, min(at + ROWS, len(near))) for at in range(0, len(near), ROWS)]
+    # The first of smallest hash only moves on, so equal places are neighbours.
+    chosen = np.concatenate(chosen)
+    return chosen[np.concatenate([[True], chosen[1:] != chosen[:-1]])]
 
 
 def _digested(min_words: int):
-    def rows_of(text: str) -> Iterator[tuple[int, int, bytes]]:
-        at, all_words = 0, []
-        for _, _, words in units(text):
-            yield at, at + len(words), _digest(words)
-            at += len(words)
-            all_words += words
-        for place in windows(all_words, min_words):
-            yield place, place + min_words, _digest(all_words[place : place + min_words])
+    def rows_of(text: str) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Where the text's units and windows begin and end, and their digests."""
+        words, sizes = [], []
+        # The units of :func:`units`; white space, at which they end, decides no lower case.
+        for unit in BREAK.split(text.lower()):
+            found = unit.split()
+            if found:
+                words += found
+                sizes.append(len(found))
+        # Units and windows are stretches of the words, which are put together once.
+        data = " ".join(words).encode("utf-8", "surrogatepass")
+        edge = np.concatenate([[-1], np.flatnonzero(np.frombuffer(data, np.uint8) == 32), [len(data)]]) if words else np.zeros(1, np.int64)
+        begin, end = edge[:-1] + 1, edge[1:]
+        places = _places(hash_spans(data, begin, end), min_words, SPREAD)
+        reached = np.cumsum(sizes, dtype=np.int64)
+        first = np.concatenate([reached - sizes, places]).astype(np.int32)
+        last = np.concatenate([reached, places + min_words]).astype(np.int32)
+        return first, last, [blake2b(data[a:b], digest_size=12).digest() for a, b in zip(begin[first].tolist(), end[last - 1].tolist())]
 
     def digested(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["doc_id", "version", "first", "last", "digest"]
+        def frames(of: pd.DataFrame, found: list) -> Iterator[pd.DataFrame]:
+            counts = [len(digests) for _, _, digests in found]
+            made = {name: np.repeat(of[name].to_numpy(), counts) for name in ("doc_id", "version")}
+            made |= {name: np.concatenate([np.zeros(0, np.int32), *(f[i] for f in found)]) for i, name in enumerate(("first", "last"))}
+            made = pd.DataFrame(made | {"digest": [d for _, _, digests in found for d in digests]})
+            for at in range(0, max(len(made), 1), ROWS):
+                yield made[at : at + ROWS]
+
         for batch in batches:
-            rows = []
-            for doc_id, version, text in zip(batch["doc_id"], batch["version"], batch["text"]):
-                for first, last, digest in rows_of(text):
-                    rows.append((doc_id, version, first, last, digest))
-                    if len(rows) == ROWS:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows = []
-            yield pd.DataFrame(rows, columns=columns)
+            begun, rows, found = 0, 0, []
+            for number, text in enumerate(batch["text"], 1):
+                found.append(rows_of(text))
+                rows += len(found[-1][2])
+                if rows >= ROWS:
+                    yield from frames(batch[begun:number], found)
+                    begun, rows, found = number, 0, []
+            yield from frames(batch[begun:], found)
 
     return digested
 
