@@ -71,3 +71,20 @@ def test_empty_texts_do_not_fill_a_shard(spark, monkeypatch):
     shards = [row for frame in search._shards(iter([batch])) for row in frame.itertuples()]
     assert [len(s.ids) for s in shards] == [20_000, 20_000, 5_000]
     assert [s.shard for s in shards] == [3 << 32, (3 << 32) + 1, (3 << 32) + 2]
+
+
+def test_a_block_keeps_the_columns_of_its_words(monkeypatch):
+    """Texts of two languages share no words, so no block is multiplied with words of both."""
+    import numpy as np
+    import pandas as pd
+
+    class At:
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(search, "TaskContext", type("T", (), {"get": staticmethod(lambda: At)}))
+    texts = ["a b c", "x y z"] * search.BLOCK
+    shard = next(search._shards(iter([pd.DataFrame({"doc_id": range(len(texts)), "text": texts})]))).iloc[0]
+    terms = np.concatenate([np.unique(search.hash_words(t)) for t in texts[:2]])
+    index = search.Index(shard, search.Group([0, 1], np.array([3, 3]), terms, np.ones(6)), 3.0)
+    assert [m.shape for m in index.matrices] == [(search.BLOCK, 3)] * 2
+    assert sorted(np.concatenate(index.held)) == list(range(6))

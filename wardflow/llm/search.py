@@ -138,22 +138,25 @@ class Index:
         self.column = np.full(len(group.vocabulary), -1, np.int64)
         self.column[frequent] = np.arange(len(frequent))
         self.blocks = -(-n // BLOCK)
-        self.matrix = np.zeros((self.blocks * BLOCK, len(frequent)))
+        matrix = np.zeros((self.blocks * BLOCK, len(frequent)))
         mine = spans(self.begin[frequent], self.size[frequent])
-        self.matrix[self.docs[mine], np.repeat(np.arange(len(frequent)), self.size[frequent])] = self.impact[mine]
-        self.tops = self.matrix.reshape(self.blocks, BLOCK, -1).max(axis=1)
+        matrix[self.docs[mine], np.repeat(np.arange(len(frequent)), self.size[frequent])] = self.impact[mine]
+        self.tops = matrix.reshape(self.blocks, BLOCK, -1).max(axis=1)
+        # A block keeps the columns of its own words only: those of its language, mostly.
+        self.held = [np.flatnonzero(tops) for tops in self.tops]
+        self.matrices = [matrix[b * BLOCK : (b + 1) * BLOCK][:, held] for b, held in enumerate(self.held)]
 
     def score(self, group: Group, first: int, last: int, best: Best) -> None:
         """Offer the documents to the queries ``first`` to ``last`` of the group."""
         words = group.numbers[group.starts[first] : group.starts[last]]
         query = np.repeat(np.arange(last - first), np.diff(group.starts[first : last + 1]))
         column = self.column[words]
-        wanted = np.zeros((self.matrix.shape[1], last - first))
+        wanted = np.zeros((self.tops.shape[1], last - first))
         wanted[column[column >= 0], query[column >= 0]] = 1.0
         rare = column < 0
         counts = self.size[words[rare]]
         posts = spans(self.begin[words[rare]], counts)
-        n = len(self.matrix)
+        n = self.blocks * BLOCK
         sparse = np.bincount(
             np.repeat(query[rare], counts) * n + self.docs[posts], weights=self.impact[posts], minlength=(last - first) * n
         ).reshape(last - first, self.blocks, BLOCK)
@@ -162,7 +165,7 @@ class Index:
             # A bound of zero means that no document shares a word.
             alive = np.flatnonzero((bounds[:, block] >= best.least[first:last]) & (bounds[:, block] > 0))
             if len(alive):
-                dense = self.matrix[block * BLOCK : (block + 1) * BLOCK] @ wanted[:, alive]
+                dense = self.matrices[block] @ wanted[np.ix_(self.held[block], alive)]
                 best.offer(first + alive, dense.T + sparse[alive, block], self.ids[block * BLOCK : (block + 1) * BLOCK])
 
 
