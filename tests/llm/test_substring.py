@@ -2,6 +2,7 @@ from hashlib import blake2b
 from itertools import accumulate
 
 import pandas as pd
+import pyarrow as pa
 from hypothesis import given
 from hypothesis import strategies as st
 
@@ -97,3 +98,43 @@ def test_digests_are_those_of_units_and_windows(parts):
     assert list(zip(got["first"], got["last"])) == places and list(got["digest"]) == digest
     assert set(got["doc_id"]) <= {7} and set(got["version"]) <= {9}
     assert got["first"].dtype == got["last"].dtype == "int32"  # as Spark takes them, not one by one
+
+
+def test_many_texts_are_digested_in_one_pass(monkeypatch):
+    passes = []
+    hashed = substring.hash_spans
+    monkeypatch.setattr(substring, "hash_spans", lambda *of: passes.append(1) or hashed(*of))
+    texts = [prose(i, 20 + i) for i in range(100)] + [" \n", "Ends. Mid\nline", prose(7, 60)]
+    batch = pd.DataFrame({"doc_id": range(len(texts)), "version": range(len(texts)), "text": texts})
+    together = pd.concat(substring._digested(20)(iter([batch])))
+    assert len(passes) == 1
+    alone = pd.concat([f for i in range(len(texts)) for f in substring._digested(20)(iter([batch[i : i + 1]]))])
+    assert sorted(together.itertuples(index=False, name=None)) == sorted(alone.itertuples(index=False, name=None))
+
+
+def test_runs_inside_longer_ones_are_not_compared(spark):
+    # Three texts' passages behind each other: only the two outer ends can go on.
+    parts = ["\n".join(prose(10 * i + j, 25) for j in range(4)) for i in range(1, 4)]
+    rows = [(i, part) for i, part in enumerate(parts)] + [(9, "\n".join([prose(1, 30), *parts, prose(2, 30)]))]
+    found = substring.repeats(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    runs = [run for of in found for run in of.runs]
+    assert {of.doc_id for of in found} == {9}
+    assert (min(r["first"] for r in runs), max(r["last"] for r in runs)) == (30, 330)
+    assert len(runs) <= 3 and sum(bool(r["before"]) + bool(r["behind"]) for r in runs) <= 2
+
+
+def test_a_text_whose_rows_span_batches_is_joined_as_a_whole():
+    def rows(at, n):
+        return {
+            "doc_id": [None] * at + [1] * n, "version": [5] * (at + n), "first": [*range(0, 10 * at, 10), *range(0, 10 * n, 10)],
+            "last": [*range(10, 10 * at + 10, 10), *range(10, 10 * n + 10, 10)], "from_id": [0] * (at + n), "from_version": [3] * (at + n),
+            "shift": [0] * (at + n), "itself": [False] * (at + n),
+        }
+
+    types = {"doc_id": pa.int64(), "version": pa.int64(), "first": pa.int32(), "last": pa.int32()}
+    types |= {"from_id": pa.int64(), "from_version": pa.int64(), "shift": pa.int32(), "itself": pa.bool_()}
+    whole = pa.RecordBatch.from_pydict(rows(7, 9), pa.schema(types))
+    for size in (1, 3, 16):
+        batches = iter([whole[at : at + size] for at in range(0, 16, size)])
+        got = pa.Table.from_batches(list(substring._joined(20)(batches))).to_pylist()
+        assert [(r["doc_id"], r["first"], r["last"]) for r in got if r["from_id"] is None] == [(None, 0, 70), (1, 0, 90)]
