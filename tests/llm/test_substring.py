@@ -115,7 +115,7 @@ def test_many_texts_are_digested_in_one_pass(monkeypatch):
 def test_runs_inside_longer_ones_are_not_compared(spark):
     # Three texts' passages behind each other: only the two outer ends can go on.
     parts = ["\n".join(prose(10 * i + j, 25) for j in range(4)) for i in range(1, 4)]
-    rows = [(i, part) for i, part in enumerate(parts)] + [(9, "\n".join([prose(1, 30), *parts, prose(2, 30)]))]
+    rows = [(i, f"{prose(40 + i, 20)}\n{part}\n{prose(60 + i, 20)}") for i, part in enumerate(parts)] + [(9, "\n".join([prose(1, 30), *parts, prose(2, 30)]))]
     found = substring.repeats(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
     runs = [run for of in found for run in of.runs]
     assert {of.doc_id for of in found} == {9}
