@@ -88,3 +88,62 @@ def test_a_block_keeps_the_columns_of_its_words(monkeypatch):
     index = search.Index(shard, search.Group([0, 1], np.array([3, 3]), terms, np.ones(6)), 3.0)
     assert [m.shape for m in index.matrices] == [(search.BLOCK, 3)] * 2
     assert sorted(np.concatenate(index.held)) == list(range(6))
+
+
+def shards_of(monkeypatch, docs):
+    import pandas as pd
+
+    class At:
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(search, "TaskContext", type("T", (), {"get": staticmethod(lambda: At)}))
+    frame = pd.DataFrame(docs, columns=["doc_id", "text"])
+    return [row for made in search._shards(iter([frame])) for _, row in made.iterrows()]
+
+
+def group_of(docs, queries):
+    import numpy as np
+
+    df = Counter(w for _, t in docs for w in np.unique(search.hash_words(t)).tolist())
+    sets = [np.unique(search.hash_words(t)) for _, t in queries]
+    terms = np.concatenate(sets)
+    idf = np.array([math.log(1 + (len(docs) - df[w] + 0.5) / (df[w] + 0.5)) for w in terms.tolist()])
+    return search.Group([q for q, _ in queries], np.array([len(s) for s in sets]), terms, idf)
+
+
+@pytest.mark.parametrize("block, dense, chunk", [(16, 3, 8), (32, 1, 50), (8, 9, 7)])
+def test_lists_and_matrices_give_the_same(monkeypatch, block, dense, chunk):
+    """Whatever is a column and whatever a list, over several shards."""
+    for name, value in (("BLOCK", block), ("DENSE", dense), ("CHUNK", chunk), ("SHARD_DOCS", 130)):
+        monkeypatch.setattr(search, name, value)
+    docs = [(i, prose(i, 4 + i % 70, "a b c d e f" if i % 3 else "x y z b")) for i in range(600)]
+    docs += [(600 + i, prose(i, 30, "a b c d e f")) for i in range(12)] + [(700, ""), (701, "only once")]
+    queries = [(d, t) for d, t in docs if d % 13 == 0]
+    group = group_of(docs, queries)
+    best = search.Best(len(group.ids), 5)
+    mean = sum(len(words_of(t)) for _, t in docs) / len(docs)
+    shards = shards_of(monkeypatch, docs)
+    assert len(shards) == 5
+    for shard in shards:
+        index = search.Index(shard, group, mean)
+        for first in range(0, len(group.ids), chunk):
+            index.score(group, first, min(first + chunk, len(group.ids)), best)
+    want = brute(docs, queries, 5)
+    for query, found in zip(group.ids, best.found):
+        scores, top = want[query]
+        assert [-s / search.UNIT for s, _, _ in found] == pytest.approx(top, abs=1e-6)
+        assert all(scores[d] == pytest.approx(-s / search.UNIT, abs=1e-6) for s, _, d in found)
+        assert found == sorted(found)
+
+
+def test_words_of_few_documents_are_not_multiplied(monkeypatch):
+    """A column of a block's matrix holds DENSE postings, so cells are bounded by postings."""
+    import random
+
+    draw = random.Random(1)
+    words = [f"w{i}" for i in range(1500)]
+    docs = [(i, " ".join(draw.sample(words, 30))) for i in range(2048)]
+    (shard,) = shards_of(monkeypatch, docs)
+    index = search.Index(shard, group_of(docs, docs[:200]), 30.0)
+    postings = sum(len(set(t.split())) for _, t in docs)
+    assert sum(m.size for m in index.matrices) <= 8 * postings
